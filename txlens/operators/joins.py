@@ -65,4 +65,6 @@ def join_small_side(
     width = _estimated_width(small.schema) + 16
     if n <= max_rows and n * width <= max_bytes:
         return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+    # Too big to broadcast by our measure: keep Spark from broadcasting it on the
+    # (compressed) file size, and shuffle-join instead.
+    return big.join(small.hint("merge"), on, how)

@@ -113,7 +113,9 @@ def _event_time_of(tx: DataFrame):
 
     if "transaction_timestamp" in tx.columns:
         return F.col("transaction_timestamp")
-    return ms_or_seconds_to_timestamp("transaction_time")
+    if "transaction_time" in tx.columns:
+        return ms_or_seconds_to_timestamp("transaction_time")
+    return F.lit(None).cast("timestamp")
 
 
 def publish_transactions(

@@ -26,6 +26,11 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _session_is_utc(df: DataFrame) -> bool:
+    tz = df.sparkSession.conf.get("spark.sql.session.timeZone", "")
+    return tz in ("UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "UTC+00:00")
+
+
 def _sql_array(values: list[str]) -> str:
     return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
@@ -37,7 +42,13 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
     half in seconds, so both branches of the epoch rule are exercised.
     """
     ts_type = events.schema["ts"].dataType
-    micros = ntz_epoch_micros("ts") if isinstance(ts_type, TimestampNTZType) else F.unix_micros("ts")
+    if not isinstance(ts_type, TimestampNTZType):
+        micros = F.unix_micros("ts")
+    elif _session_is_utc(events):
+        # Wall clock read in a UTC session is the UTC instant: the cheap cast is exact.
+        micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    else:
+        micros = ntz_epoch_micros("ts")
     b = FIXTURE_ORIGIN_MICROS
     return (
         events.select(
