@@ -104,6 +104,10 @@ def _merchant_batch(tx, window, slide, exact_distinct, ts, scale):
         )
     )
     users = F.count_distinct("user_id") if exact_distinct else F.approx_count_distinct("user_id")
+    # Distinct users and the currency set are two distinct aggregates over the same
+    # pane rows: Spark plans them as one pipeline (Expand by distinct group, hash
+    # aggregates to dedupe, then a final aggregate keyed by (merchant, window) only),
+    # so no object-state aggregate runs over the high-cardinality keys.
     g = (
         panes.select("*", F.explode(window_starts_for_pane(F.col("_pane"), w, s)).alias("_ws"))
         .groupBy("merchant", "_ws")
@@ -114,7 +118,7 @@ def _merchant_batch(tx, window, slide, exact_distinct, ts, scale):
             F.min("_min").alias("min_amount"),
             F.max("_max").alias("max_amount"),
             users.cast("long").alias("unique_users"),
-            F.sort_array(F.collect_set("currency")).alias("currencies_used"),
+            F.expr("sort_array(collect_list(DISTINCT currency))").alias("currencies_used"),
         )
     )
     return g.select(
