@@ -22,8 +22,23 @@ FIXTURE_TIME_COMPRESSION = 120
 FIXTURE_AMOUNT_SCALE = 20
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def load_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Read a supplied table; see :func:`ensure_parallelism`."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if spread else df
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an under-split scan (e.g. one file with a single row group, which Spark
+    cannot split) over the cluster's cores, so row-wise work does not run in one task.
+
+    Wide scans -- any input with at least ``defaultParallelism`` splits, i.e. every
+    large table -- are returned unchanged: no shuffle is added at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
 
 
 def _session_is_utc(df: DataFrame) -> bool:
