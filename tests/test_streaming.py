@@ -84,6 +84,8 @@ def test_late_rows_dropped_after_spacer(spark):
         for op in (p.get("stateOperators") or [])
     )
     assert dropped == 1
+    # maxFilesPerTrigger=1: one micro-batch per file
+    assert [p["numInputRows"] for p in q.recentProgress if p["numInputRows"] > 0] == [1, 1, 1, 2, 1]
 
 
 def test_update_mode_last_emission_equals_batch(spark):

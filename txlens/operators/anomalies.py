@@ -78,6 +78,7 @@ def enrich_user_stats_rangejoin(
     tx: DataFrame,
     window: str = USER_WINDOW,
     ts: str = "transaction_timestamp",
+    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Batch form written as the literal range join:
     ``t.user_id = s.user_id AND t.ts >= s.window.start AND t.ts < s.window.end``.
@@ -94,14 +95,16 @@ def enrich_user_stats_rangejoin(
         .withColumn("_bin", F.unix_seconds(F.col("window.start")))
     )
     t = tx.withColumn("_bin", tumbling_start_sec(ts, w)).alias("t")
-    s = stats.alias("s")
     cond = (
         (F.col("t.user_id") == F.col("s.user_id"))
         & (F.col("t._bin") == F.col("s._bin"))
         & (F.col(f"t.{ts}") >= F.col("s.window.start"))
         & (F.col(f"t.{ts}") < F.col("s.window.end"))
     )
-    return t.join(s, cond, "left").select(*[F.col(f"t.{c}") for c in tx.columns], *[F.col(f"s.{c}") for c in STAT_COLUMNS])
+    joined = join_small_side(
+        t, stats, cond, "left", max_rows=broadcast_max_rows, name="user-window-stats-range", small_alias="s"
+    )
+    return joined.select(*[F.col(f"t.{c}") for c in tx.columns], *[F.col(f"s.{c}") for c in STAT_COLUMNS])
 
 
 def with_reasons(

@@ -46,21 +46,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def join_small_side(
     big: DataFrame,
     small: DataFrame,
-    on: list[str],
+    on,
     how: str = "left",
     max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
     name: str = "join-side",
+    small_alias: str | None = None,
 ) -> DataFrame:
     """``big JOIN small``; ``small`` is broadcast only when its measured size fits.
 
-    ``small`` is written once to the shared folder and counted. Within
+    ``on`` is a list of key columns or a join condition; a condition must refer to
+    ``small`` through the alias ``small_alias`` (default "s"), since the side is
+    re-read from its written table. ``small`` is written once to the shared folder and counted. Within
     ``max_rows`` and ``max_bytes`` (rows x estimated width) it is broadcast and
     ``big`` is never shuffled. Beyond that it is a shuffle join on ``on``; adaptive
     execution then splits skewed partitions of ``big`` (a hot key does not land in
     a single task).
     """
     small = materialize(small, name)
+    if small_alias:
+        small = small.alias(small_alias)
     n = small.count()
     width = _estimated_width(small.schema) + 16
     if n <= max_rows and n * width <= max_bytes:
@@ -68,3 +73,9 @@ def join_small_side(
     # Too big to broadcast by our measure: keep Spark from broadcasting it on the
     # (compressed) file size, and shuffle-join instead.
     return big.join(small.hint("merge"), on, how)
+
+
+def broadcast_fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> bool:
+    """Whether an already materialized ``df`` is within the broadcast limits."""
+    n = df.count()
+    return n <= max_rows and n * (_estimated_width(df.schema) + 16) <= max_bytes

@@ -24,19 +24,20 @@ from txlens.sources.envelope import file_source_options, read_envelope, to_envel
 from txlens.streaming.sinks import latest_per_key, start_stream
 
 N_SPLITS = 4
-FILES_PER_SPLIT = 2
+FILES_PER_SPLIT = None  # default: the cluster's parallelism
 TIMEOUT_SEC = 900
 
 
 _PUBLISHED: dict[tuple, str] = {}
 
 
-def stream_source(spark: SparkSession, sf_dir: str, n_splits: int = N_SPLITS, files_per_split: int = FILES_PER_SPLIT) -> DataFrame:
+def stream_source(spark: SparkSession, sf_dir: str, n_splits: int = N_SPLITS, files_per_split: int | None = FILES_PER_SPLIT) -> DataFrame:
     """Publish the fixture transactions as ``n_splits`` time-ordered file batches and
     subscribe to them as a stream of envelopes.
 
     The log is written once per application and input folder and then shared by
     every stream query (its files never change after the write)."""
+    files_per_split = files_per_split or spark.sparkContext.defaultParallelism
     key = (spark.sparkContext.applicationId, sf_dir, n_splits, files_per_split)
     path = _PUBLISHED.get(key)
     if path is None:
@@ -45,8 +46,9 @@ def stream_source(spark: SparkSession, sf_dir: str, n_splits: int = N_SPLITS, fi
     return read_envelope(spark, path, streaming=True, options=file_source_options(max_files_per_trigger=files_per_split))
 
 
-def publish_log(spark: SparkSession, sf_dir: str, n_splits: int = N_SPLITS, files_per_split: int = FILES_PER_SPLIT) -> str:
+def publish_log(spark: SparkSession, sf_dir: str, n_splits: int = N_SPLITS, files_per_split: int | None = FILES_PER_SPLIT) -> str:
     """Write the fixture transactions as envelopes in ``n_splits`` time-ordered appends."""
+    files_per_split = files_per_split or spark.sparkContext.defaultParallelism
     env = to_envelope(fields(spark, sf_dir), offset="transaction_id")
     sec = F.unix_seconds("timestamp")
     lo, hi = env.agg(F.min(sec), F.max(sec)).first()
