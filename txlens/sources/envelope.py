@@ -127,12 +127,14 @@ def publish_transactions(
     offset: str | None = None,
     mode: str = "append",
     kafka_options: dict[str, str] | None = None,
+    compression: str | None = "lz4",
 ) -> None:
     """Load step: write transactions as keyed JSON records.
 
     Kafka: ``key``/``value`` go to ``topic`` and Kafka's partitioner spreads them by
-    key. Files: each task sorts its rows by (partition, offset) and writes them; no
-    shuffle, so the write scales with the input's partitioning.
+    key. Files: each task sorts its rows by (partition, offset) and writes them
+    (lz4, like the topic's codec); no shuffle, so the write scales with the input's
+    partitioning.
     """
     env = to_envelope(tx, topic=topic, partitions=partitions, offset=offset)
     if fmt == "kafka":
@@ -144,7 +146,10 @@ def publish_transactions(
             .save()
         )
         return
-    env.sortWithinPartitions("partition", "offset").write.mode(mode).format(fmt).save(path)
+    w = env.sortWithinPartitions("partition", "offset").write.mode(mode).format(fmt)
+    if compression and fmt == "parquet":
+        w = w.option("compression", compression)
+    w.save(path)
 
 
 def write_envelope_splits(
