@@ -1,4 +1,4 @@
-"""DataFrame -> DataFrame operators of the transaction pipeline."""
+"""DataFrame -> DataFrame operators of the transaction processor."""
 
 from txlens.operators.aggregates import merchant_window_aggregates, user_window_stats  # noqa: F401
 from txlens.operators.anomalies import (  # noqa: F401

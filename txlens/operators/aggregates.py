@@ -105,7 +105,7 @@ def _merchant_batch(tx, window, slide, exact_distinct, ts, scale):
     )
     users = F.count_distinct("user_id") if exact_distinct else F.approx_count_distinct("user_id")
     # Distinct users and the currency set are two distinct aggregates over the same
-    # pane rows: Spark plans them as one pipeline (Expand by distinct group, hash
+    # pane rows: Spark plans them as one chain of stages (Expand by distinct group, hash
     # aggregates to dedupe, then a final aggregate keyed by (merchant, window) only),
     # so no object-state aggregate runs over the high-cardinality keys.
     g = (

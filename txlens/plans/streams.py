@@ -31,14 +31,28 @@ TIMEOUT_SEC = 900
 _PUBLISHED: dict[tuple, str] = {}
 
 
+def _parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return 8
+
+
+def _app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", "app")
+
+
 def stream_source(spark: SparkSession, sf_dir: str, n_splits: int = N_SPLITS, files_per_split: int | None = FILES_PER_SPLIT) -> DataFrame:
     """Publish the fixture transactions as ``n_splits`` time-ordered file batches and
     subscribe to them as a stream of envelopes.
 
     The log is written once per application and input folder and then shared by
     every stream query (its files never change after the write)."""
-    files_per_split = files_per_split or spark.sparkContext.defaultParallelism
-    key = (spark.sparkContext.applicationId, sf_dir, n_splits, files_per_split)
+    files_per_split = files_per_split or _parallelism(spark)
+    key = (_app_id(spark), sf_dir, n_splits, files_per_split)
     path = _PUBLISHED.get(key)
     if path is None:
         path = publish_log(spark, sf_dir, n_splits, files_per_split)
@@ -48,7 +62,7 @@ def stream_source(spark: SparkSession, sf_dir: str, n_splits: int = N_SPLITS, fi
 
 def publish_log(spark: SparkSession, sf_dir: str, n_splits: int = N_SPLITS, files_per_split: int | None = FILES_PER_SPLIT) -> str:
     """Write the fixture transactions as envelopes in ``n_splits`` time-ordered appends."""
-    files_per_split = files_per_split or spark.sparkContext.defaultParallelism
+    files_per_split = files_per_split or _parallelism(spark)
     env = to_envelope(fields(spark, sf_dir), offset="transaction_id")
     sec = F.unix_seconds("timestamp")
     lo, hi = env.agg(F.min(sec), F.max(sec)).first()
@@ -63,7 +77,10 @@ def state_partitions(spark: SparkSession) -> int:
     """State partitions for these runs: the session's shuffle partitions, capped at
     the cluster's parallelism (each stateful task per micro-batch has a fixed cost)."""
     sp = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(sp, spark.sparkContext.defaultParallelism))
+    try:
+        return max(1, min(sp, spark.sparkContext.defaultParallelism))
+    except Exception:  # no SparkContext in this client
+        return min(sp, 32)
 
 
 def _run(df: DataFrame, name: str, mode: str) -> str:

@@ -1,4 +1,4 @@
-"""Schemas and the fixed parameters of the transaction pipeline."""
+"""Schemas and the fixed parameters of the transaction processor."""
 
 from __future__ import annotations
 

@@ -46,7 +46,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local tests) a folder of our own
     is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext in this client (e.g. Spark Connect)
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        return root or tempfile.mkdtemp(prefix="txlens-ckpt-")
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         current = sc.getCheckpointDir()

@@ -35,8 +35,11 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     Wide scans -- any input with at least ``defaultParallelism`` splits, i.e. every
     large table -- are returned unchanged: no shuffle is added at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # no SparkContext in this client (e.g. Spark Connect): leave as is
         return df
     return df.repartition(target)
 
