@@ -113,3 +113,16 @@ def test_rule_counts_sf001(spark):
         F.sum((F.size("anomaly_reasons") == 3).cast("int")),
     ).first()
     assert tuple(c) == (269, 22, 72, 202, 1)  # FIXTURES.md section 3, sf0.001
+
+
+def test_hot_keys_are_salted_in_the_shuffle_join(spark):
+    """Statistics too big to broadcast: keys with > hot_key_rows rows are split."""
+    tx = batch.transactions(spark, SF_SMALL)
+    cols = ["transaction_id", "transaction_count", "avg_transaction_amount"]
+    ref = sorted_rows(enrich_user_stats(tx), *cols)
+    salted = enrich_user_stats(tx, broadcast_max_rows=0, hot_key_rows=3)
+    p = salted._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in p and "_buckets" in p
+    assert sorted_rows(salted, *cols) == ref
+    # the salted side holds one stats row per bucket: more rows than keys
+    # (max 15 rows per user-window at sf0.001, so buckets of 3 give up to 5 copies)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from txlens.functions.columns import interval_seconds, tumbling_start_sec
 from txlens.functions.rules import high_amount, high_frequency, high_international, reasons_array
 from txlens.operators.aggregates import user_window_counts, user_window_stats
-from txlens.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, join_small_side
+from txlens.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, DEFAULT_HOT_KEY_ROWS, join_small_side
 from txlens.schema import (
     AMOUNT_THRESHOLD_MULTIPLIER,
     INTERNATIONAL_AMOUNT_LIMIT,
@@ -31,6 +31,7 @@ def enrich_user_stats(
     window: str = USER_WINDOW,
     ts: str = "transaction_timestamp",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Left join of every transaction to (transaction_count, avg_transaction_amount)
     of its user's window. Output: the columns of ``tx`` + those two.
@@ -39,7 +40,9 @@ def enrich_user_stats(
 
     Batch: one aggregate (map-side combined, so hot users shrink before the shuffle),
     then a join whose statistics side is broadcast only after its size is measured;
-    beyond the limit it is a shuffle join with adaptive skew splitting.
+    beyond the limit it is a shuffle join in which (user, window) keys with more than
+    ``hot_key_rows`` transactions are salted into several buckets (their counts are
+    known exactly from the statistics).
     Stream: stream-stream left join on (user_id, window) with the timestamp carried
     as a plain number (a side may hold only one event-time column), and rows
     without event time routed around the join.
@@ -49,7 +52,11 @@ def enrich_user_stats(
     w = interval_seconds(window)
     keyed = tx.withColumn("_wsec", tumbling_start_sec(ts, w))
     stats = user_window_counts(tx, w, ts=ts, key="_wsec")
-    joined = join_small_side(keyed, stats, ["user_id", "_wsec"], "left", max_rows=broadcast_max_rows, name="user-window-stats")
+    joined = join_small_side(
+        keyed, stats, ["user_id", "_wsec"], "left", max_rows=broadcast_max_rows, name="user-window-stats",
+        count_col="transaction_count", hot_rows=hot_key_rows,
+        salt_cols=[c for c in ("transaction_id", "amount", ts) if c in tx.columns],
+    )
     return joined.select(*tx.columns, *STAT_COLUMNS)
 
 

@@ -43,6 +43,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+DEFAULT_HOT_KEY_ROWS = 2_000_000
+
+
 def join_small_side(
     big: DataFrame,
     small: DataFrame,
@@ -52,27 +55,62 @@ def join_small_side(
     max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
     name: str = "join-side",
     small_alias: str | None = None,
+    count_col: str | None = None,
+    hot_rows: int = DEFAULT_HOT_KEY_ROWS,
+    salt_cols: list[str] | None = None,
 ) -> DataFrame:
     """``big JOIN small``; ``small`` is broadcast only when its measured size fits.
 
     ``on`` is a list of key columns or a join condition; a condition must refer to
-    ``small`` through the alias ``small_alias`` (default "s"), since the side is
-    re-read from its written table. ``small`` is written once to the shared folder and counted. Within
+    ``small`` through the alias ``small_alias``, since the side is re-read from its
+    written table. ``small`` is written once to the shared folder and counted. Within
     ``max_rows`` and ``max_bytes`` (rows x estimated width) it is broadcast and
-    ``big`` is never shuffled. Beyond that it is a shuffle join on ``on``; adaptive
-    execution then splits skewed partitions of ``big`` (a hot key does not land in
-    a single task).
+    ``big`` is never shuffled.
+
+    Beyond that it is a shuffle join on the keys. When ``count_col`` gives, per key
+    of ``small``, the number of ``big`` rows with that key (as a statistics table
+    does), hot keys are split explicitly: a key with more than ``hot_rows`` rows gets
+    ceil(rows / hot_rows) salt buckets, its ``big`` rows a deterministic salt
+    (hash of ``salt_cols``) and its ``small`` row one copy per bucket, so no task
+    receives more than about ``hot_rows`` rows of one key. The hot-key list is
+    bounded by total rows / ``hot_rows`` and is itself size-checked before it is
+    broadcast. Other keys keep salt 0 (one copy). Adaptive skew splitting stays on
+    as a second line.
     """
     small = materialize(small, name)
-    if small_alias:
-        small = small.alias(small_alias)
     n = small.count()
     width = _estimated_width(small.schema) + 16
     if n <= max_rows and n * width <= max_bytes:
-        return big.join(F.broadcast(small), on, how)
-    # Too big to broadcast by our measure: keep Spark from broadcasting it on the
-    # (compressed) file size, and shuffle-join instead.
-    return big.join(small.hint("merge"), on, how)
+        s = small.alias(small_alias) if small_alias else small
+        return big.join(F.broadcast(s), on, how)
+    if count_col is None or not isinstance(on, (list, tuple)):
+        # Too big to broadcast by our measure: keep Spark from broadcasting it on the
+        # (compressed) file size, and shuffle-join instead.
+        s = small.alias(small_alias) if small_alias else small
+        return big.join(s.hint("merge"), on, how)
+
+    keys = list(on)
+    hot = materialize(
+        small.filter(F.col(count_col) > F.lit(hot_rows)).select(
+            *keys, F.ceil(F.col(count_col) / F.lit(hot_rows)).cast("int").alias("_buckets")
+        ),
+        f"{name}-hot",
+    )
+    n_hot = hot.count()
+    if n_hot == 0:
+        return big.join(small.hint("merge"), keys, how)
+    hot_side = F.broadcast(hot) if n_hot <= max_rows else hot
+    cols = salt_cols or [c for c in big.columns if c not in keys][:4]
+    salted_big = big.join(hot_side, keys, "left").withColumn(
+        "_salt",
+        F.when(F.col("_buckets").isNull(), F.lit(0)).otherwise(
+            F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col("_buckets")).cast("int")
+        ),
+    ).drop("_buckets")
+    salted_small = small.join(hot_side, keys, "left").select(
+        "*", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_buckets"), F.lit(1)) - 1)).alias("_salt")
+    ).drop("_buckets")
+    return salted_big.join(salted_small.hint("merge"), keys + ["_salt"], how).drop("_salt")
 
 
 def broadcast_fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> bool:
