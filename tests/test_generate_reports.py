@@ -61,3 +61,20 @@ def test_record_size(spark):
     assert r.avg_record_bytes == 3 + 6 + 3 + 4 + 8 + 6 + 17
     assert r.raw_bytes == 47 and r.stored_bytes == 47 * 1.5 * 3 / 5
     assert r.avg_json_bytes > 100
+
+
+def test_properties_on_generated_data(spark):
+    """T6 with several seeds: sliding counts sum to 5 x rows, tumbling to rows, and a row
+    is an anomaly exactly when its reasons are non-empty."""
+    from txlens.operators import detect_anomalies, enrich_user_stats, merchant_window_aggregates, user_window_stats
+    from txlens.operators.anomalies import with_reasons
+    from txlens.operators.clean import prepare_transactions
+
+    for seed in (1, 2, 3):
+        g = prepare_transactions(generate_transactions(spark, n=3000, seed=seed, rate_per_sec=1, users=20))
+        n = g.count()
+        assert merchant_window_aggregates(g).agg(F.sum("total_transactions")).first()[0] == 5 * n
+        assert user_window_stats(g).agg(F.sum("transaction_count")).first()[0] == n
+        r = with_reasons(enrich_user_stats(g))
+        hits = r.filter(F.size("anomaly_reasons") > 0).count()
+        assert detect_anomalies(enrich_user_stats(g)).count() == hits > 0

@@ -40,6 +40,40 @@ def build_session(
     return spark
 
 
+def cluster_conf(
+    input_bytes: int | None = None,
+    total_cores: int | None = None,
+    partition_mb: int = 128,
+    rocksdb_state: bool = True,
+) -> dict[str, str]:
+    """Settings for large runs, to pass as ``build_session(master=None, extra=...)``.
+
+    Shuffle partitions start at max(3 x cores, input / partition_mb) so each reduce
+    task handles about ``partition_mb`` and fits in memory without heavy spill; AQE
+    coalesces what turns out small and splits skewed join partitions. Scans are cut
+    into ``partition_mb`` splits. Large streaming state goes to RocksDB.
+    """
+    mb = 1024 * 1024
+    parts = 3 * (total_cores or 8)
+    if input_bytes:
+        parts = max(parts, int(input_bytes // (partition_mb * mb)) + 1)
+    conf = {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{partition_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": f"{partition_mb}m",
+        "spark.sql.session.timeZone": "UTC",
+    }
+    if rocksdb_state:
+        conf["spark.sql.streaming.stateStore.providerClass"] = (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        )
+    return conf
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 

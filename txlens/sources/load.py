@@ -73,7 +73,9 @@ def main(argv: list[str] | None = None) -> None:
     a = p.parse_args(argv)
     from txlens.session import build_session
 
-    spark = build_session(master=None, app_name="txlens-load")
+    from txlens.session import cluster_conf
+
+    spark = build_session(master=None, app_name="txlens-load", extra=cluster_conf(rocksdb_state=False))
     kopts = {"kafka.bootstrap.servers": a.bootstrap_servers} if a.format == "kafka" else None
     print(json.dumps(run_load(spark, a.rows, a.out, a.format, kopts, a.topic, seed=a.seed)))
     spark.stop()
