@@ -111,9 +111,3 @@ def join_small_side(
         "*", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_buckets"), F.lit(1)) - 1)).alias("_salt")
     ).drop("_buckets")
     return salted_big.join(salted_small.hint("merge"), keys + ["_salt"], how).drop("_salt")
-
-
-def broadcast_fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> bool:
-    """Whether an already materialized ``df`` is within the broadcast limits."""
-    n = df.count()
-    return n <= max_rows and n * (_estimated_width(df.schema) + 16) <= max_bytes

@@ -19,7 +19,3 @@ def sliding_window_expand(
     starts are multiples of ``slide`` since the epoch. A 5-minute window sliding by
     1 minute puts each row in 5 windows. Rows without event time have no window."""
     return df.withColumn(out, F.window(ts, window, slide))
-
-
-def tumbling_window(df: DataFrame, ts: str = "transaction_timestamp", window: str = "30 minutes", out: str = "window") -> DataFrame:
-    return df.withColumn(out, F.window(ts, window))

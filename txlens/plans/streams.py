@@ -31,6 +31,16 @@ TIMEOUT_SEC = 900
 _PUBLISHED: dict[tuple, str] = {}
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, on any Hadoop filesystem (True if it cannot be checked)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:
+        return True
+
+
 def _parallelism(spark: SparkSession) -> int:
     try:
         return spark.sparkContext.defaultParallelism
@@ -54,7 +64,7 @@ def stream_source(spark: SparkSession, sf_dir: str, n_splits: int = N_SPLITS, fi
     files_per_split = files_per_split or _parallelism(spark)
     key = (_app_id(spark), sf_dir, n_splits, files_per_split)
     path = _PUBLISHED.get(key)
-    if path is None:
+    if path is None or not _exists(spark, path):
         path = publish_log(spark, sf_dir, n_splits, files_per_split)
         _PUBLISHED[key] = path
     return read_envelope(spark, path, streaming=True, options=file_source_options(max_files_per_trigger=files_per_split))
