@@ -36,6 +36,7 @@ def merchant_window_aggregates(
     exact_distinct: bool = True,
     ts: str = "transaction_timestamp",
     scale: int = AMOUNT_SCALE,
+    bounded_state: bool = False,
 ) -> DataFrame:
     """Per (merchant, sliding window): count, total, average, min, max of amount,
     distinct users, sorted set of currencies. Columns as ``MERCHANT_AGG_COLUMNS``.
@@ -46,7 +47,16 @@ def merchant_window_aggregates(
     are expanded into the windows that cover them. Stream: Spark's windowed state;
     distinct users as the size of the user set (streaming count-distinct is not
     supported) or, with ``exact_distinct=False``, a fixed-size HyperLogLog sketch.
+
+    ``bounded_state=True`` (streams, append mode only): exact distinct users without
+    a per-window user set. Two chained stateful aggregates: state keyed by
+    (merchant, window, user), spread over partitions, holding that user's currency
+    set; then per (merchant, window) only sums, the user count and the set of
+    distinct currency subsets (bounded by the currency domain). Rows are emitted
+    once, when the watermark closes the window.
     """
+    if tx.isStreaming and bounded_state:
+        return _merchant_stream_chained(tx, window, slide, ts, scale)
     if tx.isStreaming:
         return _merchant_stream(tx, window, slide, exact_distinct, ts, scale)
     return _merchant_batch(tx, window, slide, exact_distinct, ts, scale)
@@ -80,6 +90,41 @@ def _merchant_stream(tx, window, slide, exact_distinct, ts, scale):
     ).select(*MERCHANT_AGG_COLUMNS)
 
 
+def _merchant_stream_chained(tx, window, slide, ts, scale):
+    per_user = (
+        tx.withColumn("_units", amount_units("amount", scale))
+        .groupBy(F.col("merchant"), F.window(ts, window, slide).alias("window"), F.col("user_id"))
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.sum("_units").alias("_units"),
+            F.count("amount").alias("_n_amount"),
+            F.min("amount").alias("_min"),
+            F.max("amount").alias("_max"),
+            F.sort_array(F.collect_set("currency")).alias("_currencies"),
+        )
+    )
+    g = per_user.groupBy("merchant", "window").agg(
+        F.sum("_n").alias("total_transactions"),
+        F.sum("_units").alias("_units"),
+        F.sum("_n_amount").alias("_n_amount"),
+        F.min("_min").alias("min_amount"),
+        F.max("_max").alias("max_amount"),
+        F.count("user_id").alias("unique_users"),
+        F.collect_set("_currencies").alias("_currency_sets"),
+    )
+    return g.select(
+        "merchant",
+        F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"),
+        "total_transactions",
+        *_money("_units", "_n_amount", "total_amount", "average_amount", scale),
+        "min_amount",
+        "max_amount",
+        "unique_users",
+        F.sort_array(F.array_distinct(F.flatten("_currency_sets"))).alias("currencies_used"),
+    )
+
+
 def _merchant_batch(tx, window, slide, exact_distinct, ts, scale):
     w, s = interval_seconds(window), interval_seconds(slide)
     pane = math.gcd(w, s)
