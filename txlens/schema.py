@@ -62,6 +62,9 @@ MERCHANT_WINDOW = "5 minutes"
 MERCHANT_SLIDE = "1 minute"
 USER_WINDOW = "30 minutes"
 
+AGGREGATES_QUERY_NAME = "MerchantAggregates"
+ANOMALIES_QUERY_NAME = "AnomalyDetection"
+
 MAX_OFFSETS_PER_TRIGGER = 10000
 STATE_SHUFFLE_PARTITIONS = 20
 

@@ -72,7 +72,7 @@ def main(argv: list[str] | None = None) -> None:
 
     conf = cluster_conf()
     conf["spark.sql.shuffle.partitions"] = str(a.state_partitions)  # fixed per checkpoint
-    spark = build_session(master=None, app_name="FinanceTransactionProcessor", extra=conf)
+    spark = build_session(master=None, app_name="txlens-processor", extra=conf)
     if a.source_format == "kafka":
         src_opts = kafka_source_options(a.bootstrap_servers, a.source_topic)
         sink_opts = {"kafka.bootstrap.servers": a.bootstrap_servers}

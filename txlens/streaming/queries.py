@@ -15,7 +15,9 @@ from txlens.operators.aggregates import merchant_window_aggregates
 from txlens.operators.anomalies import detect_anomalies, enrich_user_stats
 from txlens.operators.encode import encode_aggregates, encode_anomalies
 from txlens.schema import (
+    AGGREGATES_QUERY_NAME,
     AGGREGATES_TOPIC,
+    ANOMALIES_QUERY_NAME,
     ANOMALIES_TOPIC,
     MERCHANT_SLIDE,
     MERCHANT_WINDOW,
@@ -39,7 +41,7 @@ def start_merchant_aggregates(
     fmt: str = "kafka",
     path: str | None = None,
     options: dict[str, str] | None = None,
-    name: str = "MerchantAggregates",
+    name: str = AGGREGATES_QUERY_NAME,
     trigger: dict | None = None,
     state_partitions: int | None = STATE_SHUFFLE_PARTITIONS,
     encoded: bool = True,
@@ -58,7 +60,7 @@ def start_anomaly_detection(
     fmt: str = "kafka",
     path: str | None = None,
     options: dict[str, str] | None = None,
-    name: str = "AnomalyDetection",
+    name: str = ANOMALIES_QUERY_NAME,
     trigger: dict | None = None,
     state_partitions: int | None = STATE_SHUFFLE_PARTITIONS,
     encoded: bool = True,
