@@ -33,6 +33,7 @@ def start_processor(
     trigger: dict | None = None,
     state_partitions: int | None = STATE_SHUFFLE_PARTITIONS,
     exact_distinct: bool = True,
+    bounded_state: bool = False,
 ) -> list[StreamingQuery]:
     """Start MerchantAggregates (update) and AnomalyDetection (append) on one source."""
     root = (checkpoint_root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/txlens-processor").rstrip("/")
@@ -42,7 +43,7 @@ def start_processor(
     anom_path = f"{sink_root.rstrip('/')}/anomalies" if sink_root else None
     q1 = start_merchant_aggregates(
         tx, f"{root}/aggregates", sink_format, agg_path, sink_options, trigger=trigger,
-        state_partitions=state_partitions, exact_distinct=exact_distinct,
+        state_partitions=state_partitions, exact_distinct=exact_distinct, bounded_state=bounded_state,
     )
     q2 = start_anomaly_detection(
         tx, f"{root}/anomalies", sink_format, anom_path, sink_options, trigger=trigger, state_partitions=state_partitions
@@ -62,6 +63,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--checkpoint-root")
     p.add_argument("--state-partitions", type=int, default=STATE_SHUFFLE_PARTITIONS)
     p.add_argument("--approx-distinct", action="store_true")
+    p.add_argument("--bounded-state", action="store_true",
+                   help="exact distinct users with state keyed by (merchant, window, user); append mode")
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--timeout", type=float)
     a = p.parse_args(argv)
@@ -82,7 +85,7 @@ def main(argv: list[str] | None = None) -> None:
     queries = start_processor(
         spark, a.source_format, a.source_path, src_opts, a.sink_format, a.sink_root, sink_opts,
         a.checkpoint_root, {"availableNow": True} if a.available_now else None, a.state_partitions,
-        not a.approx_distinct,
+        not a.approx_distinct, a.bounded_state,
     )
     for q in queries:
         print(f"started {q.name} id={q.id}")

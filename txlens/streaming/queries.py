@@ -27,8 +27,16 @@ from txlens.schema import (
 from txlens.streaming.sinks import start_stream
 
 
-def merchant_aggregates_output(tx: DataFrame, window: str = MERCHANT_WINDOW, slide: str = MERCHANT_SLIDE, exact_distinct: bool = True) -> DataFrame:
-    return encode_aggregates(merchant_window_aggregates(tx, window, slide, exact_distinct))
+def merchant_aggregates_output(
+    tx: DataFrame,
+    window: str = MERCHANT_WINDOW,
+    slide: str = MERCHANT_SLIDE,
+    exact_distinct: bool = True,
+    bounded_state: bool = False,
+) -> DataFrame:
+    return encode_aggregates(
+        merchant_window_aggregates(tx, window, slide, exact_distinct, bounded_state=bounded_state)
+    )
 
 
 def anomalies_output(tx: DataFrame, window: str = USER_WINDOW, **rule_params) -> DataFrame:
@@ -47,11 +55,13 @@ def start_merchant_aggregates(
     encoded: bool = True,
     **kw,
 ) -> StreamingQuery:
-    """Update mode: every micro-batch emits the (merchant, window) groups it changed."""
+    """Update mode: every micro-batch emits the (merchant, window) groups it changed.
+    With ``bounded_state=True`` (keyword): append mode, each window once when closed."""
     if fmt == "kafka":
         options = {"topic": AGGREGATES_TOPIC, **(options or {})}
+    mode = "append" if kw.get("bounded_state") else "update"
     out = merchant_aggregates_output(tx, **kw) if encoded else merchant_window_aggregates(tx, **kw)
-    return start_stream(out, name, "update", checkpoint, fmt, path, options, trigger, state_partitions)
+    return start_stream(out, name, mode, checkpoint, fmt, path, options, trigger, state_partitions)
 
 
 def start_anomaly_detection(
@@ -69,7 +79,8 @@ def start_anomaly_detection(
     """Append mode: a transaction is emitted once, when its window's statistics are final."""
     if fmt == "kafka":
         options = {"topic": ANOMALIES_TOPIC, **(options or {})}
-    out = anomalies_output(tx, **kw) if encoded else detect_anomalies(enrich_user_stats(tx))
+    window = kw.pop("window", USER_WINDOW)
+    out = anomalies_output(tx, window, **kw) if encoded else detect_anomalies(enrich_user_stats(tx, window), **kw)
     return start_stream(out, name, "append", checkpoint, fmt, path, options, trigger, state_partitions)
 
 
