@@ -23,6 +23,7 @@ def test_kafka_option_mapping():
         "maxOffsetsPerTrigger": "10000",
     }
     assert "maxOffsetsPerTrigger" not in kafka_source_options("b:1", streaming=False)
+    assert kafka_source_options("b:1", min_partitions=96)["minPartitions"] == "96"
     assert kafka_sink_options("b:1", "t") == {"kafka.bootstrap.servers": "b:1", "topic": "t"}
 
 

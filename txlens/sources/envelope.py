@@ -30,10 +30,16 @@ def kafka_source_options(
     request_timeout_ms: int = 40000,
     max_poll_interval_ms: int = 300000,
     streaming: bool = True,
+    min_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> dict[str, str]:
     """Options of the Kafka source: subscribe from the earliest offset, tolerate data
-    loss, admit at most ``max_offsets_per_trigger`` records a micro-batch."""
+    loss, admit at most ``max_offsets_per_trigger`` records a micro-batch.
+
+    ``min_partitions``: Spark splits the offset range of a large topic partition
+    over several tasks until there are at least this many, so a partition holding
+    a third of the records (a hot key hashes to one partition) is not read by a
+    single task."""
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
@@ -45,6 +51,8 @@ def kafka_source_options(
     }
     if streaming and max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     opts.update(extra or {})
     return opts
 
@@ -76,7 +84,12 @@ def read_envelope(
     if fmt == "kafka":
         return reader.format("kafka").options(**(options or {})).load()
     reader = reader.format(fmt).schema(ENVELOPE_SCHEMA).options(**(options or {}))
-    return reader.load(path)
+    df = reader.load(path)
+    if not streaming:
+        from txlens.sources.fixtures import ensure_parallelism
+
+        df = ensure_parallelism(df)  # a file Spark cannot split is not read row-wise by one task
+    return df
 
 
 def to_envelope(

@@ -58,6 +58,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--bootstrap-servers")
     p.add_argument("--source-topic", default=SOURCE_TOPIC)
     p.add_argument("--max-files-per-trigger", type=int)
+    p.add_argument("--min-partitions", type=int, help="split large topic partitions over at least this many tasks")
     p.add_argument("--sink-format", default="kafka")
     p.add_argument("--sink-root")
     p.add_argument("--checkpoint-root")
@@ -77,7 +78,7 @@ def main(argv: list[str] | None = None) -> None:
     conf["spark.sql.shuffle.partitions"] = str(a.state_partitions)  # fixed per checkpoint
     spark = build_session(master=None, app_name="txlens-processor", extra=conf)
     if a.source_format == "kafka":
-        src_opts = kafka_source_options(a.bootstrap_servers, a.source_topic)
+        src_opts = kafka_source_options(a.bootstrap_servers, a.source_topic, min_partitions=a.min_partitions)
         sink_opts = {"kafka.bootstrap.servers": a.bootstrap_servers}
     else:
         src_opts = file_source_options(a.max_files_per_trigger)
