@@ -30,6 +30,15 @@ TRANSACTION_SCHEMA = StructType(
 )
 TRANSACTION_FIELDS = [f.name for f in TRANSACTION_SCHEMA.fields]
 
+# Parsed, typed transactions as landed in a columnar table (all fields nullable).
+LANDED_SCHEMA = StructType(
+    [StructField(f.name, f.dataType, True) for f in TRANSACTION_SCHEMA.fields]
+    + [
+        StructField("kafka_timestamp", TimestampType(), True),
+        StructField("transaction_timestamp", TimestampType(), True),
+    ]
+)
+
 # Columns of a message-log record (the shape of Spark's Kafka source).
 ENVELOPE_SCHEMA = StructType(
     [
@@ -62,6 +71,7 @@ MERCHANT_WINDOW = "5 minutes"
 MERCHANT_SLIDE = "1 minute"
 USER_WINDOW = "30 minutes"
 
+LANDING_QUERY_NAME = "LandTransactions"
 AGGREGATES_QUERY_NAME = "MerchantAggregates"
 ANOMALIES_QUERY_NAME = "AnomalyDetection"
 

@@ -18,7 +18,13 @@ from txlens.operators.clean import clean_transactions
 from txlens.schema import AGGREGATES_TOPIC, ANOMALIES_TOPIC, SOURCE_TOPIC, STATE_SHUFFLE_PARTITIONS
 from txlens.session import ensure_checkpoint_dir
 from txlens.sources.envelope import file_source_options, kafka_source_options, read_envelope
-from txlens.streaming.queries import await_any_then_stop, start_anomaly_detection, start_merchant_aggregates
+from txlens.streaming.queries import (
+    await_any_then_stop,
+    read_landed,
+    start_anomaly_detection,
+    start_landing,
+    start_merchant_aggregates,
+)
 
 
 def start_processor(
@@ -34,11 +40,28 @@ def start_processor(
     state_partitions: int | None = STATE_SHUFFLE_PARTITIONS,
     exact_distinct: bool = True,
     bounded_state: bool = False,
+    landing_path: str | None = None,
 ) -> list[StreamingQuery]:
-    """Start MerchantAggregates (update) and AnomalyDetection (append) on one source."""
+    """Start MerchantAggregates (update) and AnomalyDetection (append) on one source.
+
+    With ``landing_path`` a third query, LandTransactions, parses each message once
+    into a columnar table that the two queries read (otherwise each query parses the
+    log itself, the anomaly query once per plan branch). With an ``availableNow``
+    trigger the landing finishes before the two queries start.
+    """
     root = (checkpoint_root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/txlens-processor").rstrip("/")
     env = read_envelope(spark, source_path, source_format, streaming=True, options=source_options)
-    tx = clean_transactions(env)
+    started: list[StreamingQuery] = []
+    if landing_path:
+        q0 = start_landing(env, landing_path, f"{root}/landing", trigger=trigger)
+        started.append(q0)
+        if trigger and trigger.get("availableNow"):
+            q0.awaitTermination()
+        # same admission cap downstream: the landing writes about one file per task
+        cap = (source_options or {}).get("maxFilesPerTrigger")
+        tx = read_landed(spark, landing_path, max_files_per_trigger=int(cap) if cap else None)
+    else:
+        tx = clean_transactions(env)
     agg_path = f"{sink_root.rstrip('/')}/aggregates" if sink_root else None
     anom_path = f"{sink_root.rstrip('/')}/anomalies" if sink_root else None
     q1 = start_merchant_aggregates(
@@ -48,7 +71,7 @@ def start_processor(
     q2 = start_anomaly_detection(
         tx, f"{root}/anomalies", sink_format, anom_path, sink_options, trigger=trigger, state_partitions=state_partitions
     )
-    return [q1, q2]
+    return started + [q1, q2]
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -62,6 +85,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--sink-format", default="kafka")
     p.add_argument("--sink-root")
     p.add_argument("--checkpoint-root")
+    p.add_argument("--landing-path", help="parse once into this columnar table; both queries read it")
     p.add_argument("--state-partitions", type=int, default=STATE_SHUFFLE_PARTITIONS)
     p.add_argument("--approx-distinct", action="store_true")
     p.add_argument("--bounded-state", action="store_true",
@@ -86,7 +110,7 @@ def main(argv: list[str] | None = None) -> None:
     queries = start_processor(
         spark, a.source_format, a.source_path, src_opts, a.sink_format, a.sink_root, sink_opts,
         a.checkpoint_root, {"availableNow": True} if a.available_now else None, a.state_partitions,
-        not a.approx_distinct, a.bounded_state,
+        not a.approx_distinct, a.bounded_state, a.landing_path,
     )
     for q in queries:
         print(f"started {q.name} id={q.id}")

@@ -12,21 +12,55 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from txlens.operators.aggregates import merchant_window_aggregates
+from txlens.operators.clean import parse_transactions, valid_transactions, with_event_time, with_watermark
 from txlens.operators.anomalies import detect_anomalies, enrich_user_stats
 from txlens.operators.encode import encode_aggregates, encode_anomalies
 from txlens.schema import (
     AGGREGATES_QUERY_NAME,
     AGGREGATES_TOPIC,
     ANOMALIES_QUERY_NAME,
+    LANDED_SCHEMA,
+    LANDING_QUERY_NAME,
     ANOMALIES_TOPIC,
     MERCHANT_SLIDE,
     MERCHANT_WINDOW,
     STATE_SHUFFLE_PARTITIONS,
     USER_WINDOW,
+    WATERMARK_DELAY,
 )
 from txlens.streaming.sinks import start_stream
 
 
+def start_landing(
+    envelope: DataFrame,
+    path: str,
+    checkpoint: str,
+    name: str = LANDING_QUERY_NAME,
+    trigger: dict | None = None,
+    fmt: str = "parquet",
+) -> StreamingQuery:
+    """Parse each message once, add event time, keep valid rows, append them to a
+    columnar table. Stateless: no shuffle, no state; exactly once through the file
+    sink's commit log."""
+    tx = valid_transactions(with_event_time(parse_transactions(envelope)))
+    return start_stream(tx, name, "append", checkpoint, fmt, path, trigger=trigger)
+
+
+def read_landed(
+    spark: SparkSession,
+    path: str,
+    delay: str = WATERMARK_DELAY,
+    max_files_per_trigger: int | None = None,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Subscribe to the landed transactions (only committed files are read), with the
+    event-time watermark; the input of both continuous queries."""
+    r = spark.readStream.format(fmt).schema(LANDED_SCHEMA)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return with_watermark(r.load(path), delay=delay)
+
+
 def merchant_aggregates_output(
     tx: DataFrame,
     window: str = MERCHANT_WINDOW,
