@@ -56,3 +56,14 @@ def test_envelope_keeps_nulls_in_value(spark):
     df = spark.createDataFrame([("t1", "u1", None)], "transaction_id string, user_id string, amount double")
     v = json.loads(to_envelope(df).first().value.decode())
     assert v == {"transaction_id": "t1", "user_id": "u1", "amount": None}
+
+
+def test_null_merchant_gives_null_key_and_no_field(spark):
+    from txlens.operators.encode import encode_aggregates
+
+    agg = spark.createDataFrame(
+        [(None, 3, 1.5)], "merchant string, total_transactions long, total_amount double"
+    )
+    r = encode_aggregates(agg).first()
+    assert r.key is None
+    assert json.loads(r.value) == {"total_transactions": 3, "total_amount": 1.5}
