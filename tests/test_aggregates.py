@@ -111,3 +111,17 @@ def test_approx_distinct_option(spark):
     e = merchant_window_aggregates(tx).select("merchant", "window_start", F.col("unique_users").alias("exact"))
     j = a.join(e, ["merchant", "window_start"]).filter(F.abs(F.col("unique_users") - F.col("exact")) > 1)
     assert j.count() == 0
+
+
+def test_poison_amount_does_not_fail(spark):
+    """An amount whose cents overflow a bigint is left out of sums, never an error."""
+    t = epoch(6, 0)
+    rows = [
+        {"transaction_id": "a", "user_id": "u", "amount": 10.0, "transaction_time": t, "merchant": "M"},
+        {"transaction_id": "b", "user_id": "u", "amount": 1e300, "transaction_time": t, "merchant": "M"},
+    ]
+    tx = prepared(spark, rows)
+    m = merchant_window_aggregates(tx).first()
+    assert (m.total_transactions, m.total_amount, m.average_amount, m.max_amount) == (2, 10.0, 10.0, 1e300)
+    u = user_window_stats(tx).first()
+    assert (u.transaction_count, u.total_spent, u.avg_transaction_amount) == (2, 10.0, 10.0)

@@ -67,10 +67,12 @@ def amount_units(col: Column | str, scale: int = AMOUNT_SCALE) -> Column:
     """Money amount as an exact bigint count of 10^-scale units (cents for scale 2).
 
     Sums of these are exact and independent of partitioning and arrival order, so a
-    streamed total equals the batch total bit for bit.
+    streamed total equals the batch total bit for bit. An amount whose units do not
+    fit a bigint (beyond 9.2e16 cents) gives null rather than failing the query: it
+    is left out of sums and averages (a count of rows still includes it).
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.round(c * F.lit(10**scale)).cast("long")
+    return F.round(c * F.lit(10**scale)).try_cast("long")
 
 
 def units_to_amount(col: Column | str, scale: int = AMOUNT_SCALE) -> Column:

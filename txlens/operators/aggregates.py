@@ -3,6 +3,8 @@
 Money sums are exact: amounts are summed as bigint units of 10^-scale (cents), so a
 result does not depend on partitioning or arrival order and a streamed total equals
 the batch total bit for bit. Averages are that total divided by the amount count.
+Sums use ``try_sum``: a (poison) total beyond a bigint is null instead of failing a
+long-running query under ANSI mode.
 """
 
 from __future__ import annotations
@@ -69,8 +71,8 @@ def _merchant_stream(tx, window, slide, exact_distinct, ts, scale):
         .groupBy(F.col("merchant"), F.window(ts, window, slide).alias("window"))
         .agg(
             F.count(F.lit(1)).alias("total_transactions"),
-            F.sum("_units").alias("_units"),
-            F.count("amount").alias("_n_amount"),
+            F.try_sum("_units").alias("_units"),
+            F.count("_units").alias("_n_amount"),
             F.min("amount").alias("min_amount"),
             F.max("amount").alias("max_amount"),
             users.cast("long").alias("unique_users"),
@@ -96,8 +98,8 @@ def _merchant_stream_chained(tx, window, slide, ts, scale):
         .groupBy(F.col("merchant"), F.window(ts, window, slide).alias("window"), F.col("user_id"))
         .agg(
             F.count(F.lit(1)).alias("_n"),
-            F.sum("_units").alias("_units"),
-            F.count("amount").alias("_n_amount"),
+            F.try_sum("_units").alias("_units"),
+            F.count("_units").alias("_n_amount"),
             F.min("amount").alias("_min"),
             F.max("amount").alias("_max"),
             F.sort_array(F.collect_set("currency")).alias("_currencies"),
@@ -105,7 +107,7 @@ def _merchant_stream_chained(tx, window, slide, ts, scale):
     )
     g = per_user.groupBy("merchant", "window").agg(
         F.sum("_n").alias("total_transactions"),
-        F.sum("_units").alias("_units"),
+        F.try_sum("_units").alias("_units"),
         F.sum("_n_amount").alias("_n_amount"),
         F.min("_min").alias("min_amount"),
         F.max("_max").alias("max_amount"),
@@ -142,8 +144,8 @@ def _merchant_batch(tx, window, slide, exact_distinct, ts, scale):
         .groupBy("merchant", "_pane", "user_id", "currency")
         .agg(
             F.count(F.lit(1)).alias("_n"),
-            F.sum("_units").alias("_units"),
-            F.count("amount").alias("_n_amount"),
+            F.try_sum("_units").alias("_units"),
+            F.count("_units").alias("_n_amount"),
             F.min("amount").alias("_min"),
             F.max("amount").alias("_max"),
         )
@@ -158,7 +160,7 @@ def _merchant_batch(tx, window, slide, exact_distinct, ts, scale):
         .groupBy("merchant", "_ws")
         .agg(
             F.sum("_n").alias("total_transactions"),
-            F.sum("_units").alias("_units"),
+            F.try_sum("_units").alias("_units"),
             F.sum("_n_amount").alias("_n_amount"),
             F.min("_min").alias("min_amount"),
             F.max("_max").alias("max_amount"),
@@ -182,8 +184,8 @@ def _merchant_batch(tx, window, slide, exact_distinct, ts, scale):
 def _user_agg_exprs(scale: int) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("transaction_count"),
-        F.sum("_units").alias("_units"),
-        F.count("amount").alias("_n_amount"),
+        F.try_sum("_units").alias("_units"),
+        F.count("_units").alias("_n_amount"),
         F.stddev_samp("amount").alias("stddev_amount"),
         F.max("amount").alias("max_amount_in_window"),
     ]
@@ -242,7 +244,7 @@ def user_window_counts(
         tx.filter(F.col("user_id").isNotNull() & F.col(ts).isNotNull())
         .select("user_id", "amount", tumbling_start_sec(ts, window_seconds).alias(key), amount_units("amount", scale).alias("_units"))
         .groupBy("user_id", key)
-        .agg(F.count(F.lit(1)).alias("transaction_count"), F.sum("_units").alias("_units"), F.count("amount").alias("_n_amount"))
+        .agg(F.count(F.lit(1)).alias("transaction_count"), F.try_sum("_units").alias("_units"), F.count("_units").alias("_n_amount"))
     )
     t = units_to_amount(F.col("_units"), scale)
     return g.select("user_id", key, "transaction_count", F.try_divide(t, F.col("_n_amount").cast("double")).alias("avg_transaction_amount"))

@@ -240,7 +240,7 @@ def _load_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = with_event_time(fields(spark, sf_dir))
     ok = F.coalesce(F.col("transaction_id").isNotNull() & (F.col("amount") > 0), F.lit(False))
     return tx.select(
-        F.pmod(F.substring("user_id", 6, 20).cast("long"), F.lit(12)).alias("worker"),
+        F.pmod(F.substring("user_id", 6, 20).try_cast("long"), F.lit(12)).alias("worker"),
         _sec().alias("sec"),
         ok.alias("ok"),
     )
