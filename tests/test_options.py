@@ -56,3 +56,13 @@ def test_stream_bounded_state_exact_distinct(spark):
             "min_amount", "max_amount", "unique_users", "currencies_used"]
     got = sorted_rows(out, *cols)
     assert len(got) > 1500 and got == sorted_rows(exact, *cols)
+
+
+def test_stream_salted_join_equals_unsalted(spark):
+    from txlens.operators import detect_anomalies, enrich_user_stats
+
+    tx = clean_transactions(streams.stream_source(spark, SF_SMALL, n_splits=3, files_per_split=1))
+    cols = ["transaction_id", "transaction_count", "avg_transaction_amount", "anomaly_reasons"]
+    a = _run(detect_anomalies(enrich_user_stats(tx)), "append", "unsalted")
+    b = _run(detect_anomalies(enrich_user_stats(tx, stream_salt_buckets=4)), "append", "salted4")
+    assert b.count() > 0 and sorted_rows(a, *cols) == sorted_rows(b, *cols)

@@ -32,6 +32,7 @@ def enrich_user_stats(
     ts: str = "transaction_timestamp",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
+    stream_salt_buckets: int = 1,
 ) -> DataFrame:
     """Left join of every transaction to (transaction_count, avg_transaction_amount)
     of its user's window. Output: the columns of ``tx`` + those two.
@@ -45,10 +46,13 @@ def enrich_user_stats(
     known exactly from the statistics).
     Stream: stream-stream left join on (user_id, window) with the timestamp carried
     as a plain number (a side may hold only one event-time column), and rows
-    without event time routed around the join.
+    without event time routed around the join. ``stream_salt_buckets`` > 1 spreads
+    each (user, window)'s buffered transactions over that many state partitions: the
+    transaction gets a deterministic salt, the statistics row one copy per salt (a
+    user holding a third of the stream does not sit in one state partition).
     """
     if tx.isStreaming:
-        return _enrich_stream(tx, window, ts)
+        return _enrich_stream(tx, window, ts, stream_salt_buckets)
     w = interval_seconds(window)
     keyed = tx.withColumn("_wsec", tumbling_start_sec(ts, w))
     stats = user_window_counts(tx, w, ts=ts, key="_wsec")
@@ -60,7 +64,7 @@ def enrich_user_stats(
     return joined.select(*tx.columns, *STAT_COLUMNS)
 
 
-def _enrich_stream(tx: DataFrame, window: str, ts: str) -> DataFrame:
+def _enrich_stream(tx: DataFrame, window: str, ts: str, salt_buckets: int = 1) -> DataFrame:
     stats = user_window_stats(tx, window, ts=ts).select("user_id", "window", *STAT_COLUMNS)
     timed = (
         tx.filter(F.col(ts).isNotNull())
@@ -68,8 +72,14 @@ def _enrich_stream(tx: DataFrame, window: str, ts: str) -> DataFrame:
         .withColumn("_event_us", F.unix_micros(ts))
         .drop(ts)
     )
+    keys = ["user_id", "window"]
+    if salt_buckets > 1:
+        salt_of = [c for c in ("transaction_id", "amount") if c in timed.columns] + ["_event_us"]
+        timed = timed.withColumn("_salt", F.pmod(F.xxhash64(*salt_of), F.lit(salt_buckets)).cast("int"))
+        stats = stats.select("*", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("_salt"))
+        keys = keys + ["_salt"]
     joined = (
-        timed.join(stats, ["user_id", "window"], "left")
+        timed.join(stats, keys, "left")
         .withColumn(ts, F.timestamp_micros("_event_us"))
         .select(*tx.columns, *STAT_COLUMNS)
     )

@@ -41,6 +41,7 @@ def start_processor(
     exact_distinct: bool = True,
     bounded_state: bool = False,
     landing_path: str | None = None,
+    salt_buckets: int = 1,
 ) -> list[StreamingQuery]:
     """Start MerchantAggregates (update) and AnomalyDetection (append) on one source.
 
@@ -69,7 +70,8 @@ def start_processor(
         state_partitions=state_partitions, exact_distinct=exact_distinct, bounded_state=bounded_state,
     )
     q2 = start_anomaly_detection(
-        tx, f"{root}/anomalies", sink_format, anom_path, sink_options, trigger=trigger, state_partitions=state_partitions
+        tx, f"{root}/anomalies", sink_format, anom_path, sink_options, trigger=trigger,
+        state_partitions=state_partitions, salt_buckets=salt_buckets,
     )
     return started + [q1, q2]
 
@@ -86,6 +88,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--sink-root")
     p.add_argument("--checkpoint-root")
     p.add_argument("--landing-path", help="parse once into this columnar table; both queries read it")
+    p.add_argument("--salt-buckets", type=int, default=1,
+                   help="spread each (user, window) of the anomaly join state over this many partitions")
     p.add_argument("--state-partitions", type=int, default=STATE_SHUFFLE_PARTITIONS)
     p.add_argument("--approx-distinct", action="store_true")
     p.add_argument("--bounded-state", action="store_true",
@@ -110,7 +114,7 @@ def main(argv: list[str] | None = None) -> None:
     queries = start_processor(
         spark, a.source_format, a.source_path, src_opts, a.sink_format, a.sink_root, sink_opts,
         a.checkpoint_root, {"availableNow": True} if a.available_now else None, a.state_partitions,
-        not a.approx_distinct, a.bounded_state, a.landing_path,
+        not a.approx_distinct, a.bounded_state, a.landing_path, a.salt_buckets,
     )
     for q in queries:
         print(f"started {q.name} id={q.id}")

@@ -73,8 +73,10 @@ def merchant_aggregates_output(
     )
 
 
-def anomalies_output(tx: DataFrame, window: str = USER_WINDOW, **rule_params) -> DataFrame:
-    return encode_anomalies(detect_anomalies(enrich_user_stats(tx, window), **rule_params))
+def anomalies_output(tx: DataFrame, window: str = USER_WINDOW, salt_buckets: int = 1, **rule_params) -> DataFrame:
+    return encode_anomalies(
+        detect_anomalies(enrich_user_stats(tx, window, stream_salt_buckets=salt_buckets), **rule_params)
+    )
 
 
 def start_merchant_aggregates(
@@ -114,7 +116,12 @@ def start_anomaly_detection(
     if fmt == "kafka":
         options = {"topic": ANOMALIES_TOPIC, **(options or {})}
     window = kw.pop("window", USER_WINDOW)
-    out = anomalies_output(tx, window, **kw) if encoded else detect_anomalies(enrich_user_stats(tx, window), **kw)
+    salt = kw.pop("salt_buckets", 1)
+    out = (
+        anomalies_output(tx, window, salt, **kw)
+        if encoded
+        else detect_anomalies(enrich_user_stats(tx, window, stream_salt_buckets=salt), **kw)
+    )
     return start_stream(out, name, "append", checkpoint, fmt, path, options, trigger, state_partitions)
 
 
