@@ -10,6 +10,16 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
+def _landing_note(st: dict) -> str:
+    try:
+        d, l_ = st["direct"]["queries"], st["landed"]["queries"]
+        return (f" ({l_['LandTransactions']['seconds']} s); the queries' summed batch time drops with landing "
+                f"(anomalies {d['AnomalyDetection']['seconds']} s → {l_['AnomalyDetection']['seconds']} s, merchants "
+                f"{d['MerchantAggregates']['seconds']} s → {l_['MerchantAggregates']['seconds']} s)")
+    except KeyError:
+        return ""
+
+
 def main(path: str) -> None:
     b = json.load(open(path))
     q = b["queries"]
@@ -43,10 +53,12 @@ def main(path: str) -> None:
         f"| all {len([k for k in q if k not in ('publish_generated', 'ingest_published')])} registered queries | "
         f"{b['value']} s (batch {b['batch_seconds']} s, streams {b['stream_seconds']} s) | no query latency published |",
         "",
-        "The anomaly stream reads its source in three plan branches (both sides of the self-join and the "
-        "route for rows without event time), so Spark counts each message three times and parses it three "
-        "times; its peak state is the transactions buffered until their 30-minute window closes "
-        "(window + 10-minute watermark).",
+        "Without landing, the anomaly stream reads its source in three plan branches (both sides of the "
+        "self-join and the route for rows without event time), so it parses each message three times; its "
+        "peak state is the transactions buffered until their 30-minute window closes (window + 10-minute "
+        "watermark). With `availableNow` the landing finishes before the two queries start, so the landed wall "
+        "clock adds the landing's own time" + _landing_note(st) + "; in a continuously running deployment "
+        "landing and queries overlap and the slowest query bounds the rate.",
         "",
         "Seconds per registered query. The stream queries read a file log written once per session (not "
         "timed in the warm run); each runs four time-ordered micro-batches plus the closing one:",
