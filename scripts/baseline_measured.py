@@ -39,6 +39,12 @@ def main(path: str) -> None:
         f"| batch ingest: parse log once → landing table → both queries (1,000,000 rows) | **{b['ingest_rows_per_sec']:,} rows/s** "
         f"on {b['cpus']} cores | ingest estimate ≈ 333,333 records/s |",
     ]
+    mb = b.get("message_bytes")
+    if mb:
+        lines.append(
+            f"| record size: keyed JSON message as published | **{mb['avg_value_bytes'] + mb['avg_key_bytes']:.1f} bytes** "
+            f"(value {mb['avg_value_bytes']}, key {mb['avg_key_bytes']}) | estimate 120 bytes (ten fields, binary sizes) |"
+        )
     for variant, m in st.items():
         qs = m["queries"]
         state = ", ".join(f"{k} {v['peak_state_rows']:,}" for k, v in qs.items() if v["peak_state_rows"])
