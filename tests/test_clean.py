@@ -24,6 +24,7 @@ def test_json_edge_cases(spark):
         '{"transaction_id":"c","amount":3,"zzz":1}',  # A7
         '{"transaction_id":"d","amount":1,"transaction_time":1.5}',  # A8
         '{"TRANSACTION_ID":"e","amount":2}',  # A9
+        '[{"transaction_id":"f","amount":2}]',  # A5, array of objects
     ]
     p = parse_transactions(_envelope(spark, values)).collect()
     assert (p[0].transaction_id, p[0].amount, p[0].currency) == ("a", 5.0, None)
@@ -35,6 +36,7 @@ def test_json_edge_cases(spark):
     assert p[7].transaction_id == "c" and p[7].amount == 3.0
     assert p[8].transaction_id == "d" and p[8].transaction_time is None
     assert p[9].transaction_id is None
+    assert p[10].transaction_id is None and p[10].amount is None
     kept = clean_transactions(_envelope(spark, values)).select("transaction_id").collect()
     assert sorted(r[0] for r in kept) == ["a", "c", "d"]
 
