@@ -66,3 +66,16 @@ def test_stream_salted_join_equals_unsalted(spark):
     a = _run(detect_anomalies(enrich_user_stats(tx)), "append", "unsalted")
     b = _run(detect_anomalies(enrich_user_stats(tx, stream_salt_buckets=4)), "append", "salted4")
     assert b.count() > 0 and sorted_rows(a, *cols) == sorted_rows(b, *cols)
+
+
+def test_cluster_conf_sizes_partitions():
+    from txlens.session import cluster_conf
+
+    c = cluster_conf(input_bytes=100 * 1024**4, total_cores=4000)  # 100 TB on 4,000 cores
+    parts = int(c["spark.sql.shuffle.partitions"])
+    assert parts == int(c["spark.sql.adaptive.coalescePartitions.initialPartitionNum"])
+    assert 100 * 1024**4 / parts <= 128 * 1024**2  # <= 128 MB a reduce task before coalescing
+    assert parts >= 12000 and c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert "RocksDB" in c["spark.sql.streaming.stateStore.providerClass"]
+    small = cluster_conf(total_cores=8, rocksdb_state=False)
+    assert small["spark.sql.shuffle.partitions"] == "24" and "spark.sql.streaming.stateStore.providerClass" not in small
