@@ -28,7 +28,7 @@ def main(path: str) -> None:
         "## Measured here",
         "",
         "Kept apart from the table above: these are our own numbers, not the reference's. `bench.py` at "
-        f"sf{b['sf']} (`events` {b['events_rows']:,} rows → derived transactions), `local[{b['cpus']}]`, warm runs "
+        f"sf{b['sf']:g} (`events` {b['events_rows']:,} rows → derived transactions), `local[{b['cpus']}]`, warm runs "
         "(best of two; each query executed to the end with a `noop` write). "
         f"Cold first-run total: {b['cold_total_seconds']} s.",
         "",
