@@ -67,3 +67,21 @@ def test_null_merchant_gives_null_key_and_no_field(spark):
     r = encode_aggregates(agg).first()
     assert r.key is None
     assert json.loads(r.value) == {"total_transactions": 3, "total_amount": 1.5}
+
+
+def test_landing_is_date_partitioned_and_pruned(spark, tmp_shared):
+    import datetime as dt
+
+    from txlens.operators.clean import land_transactions
+
+    fields = batch.fields(spark, SF_SMALL)
+    log = f"{tmp_shared}/log"
+    publish_transactions(fields, log, offset="transaction_id")
+    landed = f"{tmp_shared}/landed"
+    land_transactions(read_envelope(spark, log), landed)
+    t = spark.read.parquet(landed)
+    assert t.count() == fields.count() and "event_date" in t.columns
+    day = t.filter(F.col("event_date") == F.lit(dt.date(2024, 1, 1)))
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert day.count() == t.filter(F.to_date(F.col("transaction_timestamp")) == F.lit(dt.date(2024, 1, 1))).count()
