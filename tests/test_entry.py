@@ -43,3 +43,12 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.sql(se.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
     assert _norm([tuple(r) for r in df.collect()], df.columns) == _norm(rel.fetchall(), rel.columns)
+
+
+def test_runs_without_an_explicit_session_time_zone(spark):
+    """A caller's session may leave spark.sql.session.timeZone at its default."""
+    spark.conf.unset("spark.sql.session.timeZone")
+    try:
+        assert se.queries()["normalize_epoch"](spark, SF_SMALL).count() == 1000
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

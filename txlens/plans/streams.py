@@ -86,7 +86,7 @@ def publish_log(spark: SparkSession, sf_dir: str, n_splits: int = N_SPLITS, file
 def state_partitions(spark: SparkSession) -> int:
     """State partitions for these runs: the session's shuffle partitions, capped at
     the cluster's parallelism (each stateful task per micro-batch has a fixed cost)."""
-    sp = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    sp = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
         return max(1, min(sp, spark.sparkContext.defaultParallelism))
     except Exception:  # no SparkContext in this client

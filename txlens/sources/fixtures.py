@@ -45,7 +45,8 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
 
 
 def _session_is_utc(df: DataFrame) -> bool:
-    tz = df.sparkSession.conf.get("spark.sql.session.timeZone", "")
+    # no default: Spark validates a default value as a zone id (and "" is not one)
+    tz = df.sparkSession.conf.get("spark.sql.session.timeZone")
     return tz in ("UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "UTC+00:00")
 
 
