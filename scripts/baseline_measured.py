@@ -30,7 +30,8 @@ def main(path: str) -> None:
         "Kept apart from the table above: these are our own numbers, not the reference's. `bench.py` at "
         f"sf{b['sf']:g} (`events` {b['events_rows']:,} rows → derived transactions), `local[{b['cpus']}]`, warm runs "
         "(best of two; each query executed to the end with a `noop` write). "
-        f"Cold first-run total: {b['cold_total_seconds']} s.",
+        f"Cold first-run total: {b['cold_total_seconds']} s. Repeated runs on this machine vary by about "
+        "±20% (shared host); the table is one run, not the best of several.",
         "",
         "| measure | value | compare with |",
         "| --- | --- | --- |",
