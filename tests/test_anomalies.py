@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from helpers import epoch, prepared, sorted_rows, tx_rows
-from txlens.functions.columns import ms_or_seconds_to_timestamp
 from txlens.operators import detect_anomalies, enrich_user_stats, enrich_user_stats_rangejoin
 from txlens.plans import batch
 
