@@ -91,3 +91,22 @@ def test_processor_with_landing_equals_direct(spark, tmp_shared):
             last[(v["merchant"], v["window_start"])] = (v["total_transactions"], v["unique_users"], v["total_amount"])
         outs[label] = (ids, last)
     assert outs["direct"] == outs["landed"] and outs["direct"][0]
+
+
+def test_kafka_paths_reach_spark_connector_lookup(spark, tmp_shared):
+    """No connector jar here: both paths must get as far as Spark's data-source lookup."""
+    import pytest
+
+    from txlens.operators.clean import clean_transactions
+    from txlens.sources.envelope import read_envelope
+    from txlens.streaming.queries import start_merchant_aggregates
+
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_envelope(spark, fmt="kafka", streaming=True, options=kafka_source_options("b:9092"))
+    log = f"{tmp_shared}/log"
+    run_load(spark, 100, log, num_partitions=1)
+    tx = clean_transactions(read_envelope(spark, log, streaming=True))
+    with pytest.raises(Exception, match="(?i)kafka"):
+        q = start_merchant_aggregates(tx, f"{tmp_shared}/ckpt", fmt="kafka", options={"kafka.bootstrap.servers": "b:9092"})
+        q.awaitTermination(30)
+        raise RuntimeError(str(q.exception()))
