@@ -18,6 +18,8 @@ from txlens.session import scratch_path
 # below executor memory while covering e.g. 1,000 users x 1,000 windows.
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# Beyond the broadcast bound, a key with more rows than this is salted into buckets.
+DEFAULT_HOT_KEY_ROWS = 2_000_000
 
 
 def _estimated_width(dt: DataType) -> int:
@@ -43,8 +45,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-DEFAULT_HOT_KEY_ROWS = 2_000_000
-
 
 def join_small_side(
     big: DataFrame,
