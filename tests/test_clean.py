@@ -58,10 +58,24 @@ def test_epoch_branches(spark):
 
 
 def test_epoch_overflow_is_null_not_error(spark):
-    df = spark.createDataFrame([(999999999999,), (-10**13,)], "t long")
-    # 999999999999 s is in range; -10^13 s would overflow microseconds -> null
+    df = spark.createDataFrame([(999999999999,), (-10**13,), (-2**63,), (2**63 - 1,), (9_200_000_000_000,)], "t long")
+    # 999999999999 s is in range; -10^13 s would overflow microseconds; the extreme
+    # bigints must give null, not an overflow error
     out = [r[0] for r in df.select(F.unix_seconds(ms_or_seconds_to_timestamp("t"))).collect()]
-    assert out == [999999999999, None]
+    assert out == [999999999999, None, None, None, 9_200_000_000]  # last two are ms values
+
+
+def test_extreme_event_time_windows_do_not_overflow(spark):
+    from txlens.operators import merchant_window_aggregates, user_window_stats
+    from txlens.operators.clean import prepare_transactions
+
+    # largest event time (via the ms branch) and the most negative one (seconds)
+    rows = [("t1", "u", 5.0, 9_199_999_999_999_999, "M"), ("t2", "u", 5.0, -9_200_000_000_000, "M")]
+    tx = prepare_transactions(spark.createDataFrame(
+        rows, "transaction_id string, user_id string, amount double, transaction_time long, merchant string"
+    ).select("*", F.lit(None).cast("string").alias("currency")))
+    assert merchant_window_aggregates(tx).count() == 10
+    assert user_window_stats(tx).count() == 2
 
 
 def test_validity_filter(spark):

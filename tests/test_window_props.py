@@ -32,3 +32,43 @@ def test_pane_window_starts_equal_spark_windows(spark, slide, factor, extra, see
     a = sorted(tuple(r) for r in ours.collect())
     b = sorted(tuple(r) for r in theirs.collect())
     assert a == b
+
+
+def _epoch_rule(t):
+    if t is None:
+        return None
+    s = int(t / 1000) if t > 10**12 else t  # toward zero, as the reference's division
+    if t > 10**12:
+        s = (t - (t % 1000 if t >= 0 else -((-t) % 1000))) // 1000
+    from txlens.functions.columns import MAX_EPOCH_SECONDS
+
+    return s if abs(s) <= MAX_EPOCH_SECONDS else None
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.one_of(
+    st.integers(-10**13, 10**13),
+    st.sampled_from([10**12, 10**12 + 1, 10**12 - 1, 0, -1, 1704067200, 1704067200999, 9_200_000_000_000,
+                     9_200_000_000_001, -2**63, 2**63 - 1]),
+    st.integers(-2**63, 2**63 - 1),
+    st.none(),
+), min_size=1, max_size=60))
+def test_epoch_rule_matches_python(spark, values):
+    from txlens.functions.columns import ms_or_seconds_to_timestamp
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, t long")
+    got = {r.i: r.s for r in df.select("i", F.unix_seconds(ms_or_seconds_to_timestamp("t")).alias("s")).collect()}
+    assert got == {i: _epoch_rule(v) for i, v in enumerate(values)}
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.integers(1, 10**9), min_size=1, max_size=300))
+def test_money_sums_are_exact(spark, cents):
+    from decimal import Decimal
+
+    from txlens.functions.columns import amount_units, units_to_amount
+
+    amounts = [c / 100 for c in cents]
+    df = spark.createDataFrame([(a,) for a in amounts], "amount double").repartition(7)
+    total = df.agg(units_to_amount(F.sum(amount_units("amount"))).alias("t")).first().t
+    assert total == float(sum(Decimal(c) for c in cents) / 100)

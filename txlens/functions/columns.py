@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from txlens.schema import AMOUNT_SCALE, MILLIS_THRESHOLD
 
-# Largest |seconds| whose microseconds still fit a bigint; beyond it the time is null.
-_MAX_EPOCH_SECONDS = 9223372036854
+# Largest |seconds| accepted as event time; beyond it the time is null. Microseconds
+# of a bigint reach 9,223,372,036,854 s; the bound leaves ~700 years of headroom so
+# window ends (start + window) never overflow.
+MAX_EPOCH_SECONDS = 9_200_000_000_000
+_MAX_EPOCH_SECONDS = MAX_EPOCH_SECONDS
 
 _UNITS = {
     "second": 1, "seconds": 1, "sec": 1, "secs": 1, "s": 1,
@@ -45,7 +48,9 @@ def ms_or_seconds_to_timestamp(col: Column | str, threshold: int = MILLIS_THRESH
     c = (F.col(col) if isinstance(col, str) else col).cast("long")
     # Integer division toward zero: subtract the remainder, then divide exactly.
     secs = F.when(c > F.lit(threshold), ((c - c % F.lit(1000)) / F.lit(1000)).cast("long")).otherwise(c)
-    return F.when(F.abs(secs) <= F.lit(_MAX_EPOCH_SECONDS), F.timestamp_seconds(secs))
+    # a two-sided range, not abs(): abs of the smallest bigint overflows under ANSI mode
+    in_range = (secs >= F.lit(-_MAX_EPOCH_SECONDS)) & (secs <= F.lit(_MAX_EPOCH_SECONDS))
+    return F.when(in_range, F.timestamp_seconds(secs))
 
 
 def epoch_seconds(col: Column | str) -> Column:
