@@ -125,3 +125,23 @@ def test_poison_amount_does_not_fail(spark):
     assert (m.total_transactions, m.total_amount, m.average_amount, m.max_amount) == (2, 10.0, 10.0, 1e300)
     u = user_window_stats(tx).first()
     assert (u.transaction_count, u.total_spent, u.avg_transaction_amount) == (2, 10.0, 10.0)
+
+
+def test_non_finite_amounts_do_not_fail(spark):
+    """NaN / Infinity parse from JSON and pass amount > 0 (NaN sorts above all numbers);
+    they must not fail a query: left out of exact sums, visible in min/max and rules."""
+    from txlens.operators import detect_anomalies, enrich_user_stats
+
+    t = epoch(7, 0)
+    rows = [
+        {"transaction_id": "a", "user_id": "u", "amount": 10.0, "transaction_time": t, "merchant": "M"},
+        {"transaction_id": "b", "user_id": "u", "amount": float("nan"), "transaction_time": t, "merchant": "M"},
+        {"transaction_id": "c", "user_id": "u", "amount": float("inf"), "transaction_time": t, "merchant": "M"},
+    ]
+    tx = prepared(spark, rows)
+    m = merchant_window_aggregates(tx).first()
+    assert m.total_transactions == 3 and m.total_amount == 10.0 and m.average_amount == 10.0
+    u = user_window_stats(tx).first()
+    assert u.transaction_count == 3 and u.total_spent == 10.0
+    hits = {r.transaction_id for r in detect_anomalies(enrich_user_stats(tx)).collect()}
+    assert {"b", "c"} <= hits  # non-finite amounts exceed 3 x the average
