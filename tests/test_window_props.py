@@ -72,3 +72,56 @@ def test_money_sums_are_exact(spark, cents):
     df = spark.createDataFrame([(a,) for a in amounts], "amount double").repartition(7)
     total = df.agg(units_to_amount(F.sum(amount_units("amount"))).alias("t")).first().t
     assert total == float(sum(Decimal(c) for c in cents) / 100)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.one_of(st.binary(max_size=80), st.none()), min_size=1, max_size=80))
+def test_arbitrary_message_bytes_never_fail(spark, values):
+    """Any value bytes (invalid UTF-8, truncated JSON, nothing) parse to null fields
+    or to a transaction; the validity filter drops what has no id or amount."""
+    from txlens.operators.clean import clean_transactions
+    from txlens.schema import ENVELOPE_SCHEMA
+
+    rows = [(None, v, "t", 0, i, None, 0) for i, v in enumerate(values)]
+    env = spark.createDataFrame(rows, ENVELOPE_SCHEMA)
+    assert clean_transactions(env).count() <= len(values)
+
+
+_ANY_VALUE = st.one_of(
+    st.none(),
+    st.booleans(),
+    st.integers(-2**70, 2**70),
+    st.floats(allow_nan=False, allow_infinity=False),
+    st.text(max_size=8),
+)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(
+    st.fixed_dictionaries(
+        {
+            "transaction_id": st.one_of(st.text(min_size=1, max_size=6), _ANY_VALUE),
+            "user_id": st.one_of(st.sampled_from(["u1", "u2"]), _ANY_VALUE),
+            "amount": st.one_of(st.floats(0.01, 1e6), _ANY_VALUE),
+            "transaction_time": st.one_of(st.integers(1704067200, 1704080000), _ANY_VALUE),
+            "merchant": st.one_of(st.sampled_from(["A", "B"]), _ANY_VALUE),
+            "currency": _ANY_VALUE,
+            "is_international": _ANY_VALUE,
+        }
+    ),
+    min_size=1,
+    max_size=40,
+))
+def test_arbitrary_field_values_flow_through_every_operator(spark, records):
+    import json
+
+    from txlens.operators import detect_anomalies, enrich_user_stats, merchant_window_aggregates, user_window_stats
+    from txlens.operators.clean import clean_transactions
+    from txlens.schema import ENVELOPE_SCHEMA
+
+    rows = [(None, json.dumps(r).encode(), "t", 0, i, None, 0) for i, r in enumerate(records)]
+    tx = clean_transactions(spark.createDataFrame(rows, ENVELOPE_SCHEMA))
+    n = tx.count()
+    assert merchant_window_aggregates(tx).count() >= 0
+    assert user_window_stats(tx).count() <= n
+    assert detect_anomalies(enrich_user_stats(tx)).count() <= n
