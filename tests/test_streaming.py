@@ -166,3 +166,17 @@ def test_stream_equals_batch_on_closed_windows(spark):
     cols = ["transaction_id", "transaction_count", "avg_transaction_amount"]
     a, c = sorted_rows(s, *cols), sorted_rows(closed, *cols)
     assert len(a) > 0 and a == c
+
+
+def test_streams_survive_extreme_event_times(spark):
+    src = scratch_path(spark, "ext-src")
+    _write_batch(src, 0, [
+        _tx(1, "a", T0, 10.0),
+        _tx(2, "a", 9_199_999_999_999_999, 50.0),  # largest accepted event time (ms)
+        _tx(3, "b", -9_200_000_000_000, 20.0),  # most negative (s)
+        _tx(4, "c", -2**63, 20.0),  # out of range: no event time
+    ])
+    out, ckpt = scratch_path(spark, "ext-out"), scratch_path(spark, "ext-ckpt")
+    _run_available(merchant_window_aggregates(_stream(spark, src)), "update", out, ckpt, "ext_m")
+    out, ckpt = scratch_path(spark, "ext-out"), scratch_path(spark, "ext-ckpt")
+    _run_available(detect_anomalies(enrich_user_stats(_stream(spark, src))), "append", out, ckpt, "ext_a")
