@@ -42,6 +42,8 @@ def test_query_matches_oracle(spark, duck, name):
     df = se.queries()[name](spark, SF_SMALL)
     rel = duck.sql(se.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    norm = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+    assert {c: norm.get(t, t) for c, t in df.dtypes} == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert _norm([tuple(r) for r in df.collect()], df.columns) == _norm(rel.fetchall(), rel.columns)
 
 
