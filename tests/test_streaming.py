@@ -180,3 +180,39 @@ def test_streams_survive_extreme_event_times(spark):
     _run_available(merchant_window_aggregates(_stream(spark, src)), "update", out, ckpt, "ext_m")
     out, ckpt = scratch_path(spark, "ext-out"), scratch_path(spark, "ext-ckpt")
     _run_available(detect_anomalies(enrich_user_stats(_stream(spark, src))), "append", out, ckpt, "ext_a")
+
+
+def test_streams_survive_poison_messages(spark):
+    """One micro-batch of malformed and extreme messages next to good ones."""
+    src = scratch_path(spark, "poison-src")
+    d = local_path(src)
+    os.makedirs(d, exist_ok=True)
+    values = [
+        b"\xff\xfe\x00garbage",
+        b'{"transaction_id": "p1", "amount": NaN, "user_id": "u", "transaction_time": %d}' % T0,
+        b'{"transaction_id": "p2", "amount": Infinity, "user_id": "u", "transaction_time": %d}' % T0,
+        b'{"transaction_id": "p3", "amount": 1e300, "user_id": "u", "transaction_time": %d, "merchant": "M"}' % T0,
+        b'{"transaction_id": "p4", "amount": 5, "user_id": "u", "transaction_time": 99999999999999999999999}',
+        b'{"transaction_id": "p5", "amount": "5", "user_id": 7, "transaction_time": "x"}',
+        json.dumps(_tx(6, "u", T0 + 60, 10.0)).encode(),
+        json.dumps(_tx(7, "z", T0 + 86400, 1.0)).encode(),
+    ]
+    table = pa.table(
+        {
+            "key": [b"k"] * len(values),
+            "value": values,
+            "topic": ["t"] * len(values),
+            "partition": [0] * len(values),
+            "offset": list(range(len(values))),
+            "timestamp": [dt.datetime.fromtimestamp(T0, dt.timezone.utc)] * len(values),
+            "timestampType": [0] * len(values),
+        },
+        schema=_ARROW,
+    )
+    pq.write_table(table, os.path.join(d, "poison.parquet"))
+    out, ckpt = scratch_path(spark, "poison-out"), scratch_path(spark, "poison-ckpt")
+    _run_available(merchant_window_aggregates(_stream(spark, src)), "update", out, ckpt, "poison_m")
+    out, ckpt = scratch_path(spark, "poison-out"), scratch_path(spark, "poison-ckpt")
+    _run_available(detect_anomalies(enrich_user_stats(_stream(spark, src))), "append", out, ckpt, "poison_a")
+    got = {r.transaction_id for r in spark.read.parquet(out).collect()}
+    assert {"p1", "p2", "p3"} <= got  # non-finite / huge amounts are flagged, nothing failed
