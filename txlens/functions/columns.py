@@ -99,8 +99,14 @@ def tumbling_start_sec(ts: Column | str, width: int, offset: int = 0) -> Column:
 
 def window_starts_for_pane(pane: Column, window: int, slide: int, offset: int = 0) -> Column:
     """array<bigint> of the sliding-window starts ([start, start+window), start = offset mod
-    slide) that contain the whole pane beginning at ``pane`` (pane width divides both)."""
-    k = -(-window // slide)  # ceil
+    slide) that contain the whole pane beginning at ``pane`` (pane width divides both).
+
+    Closed form, no lambda (higher-order functions run outside whole-stage codegen):
+    the starts are base - j*slide for j >= 0 with base - j*slide + window > pane, i.e.
+    j*slide < d = base - pane + window, so they run from base - (ceil(d/slide)-1)*slide
+    up to base. No window contains the pane when d <= 0 (windows shorter than slide).
+    """
     base = pane - F.pmod(pane - F.lit(offset), F.lit(slide))
-    starts = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda j: base - j.cast("long") * F.lit(slide))
-    return F.filter(starts, lambda s: s + F.lit(window) > pane)
+    d = base - pane + F.lit(window)
+    lo = base - (F.ceil(d / F.lit(slide)).cast("long") - 1) * F.lit(slide)
+    return F.when(d > 0, F.sequence(lo, base, F.lit(slide).cast("long")))
