@@ -13,6 +13,7 @@ from txlens.functions.columns import (  # noqa: F401
 )
 from txlens.functions.json import encode_json, parse_json  # noqa: F401
 from txlens.functions.rules import (  # noqa: F401
+    any_rule,
     high_amount,
     high_frequency,
     high_international,

@@ -1,7 +1,7 @@
 """The three anomaly rules and the reasons array.
 
 Each rule is a boolean column with SQL three-valued logic: a null input is never a
-hit (``when`` without ``otherwise`` gives null, which ``array_compact`` drops).
+hit.
 """
 
 from __future__ import annotations
@@ -43,11 +43,21 @@ def high_international(
 
 
 def reasons_array(amount_rule: Column, frequency_rule: Column, international_rule: Column) -> Column:
-    """array<string> of the rules hit, in the fixed order AMOUNT, FREQUENCY, INTERNATIONAL."""
-    return F.array_compact(
-        F.array(
-            F.when(amount_rule, F.lit(REASON_HIGH_AMOUNT)),
-            F.when(frequency_rule, F.lit(REASON_HIGH_FREQUENCY)),
-            F.when(international_rule, F.lit(REASON_HIGH_INTERNATIONAL)),
-        )
+    """array<string> of the rules hit, in the fixed order AMOUNT, FREQUENCY, INTERNATIONAL.
+
+    Built as a concatenation of one-element arrays (a null rule adds nothing), which
+    stays inside whole-stage codegen; dropping nulls from an array of optional
+    reasons would need a lambda, evaluated row by row outside it.
+    """
+    none = F.array().cast("array<string>")
+    return F.concat(
+        F.when(amount_rule, F.array(F.lit(REASON_HIGH_AMOUNT))).otherwise(none),
+        F.when(frequency_rule, F.array(F.lit(REASON_HIGH_FREQUENCY))).otherwise(none),
+        F.when(international_rule, F.array(F.lit(REASON_HIGH_INTERNATIONAL))).otherwise(none),
     )
+
+
+def any_rule(amount_rule: Column, frequency_rule: Column, international_rule: Column) -> Column:
+    """True when at least one rule is hit; a null rule counts as no hit."""
+    no = F.lit(False)
+    return F.coalesce(amount_rule, no) | F.coalesce(frequency_rule, no) | F.coalesce(international_rule, no)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txlens.functions.columns import interval_seconds, tumbling_start_sec
-from txlens.functions.rules import high_amount, high_frequency, high_international, reasons_array
+from txlens.functions.rules import any_rule, high_amount, high_frequency, high_international, reasons_array
 from txlens.operators.aggregates import user_window_counts, user_window_stats
 from txlens.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, DEFAULT_HOT_KEY_ROWS, join_small_side
 from txlens.schema import (
@@ -152,12 +152,16 @@ def detect_anomalies(
 ) -> DataFrame:
     """Rows hitting at least one rule, with ``anomaly_reasons`` and ``detected_at``.
 
-    Each rule is evaluated once: the reasons array is built first and the filter is
-    ``size(reasons) > 0`` (same rows as the OR of the rules, nulls counting as no).
+    The filter is the OR of the three rules (nulls count as no); the reasons array is
+    built only for the rows that pass. All of it is plain comparisons and array
+    concatenation, inside whole-stage codegen.
     """
-    out = with_reasons(enriched, multiplier, count_threshold, no_stats_limit, international_limit).filter(
-        F.size("anomaly_reasons") > 0
+    rules = (
+        high_amount(multiplier, no_stats_limit),
+        high_frequency(count_threshold),
+        high_international(international_limit),
     )
+    out = enriched.filter(any_rule(*rules)).withColumn("anomaly_reasons", reasons_array(*rules))
     if detected_at:
         out = out.withColumn("detected_at", F.current_timestamp())
     return out
