@@ -216,3 +216,13 @@ def test_streams_survive_poison_messages(spark):
     _run_available(detect_anomalies(enrich_user_stats(_stream(spark, src))), "append", out, ckpt, "poison_a")
     got = {r.transaction_id for r in spark.read.parquet(out).collect()}
     assert {"p1", "p2", "p3"} <= got  # non-finite / huge amounts are flagged, nothing failed
+
+
+def test_admission_by_bytes(spark):
+    src = scratch_path(spark, "bytes-src")
+    for i in range(4):
+        _write_batch(src, i, [_tx(i * 10 + j, "u", T0 + i * 60 + j) for j in range(5)])
+    env = read_envelope(spark, src, streaming=True, options=file_source_options(max_bytes_per_trigger=1))
+    out, ckpt = scratch_path(spark, "bytes-out"), scratch_path(spark, "bytes-ckpt")
+    q = _run_available(env.select("offset"), "append", out, ckpt, "bytes_cap")
+    assert [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]] == [5, 5, 5, 5]

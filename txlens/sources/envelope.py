@@ -58,12 +58,18 @@ def kafka_source_options(
 
 
 def file_source_options(
-    max_files_per_trigger: int | None = None, ignore_missing_files: bool = True
+    max_files_per_trigger: int | None = None,
+    ignore_missing_files: bool = True,
+    max_bytes_per_trigger: int | None = None,
 ) -> dict[str, str]:
-    """File analogue of the Kafka options: admission by files, missing files tolerated."""
+    """File analogue of the Kafka options: admission by files or by bytes (a
+    micro-batch takes whole files up to the byte cap, at least one), missing files
+    tolerated."""
     opts = {"ignoreMissingFiles": str(ignore_missing_files).lower()}
     if max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
+    if max_bytes_per_trigger:
+        opts["maxBytesPerTrigger"] = str(max_bytes_per_trigger)
     return opts
 
 

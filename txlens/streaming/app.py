@@ -59,8 +59,13 @@ def start_processor(
         if trigger and trigger.get("availableNow"):
             q0.awaitTermination()
         # same admission cap downstream: the landing writes about one file per task
-        cap = (source_options or {}).get("maxFilesPerTrigger")
-        tx = read_landed(spark, landing_path, max_files_per_trigger=int(cap) if cap else None)
+        caps = source_options or {}
+        files, nbytes = caps.get("maxFilesPerTrigger"), caps.get("maxBytesPerTrigger")
+        tx = read_landed(
+            spark, landing_path,
+            max_files_per_trigger=int(files) if files else None,
+            max_bytes_per_trigger=int(nbytes) if nbytes else None,
+        )
     else:
         tx = clean_transactions(env)
     agg_path = f"{sink_root.rstrip('/')}/aggregates" if sink_root else None
@@ -83,6 +88,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--bootstrap-servers")
     p.add_argument("--source-topic", default=SOURCE_TOPIC)
     p.add_argument("--max-files-per-trigger", type=int)
+    p.add_argument("--max-bytes-per-trigger", type=int)
     p.add_argument("--min-partitions", type=int, help="split large topic partitions over at least this many tasks")
     p.add_argument("--sink-format", default="kafka")
     p.add_argument("--sink-root")
@@ -109,7 +115,7 @@ def main(argv: list[str] | None = None) -> None:
         src_opts = kafka_source_options(a.bootstrap_servers, a.source_topic, min_partitions=a.min_partitions)
         sink_opts = {"kafka.bootstrap.servers": a.bootstrap_servers}
     else:
-        src_opts = file_source_options(a.max_files_per_trigger)
+        src_opts = file_source_options(a.max_files_per_trigger, max_bytes_per_trigger=a.max_bytes_per_trigger)
         sink_opts = None
     queries = start_processor(
         spark, a.source_format, a.source_path, src_opts, a.sink_format, a.sink_root, sink_opts,

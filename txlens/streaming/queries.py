@@ -52,12 +52,15 @@ def read_landed(
     delay: str = WATERMARK_DELAY,
     max_files_per_trigger: int | None = None,
     fmt: str = "parquet",
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """Subscribe to the landed transactions (only committed files are read), with the
     event-time watermark; the input of both continuous queries."""
     r = spark.readStream.format(fmt).schema(LANDED_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     return with_watermark(r.load(path), delay=delay)
 
 
