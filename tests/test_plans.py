@@ -50,3 +50,30 @@ def test_merchant_batch_has_no_raw_row_expand(spark):
     pane_agg = re.search(r"HashAggregate\(keys=\[merchant#\d+, _pane#", p).start()
     assert p.index("Expand") < p.index("Generate") < pane_agg
     assert "SortAggregate" not in p
+
+
+def test_stream_plans_have_no_python_udfs(spark):
+    from txlens.operators import detect_anomalies, enrich_user_stats
+    from txlens.operators.clean import clean_transactions, parse_transactions, valid_transactions, with_event_time
+    from txlens.session import scratch_path
+    from txlens.sources.envelope import read_envelope
+
+    folder = scratch_path(spark, "plan-src")
+    import os
+
+    from txlens.session import local_path
+
+    os.makedirs(local_path(folder), exist_ok=True)
+    tx = clean_transactions(read_envelope(spark, folder, streaming=True))
+    plans = [
+        merchant_window_aggregates(tx),
+        merchant_window_aggregates(tx, exact_distinct=False),
+        merchant_window_aggregates(tx, bounded_state=True),
+        detect_anomalies(enrich_user_stats(tx)),
+        detect_anomalies(enrich_user_stats(tx, stream_salt_buckets=4)),
+        valid_transactions(with_event_time(parse_transactions(read_envelope(spark, folder, streaming=True)))),
+    ]
+    for df in plans:
+        assert df.isStreaming
+        p = df._jdf.queryExecution().analyzed().toString()
+        assert "PythonUDF" not in p and "EvalPython" not in p and "lambdafunction" not in p
