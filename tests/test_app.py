@@ -110,3 +110,32 @@ def test_kafka_paths_reach_spark_connector_lookup(spark, tmp_shared):
         q = start_merchant_aggregates(tx, f"{tmp_shared}/ckpt", fmt="kafka", options={"kafka.bootstrap.servers": "b:9092"})
         q.awaitTermination(30)
         raise RuntimeError(str(q.exception()))
+
+
+def test_command_lines(tmp_shared):
+    """Both command-line entry points, each in its own process and JVM."""
+    import os
+    import subprocess
+    import sys
+
+    from txlens.session import local_path
+
+    root = local_path(tmp_shared)
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=repo, PYSPARK_SUBMIT_ARGS="--master local[2] pyspark-shell")
+    load = subprocess.run(
+        [sys.executable, "-m", "txlens.sources.load", "--rows", "3000", "--out", f"{root}/log"],
+        cwd=repo, env=env, capture_output=True, text=True, timeout=300,
+    )
+    assert load.returncode == 0, load.stderr[-2000:]
+    assert json.loads(load.stdout.strip().splitlines()[-1])["messages"] == 3000
+    app = subprocess.run(
+        [sys.executable, "-m", "txlens.streaming.app", "--source-format", "parquet", "--source-path", f"{root}/log",
+         "--max-bytes-per-trigger", "100000", "--sink-format", "parquet", "--sink-root", f"{root}/out",
+         "--checkpoint-root", f"{root}/ckpt", "--state-partitions", "2", "--landing-path", f"{root}/landed",
+         "--available-now"],
+        cwd=repo, env=env, capture_output=True, text=True, timeout=600,
+    )
+    assert app.returncode == 0, app.stderr[-2000:]
+    assert "started LandTransactions" in app.stdout and "started AnomalyDetection" in app.stdout
+    assert os.path.isdir(f"{root}/out/aggregates") and os.path.isdir(f"{root}/landed")
