@@ -1,4 +1,5 @@
 """T7: plan shape -- no Python UDFs, pushdown and pruning, one shuffle-free enrichment."""
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from txlens.operators import detect_anomalies, enrich_user_stats, merchant_window_aggregates, user_window_stats
@@ -77,3 +78,16 @@ def test_stream_plans_have_no_python_udfs(spark):
         assert df.isStreaming
         p = df._jdf.queryExecution().analyzed().toString()
         assert "PythonUDF" not in p and "EvalPython" not in p and "lambdafunction" not in p
+
+
+def test_broadcast_needs_both_bounds(spark):
+    """A side within the row bound but over the byte bound is shuffle-joined."""
+    from txlens.operators.joins import join_small_side
+
+    big = spark.range(0, 1000).withColumnRenamed("id", "k")
+    small = spark.range(0, 100).withColumnRenamed("id", "k").withColumn("v", F.lit("x"))
+    fits = join_small_side(big, small, ["k"], max_rows=1000, max_bytes=10**6, name="fits")
+    too_wide = join_small_side(big, small, ["k"], max_rows=1000, max_bytes=1000, name="wide")
+    assert "BroadcastHashJoin" in _plan(fits)
+    assert "BroadcastHashJoin" not in _plan(too_wide) and "SortMergeJoin" in _plan(too_wide)
+    assert fits.count() == too_wide.count() == 1000
