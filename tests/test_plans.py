@@ -1,4 +1,5 @@
 """T7: plan shape -- no Python UDFs, pushdown and pruning, one shuffle-free enrichment."""
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
