@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
     BooleanType,
     DataType,
     IntegerType,
+    MapType,
     StringType,
     StructType,
 )
@@ -25,8 +28,12 @@ DEFAULT_HOT_KEY_ROWS = 2_000_000
 def _estimated_width(dt: DataType) -> int:
     if isinstance(dt, StructType):
         return sum(_estimated_width(f.dataType) for f in dt.fields)
-    if isinstance(dt, StringType):
+    if isinstance(dt, (StringType, BinaryType)):
         return 24
+    if isinstance(dt, ArrayType):
+        return 16 + 4 * _estimated_width(dt.elementType)  # a few elements
+    if isinstance(dt, MapType):
+        return 16 + 4 * (_estimated_width(dt.keyType) + _estimated_width(dt.valueType))
     if isinstance(dt, BooleanType):
         return 1
     if isinstance(dt, IntegerType):
