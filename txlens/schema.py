@@ -71,7 +71,6 @@ MERCHANT_WINDOW = "5 minutes"
 MERCHANT_SLIDE = "1 minute"
 USER_WINDOW = "30 minutes"
 
-LANDING_QUERY_NAME = "LandTransactions"
 AGGREGATES_QUERY_NAME = "MerchantAggregates"
 ANOMALIES_QUERY_NAME = "AnomalyDetection"
 
@@ -97,6 +96,9 @@ STORAGE_REPLICAS = 3
 STORAGE_COMPRESSION = 5.0
 # ---------------------------------------------------------------------------
 
+# Name of the optional parse-once landing query (ours, not a fixed value).
+LANDING_QUERY_NAME = "LandTransactions"
+
 # Decimal places kept for money: sums are exact integers of 10^-AMOUNT_SCALE units.
 AMOUNT_SCALE = 2
 
