@@ -99,10 +99,11 @@ def test_kafka_paths_reach_spark_connector_lookup(spark, tmp_shared):
 
     try:
         spark.sparkContext._jvm.java.lang.Class.forName("org.apache.spark.sql.kafka010.KafkaSourceProvider")
+        connector = True
+    except Exception:  # ClassNotFoundException through py4j
+        connector = False
+    if connector:
         pytest.skip("Kafka connector present: this test is for images without it")
-    except Exception as e:  # noqa: BLE001
-        if "skip" in type(e).__name__.lower():
-            raise
 
     from txlens.operators.clean import clean_transactions
     from txlens.sources.envelope import read_envelope
