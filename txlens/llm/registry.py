@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, cuckoo
+from . import bpe, cuckoo, mixing
 from .common import table
 
 
+def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 def op4_cuckoo_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cuckoo.exact_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -37,11 +42,66 @@ def op9_byte_pair_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pareto_mix": op1_pareto_mix,
     "op4_cuckoo_exact_dedup": op4_cuckoo_exact_dedup,
     "op9_byte_pair_encoding": op9_byte_pair_encoding,
 }
 
 ORACLE_SQL = {
+    "op1_pareto_mix": r"""
+        WITH d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+        e AS (SELECT *, length(bin(size))::BIGINT AS imp FROM d),
+        s AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                   [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::BIGINT AS w
+            FROM e GROUP BY source),
+        ordered AS (
+            SELECT *, (SELECT sum(source_size) FROM s) * 150 / 100.0::DOUBLE AS budget,
+                   coalesce(sum(2 * source_size) OVER before, 0) AS given, sum(w) OVER behind AS left_w
+            FROM s WINDOW before AS (ORDER BY 2 * source_size / w::DOUBLE, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                          behind AS (ORDER BY 2 * source_size / w::DOUBLE, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+        lam AS (
+            SELECT coalesce(min_by((budget - given) / left_w::DOUBLE, (2 * source_size / w::DOUBLE, source)) FILTER ((budget - given) / left_w::DOUBLE <= 2 * source_size / w::DOUBLE), 0) AS lam
+            FROM ordered),
+        t AS (SELECT source, source_size, least((2 * source_size)::DOUBLE, lam * w) AS target FROM s, lam),
+        words AS (SELECT source, imp, sum(size)::BIGINT AS words FROM e WHERE size > 0 GROUP BY ALL),
+        steps AS (
+            SELECT words.source, imp, target,
+                   coalesce(sum(words) OVER (PARTITION BY words.source ORDER BY imp DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS given,
+                   (sum(words * imp) OVER (PARTITION BY words.source ORDER BY imp DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS rest
+            FROM words JOIN t ON words.source IS NOT DISTINCT FROM t.source),
+        c AS (
+            SELECT source, max_by((target - given * 2) / rest::DOUBLE, imp) FILTER ((target - given * 2) / rest::DOUBLE * imp < 2) AS c
+            FROM steps GROUP BY source),
+        x AS (
+            SELECT e.doc_id, e.source, size, source_size, target,
+                   CASE WHEN size > 0 THEN least(2.0::DOUBLE, coalesce(c * imp, 2.0::DOUBLE)) ELSE 0.0::DOUBLE END AS ex,
+                   (CAST('0x' || substr(md5('mix' || coalesce(e.doc_id::VARCHAR, 'null')), 1, 13) AS BIGINT)::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE AS u
+            FROM e JOIN t ON e.source IS NOT DISTINCT FROM t.source LEFT JOIN c ON e.source IS NOT DISTINCT FROM c.source),
+        r AS (
+            SELECT *, floor(ex)::BIGINT AS whole, ex - floor(ex) AS p,
+                   CASE WHEN ex > floor(ex) THEN u / (1 - u) * ((1 - (ex - floor(ex))) / (ex - floor(ex))) END AS odds
+            FROM x),
+        q AS (SELECT *, odds / (1 + odds) AS rank, target - sum(size * whole) OVER (PARTITION BY source) AS budget_left FROM r),
+        run AS (
+            SELECT *, CASE WHEN rank IS NULL THEN NULL ELSE sum(CASE WHEN rank IS NULL THEN 0 ELSE size END)
+                   OVER (PARTITION BY source ORDER BY rank NULLS LAST, size, doc_id) END AS running
+            FROM q),
+        drawn AS (SELECT *, CASE WHEN running <= budget_left THEN 1 ELSE 0 END AS k0 FROM run),
+        gap1 AS (SELECT *, budget_left - sum(size * k0) OVER (PARTITION BY source) AS gap FROM drawn),
+        fill1 AS (
+            SELECT *, CASE WHEN k0 = 0 AND rank IS NOT NULL AND abs(gap - size) < abs(gap)
+                   THEN row_number() OVER (PARTITION BY source, k0 = 0 AND rank IS NOT NULL AND abs(gap - size) < abs(gap) ORDER BY abs(gap - size), rank, doc_id) END AS n1
+            FROM gap1),
+        done1 AS (SELECT * EXCLUDE (gap), CASE WHEN n1 = 1 THEN 1 ELSE k0 END AS k1 FROM fill1),
+        gap2 AS (SELECT *, budget_left - sum(size * k1) OVER (PARTITION BY source) AS gap FROM done1),
+        fill2 AS (
+            SELECT *, CASE WHEN k1 = 0 AND rank IS NOT NULL AND abs(gap - size) < abs(gap)
+                   THEN row_number() OVER (PARTITION BY source, k1 = 0 AND rank IS NOT NULL AND abs(gap - size) < abs(gap) ORDER BY abs(gap - size), rank, doc_id) END AS n2
+            FROM gap2)
+        SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN n2 = 1 THEN 1 ELSE k1 END))::BIGINT AS taken FROM fill2
+    """,
     "op4_cuckoo_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
