@@ -110,8 +110,8 @@ def probing(labels: np.ndarray, counts: np.ndarray, slack: dict[int, int]) -> np
     """Which of a set's keys in shared buckets it looks for partners with, given the bucket sizes.
 
     Units of worth of each band are ranked by cost: the subset's bucket, and for segments with
-    neighbours a second unit of all their buckets, which goes before the first. The ``slack``
-    (q) costliest are given up.
+    neighbours a second unit of all their buckets. The second goes before the first, so where the
+    first costs more, both count half of the sum. The ``slack`` (q) costliest are given up.
     """
     keep = np.ones(len(labels), bool)
     bands = labels >> (_SEGMENT_BITS + 1)
@@ -125,8 +125,9 @@ def probing(labels: np.ndarray, counts: np.ndarray, slack: dict[int, int]) -> np
         np.add.at(first, at[~near], counts[rows[~near]])
         np.add.at(second, at[near], counts[rows[near]])
         double = (segments & ((1 << _SEGMENT_BITS) - 1)) < slack[band]
-        units = [(-c, 0, i) for i, c in enumerate(second) if double[i]]
-        units += [(-(min(c, second[i]) if double[i] else c), 1, i) for i, c in enumerate(first)]
+        both = (first + second) / 2
+        units = [(-max(second[i], both[i]), 0, i) for i in np.flatnonzero(double)]
+        units += [(-(min(c, both[i]) if double[i] else c), 1, i) for i, c in enumerate(first)]
         for cost, kind, i in sorted(units)[: slack[band]]:
             if cost:
                 keep[rows[(at == i) & (near == (kind == 0))]] = False
