@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, cuckoo, jaccard, mixing
+from . import bpe, cuckoo, jaccard, mixing, nbsvm
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op4_cuckoo_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op5_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbsvm.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
@@ -48,6 +52,7 @@ def op9_byte_pair_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
     "op4_cuckoo_exact_dedup": op4_cuckoo_exact_dedup,
+    "op5_quality_nbsvm": op5_quality_nbsvm,
     "op7_jaccard_components": op7_jaccard_components,
     "op9_byte_pair_encoding": op9_byte_pair_encoding,
 }
