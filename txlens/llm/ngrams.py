@@ -3,7 +3,7 @@ sparse rows.
 
 A text is seen twice: as lower-cased words of letters (a word that repeats the one before becomes
 ``=``) and as word shapes (letter case, digits and marks, runs collapsed: ``Don't!!`` is ``Aa'a!``).
-Indicators are the distinct 1- and 2-grams of both. Byte tables do the mapping, so cost is linear in
+Indicators are the distinct 1- and 2-grams of both, and on demand the beginnings of the words. Byte tables do the mapping, so cost is linear in
 the text and no text is cut.
 """
 
@@ -26,10 +26,15 @@ _SHAPES = bytes(
 )
 
 
-def indicators(text: str) -> set[bytes]:
+def indicators(text: str, starts: tuple[int, ...] = ()) -> set[bytes]:
+    """The distinct indicators; ``starts`` adds the beginnings of words of so many bytes (``^idio``)."""
     raw = text.encode()
     words = raw.translate(_LETTERS).split()
     seen = set(words)
+    if starts:
+        distinct = list(seen)
+        for n in starts:
+            seen.update({b"^" + w[:n] for w in distinct if len(w) >= n})
     marked = [b"=" if a == b else b for a, b in zip([b"", *words], words)]
     seen.update([a + b" " + b for a, b in zip(marked, marked[1:])])
     shape = np.frombuffer(raw.translate(_SHAPES), np.uint8)
@@ -62,7 +67,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, columns: list[str], most:
     return texts.join(F.broadcast(chosen), "doc_id")  # at most ``most`` rows
 
 
-def class_counts(rows: DataFrame, columns: list[str]) -> DataFrame:
+def class_counts(rows: DataFrame, columns: list[str], starts: tuple[int, ...] = ()) -> DataFrame:
     """(feature, total, *columns): in how many rows of the sample a feature occurs, and in how many
     of each column's positive rows. Counted per task first."""
     small_batches(rows.sparkSession)
@@ -73,7 +78,7 @@ def class_counts(rows: DataFrame, columns: list[str]) -> DataFrame:
         for b in batches:
             marks = [b.column(1 + i).to_pylist() for i in range(n)]
             for k, text in enumerate(b.column(0).to_pylist()):
-                found = indicators(text or "")
+                found = indicators(text or "", starts)
                 counts[0].update(found)
                 for i in range(n):
                     if marks[i][k]:
@@ -110,7 +115,7 @@ def choose_features(counts: DataFrame, columns: list[str], sizes: dict[str, int]
     return ranked.orderBy(F.desc("z"), "feature").limit(most).drop("z").collect()
 
 
-def sparse_rows(rows: DataFrame, columns: list[str], features: list[bytes]) -> list:
+def sparse_rows(rows: DataFrame, columns: list[str], features: list[bytes], starts: tuple[int, ...] = ()) -> list:
     """(doc_id, *columns, ids of its features) of the bounded sample, in order of doc_id."""
     small_batches(rows.sparkSession)
     place = rows.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(features)})
@@ -118,7 +123,7 @@ def sparse_rows(rows: DataFrame, columns: list[str], features: list[bytes]) -> l
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = place.value
         for b in batches:
-            ids = [np.array(sorted(of[f] for f in indicators(t or "") if f in of), np.int32).tobytes() for t in b.column(1).to_pylist()]
+            ids = [np.array(sorted(of[f] for f in indicators(t or "", starts) if f in of), np.int32).tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], pa.array(ids, pa.binary())], ["doc_id", *columns, "ids"])
 
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, " + ", ".join(f"{c} int" for c in columns) + ", ids binary"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, cuckoo, jaccard, mixing, nbsvm
+from . import bpe, chain, cuckoo, jaccard, mixing, nbsvm
 from .common import table
 
 
@@ -23,6 +23,10 @@ def op5_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbsvm.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chain.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
     "op4_cuckoo_exact_dedup": op4_cuckoo_exact_dedup,
     "op5_quality_nbsvm": op5_quality_nbsvm,
+    "op6_toxicity_chain": op6_toxicity_chain,
     "op7_jaccard_components": op7_jaccard_components,
     "op9_byte_pair_encoding": op9_byte_pair_encoding,
 }
