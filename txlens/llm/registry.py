@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chain, cuckoo, jaccard, mixing, nbsvm
+from . import bpe, chain, cuckoo, jaccard, mixing, nbsvm, pii
 from .common import table
 
 
@@ -14,6 +14,17 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *[pii.count_of(spans, kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")],
+        F.sha2(pii.listed(spans, True), 256).alias("base_sha256"),
+        pii.listed(spans, False).alias("spans"),
+    )
+
+
 def op4_cuckoo_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cuckoo.exact_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -55,6 +66,7 @@ def op9_byte_pair_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
+    "op2_personal_data": op2_personal_data,
     "op4_cuckoo_exact_dedup": op4_cuckoo_exact_dedup,
     "op5_quality_nbsvm": op5_quality_nbsvm,
     "op6_toxicity_chain": op6_toxicity_chain,
