@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chain, cuckoo, jaccard, mixing, nbsvm, pii
+from . import balltree, bpe, chain, cuckoo, jaccard, mixing, nbsvm, pii
 from .common import table
 
 
@@ -64,6 +64,11 @@ def op9_byte_pair_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = balltree.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
 QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_personal_data": op2_personal_data,
@@ -72,9 +77,20 @@ QUERIES = {
     "op6_toxicity_chain": op6_toxicity_chain,
     "op7_jaccard_components": op7_jaccard_components,
     "op9_byte_pair_encoding": op9_byte_pair_encoding,
+    "op10_ball_tree_topk": op10_ball_tree_topk,
 }
 
 ORACLE_SQL = {
+    "op10_ball_tree_topk": r"""
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+    """,
     "op1_pareto_mix": r"""
         WITH d AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
