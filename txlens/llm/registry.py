@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, bpe, chain, cuckoo, jaccard, mixing, nbsvm, pii
+from . import balltree, bpe, chain, cuckoo, html_text, jaccard, mixing, nbsvm, pii
 from .common import table
 
 
@@ -25,6 +25,11 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 def op4_cuckoo_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = cuckoo.exact_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -72,6 +77,7 @@ def op10_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_personal_data": op2_personal_data,
+    "op3_main_text": op3_main_text,
     "op4_cuckoo_exact_dedup": op4_cuckoo_exact_dedup,
     "op5_quality_nbsvm": op5_quality_nbsvm,
     "op6_toxicity_chain": op6_toxicity_chain,
