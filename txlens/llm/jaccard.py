@@ -12,10 +12,13 @@ number q follows from the cost expected in the band: with fewer, sets would meet
 partner each. A set is indexed in its own band and in those that a larger partner may lie in.
 
 Groups are never expanded into pairs. Documents with the same set are one class. In an index bucket
-every class is compared with one centre; what links becomes one component. Buckets that still hold
-several components get another centre; when the pairs left across components are few against the
-rows (or centres stop helping), all of them are compared. Pairs inside a component need no
-comparison, so no link between components is missed. Verification intersects the whole sets.
+every class is compared with one centre; what links becomes one component, and a second round does
+the same with other centres. Pairs inside a component need no comparison. What is left across the
+components of a bucket is compared in one of two ways. Where such pairs are few for the classes that
+share a centre, they are listed and intersected. Where they are many (a large family of copies that
+are not all near enough), the family's sets are written as differences from the centre, which are
+short, and blocks of the family are compared inside tasks, block by block, so that only links come
+out. Both compare whole sets exactly; no link between components is missed.
 
 Sets hold 64-bit token hashes; a class is told by the set's size and two 64-bit sums of them.
 
@@ -41,10 +44,12 @@ from .graph import components
 BAND_RATIO = 1.3
 #: Share of a set's tokens that the cost estimate takes for words many documents share.
 COMMON_SHARE = 0.4
-#: Pairs across components per index row below which all of them are compared at once.
-DIRECT_PAIRS = 2.0
-#: Rounds with a single centre per bucket before all pairs across components are compared anyway.
-CENTRE_ROUNDS = 6
+#: Pairs across components, per class that shares a centre, up to which they are listed.
+LISTED_PAIRS = 12
+#: Classes in a block of a family.
+BLOCK = 512
+#: Rounds with one centre per bucket.
+CENTRE_ROUNDS = 2
 
 _SALT = np.uint64(0x2545F4914F6CDD1D)
 
@@ -259,6 +264,91 @@ def _open_pairs(rows: DataFrame) -> DataFrame:
     )
 
 
+def _families(rows: DataFrame, blobs: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) across the components of families, given their rows (centre, node, comp). Within a block of a family a spanning set of the links is returned."""
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            apart, sizes = [], []
+            for x, y in zip(b.column(3), b.column(4)):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                apart.append(np.setxor1d(x, y, assume_unique=True).tobytes())
+                sizes.append(len(x))
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(sizes, pa.int64()), pa.array(apart, pa.binary())], ["centre", "node", "comp", "n", "apart"])
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        minor = group["minor"].to_numpy(zero_copy_only=False).astype(bool)
+        nodes, comps, sizes = (group[c].to_numpy() for c in ("node", "comp", "n"))
+        apart = [np.frombuffer(x, np.uint64) for x in group["apart"].to_pylist()]
+        m, other = np.flatnonzero(minor), np.flatnonzero(~minor)
+        lengths = np.array([len(x) for x in apart])
+        # inverted lists of the minor rows' difference tokens
+        tokens = np.concatenate([apart[i] for i in m]) if len(m) else np.zeros(0, np.uint64)
+        owner = np.repeat(np.arange(len(m)), lengths[m])
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], owner[order]
+        root = {int(c): int(c) for c in comps}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        links = []
+        for i in other:
+            low, high = np.searchsorted(tokens, apart[i], "left"), np.searchsorted(tokens, apart[i], "right")
+            hits = np.concatenate([owner[a:b] for a, b in zip(low[high > low], high[high > low])]) if (high > low).any() else owner[:0]
+            both = np.bincount(hits, minlength=len(m))
+            differing = lengths[m] + lengths[i] - 2 * both
+            near = differing * (den + num) <= (den - num) * (sizes[m] + sizes[i])
+            for j in m[near & (comps[m] != comps[i])]:
+                a, b = find(int(comps[i])), find(int(comps[j]))
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    links.append((int(nodes[i]), int(nodes[j])))
+        return pa.table([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
+
+    left = blobs.select("node", F.col("tokens").alias("x"))
+    right = blobs.select(F.col("node").alias("centre"), F.col("tokens").alias("y"))
+    own = rows.join(left, "node").join(right, "centre").select("centre", "node", "comp", "x", "y")
+    family = materialize(own.mapInArrow(differ, "centre bigint, node bigint, comp bigint, n bigint, apart binary"), "jaccard-family")
+    sizes = family.groupBy("centre", "comp").agg(F.count("*").alias("k")).groupBy("centre").agg(F.sum("k").alias("all"), F.max(F.struct("k", "comp")).alias("largest"))
+    plan = materialize(
+        sizes.select(
+            "centre",
+            F.col("largest.comp").alias("largest"),
+            F.ceil(F.col("all") / BLOCK).alias("blocks"),
+            F.ceil((F.col("all") - F.col("largest.k")) / BLOCK).alias("minor_blocks"),
+        ),
+        "jaccard-family-blocks",
+    )
+    dealt = family.join(broadcast_if_small(plan), "centre").withColumn("h", F.xxhash64("node", F.lit(5)))
+    one = dealt.where("comp != largest").withColumn("minor_block", F.pmod("h", "minor_blocks"))
+    one = one.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).withColumn("minor", F.lit(True))
+    two = dealt.withColumn("block", F.pmod("h", "blocks"))
+    two = two.withColumn("minor_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("minor_blocks") - 1))).withColumn("minor", F.lit(False))
+    columns = ["centre", "block", "minor_block", "minor", "node", "comp", "n", "apart"]
+    units = one.select(*columns).unionByName(two.select(*columns))
+    return units.groupBy("centre", "block", "minor_block").applyInArrow(compare, "a bigint, b bigint")
+
+
+def _link_rest(rows: DataFrame, blobs: DataFrame, compared: DataFrame, num: int, den: int) -> DataFrame:
+    """The links across components that are left in the open buckets ``rows``."""
+    rows = materialize(rows, "jaccard-rest")
+    centres = rows.where("probe").groupBy("key").agg(F.min("node").alias("centre"))
+    placed = materialize(rows.join(centres, "key").select("centre", "key", "node", "comp", "probe"), "jaccard-placed")
+    members = materialize(placed.select("centre", "node", "comp").distinct(), "jaccard-members")
+    left = _open_pairs(rows).join(centres, "key").groupBy("centre").agg(F.sum("pairs").alias("pairs"))
+    large = members.groupBy("centre").agg(F.count("*").alias("n")).join(left, "centre").where(F.least("pairs", F.col("n") * (F.col("n") - 1) / 2) > LISTED_PAIRS * F.col("n")).select("centre")
+    large = broadcast_if_small(materialize(large, "jaccard-large"))
+    pairs = _cross_pairs(placed.join(large, "centre", "left_anti").select("key", "node", "comp", "probe")).join(compared, ["a", "b"], "left_anti")
+    listed = materialize(_verified(materialize(pairs, "jaccard-pairs"), blobs, num, den), "jaccard-links")
+    inside = materialize(_families(members.join(large, "centre", "left_semi"), blobs, num, den), "jaccard-links")
+    return listed.unionByName(inside)
+
+
 def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (the smallest id reachable by
     links; its own id for an empty set)."""
@@ -291,31 +381,25 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     blobs = materialize(_blobs(texts, k, text_col).join(broadcast_if_small(wanted, ids.count()), "node", "left_semi").dropDuplicates(["node"]), "jaccard-tokens")
 
     rows = buckets.withColumn("comp", F.col("node"))
-    links, compared, labels, last = None, None, None, None
+    links = compared = labels = None
     for round_ in range(CENTRE_ROUNDS + 1):
-        if links is not None:
+        if round_:
             named = buckets.join(labels.withColumnRenamed("label", "comp"), "node", "left")
             named = materialize(named.select("key", "node", "probe", F.coalesce("comp", "node").alias("comp")), "jaccard-named")
-            open_ = materialize(_open_pairs(named).where("pairs > 0"), "jaccard-open")
-            left = open_.agg(F.sum("n").alias("rows"), F.sum("pairs").alias("pairs")).first()
-            if not left["rows"]:
+            open_ = materialize(_open_pairs(named).where("pairs > 0").select("key"), "jaccard-open")
+            if open_.isEmpty():
                 break
-            rows = named.join(open_.select("key"), "key", "left_semi")
-            direct = left["pairs"] <= DIRECT_PAIRS * left["rows"] or round_ == CENTRE_ROUNDS or (last is not None and left["pairs"] > 0.9 * last)
-            last = left["pairs"]
+            rows = named.join(open_, "key", "left_semi")
+        if round_ == CENTRE_ROUNDS:
+            links = links.unionByName(_link_rest(rows, blobs, compared, num, den))
         else:
-            direct = False
-        order = F.col("node") if round_ == 0 else F.xxhash64("node", F.lit(round_))
-        pairs = _cross_pairs(rows) if direct else _centre_pairs(rows, order)
-        if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "jaccard-pairs")
-        compared = pairs if compared is None else compared.unionByName(pairs)
-        found = materialize(_verified(pairs, blobs, num, den), "jaccard-links")
-        links = found if links is None else links.unionByName(found)
+            pairs = _centre_pairs(rows, F.xxhash64("node", F.lit(round_)) if round_ else F.col("node"))
+            if round_:
+                pairs = pairs.join(compared, ["a", "b"], "left_anti")
+            pairs = materialize(pairs, "jaccard-pairs")
+            found = materialize(_verified(pairs, blobs, num, den), "jaccard-links")
+            links, compared = (found, pairs) if links is None else (links.unionByName(found), compared.unionByName(pairs))
         labels = components(links)
-        if direct:
-            break
 
     named = classes.join(labels.withColumnRenamed("label", "comp"), "node", "left").select("node", "node2", "n", "rep", F.coalesce("comp", "node").alias("comp"))
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
