@@ -10,22 +10,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txlens.llm import cuckoo, registry
+from txlens.llm import cuckoo, jaccard, mixing, nbsvm, registry
 from txlens.llm.common import materialize, table
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model (5) rejects go."""
+    return nbsvm.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts (white space aside) the longest row stays, then the smallest id."""
+    """Of equal texts (white space aside) the longest row stays, then the smallest id (4)."""
     return cuckoo.drop_exact_duplicates(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by a Jaccard similarity of 0.8 on five-word shingles (7):
+    the one with the smallest id."""
+    return jaccard.drop_near_duplicates(docs, k=5, num=80, den=100)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources in the weights 3, 1, 2 (1): a document comes as often as the mix takes it, at most
+    twice; those it does not take go."""
+    return mixing.repeat_documents(docs, mixing.mix_documents(docs))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-pair ids of what is left: count and digests per row."""
+    """Byte-pair ids (9): token count and digests of ids and decoded text, for each row."""
     return registry.bpe_digests(docs, registry.tokenizer_path())
 
 
 STAGES = [
+    ("quality", quality),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("mix", mix),
     ("encode", encode),
 ]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, bpe, chain, cuckoo, html_text, jaccard, mixing, nbsvm, pii
+from . import balltree, bpe, chain, cuckoo, html_text, jaccard, mixing, nbsvm, passages, pii
 from .common import table
 
 
@@ -47,6 +47,10 @@ def op7_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -82,6 +86,7 @@ QUERIES = {
     "op5_quality_nbsvm": op5_quality_nbsvm,
     "op6_toxicity_chain": op6_toxicity_chain,
     "op7_jaccard_components": op7_jaccard_components,
+    "op8_repeated_passages": op8_repeated_passages,
     "op9_byte_pair_encoding": op9_byte_pair_encoding,
     "op10_ball_tree_topk": op10_ball_tree_topk,
 }
