@@ -38,6 +38,14 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or it with underscores before it, so that ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def broadcast_if_small(df: DataFrame, rows: int | None = None, bound: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint when the (counted) number of narrow rows is within the bound, else none."""
     n = df.count() if rows is None else rows

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, materialize, small_batches, text_buffers
+from .common import broadcast_if_small, materialize, small_batches, text_buffers, unused
 
 WHITE = b" \t\n\x0b\x0c\r"
 #: Live digests a map-side index holds before it hands its groups on and starts anew (the shards
@@ -295,20 +295,21 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Rows are found again by id. An id that occurs in several rows, some kept and some dropped, is
     settled by its digest as well, one row for each.
     """
+    key, mark, kept_mark, place = (unused(docs, n) for n in ("_id", "_digest", "_kept", "_place"))
     found = materialize(exact_duplicates(docs, id_col, text_col), "cuckoo-decisions")
-    dropped = found.where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
-    kept = found.where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
-    gone = dropped.withColumnRenamed("_id", "_gone")
-    both = materialize(kept.join(gone, F.col("_id").eqNullSafe(F.col("_gone")), "left_semi"), "cuckoo-repeated")
-    rest = docs.join(broadcast_if_small(dropped), F.col(id_col).eqNullSafe(F.col("_id")), "left_anti")
+    dropped = found.where(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct()
+    kept = found.where("kept").select(F.col("doc_id").alias(key), F.col("digest").alias(kept_mark))
+    gone = dropped.withColumnRenamed(key, "_gone")
+    both = materialize(kept.join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_semi"), "cuckoo-repeated")
+    rest = docs.join(broadcast_if_small(dropped), F.col(id_col).eqNullSafe(F.col(key)), "left_anti")
     if both.isEmpty():
         return rest
-    best = Window.partitionBy(id_col, "_digest").orderBy(F.length(text_col).desc_nulls_last())
+    best = Window.partitionBy(id_col, mark).orderBy(F.length(text_col).desc_nulls_last())
     again = (
-        docs.withColumn("_digest", native_digest(text_col))
-        .join(both.withColumnRenamed("_digest", "_kept"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_kept")), "left_semi")
-        .withColumn("_n", F.row_number().over(best))
-        .where("_n = 1")
+        docs.withColumn(mark, native_digest(text_col))
+        .join(both, F.col(id_col).eqNullSafe(F.col(key)) & (F.col(mark) == F.col(kept_mark)), "left_semi")
+        .withColumn(place, F.row_number().over(best))
+        .where(F.col(place) == 1)
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
     return rest.unionByName(again)

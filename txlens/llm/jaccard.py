@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, materialize, mix, small_batches, text_shingles
+from .common import broadcast_if_small, materialize, mix, small_batches, text_shingles, unused
 from .graph import components
 
 #: Upper size of a band over its lower size, about.
@@ -377,8 +377,9 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
 
     wanted = buckets.select("node").distinct()
     ids = materialize(classes.join(wanted, "node", "left_semi").select(F.col("rep").alias("_id")), "jaccard-wanted")
-    texts = docs.join(broadcast_if_small(ids), F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
-    blobs = materialize(_blobs(texts, k, text_col).join(broadcast_if_small(wanted, ids.count()), "node", "left_semi").dropDuplicates(["node"]), "jaccard-tokens")
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    texts = texts.join(broadcast_if_small(ids), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    blobs = materialize(_blobs(texts, k, "text").join(broadcast_if_small(wanted, ids.count()), "node", "left_semi").dropDuplicates(["node"]), "jaccard-tokens")
 
     rows = buckets.withColumn("comp", F.col("node"))
     links = compared = labels = None
@@ -412,5 +413,6 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int =
     """``docs`` with one document of each component: the one whose id names it. Fully repeated rows
     of that id all stay (exact duplicates are another operator's)."""
     found = materialize(link_components(docs, k, num, den, id_col, text_col), "jaccard-decisions")
-    dropped = materialize(found.where("NOT doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct(), "jaccard-dropped")
-    return docs.join(broadcast_if_small(dropped), F.col(id_col).eqNullSafe(F.col("_id")), "left_anti")
+    key = unused(docs, "_id")
+    dropped = materialize(found.where("NOT doc_id <=> component_id").select(F.col("doc_id").alias(key)).distinct(), "jaccard-dropped")
+    return docs.join(broadcast_if_small(dropped), F.col(id_col).eqNullSafe(F.col(key)), "left_anti")

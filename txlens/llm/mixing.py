@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, materialize
+from .common import broadcast_if_small, materialize, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 CELLS = 256
@@ -213,7 +213,8 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), percent
 def repeat_documents(docs: DataFrame, copies: DataFrame) -> DataFrame:
     """The rows of ``docs`` as often as ``copies`` (doc_id, copies) says, all columns unchanged.
     Rows that share an id share its largest number of copies."""
-    times = copies.where("copies > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").alias("_times"))
-    joined = docs.join(broadcast_if_small(materialize(times, "mix-times")), F.col("doc_id").eqNullSafe(F.col("_id")))
-    many = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times"))))
-    return many.select(*[F.col(f"`{c}`") for c in docs.columns])
+    key, times, copy = (unused(docs, n) for n in ("_id", "_times", "_copy"))
+    many = copies.where("copies > 0").groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(times))
+    joined = docs.join(broadcast_if_small(materialize(many, "mix-times")), F.col("doc_id").eqNullSafe(F.col(key)))
+    out = joined.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times))))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_batches
+from .common import materialize, small_batches, unused
 from .linear import calibrate, dual_coordinate_descent, margins, sigmoid
 from .ngrams import choose_features, class_counts, held_out, indicators, sparse_rows, training_rows
 
@@ -118,7 +118,5 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the model does not reject, all columns unchanged."""
-    name = "_quality"
-    while name in docs.columns:
-        name += "_"
+    name = unused(docs, "_quality")
     return score(docs, fit(docs, labels), text_col, name).where(F.col(name) >= 0.5).drop(name)
