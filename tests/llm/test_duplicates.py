@@ -1,0 +1,335 @@
+"""Cuckoo dedup, Jaccard join, shared passages and components against brute force."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from txlens.llm import common, cuckoo, graph, jaccard, passages
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def lower(text):
+    return (text or "").translate({c: c + 32 for c in range(65, 91)})
+
+
+def shingles(text, k):
+    words = WORD.findall(lower(text))
+    if len(words) < k:
+        return frozenset([tuple(words)]) if words else frozenset()
+    return frozenset(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+
+
+def docs_of(spark, texts, extra=""):
+    rows = [(i, t, "en", f"s{i % 3}", len(t or "")) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+# ---- hashing of words -----------------------------------------------------------------------
+
+
+def test_shingles_equal_brute_force():
+    r = random.Random(1)
+    texts = ["".join(r.choice("ab AB\n\té ") for _ in range(r.randint(0, 60))) for _ in range(500)]
+    texts += [None, "", " ", "a", "a b", "a b c", "x" * 10_000, "y " * 5_000]
+    for k in (1, 3, 5):
+        found = list(common.text_shingles(pa.array(texts), k))
+        want = [shingles(t, k) for t in texts]
+        assert [len(x) for x in found] == [len(x) for x in want]
+        for _ in range(500):
+            i, j = r.randrange(len(texts)), r.randrange(len(texts))
+            assert len(np.intersect1d(found[i], found[j])) == len(want[i] & want[j])
+
+
+def test_shingles_of_sliced_and_chunked_columns(monkeypatch):
+    texts = ["a b c d", None, "e f", "g h i j k"] * 5
+    whole = [x.tolist() for x in common.text_shingles(pa.array(texts), 2)]
+    assert [x.tolist() for x in common.text_shingles(pa.array(texts).slice(3, 9), 2)] == whole[3:12]
+    monkeypatch.setattr(common, "CHUNK_BYTES", 7)
+    assert [x.tolist() for x in common.text_shingles(pa.array(texts), 2)] == whole
+
+
+# ---- cuckoo index ---------------------------------------------------------------------------
+
+
+def test_index_inserts_and_deletes_like_a_dict():
+    r = random.Random(2)
+    index, live = cuckoo.CuckooIndex(4), {}
+    digests = [hashlib.sha256(bytes([i % 256, i // 256])).digest() for i in range(3000)]
+    for _ in range(20_000):
+        d = r.choice(digests)
+        if r.random() < 0.6:
+            entry, new = index.insert(d)
+            assert new == (d not in live)
+            assert new or live[d] == entry
+            live[d] = entry
+        else:
+            assert index.delete(d) == live.pop(d, -1)
+    assert len(index) == len(live)
+    assert all(index.find(d) == live.get(d, -1) for d in digests)
+    assert len(set(live.values())) == len(live)
+
+
+def test_index_tells_digests_with_equal_tags_and_buckets_apart():
+    index = cuckoo.CuckooIndex(4)
+    alike = [bytes(10) + i.to_bytes(22, "big") for i in range(8)]  # same tag and bucket
+    assert [index.insert(d)[1] for d in alike] == [True] * 8
+    assert [index.find(d) for d in alike] == list(range(8))
+    assert index.delete(alike[3]) == 3 and index.find(alike[3]) == -1 and index.find(alike[4]) == 4
+
+
+def brute_exact(rows):
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", t or ""), []).append((-len(t or ""), i is None, i or 0))
+    out = []
+    for i, t in rows:
+        g = groups[re.sub(r"[\x20\x09-\x0D]", "", t or "")]
+        best = min(g)
+        out.append((i, None if best[1] else best[2], len(g)))
+    return sorted(out, key=str)
+
+
+TEXTS = ["a b", "ab", " a  b ", None, "", " \n\t", "é x", "éx", "e x", "long " * 9000, "long" * 9000, "a b", "c"]
+
+
+def test_exact_duplicates_with_nulls_ties_and_repeated_rows(spark):
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(None, "c"), (None, "only"), (2, " a  b "), (7, "z"), (7, "c")]
+    df = spark.createDataFrame([(i, t, "k", 1, 2, b"x") for i, t in rows], "doc_id bigint, text string, keep_id string, row int, chars int, digest binary")
+    found = cuckoo.exact_duplicates(df).collect()
+    assert sorted(((r["doc_id"], r["keep_id"], r["group_size"]) for r in found), key=str) == brute_exact(rows)
+    kept = [r for r in found if r["kept"]]
+    assert len(kept) == len({r["digest"] for r in found})
+    assert all(r["doc_id"] == r["keep_id"] for r in kept)
+    left = cuckoo.drop_exact_duplicates(df.withColumnsRenamed({"keep_id": "_id", "row": "_digest", "chars": "_KEPT"})).collect()
+    assert sorted((str(r["doc_id"]), re.sub(r"\s", "", r["text"] or "")) for r in left) == sorted(
+        (str(r["doc_id"]), t) for r in kept for t in [next(re.sub(r"\s", "", t or "") for i, t in rows if hashlib.sha256(re.sub(r"[\x20\x09-\x0D]", "", t or "").encode()).digest() == r["digest"])]
+    )
+    assert list(left[0].asDict()) == ["doc_id", "text", "_id", "_digest", "_KEPT", "digest"]
+
+
+def test_exact_duplicates_do_not_depend_on_map_side_bound(spark, monkeypatch):
+    texts = [f"t{i % 37} x" for i in range(400)]
+    df = docs_of(spark, texts).repartition(3)
+    whole = sorted(map(tuple, cuckoo.exact_duplicates(df).collect()))
+    monkeypatch.setattr(cuckoo, "MAP_SIDE_LIVE", 5)
+    monkeypatch.setattr(cuckoo, "SHARD_ROWS", 50)
+    assert sorted(map(tuple, cuckoo.exact_duplicates(df).collect())) == whole
+
+
+def test_exact_duplicates_of_empty_table(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    assert cuckoo.exact_duplicates(df).count() == 0
+    assert cuckoo.drop_exact_duplicates(df).columns == df.columns
+
+
+def test_live_index_follows_insertions_and_deletions(spark):
+    one = cuckoo.digests(docs_of(spark, ["a", "b", "b", "c"]))
+    index = cuckoo.build_index(one)
+    more = cuckoo.digests(docs_of(spark, ["c", "d"]))
+    gone = cuckoo.digests(docs_of(spark, ["b", "a", "x"]))
+    after = cuckoo.update_index(index, more, gone)
+    size = {hashlib.sha256(t.encode()).digest(): t for t in "abcdx"}
+    assert {size[bytes(r["digest"])]: r["group_size"] for r in after.collect()} == {"b": 1, "c": 2, "d": 1}
+
+
+# ---- components and the Jaccard join -----------------------------------------------------------
+
+
+def brute_labels(nodes, edges):
+    label = {n: n for n in nodes}
+
+    def find(n):
+        while label[n] != n:
+            n = label[n]
+        return n
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        label[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    r = random.Random(3)
+    chain = list(range(100, 160))
+    r.shuffle(chain)
+    edges = list(zip(chain, chain[1:])) + [(5, i) for i in range(6, 30)] + [(1, 1), (-3, 2), (2, -3)]
+    want = brute_labels({n for e in edges for n in e}, edges)
+    del want[1]  # a loop is no link
+    found = graph.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    assert {x["node"]: x["label"] for x in found} == want
+    assert graph.components(spark.createDataFrame([(1, 1)], "a bigint, b bigint")).count() == 0
+
+
+def brute_components(texts, k, num, den):
+    sets = [shingles(t, k) for t in texts]
+    edges = [
+        (i, j)
+        for i in range(len(sets))
+        for j in range(i)
+        if sets[i] and sets[j] and den * len(sets[i] & sets[j]) >= num * len(sets[i] | sets[j])
+    ]
+    labels = brute_labels(range(len(texts)), edges)
+    return [(i, len(sets[i]), labels[i]) for i in range(len(texts))]
+
+
+def family_texts(seed, families=6, members=30):
+    r = random.Random(seed)
+    word = lambda: r.choice("abcdefghij") + str(r.randrange(400))
+    texts = []
+    for _ in range(families):
+        base = [word() for _ in range(r.choice([4, 12, 40, 90]))]
+        for _ in range(members):
+            w = list(base)
+            for _ in range(r.randint(0, 4)):
+                w[r.randrange(len(w))] = word()
+            texts.append(" ".join(w))
+    texts += ["", None, " ", "x", "X", "x y", "x  y", "one two three four five six " * 300, "p q " * 200]
+    texts += [" ".join(word() for _ in range(r.randint(1, 60))) for _ in range(60)]
+    r.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("k,num,seed", [(3, 90, 4), (5, 80, 5), (2, 60, 6)])
+def test_components_equal_brute_force(spark, monkeypatch, k, num, seed):
+    texts = family_texts(seed)
+    if seed == 5:  # small blocks, so that families are compared across blocks
+        monkeypatch.setattr(jaccard, "BLOCK", 4)
+        monkeypatch.setattr(jaccard, "LISTED_PAIRS", 0.5)
+    found = jaccard.link_components(docs_of(spark, texts).repartition(3), k, num, 100).collect()
+    assert sorted(map(tuple, found)) == brute_components(texts, k, num, 100)
+
+
+def test_linking_pairs_share_a_probed_key():
+    """The pigeonhole itself: whatever a set gives up, a linking partner is found by one of the two."""
+    r = np.random.default_rng(7)
+    tops = jaccard.band_tops()
+    for num, den in ((80, 100), (90, 100)):
+        for _ in range(300):
+            n = int(r.integers(1, 300))
+            x = np.unique(r.integers(0, 2**63, n).astype(np.uint64))
+            y = x.copy()
+            while True:
+                z = np.unique(np.append(np.delete(y, r.integers(0, len(y))), r.integers(0, 2**63, int(r.integers(0, 3))).astype(np.uint64)))
+                if den * len(np.intersect1d(x, z)) < num * len(np.union1d(x, z)):
+                    break
+                y = z
+            both = []
+            for s in (x, y):
+                low, high = np.searchsorted(tops, [len(s), len(s) * den // num])
+                plans = [(int(i), *jaccard.allocate(int(tops[i]), 10**6, num, den)) for i in range(low, high + 1)]
+                keys, labels = jaccard.index_keys(s, plans)
+                probe = jaccard.probing(labels, r.integers(1, 1000, len(keys)), {b: q for b, _, q in plans})
+                both.append((set(keys.tolist()), set(keys[probe].tolist())))
+            assert both[0][1] & both[1][0] and both[1][1] & both[0][0]
+
+
+def test_near_duplicates_keep_one_row_of_each_group_and_all_columns(spark):
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base), " ".join(base[:59] + ["x"]), "other words entirely", None, ""]
+    df = docs_of(spark, texts).selectExpr("*", "1 AS _id", "2 AS node")
+    left = jaccard.drop_near_duplicates(df)
+    assert left.columns == df.columns
+    assert sorted(r["doc_id"] for r in left.collect()) == [0, 2, 3, 4]
+
+
+def test_jaccard_of_empty_table_and_null_ids(spark):
+    assert jaccard.link_components(spark.createDataFrame([], SCHEMA)).count() == 0
+    df = spark.createDataFrame([(None, "a b c d e f"), (4, "a b c d e f"), (None, None)], "doc_id bigint, text string")
+    assert sorted(map(tuple, jaccard.link_components(df).collect()), key=str) == [(4, 2, 4), (None, 0, None), (None, 2, 4)]
+
+
+# ---- shared passages ------------------------------------------------------------------------
+
+
+def words(r, n):
+    return ["".join(r.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n)]
+
+
+def test_passages_exact_and_fuzzy_are_found_and_short_ones_not(spark):
+    r = random.Random(8)
+    exact, fuzzy, short = words(r, 70), words(r, 120), words(r, 30)
+    edited = list(fuzzy)
+    edited[30] = "changed"
+    del edited[60:62]
+    edited[90:90] = ["put", "in"]
+    texts = [
+        " ".join(words(r, 50) + exact + words(r, 20)),
+        " ".join(words(r, 10) + exact),
+        " ".join(fuzzy + words(r, 300)),
+        " ".join(words(r, 33) + edited + words(r, 5)),
+        " ".join(words(r, 40) + short),
+        " ".join(short + words(r, 40)),
+        " ".join(words(r, 500)),
+        " ".join(exact).upper(),
+        None,
+        "",
+    ]
+    rows = passages.repeated_passages(docs_of(spark, texts)).collect()
+    assert {x["doc_id"] for x in rows} == {0, 1, 2, 3, 7}
+    by = {(x["doc_id"], x["other_id"]): x for x in rows}
+    for a in (0, 1, 7):
+        assert any((a, b) in by for b in (0, 1, 7) if b != a)
+    span = next(x for (a, _), x in by.items() if a == 0)
+    assert (span["start_word"], span["end_word"], span["identity"]) == (50, 120, 1.0)
+    near = by[(2, 3)]
+    assert near["start_word"] == 0 and near["end_word"] == 120 and near["other_start"] == 33 and near["other_end"] == 153
+    assert near["matched_words"] >= 115
+
+
+def test_passages_many_copies_grow_linearly(spark):
+    r = random.Random(9)
+    shared = words(r, 60)
+    texts = [" ".join(words(r, 5) + shared) for _ in range(80)]
+    rows = passages.repeated_passages(docs_of(spark, texts)).collect()
+    assert {x["doc_id"] for x in rows} == set(range(80))
+    assert len(rows) <= 4 * 80
+
+
+def test_passages_edge_cases(spark):
+    assert passages.repeated_passages(spark.createDataFrame([], SCHEMA)).count() == 0
+    one = " ".join(words(random.Random(10), 80))
+    df = spark.createDataFrame([(1, one), (1, one), (2, one + " " + one), (3, "same " * 200), (4, "same " * 90)], "doc_id bigint, text string")
+    rows = passages.repeated_passages(df.selectExpr("*", "1 AS key", "2 AS seeds")).collect()
+    assert {x["doc_id"] for x in rows} == {1, 2, 3, 4}
+
+
+def brute_chain(found):
+    best = [0.0] * len(found)
+    order = sorted(range(len(found)), key=lambda i: (found[i][0], found[i][1]))
+    for n, i in enumerate(order):
+        x, y, k = found[i]
+        best[i] = k + passages.SEED
+        for j in order[:n]:
+            u, v, m = found[j]
+            if u + m < x and v + m < y:
+                best[i] = max(best[i], k + passages.SEED + best[j] - passages.GAP_COST * (x - u - m + y - v - m))
+    return max(best)
+
+
+def test_fenwick_chaining_equals_quadratic_chaining():
+    r = random.Random(11)
+    for _ in range(200):
+        found = np.array(sorted({(r.randrange(200), r.randrange(200), r.randrange(20)) for _ in range(r.randint(1, 25))}), np.int64)
+        chains = passages.chain(found)
+        assert sorted(i for c in chains for i in c) == list(range(len(found)))
+        total = 0.0
+        for a, b in zip([None, *chains[0]], chains[0]):
+            x, y, k = found[b]
+            total += k + passages.SEED
+            if a is not None:
+                u, v, m = found[a]
+                assert u + m < x and v + m < y
+                total -= passages.GAP_COST * (x - u - m + y - v - m)
+        assert abs(total - brute_chain(found.tolist())) < 1e-9
+
+
+def test_common_words_is_the_longest_common_subsequence():
+    assert passages.common_words(np.array([1, 2, 3, 4]), np.array([2, 9, 4, 4])) == 2
+    assert passages.common_words(np.array([], int), np.array([1])) == 0
