@@ -1,0 +1,251 @@
+"""Mixing, personal data, page text and byte-pair encoding."""
+
+import os
+import random
+import re
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from txlens.llm import bpe, html_text, mixing, pii
+
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+needs_tokenizer = pytest.mark.skipif(not os.path.exists(TOKENIZER), reason="no tokenizer file")
+
+# ---- mixing --------------------------------------------------------------------------------
+
+
+def brute_targets(sizes, weights, percent, most):
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    budget = sum(sizes.values()) * percent / 100
+    capped = {}
+    while True:
+        rest = [s for s in names if s not in capped]
+        if not rest:
+            return capped
+        level = (budget - sum(capped.values())) / sum(w[s] for s in rest)
+        over = [s for s in rest if level * w[s] >= most * sizes[s]]
+        if not over:
+            return capped | {s: level * w[s] for s in rest}
+        capped |= {s: float(most * sizes[s]) for s in over}
+
+
+def mix_rows(seed, n=600):
+    r = random.Random(seed)
+    out = []
+    for i in range(n):
+        source = r.choice(["a"] * 12 + ["b", "c", "d", "é", None, "z"])
+        out.append((i, None if r.random() < 0.02 else " ".join("w" * r.randint(1, 3) for _ in range(int(r.paretovariate(0.9)) % 900)), source))
+    return out
+
+
+def test_mix_meets_targets_and_repeats(spark):
+    rows = mix_rows(1) + [(9000, "", "empty"), (9001, None, "empty"), (9002, "one", "tiny")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").selectExpr("*", "1 AS size", "2 AS rank", "'q' AS `left`")
+    found = mixing.mix_documents(df).collect()
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    want = brute_targets(sizes, (3, 1, 2), 150, 2)
+    taken, largest = Counter(), Counter()
+    for r in found:
+        assert 0 <= r["copies"] <= 2
+        assert r["target"] == pytest.approx(want[r["source"]]) and r["source_size"] == sizes[r["source"]]
+        taken[r["source"]] += r["size"] * r["copies"]
+        largest[r["source"]] = max(largest[r["source"]], r["size"])
+    for s in sizes:
+        assert abs(taken[s] - want[s]) <= max(0.02 * want[s], largest[s] / 2)
+    again = mixing.mix_documents(df.repartition(7)).collect()
+    assert sorted(map(str, found)) == sorted(map(str, again))
+
+
+def test_mix_draws_unequally(spark):
+    """Over many seeds documents come in proportion to their importance."""
+    rows = [(i, "s", 10, 1 if i < 60 else 3) for i in range(120)]
+    sized = spark.createDataFrame(rows, "doc_id bigint, source string, size bigint, importance bigint")
+    target = spark.createDataFrame([("s", 480.0)], "source string, target double")
+    low = high = 0
+    for seed in range(6):
+        for r in mixing.mix(sized, target, 2, f"seed{seed}").collect():
+            low, high = (low + r["copies"], high) if r["doc_id"] < 60 else (low, high + r["copies"])
+    assert low + high == 6 * 48 and 2 < high / low < 4.5
+
+
+def test_mix_refines_the_cells_of_a_hot_source(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CELLS", 3)
+    rows = [(i, "w " * (1 + i % 7), "hot") for i in range(500)] + [(1000 + i, "w " * 400, "other") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = mixing.mix_documents(df).collect()
+    monkeypatch.setattr(mixing, "CELLS", 256)
+    assert sorted(map(str, found)) == sorted(map(str, mixing.mix_documents(df).collect()))
+
+
+def test_mix_of_empty_and_wordless_tables(spark):
+    schema = "doc_id bigint, text string, source string"
+    assert mixing.mix_documents(spark.createDataFrame([], schema)).count() == 0
+    found = mixing.mix_documents(spark.createDataFrame([(1, None, None), (1, None, None), (None, " ", "a")], schema)).collect()
+    assert len(found) == 3 and all(r["copies"] == 0 and r["target"] == 0 for r in found)
+
+
+def test_documents_are_repeated_with_all_columns(spark):
+    docs = spark.createDataFrame([(1, "a", 5), (2, "b", 6), (3, "c", 7), (None, "d", 8)], "doc_id bigint, text string, _times int")
+    copies = spark.createDataFrame([(1, 2), (2, 0), (3, 1), (None, 1)], "doc_id bigint, copies bigint")
+    out = mixing.repeat_documents(docs, copies)
+    assert out.columns == docs.columns
+    assert sorted(r["text"] for r in out.collect()) == ["a", "a", "c", "d"]
+
+
+# ---- personal data -------------------------------------------------------------------------
+
+
+def brute_spans(t):
+    t = t or ""
+    out = [(m.start(), 0, "email", m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t):
+        if all(int(x) <= 255 for x in m[0].split(".")):
+            out.append((m.start(), 1, "ip", m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = [int(c) for c in m[0] if c.isdigit()]
+        if 14 <= len(d) <= 19 and sum(x if i % 2 == 0 else 2 * x - 9 * (x > 4) for i, x in enumerate(reversed(d))) % 10 == 0:
+            out.append((m.start(), 2, "card", m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t):
+        if 10 <= sum(c.isdigit() for c in m[0]) <= 15:
+            out.append((m.start(), 3, "phone", m.end()))
+    return ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(out))
+
+
+def found_spans(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").selectExpr("*", "1 AS spans", "2 AS _m", "3 AS _t")
+    spans = F.col("spans")
+    rows = pii.find_spans(df.repartition(4)).select("doc_id", pii.listed(spans, True).alias("base"), pii.listed(spans, False).alias("all"), "spans").collect()
+    return {r["doc_id"]: r for r in rows}
+
+
+def test_base_spans_equal_brute_force(spark):
+    r = random.Random(3)
+    texts = ["".join(r.choice("aé@. -+()0123456789%_😀\n") for _ in range(r.randint(0, 200))) for _ in range(800)]
+    texts += ["".join(r.choice("0123456789 -.+") for _ in range(300)) for _ in range(200)]
+    texts += [None, "", "x@y.z" * 3, "1.2.3.4.5.6.7.8 000.001.0255.2 1.2.3.256", "9" * 20_000, "1 " * 30_000, "a@b.co " * 3_000, "a.b@" * 5_000, "1.2.3." * 9_000]
+    rows = found_spans(spark, texts)
+    assert [i for i, t in enumerate(texts) if rows[i]["base"] != brute_spans(t)] == []
+
+
+def test_further_kinds_need_checks_and_context(spark):
+    texts = [
+        "pay to iban DE89 3704 0044 0532 0130 00 please",
+        "pay to iban DE88 3704 0044 0532 0130 00 please",
+        "her ssn is 123-45-6789 there",
+        "the plain 123-45-6789 number",
+        "ssn 666-45-6789",
+        "part number 4539 1488 0343 6467 of card",
+    ]
+    rows = found_spans(spark, texts)
+    assert [rows[i]["all"] for i in range(6)] == ["iban:12:39", "", "ssn:11:22", "", "", "card:12:31"]
+    assert rows[0]["spans"][0]["text"] == "DE89 3704 0044 0532 0130 00" and rows[0]["spans"][0]["score"] == 1.0
+
+
+def test_base_spans_stay_beside_others(spark):
+    rows = found_spans(spark, ["iban GB82 WEST 1234 5698 7654 32 and call +1 (555) 010-9999", "a b"])
+    assert rows[0]["all"] == "iban:5:32,phone:42:59"
+    assert rows[1]["all"] == ""
+
+
+# ---- main text -----------------------------------------------------------------------------
+
+
+def page(body):
+    return f"<html><head><title>T</title><style>p{{}}</style></head><body>{body}</body></html>"
+
+
+LONG = "This is a sentence, with commas, that goes on for a while and says something."
+
+
+@pytest.mark.parametrize(
+    "html,text",
+    [
+        ("", ""),
+        ("plain &amp; simple", "plain & simple"),
+        (page(f"<nav><a href=/>Home</a></nav><article><h1>H &lt;1&gt;</h1><p>{LONG}</p><p>x</p></article><footer>&copy; me</footer>"), f"H <1>\n{LONG}\nx"),
+        (page(f"<div class=ad>{LONG * 3}</div><article><p>short</p></article>"), "short"),
+        (page(f'<div id="main-content"><h1>T</h1><p>{LONG}</p><div id="comments"><p>{LONG * 4}</p></div></div>'), f"T\n{LONG}"),
+        (page(f'<article><p>{LONG}</p><section class="comments"><article class="comment"><p>{LONG * 4}</p></article></section></article>'), LONG),
+        (page(f"<div class=post><p>a <b>bold<br>p<p>{LONG}</div><aside><p>{LONG}</p></aside>"), f"a bold p\n{LONG}"),
+        (page(f"<article><p>{LONG}<form><label>Mail</label><input></form><ul><li>one<li>two</ul><script>if (a<b) x('<p>no')</script></article>"), f"{LONG}\none\ntwo"),
+        (page(f'<div class="cookie-notice"><p>{LONG}</p></div><main><p>{LONG}</p><table><tr><td>1<td>2</table></main>'), f"{LONG}\n1\n2"),
+        (page(f"<article><p>{LONG}</p><p>cut off</p"), f"{LONG}\ncut off"),
+        (page(f"<article><p>a&nbsp;\n\t b &#8364; &unknown; &am</p></article>"), "a b € &unknown; &am"),
+        (page(f'<div hidden><p>{LONG}</p></div><p style="display:none">{LONG}</p><div><p>{LONG}, seen</p></div>'), f"{LONG}, seen"),
+        ("<!-- <p>x</p> --><p>seen</p>", "seen"),
+    ],
+)
+def test_main_text(html, text):
+    assert html_text.main_text(html) == text
+
+
+def test_pages_of_any_depth_and_length():
+    assert html_text.main_text("<div>" * 20_000 + "x") == "x"
+    assert html_text.main_text("<p>x</p>" * 20_000).count("x") == 20_000
+    for part in ("<a ", "<!--", "<p a='", "<script>", "</p>", "<", "&", "<b><p>"):
+        html_text.main_text(part * 20_000)
+
+
+@settings(max_examples=200, derandomize=True, deadline=None)
+@given(st.text(alphabet="<>/!-pab =\"'&;#x1\n", max_size=80))
+def test_any_markup_is_read(html):
+    html_text.main_text(html)
+
+
+def test_extract_handles_nulls_and_clashing_columns(spark):
+    rows = [(1, "u", f"<article><p>{LONG}</p></article>"), (2, None, None), (None, "v", ""), (1, "u", f"<article><p>{LONG}</p></article>")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").selectExpr("*", "1 AS text", "2 AS _HTML")
+    out = html_text.extract(df)
+    assert out.columns == ["page_id", "url", "text"]
+    assert sorted((str(r["page_id"]), r["text"]) for r in out.collect()) == [("1", LONG), ("1", LONG), ("2", ""), ("None", "")]
+    assert html_text.extract(df.limit(0)).count() == 0
+
+
+# ---- byte-pair encoding -----------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def coder():
+    from tokenizers import Tokenizer
+
+    return bpe.BytePairModel(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+
+
+@needs_tokenizer
+@settings(max_examples=300, derandomize=True, deadline=None)
+@given(text=st.one_of(st.text(max_size=60), st.text(alphabet="aab é\n\t 1!'st<|endoftext|>日😀", max_size=60)))
+def test_ids_equal_the_library(coder, text):
+    model, library = coder
+    ids = bpe.Encoder(model).encode([text])[0]
+    assert ids == library.encode(text, add_special_tokens=False).ids
+    assert model.decode(ids) == library.decode(ids, skip_special_tokens=False) == text
+
+
+@needs_tokenizer
+def test_long_words_and_special_tokens(coder, monkeypatch):
+    model, library = coder
+    texts = ["a" * 5000, "ab" * 3000, "<|endoftext|>x <|endoftext|> ", "", "don't we'LL  's", "x" + " " * 50, "日本" * 700]
+    monkeypatch.setattr(bpe, "REMEMBERED", 1)
+    encoder = bpe.Encoder(model)
+    for _ in range(2):
+        assert encoder.encode(texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@needs_tokenizer
+def test_tables_are_encoded_and_decoded(spark, coder):
+    _, library = coder
+    rows = [(1, "hello wörld"), (2, None), (3, ""), (None, "x y"), (1, "hello wörld"), (5, "long text " * 20_000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS ids")
+    encoded = bpe.encode_texts(df, TOKENIZER)
+    back = bpe.decode_ids(encoded.withColumn("n", F.size("ids")), TOKENIZER)
+    assert back.columns == ["doc_id", "n", "text"]
+    want = [(str(i), len(library.encode(t or "").ids), t or "") for i, t in rows]
+    assert sorted((str(r["doc_id"]), r["n"], r["text"]) for r in back.collect()) == sorted(want)
+    assert bpe.encode_texts(df.limit(0), TOKENIZER).count() == 0
