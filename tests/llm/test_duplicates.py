@@ -225,7 +225,7 @@ def test_linking_pairs_share_a_probed_key():
                 low, high = np.searchsorted(tops, [len(s), len(s) * den // num])
                 plans = [(int(i), *jaccard.allocate(int(tops[i]), 10**6, num, den)) for i in range(low, high + 1)]
                 keys, labels = jaccard.index_keys(s, plans)
-                probe = jaccard.probing(labels, r.integers(1, 1000, len(keys)), {b: q for b, _, q in plans})
+                probe = jaccard.probing(len(s), labels, r.integers(1, 1000, len(keys)), {b: (m, q) for b, m, q in plans}, num, den)
                 both.append((set(keys.tolist()), set(keys[probe].tolist())))
             assert both[0][1] & both[1][0] and both[1][1] & both[0][0]
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,22 @@ def broadcast_if_small(df: DataFrame, rows: int | None = None, bound: int = BROA
     return F.broadcast(df) if n <= bound else df
 
 
+@contextmanager
+def runtime_filter(spark: SparkSession) -> Iterator[None]:
+    """Lets Spark put a Bloom filter of one join side (of bounded size) before the shuffle of the
+    other, whatever their sizes, for the jobs run inside."""
+    prefix = "spark.sql.optimizer.runtime.bloomFilter."
+    wanted = {f"{prefix}applicationSideScanSizeThreshold": "0", f"{prefix}creationSideThreshold": "4g"}
+    old = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and n+1 offsets of a string column; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

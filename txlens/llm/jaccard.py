@@ -6,10 +6,11 @@ partitions the token universe into H + 1 segments. Every set is indexed by its s
 segment, and in the first q segments also by the one-deletion neighbours of the subset. A set looks
 for partners with a worth of 0, 1 or 2 per segment: 0 finds nothing, 1 finds equal subsets, 2 (in the
 first q) finds subsets that differ in one token at most. As long as its worths add up to H + 1, some
-segment finds any partner. So each set may give up q units of worth, and gives up those whose index
-buckets hold most rows: subsets that are empty, or hold only words that many documents share. The
-number q follows from the cost expected in the band: with fewer, sets would meet more than one chance
-partner each. A set is indexed in its own band and in those that a larger partner may lie in.
+segment finds any partner. Each set needs only the H of its own largest partner in the band, so it
+may give up the worth beyond that, and gives up the segments whose index buckets hold most rows:
+subsets that are empty, or hold only words that many documents share. The number q follows from the
+cost expected in the band: with fewer, sets would meet more than one chance partner each. A set is
+indexed in its own band and in those that a larger partner may lie in.
 
 Groups are never expanded into pairs. Documents with the same set are one class. In an index bucket
 every class is compared with one centre; what links becomes one component, and a second round does
@@ -37,13 +38,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, materialize, mix, small_batches, text_shingles, unused
+from .common import broadcast_if_small, materialize, mix, runtime_filter, small_batches, text_shingles, unused
 from .graph import components
 
 #: Upper size of a band over its lower size, about.
-BAND_RATIO = 1.3
+BAND_RATIO = 1.5
 #: Share of a set's tokens that the cost estimate takes for words many documents share.
-COMMON_SHARE = 0.4
+COMMON_SHARE = 0.25
 #: Pairs across components, per class that shares a centre, up to which they are listed.
 LISTED_PAIRS = 12
 #: Classes in a block of a family.
@@ -66,20 +67,28 @@ def most_differences(top: int, num: int, den: int) -> int:
     return (den - num) * 2 * top // (den + num)
 
 
+def set_differences(n: int, top: int, num: int, den: int) -> int:
+    """Most tokens that a set of ``n`` differs in from a partner of at most ``top``."""
+    return (den - num) * (n + min(top, n * den // num)) // (den + num)
+
+
 def allocate(top: int, sets: int, num: int, den: int) -> tuple[int, int]:
     """(segments, q) of the band with largest size ``top`` and ``sets`` sets: the least q with which
-    a set is expected to meet at most one partner through a segment without words of its own."""
+    a set in the middle of the band is expected to meet at most one partner through a segment
+    without words of its own."""
     segments = most_differences(top, num, den) + 1
     if segments == 1:
         return 1, 0
-    bad = segments * math.exp(-(1 - COMMON_SHARE) * top / segments)
+    middle = max(1, int(top / math.sqrt(BAND_RATIO)))
+    spare = segments - 1 - set_differences(middle, top, num, den)
+    bad = segments * math.exp(-(1 - COMMON_SHARE) * middle / segments)
     term = math.exp(-bad)
-    tail, q = 1 - term, 0
-    while sets * tail > 1 and q < segments:
-        q += 1
-        term *= bad / q
+    tail, given = 1 - term, 0
+    while sets * tail > 1 and given < segments + spare:
+        given += 1
+        term *= bad / given
         tail = max(0.0, tail - term)
-    return segments, q
+    return segments, max(0, given - spare)
 
 
 def fingerprint(tokens: np.ndarray) -> tuple[int, int]:
@@ -111,29 +120,31 @@ def index_keys(tokens: np.ndarray, bands: list[tuple[int, int, int]]) -> tuple[n
     return np.concatenate(keys).view(np.int64), np.concatenate(labels).astype(np.int32)
 
 
-def probing(labels: np.ndarray, counts: np.ndarray, slack: dict[int, int]) -> np.ndarray:
-    """Which of a set's keys in shared buckets it looks for partners with, given the bucket sizes.
+def probing(n: int, labels: np.ndarray, counts: np.ndarray, plans: dict[int, tuple[int, int]], num: int, den: int) -> np.ndarray:
+    """With which of its keys in shared buckets a set of ``n`` tokens looks for partners, given the
+    bucket sizes and the (segments, q) of the bands.
 
-    Units of worth of each band are ranked by cost: the subset's bucket, and for segments with
-    neighbours a second unit of all their buckets. The second goes before the first, so where the
-    first costs more, both count half of the sum. The ``slack`` (q) costliest are given up.
+    Units of worth are ranked by cost: the subset's bucket, and for segments with neighbours a
+    second unit of all their buckets. The second goes before the first, so where the first costs
+    more, both count half of the sum. The costliest beyond the need are given up.
     """
     keep = np.ones(len(labels), bool)
     bands = labels >> (_SEGMENT_BITS + 1)
+    tops = band_tops()
     for band in np.unique(bands).tolist():
-        if not slack[band]:
-            continue
+        segments, q = plans[band]
+        spare = segments + q - 1 - set_differences(n, int(tops[band]), num, den)
         rows = np.flatnonzero(bands == band)
-        segments, at = np.unique(labels[rows] >> 1, return_inverse=True)
+        found, at = np.unique(labels[rows] >> 1, return_inverse=True)
         near = (labels[rows] & 1).astype(bool)
-        first, second = np.zeros(len(segments)), np.zeros(len(segments))
+        first, second = np.zeros(len(found)), np.zeros(len(found))
         np.add.at(first, at[~near], counts[rows[~near]])
         np.add.at(second, at[near], counts[rows[near]])
-        double = (segments & ((1 << _SEGMENT_BITS) - 1)) < slack[band]
+        double = (found & ((1 << _SEGMENT_BITS) - 1)) < q
         both = (first + second) / 2
         units = [(-max(second[i], both[i]), 0, i) for i in np.flatnonzero(double)]
         units += [(-(min(c, both[i]) if double[i] else c), 1, i) for i, c in enumerate(first)]
-        for cost, kind, i in sorted(units)[: slack[band]]:
+        for cost, kind, i in sorted(units)[: max(0, spare)]:
             if cost:
                 keep[rows[(at == i) & (near == (kind == 0))]] = False
     return keep
@@ -153,7 +164,7 @@ def _sets(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
 
 
 def _index(docs: DataFrame, k: int, text_col: str, plans: dict[int, tuple[int, int]], num: int, den: int) -> DataFrame:
-    """(node, keys, labels) of every non-empty set."""
+    """(key, node, label) of every non-empty set."""
     tops = band_tops()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,33 +175,32 @@ def _index(docs: DataFrame, k: int, text_col: str, plans: dict[int, tuple[int, i
                     low, high = np.searchsorted(tops, [len(t), len(t) * den // num])
                     nodes.append(fingerprint(t)[0])
                     found.append(index_keys(t, [(i, *plans[i]) for i in range(low, high + 1) if i in plans]))
-            cuts = pa.array(np.concatenate([[0], np.cumsum([len(x) for x, _ in found], dtype=np.int64)]), pa.int32())
-            keys, labels = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(cuts, pa.array(keys)), pa.ListArray.from_arrays(cuts, pa.array(labels))],
-                ["node", "keys", "labels"],
-            )
+            if found:
+                keys, labels = (np.concatenate(c) for c in zip(*found))
+                nodes = np.repeat(np.array(nodes, np.int64), [len(x) for x, _ in found])
+                for i in range(0, len(keys), 50_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 50_000]) for c in (keys, nodes, labels)], ["key", "node", "label"])
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "node bigint, keys array<bigint>, labels array<int>")
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "key bigint, node bigint, label int")
 
 
-def _probed(shared: DataFrame, slack: dict[int, int]) -> DataFrame:
-    """(key, node, probe) from rows (key, node, label, n) of shared buckets. A node's rows are
-    bounded by the size of its text."""
+def _probed(shared: DataFrame, sizes: DataFrame, plans: dict[int, tuple[int, int]], num: int, den: int) -> DataFrame:
+    """(key, node, probe) from rows (key, node, label, n) of shared buckets and the sizes (node, n)
+    of the sets. A node's rows are bounded by the size of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lists = b.column(1)
+            lists = b.column(2)
             cuts, flat = lists.offsets.to_numpy(), lists.values
             keys, labels, counts = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
-            probe = [probing(labels[i:j], counts[i:j], slack) for i, j in zip(cuts, cuts[1:])]
+            probe = [probing(n, labels[i:j], counts[i:j], plans, num, den) for n, i, j in zip(b.column(1).to_pylist(), cuts, cuts[1:])]
             nodes = np.repeat(b.column(0).to_numpy(), np.diff(cuts))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys[cuts[0] : cuts[-1]]), pa.array(nodes), pa.array(np.concatenate(probe) if probe else np.zeros(0, bool))], ["key", "node", "probe"]
             )
 
     per = shared.groupBy("node").agg(F.collect_set(F.struct("key", "label", "n")).alias("rows"))
-    rows = per.mapInArrow(run, "key bigint, node bigint, probe boolean")
+    rows = per.join(sizes, "node").select("node", "n", "rows").mapInArrow(run, "key bigint, node bigint, probe boolean")
     return rows.groupBy("key", "node").agg(F.max("probe").alias("probe"))
 
 
@@ -367,11 +377,11 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
             filled[band] = filled.get(band, 0) + row["sets"]
     plans = {band: allocate(int(tops[band]), n, num, den) for band, n in filled.items()}
 
-    keys = materialize(_index(docs, k, text_col, plans, num, den), "jaccard-index")
-    entries = keys.select("node", F.explode(F.arrays_zip("keys", "labels")).alias("e")).select("e.keys", "node", "e.labels").toDF("key", "node", "label")
-    shared = entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).where("low < high").select("key", "n")
-    slack = {band: q for band, (_, q) in plans.items()}
-    probed = materialize(_probed(entries.join(shared, "key"), slack), "jaccard-probed")
+    entries = materialize(_index(docs, k, text_col, plans, num, den), "jaccard-index")
+    shared = materialize(entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "jaccard-shared")
+    sizes = classes.groupBy("node").agg(F.max("n").alias("n"))
+    with runtime_filter(spark):  # few keys are shared: the others need not be shuffled to find that out
+        probed = materialize(_probed(entries.join(shared.where("n > 1"), "key"), sizes, plans, num, den), "jaccard-probed")
     useful = probed.groupBy("key").agg(F.count("*").alias("n"), F.max("probe").alias("some")).where("n > 1 AND some").select("key")
     buckets = materialize(probed.join(useful, "key", "left_semi"), "jaccard-buckets")
 
