@@ -230,6 +230,17 @@ def test_linking_pairs_share_a_probed_key():
             assert both[0][1] & both[1][0] and both[1][1] & both[0][0]
 
 
+def test_sketches_never_differ_more_than_the_sets():
+    r = np.random.default_rng(12)
+    for _ in range(300):
+        x = np.unique(r.integers(0, 2**63, int(r.integers(1, 400))).astype(np.uint64))
+        y = np.unique(np.append(x[r.random(len(x)) < r.random()], r.integers(0, 2**63, int(r.integers(1, 300))).astype(np.uint64)))
+        assert jaccard.sketch_difference(jaccard.parity_sketch(x), jaccard.parity_sketch(y)) <= len(np.setxor1d(x, y))
+        assert jaccard.sketch_difference(jaccard.parity_sketch(x), jaccard.parity_sketch(x)) == 0
+    far = [np.unique(r.integers(0, 2**63, 500).astype(np.uint64)) for _ in range(2)]
+    assert jaccard.sketch_difference(*map(jaccard.parity_sketch, far)) > 300
+
+
 def test_near_duplicates_keep_one_row_of_each_group_and_all_columns(spark):
     base = [f"w{i}" for i in range(60)]
     texts = [" ".join(base), " ".join(base[:59] + ["x"]), "other words entirely", None, ""]

@@ -16,7 +16,8 @@ Groups are never expanded into pairs. Documents with the same set are one class.
 every class is compared with one centre; what links becomes one component, and a second round does
 the same with other centres. Pairs inside a component need no comparison. What is left across the
 components of a bucket is compared in one of two ways. Where such pairs are few for the classes that
-share a centre, they are listed and intersected. Where they are many (a large family of copies that
+share a centre, they are listed; parity sketches, whose difference is never more than the sets', rule
+most of them out, and the rest are intersected. Where they are many (a large family of copies that
 are not all near enough), the family's sets are written as differences from the centre, which are
 short, and blocks of the family are compared inside tasks, block by block, so that only links come
 out. Both compare whole sets exactly; no link between components is missed.
@@ -204,20 +205,65 @@ def _probed(shared: DataFrame, sizes: DataFrame, plans: dict[int, tuple[int, int
     return rows.groupBy("key", "node").agg(F.max("probe").alias("probe"))
 
 
+#: Parity bits per token of a set's sketch, at least.
+SKETCH_BITS = 4
+
+
+def parity_sketch(tokens: np.ndarray) -> bytes:
+    """The parity of the number of tokens in each of 2^k bins, packed. A token in one of two sets
+    only flips one bit, so two sketches (the longer folded) differ in no more bits than the sets
+    in tokens."""
+    bits = max(64, 1 << int(SKETCH_BITS * len(tokens)).bit_length())
+    bins = (mix(tokens ^ _SALT) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(bins, minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def sketch_difference(x: bytes, y: bytes) -> int:
+    """A lower bound of the number of tokens that two sets differ in."""
+    x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(x) != len(y):
+        if len(x) < len(y):
+            x, y = y, x
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _blobs(docs: DataFrame, k: int, text_col: str) -> DataFrame:
-    """(node, tokens): the sorted set as bytes."""
+    """(node, n, sketch, tokens): the sorted set as bytes, its size and parity sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = list(text_shingles(b.column(0), k))
-            nodes = [fingerprint(t)[0] for t in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([t.tobytes() for t in sets], pa.binary())], ["node", "tokens"])
+            columns = [
+                pa.array([fingerprint(t)[0] for t in sets], pa.int64()),
+                pa.array([len(t) for t in sets], pa.int64()),
+                pa.array([parity_sketch(t) for t in sets], pa.binary()),
+                pa.array([t.tobytes() for t in sets], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "sketch", "tokens"])
+
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "node bigint, n bigint, sketch binary, tokens binary")
+
+
+def _near(pairs: DataFrame, blobs: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches do not rule a link out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(*(c.to_pylist() for c in batch.columns[2:])):
+                close = den * min(n, m) >= num * max(n, m)
+                keep.append(close and sketch_difference(x, y) * (den + num) <= (den - num) * (n + m))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "node bigint, tokens binary")
+    left = blobs.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
+    right = blobs.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, blobs: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets link."""
+    """The pairs (a, b) whose sets link: what the sketches leave is intersected whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,17 +271,16 @@ def _verified(pairs: DataFrame, blobs: DataFrame, num: int, den: int) -> DataFra
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 few, many = (x, y) if len(x) <= len(y) else (y, x)
-                both = 0
-                if den * len(few) >= num * len(many):
-                    at = np.minimum(np.searchsorted(many, few), len(many) - 1)
-                    both = int((many[at] == few).sum())
+                at = np.minimum(np.searchsorted(many, few), len(many) - 1)
+                both = int((many[at] == few).sum())
                 keep.append(den * both >= num * (len(x) + len(y) - both))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
+    near = materialize(_near(pairs, blobs, num, den), "jaccard-near")
     left = blobs.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     right = blobs.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    return near.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
 def _centre_pairs(rows: DataFrame, order: Column) -> DataFrame:
