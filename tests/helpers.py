@@ -37,7 +37,9 @@ def prepared(spark, rows):
 
 
 def sorted_rows(df, *cols):
-    return sorted((tuple(r) for r in df.select(*cols).collect()), key=lambda r: tuple((x is None, str(x)) for x in r))
+    """Rows in a fixed order; doubles to ten digits, since sums depend on the order of rows."""
+    rows = (tuple(float(f"{v:.10g}") if isinstance(v, float) else v for v in r) for r in df.select(*cols).collect())
+    return sorted(map(tuple, ([repr(v) if isinstance(v, float) and v != v else v for v in r] for r in rows)), key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
 def secs(col):

@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from txlens.schema import MAX_OFFSETS_PER_TRIGGER
 from txlens.sources.envelope import kafka_source_options
 from txlens.sources.load import partition_report, run_load
 from txlens.streaming.app import start_processor
@@ -20,9 +21,10 @@ def test_kafka_option_mapping():
         "kafka.session.timeout.ms": "30000",
         "kafka.request.timeout.ms": "40000",
         "kafka.max.poll.interval.ms": "300000",
-        "maxOffsetsPerTrigger": "10000",
     }
-    assert "maxOffsetsPerTrigger" not in kafka_source_options("b:1", streaming=False)
+    capped = kafka_source_options("b:1", max_offsets_per_trigger=MAX_OFFSETS_PER_TRIGGER, starting_offsets="latest")
+    assert (capped["maxOffsetsPerTrigger"], capped["startingOffsets"]) == ("10000", "latest")
+    assert "maxOffsetsPerTrigger" not in kafka_source_options("b:1", max_offsets_per_trigger=5, streaming=False)
     assert kafka_source_options("b:1", min_partitions=96)["minPartitions"] == "96"
     assert kafka_sink_options("b:1", "t") == {"kafka.bootstrap.servers": "b:1", "topic": "t"}
 
@@ -40,7 +42,7 @@ def test_load_then_processor_over_files(spark, tmp_shared):
     for q in qs:
         q.awaitTermination(300)
         assert q.exception() is None
-    assert {q.name for q in qs} == {"MerchantAggregates", "AnomalyDetection"}
+    assert [q.name for q in qs] == ["LandTransactions", "MerchantAggregates", "AnomalyDetection"]
     agg = spark.read.parquet(f"{tmp_shared}/out/aggregates")
     v = json.loads(agg.first().value)
     assert set(v) >= {"merchant", "window_start", "total_transactions", "unique_users", "currencies_used"}
@@ -51,18 +53,19 @@ def test_load_then_processor_over_files(spark, tmp_shared):
     assert anom.count() > 0 and "HIGH_AMOUNT" in reasons and "HIGH_INTERNATIONAL" not in reasons
 
 
-def test_processor_bounded_state_mode(spark, tmp_shared):
+def test_processor_closed_windows_query(spark, tmp_shared):
     log = f"{tmp_shared}/log"
     run_load(spark, 6000, log, num_partitions=2, rate_per_sec=2)
     qs = start_processor(
         spark, "parquet", log, {"maxFilesPerTrigger": "1"}, "parquet", f"{tmp_shared}/out",
         checkpoint_root=f"{tmp_shared}/ckpt", trigger={"availableNow": True}, state_partitions=2,
-        bounded_state=True,
+        closed_windows=True,
     )
     for q in qs:
         q.awaitTermination(300)
         assert q.exception() is None
-    vals = [json.loads(r.value) for r in spark.read.parquet(f"{tmp_shared}/out/aggregates").collect()]
+    assert "ClosedMerchantWindows" in {q.name for q in qs}
+    vals = [json.loads(r.value) for r in spark.read.parquet(f"{tmp_shared}/out/closed").collect()]
     keys = [(v["merchant"], v["window_start"]) for v in vals]
     assert vals and len(keys) == len(set(keys))  # append: each closed window once
 
@@ -72,11 +75,11 @@ def test_processor_with_landing_equals_direct(spark, tmp_shared):
     log = f"{tmp_shared}/log"
     run_load(spark, 8000, log, num_partitions=4, rate_per_sec=3)
     outs = {}
-    for label, landing in (("direct", None), ("landed", f"{tmp_shared}/landed")):
+    for label, landing in (("direct", False), ("landed", True)):
         qs = start_processor(
             spark, "parquet", log, {"maxFilesPerTrigger": "2"}, "parquet", f"{tmp_shared}/out-{label}",
             checkpoint_root=f"{tmp_shared}/ckpt-{label}", trigger={"availableNow": True}, state_partitions=2,
-            landing_path=landing,
+            landing=landing, salt_buckets=4 if landing else 1, user_buckets=4 if landing else 1,
         )
         for q in qs:
             q.awaitTermination(300)
@@ -88,7 +91,7 @@ def test_processor_with_landing_equals_direct(spark, tmp_shared):
         last = {}
         for r in spark.read.parquet(f"{tmp_shared}/out-{label}/aggregates").orderBy("batch_id").collect():
             v = json.loads(r.value)
-            last[(v["merchant"], v["window_start"])] = (v["total_transactions"], v["unique_users"], v["total_amount"])
+            last[(v["merchant"], v["window_start"])] = (v["total_transactions"], v["unique_users"], round(v["total_amount"], 4), v["currencies_used"])
         outs[label] = (ids, last)
     assert outs["direct"] == outs["landed"] and outs["direct"][0]
 
@@ -120,6 +123,54 @@ def test_kafka_paths_reach_spark_connector_lookup(spark, tmp_shared):
         raise RuntimeError(str(q.exception()))
 
 
+def test_processor_needs_a_checkpoint_root(spark):
+    import pytest
+
+    with pytest.raises(ValueError, match="checkpoint_root"):
+        start_processor(spark, "parquet", "x")
+
+
+def test_messages_and_records_need_all_their_columns(spark):
+    import pytest
+
+    from txlens.operators.encode import encode_aggregates
+    from txlens.sources.envelope import to_envelope
+
+    with pytest.raises(ValueError, match="total_amount"):
+        encode_aggregates(spark.range(1).selectExpr("'m' AS merchant"))
+    with pytest.raises(ValueError, match="payment_method"):
+        to_envelope(spark.range(1).selectExpr("'u' AS user_id"))
+
+
+def test_restart_of_both_queries_from_one_root(spark, tmp_shared):
+    """A log that grows between two runs: together they emit what one run over all of it does."""
+    run_load(spark, 12000, f"{tmp_shared}/all", num_partitions=2, rate_per_sec=2)
+    log = spark.read.parquet(f"{tmp_shared}/all")
+    middle = log.agg(F.expr("percentile(unix_seconds(timestamp), 0.6)")).first()[0]
+    early = F.unix_seconds("timestamp") <= F.lit(middle)
+    log.where(early).coalesce(2).write.parquet(f"{tmp_shared}/part1")
+    log.where(~early).coalesce(2).write.parquet(f"{tmp_shared}/part2")
+    outs = []
+    for label, steps in (("twice", [[1], [2]]), ("once", [[1, 2]])):
+        log, out, ckpt = (f"{tmp_shared}/{label}-{x}" for x in ("log", "out", "ckpt"))
+        for step in steps:
+            for part in step:
+                spark.read.parquet(f"{tmp_shared}/part{part}").coalesce(2).write.mode("append").parquet(log)
+            qs = start_processor(
+                spark, "parquet", log, {"maxFilesPerTrigger": "2"}, "parquet", out,
+                checkpoint_root=ckpt, trigger={"availableNow": True}, state_partitions=2, user_buckets=2, salt_buckets=2,
+            )
+            for q in qs:
+                q.awaitTermination(300)
+                assert q.exception() is None
+        last = {}
+        for r in spark.read.parquet(f"{out}/aggregates").orderBy("batch_id").collect():
+            v = json.loads(r.value)
+            last[(v["merchant"], v["window_start"])] = (v["total_transactions"], v["unique_users"])
+        outs.append((sorted(r.key for r in spark.read.parquet(f"{out}/anomalies").collect()), last))
+    assert outs[0][0] and outs[0] == outs[1]
+
+
 def test_command_lines(tmp_shared):
     """Both command-line entry points, each in its own process and JVM."""
     import os
@@ -140,7 +191,7 @@ def test_command_lines(tmp_shared):
     app = subprocess.run(
         [sys.executable, "-m", "txlens.streaming.app", "--source-format", "parquet", "--source-path", f"{root}/log",
          "--max-bytes-per-trigger", "100000", "--sink-format", "parquet", "--sink-root", f"{root}/out",
-         "--checkpoint-root", f"{root}/ckpt", "--state-partitions", "2", "--landing-path", f"{root}/landed",
+         "--checkpoint-root", f"{root}/ckpt", "--state-partitions", "2", "--landing-path", f"{root}/landed", "--user-buckets", "2",
          "--available-now"],
         cwd=repo, env=env, capture_output=True, text=True, timeout=600,
     )

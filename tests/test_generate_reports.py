@@ -58,8 +58,8 @@ def test_record_size(spark):
         "merchant string, is_international boolean, transaction_type string, payment_method string",
     )
     r = record_size_profile(df, include_json=True).first()
-    assert r.avg_record_bytes == 3 + 6 + 3 + 4 + 8 + 6 + 17
-    assert r.raw_bytes == 47 and r.stored_bytes == 47 * 1.5 * 3 / 5
+    assert r.avg_record_bytes == 3 + 6 + 3 + 4 + 8 + 6 + 20
+    assert r.raw_bytes == 50 and r.stored_bytes == 50 * 1.5 * 3 / 5
     assert r.avg_json_bytes > 100
 
 

@@ -35,6 +35,18 @@ def test_hot_user_salted_join_equals_broadcast(spark):
     assert max(buckets) >= 4
 
 
+def test_hot_user_salted_range_join_equals_broadcast(spark):
+    from txlens.operators import enrich_user_stats_rangejoin
+
+    tx = _skewed(spark)
+    cols = ["transaction_id", "transaction_count", "avg_transaction_amount"]
+    ref = sorted_rows(enrich_user_stats(tx), *cols)
+    assert sorted_rows(enrich_user_stats_rangejoin(tx), *cols) == ref
+    salted = enrich_user_stats_rangejoin(tx, broadcast_max_rows=0, hot_key_rows=500)
+    assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted_rows(salted, *cols) == ref
+
+
 def test_hot_merchant_panes_equal_window_form(spark):
     tx = _skewed(spark)
     a = merchant_window_aggregates(tx).select(

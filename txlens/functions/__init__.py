@@ -3,13 +3,11 @@
 from txlens.functions.columns import (  # noqa: F401
     tumbling_start_sec,
     window_starts_for_pane,
-    amount_units,
     epoch_seconds,
     interval_seconds,
     ms_or_seconds_to_timestamp,
     ntz_epoch_micros,
     pane_start,
-    units_to_amount,
 )
 from txlens.functions.json import encode_json, parse_json  # noqa: F401
 from txlens.functions.rules import (  # noqa: F401

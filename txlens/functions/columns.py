@@ -1,4 +1,4 @@
-"""Scalar column helpers: epoch handling, money units, window arithmetic."""
+"""Scalar column helpers: epoch handling, window arithmetic."""
 
 from __future__ import annotations
 
@@ -7,12 +7,12 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from txlens.schema import AMOUNT_SCALE, MILLIS_THRESHOLD
+from txlens.schema import MILLIS_THRESHOLD
 
-# Largest |seconds| accepted as event time; beyond it the time is null. Microseconds
-# of a bigint reach 9,223,372,036,854 s; the bound leaves ~700 years of headroom so
-# window ends (start + window) never overflow.
-MAX_EPOCH_SECONDS = 9_200_000_000_000
+# Largest |seconds| accepted as event time; beyond it the time is null. It is the bound
+# of the timestamp type (microseconds in a bigint) less one week, the longest window
+# in use and the watermark, so that window ends (start + window) never overflow.
+MAX_EPOCH_SECONDS = (2**63 - 1) // 1_000_000 - 7 * 86_400
 _MAX_EPOCH_SECONDS = MAX_EPOCH_SECONDS
 
 _UNITS = {
@@ -68,24 +68,6 @@ def ntz_epoch_micros(col: Column | str) -> Column:
     return (since_epoch.cast("decimal(24,6)") * F.lit(1000000)).cast("long")
 
 
-def amount_units(col: Column | str, scale: int = AMOUNT_SCALE) -> Column:
-    """Money amount as an exact bigint count of 10^-scale units (cents for scale 2).
-
-    Sums of these are exact and independent of partitioning and arrival order, so a
-    streamed total equals the batch total bit for bit. An amount whose units do not
-    fit a bigint (beyond 9.2e16 cents) gives null rather than failing the query: it
-    is left out of sums and averages (a count of rows still includes it).
-    """
-    c = F.col(col) if isinstance(col, str) else col
-    return F.round(c * F.lit(10**scale)).try_cast("long")
-
-
-def units_to_amount(col: Column | str, scale: int = AMOUNT_SCALE) -> Column:
-    """Inverse of :func:`amount_units` for a (summed) unit count: double amount."""
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast("double") / F.lit(float(10**scale))
-
-
 def pane_start(sec: Column, width: int, offset: int = 0) -> Column:
     """Start second of the ``width``-second pane holding ``sec`` (aligned to epoch + offset)."""
     return sec - F.pmod(sec - F.lit(offset), F.lit(width))

@@ -1,34 +1,50 @@
 """Windowed aggregates: per merchant over sliding windows, per user over tumbling windows.
 
-Money sums are exact: amounts are summed as bigint units of 10^-scale (cents), so a
-result does not depend on partitioning or arrival order and a streamed total equals
-the batch total bit for bit. Averages are that total divided by the amount count.
-Sums use ``try_sum``: a (poison) total beyond a bigint is null instead of failing a
-long-running query under ANSI mode.
+Sums and averages are plain double sums and averages of the amounts, so NaN and infinite
+amounts carry through and totals may differ in the last bits with the order of summation.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txlens.functions.columns import (
-    amount_units,
     epoch_seconds,
     interval_seconds,
     pane_start,
     tumbling_start_sec,
-    units_to_amount,
     window_starts_for_pane,
 )
-from txlens.schema import AMOUNT_SCALE, MERCHANT_AGG_COLUMNS, MERCHANT_SLIDE, MERCHANT_WINDOW, USER_WINDOW
+from txlens.schema import MERCHANT_AGG_COLUMNS, MERCHANT_SLIDE, MERCHANT_WINDOW, USER_WINDOW
 
 
-def _money(sum_units: str, n_amount: str, total: str, avg: str, scale: int) -> list[Column]:
-    t = units_to_amount(F.col(sum_units), scale)
-    return [t.alias(total), F.try_divide(t, F.col(n_amount).cast("double")).alias(avg)]
+def _money(total: str, n_amount: str, out_total: str, out_avg: str) -> list[Column]:
+    """The total and the average from a sum and the number of non-null amounts in it."""
+    return [F.col(total).alias(out_total), F.try_divide(F.col(total), F.col(n_amount).cast("double")).alias(out_avg)]
+
+
+def _parts() -> list[Column]:
+    """The mergeable parts of the numeric aggregates."""
+    return [
+        F.count(F.lit(1)).alias("_n"),
+        F.sum("amount").alias("_total"),
+        F.count("amount").alias("_n_amount"),
+        F.min("amount").alias("_min"),
+        F.max("amount").alias("_max"),
+    ]
+
+
+def _merged() -> list[Column]:
+    return [
+        F.sum("_n").alias("total_transactions"),
+        F.sum("_total").alias("_total"),
+        F.sum("_n_amount").alias("_n_amount"),
+        F.min("_min").alias("min_amount"),
+        F.max("_max").alias("max_amount"),
+    ]
 
 
 def merchant_window_aggregates(
@@ -37,174 +53,165 @@ def merchant_window_aggregates(
     slide: str = MERCHANT_SLIDE,
     exact_distinct: bool = True,
     ts: str = "transaction_timestamp",
-    scale: int = AMOUNT_SCALE,
-    bounded_state: bool = False,
 ) -> DataFrame:
     """Per (merchant, sliding window): count, total, average, min, max of amount,
     distinct users, sorted set of currencies. Columns as ``MERCHANT_AGG_COLUMNS``.
 
-    Batch: pane pre-aggregation. Raw rows are aggregated once per (merchant, pane,
-    user, currency) with pane = gcd(window, slide) seconds -- a plain hash aggregate
-    with map-side combine, no 5x expansion of raw rows -- and only those pane rows
-    are expanded into the windows that cover them. Stream: Spark's windowed state;
+    Batch: pane pre-aggregation, pane = gcd(window, slide) seconds. Numeric parts and
+    currencies are reduced to one row per (merchant, pane, currency) before they are
+    expanded to the windows. Users are reduced to one row per (merchant, user, pane); by
+    the pane before it, a row is expanded only to the windows that the user did not
+    enter already, so every (merchant, window, user) arises once and a plain count with
+    map-side combine is the number of distinct users. Stream: Spark's windowed state;
     distinct users as the size of the user set (streaming count-distinct is not
-    supported) or, with ``exact_distinct=False``, a fixed-size HyperLogLog sketch.
-
-    ``bounded_state=True`` (streams, append mode only): exact distinct users without
-    a per-window user set. Two chained stateful aggregates: state keyed by
-    (merchant, window, user), spread over partitions, holding that user's currency
-    set; then per (merchant, window) only sums, the user count and the set of
-    distinct currency subsets (bounded by the currency domain). Rows are emitted
-    once, when the watermark closes the window.
+    supported) or, with ``exact_distinct=False``, a fixed-size HyperLogLog sketch. For
+    merchants of very many users see :func:`merchant_window_buckets` and
+    :func:`merchant_window_closed`.
     """
-    if tx.isStreaming and bounded_state:
-        return _merchant_stream_chained(tx, window, slide, ts, scale)
     if tx.isStreaming:
-        return _merchant_stream(tx, window, slide, exact_distinct, ts, scale)
-    return _merchant_batch(tx, window, slide, exact_distinct, ts, scale)
+        return _merchant_stream(tx, window, slide, exact_distinct, ts)
+    return _merchant_batch(tx, window, slide, exact_distinct, ts)
 
 
-def _merchant_stream(tx, window, slide, exact_distinct, ts, scale):
+def _merchant_stream(tx: DataFrame, window: str, slide: str, exact_distinct: bool, ts: str) -> DataFrame:
     users = F.size(F.collect_set("user_id")) if exact_distinct else F.approx_count_distinct("user_id")
-    g = (
-        tx.withColumn("_units", amount_units("amount", scale))
-        .groupBy(F.col("merchant"), F.window(ts, window, slide).alias("window"))
-        .agg(
-            F.count(F.lit(1)).alias("total_transactions"),
-            F.try_sum("_units").alias("_units"),
-            F.count("_units").alias("_n_amount"),
-            F.min("amount").alias("min_amount"),
-            F.max("amount").alias("max_amount"),
-            users.cast("long").alias("unique_users"),
-            F.sort_array(F.collect_set("currency")).alias("currencies_used"),
-        )
+    g = tx.groupBy(F.col("merchant"), F.window(ts, window, slide).alias("window")).agg(
+        *_parts(), users.cast("long").alias("unique_users"), F.sort_array(F.collect_set("currency")).alias("currencies_used")
     )
     return g.select(
         "merchant",
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
+        F.col("_n").alias("total_transactions"),
+        *_money("_total", "_n_amount", "total_amount", "average_amount"),
+        F.col("_min").alias("min_amount"),
+        F.col("_max").alias("max_amount"),
+        "unique_users",
+        "currencies_used",
+    ).select(*MERCHANT_AGG_COLUMNS)
+
+
+def merchant_window_buckets(
+    tx: DataFrame,
+    buckets: int,
+    window: str = MERCHANT_WINDOW,
+    slide: str = MERCHANT_SLIDE,
+    ts: str = "transaction_timestamp",
+) -> DataFrame:
+    """The parts of the merchant aggregates per (merchant, window, bucket of users).
+
+    One stateful aggregate, so update mode stays possible, but a merchant's users are
+    spread over ``buckets`` state rows and partitions. A user is in one bucket only, so
+    the parts of a window's buckets add up: see :func:`merge_buckets`.
+    """
+    bucket = F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int").alias("bucket")
+    g = tx.groupBy(F.col("merchant"), F.window(ts, window, slide).alias("window"), bucket).agg(
+        *_parts(), F.size(F.collect_set("user_id")).cast("long").alias("_users"), F.sort_array(F.collect_set("currency")).alias("_currencies")
+    )
+    return g.select(
+        "merchant", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        "bucket", "_n", "_total", "_n_amount", "_min", "_max", "_users", "_currencies",
+    )
+
+
+def merge_buckets(parts: DataFrame) -> DataFrame:
+    """The merchant aggregates from the latest parts of each (merchant, window, bucket)."""
+    g = parts.groupBy("merchant", "window_start", "window_end").agg(
+        *_merged(), F.sum("_users").alias("unique_users"), F.collect_set("_currencies").alias("_sets")
+    )
+    return g.select(
+        "merchant",
+        "window_start",
+        "window_end",
         "total_transactions",
-        *_money("_units", "_n_amount", "total_amount", "average_amount", scale),
+        *_money("_total", "_n_amount", "total_amount", "average_amount"),
         "min_amount",
         "max_amount",
         "unique_users",
-        "currencies_used",
-    ).select(*MERCHANT_AGG_COLUMNS)
+        F.sort_array(F.array_distinct(F.flatten("_sets"))).alias("currencies_used"),
+    )
 
 
-def _merchant_stream_chained(tx, window, slide, ts, scale):
-    per_user = (
-        tx.withColumn("_units", amount_units("amount", scale))
-        .groupBy(F.col("merchant"), F.window(ts, window, slide).alias("window"), F.col("user_id"))
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.try_sum("_units").alias("_units"),
-            F.count("_units").alias("_n_amount"),
-            F.min("amount").alias("_min"),
-            F.max("amount").alias("_max"),
-            F.sort_array(F.collect_set("currency")).alias("_currencies"),
-        )
+def merchant_window_closed(
+    tx: DataFrame,
+    window: str = MERCHANT_WINDOW,
+    slide: str = MERCHANT_SLIDE,
+    ts: str = "transaction_timestamp",
+) -> DataFrame:
+    """The merchant aggregates of closed windows, for append mode: each window once, when the
+    watermark passes it. Two chained stateful aggregates: state keyed by (merchant,
+    window, user), spread over partitions, holding that user's currency set; then per
+    (merchant, window) sums, the user count and the distinct currency subsets."""
+    per_user = tx.groupBy(F.col("merchant"), F.window(ts, window, slide).alias("window"), F.col("user_id")).agg(
+        *_parts(), F.sort_array(F.collect_set("currency")).alias("_currencies")
     )
     g = per_user.groupBy("merchant", "window").agg(
-        F.sum("_n").alias("total_transactions"),
-        F.try_sum("_units").alias("_units"),
-        F.sum("_n_amount").alias("_n_amount"),
-        F.min("_min").alias("min_amount"),
-        F.max("_max").alias("max_amount"),
-        F.count("user_id").alias("unique_users"),
-        F.collect_set("_currencies").alias("_currency_sets"),
+        *_merged(), F.count("user_id").alias("unique_users"), F.collect_set("_currencies").alias("_sets")
     )
     return g.select(
         "merchant",
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         "total_transactions",
-        *_money("_units", "_n_amount", "total_amount", "average_amount", scale),
+        *_money("_total", "_n_amount", "total_amount", "average_amount"),
         "min_amount",
         "max_amount",
         "unique_users",
-        F.sort_array(F.array_distinct(F.flatten("_currency_sets"))).alias("currencies_used"),
+        F.sort_array(F.array_distinct(F.flatten("_sets"))).alias("currencies_used"),
     )
 
 
-def _merchant_batch(tx, window, slide, exact_distinct, ts, scale):
+def _merchant_batch(tx: DataFrame, window: str, slide: str, exact_distinct: bool, ts: str) -> DataFrame:
     w, s = interval_seconds(window), interval_seconds(slide)
     pane = math.gcd(w, s)
-    sec = epoch_seconds(ts)
-    panes = (
-        tx.filter(F.col(ts).isNotNull())
-        .select(
-            "merchant",
-            "user_id",
-            "currency",
-            "amount",
-            pane_start(sec, pane).alias("_pane"),
-            amount_units("amount", scale).alias("_units"),
-        )
-        .groupBy("merchant", "_pane", "user_id", "currency")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.try_sum("_units").alias("_units"),
-            F.count("_units").alias("_n_amount"),
-            F.min("amount").alias("_min"),
-            F.max("amount").alias("_max"),
-        )
+    timed = tx.filter(F.col(ts).isNotNull()).select(
+        "merchant", "user_id", "currency", "amount", pane_start(epoch_seconds(ts), pane).alias("_pane")
     )
-    users = F.count_distinct("user_id") if exact_distinct else F.approx_count_distinct("user_id")
-    # Distinct users and the currency set are two distinct aggregates over the same
-    # pane rows: Spark plans them as one chain of stages (Expand by distinct group, hash
-    # aggregates to dedupe, then a final aggregate keyed by (merchant, window) only),
-    # so no object-state aggregate runs over the high-cardinality keys.
-    g = (
-        panes.select("*", F.explode(window_starts_for_pane(F.col("_pane"), w, s)).alias("_ws"))
+    starts = window_starts_for_pane(F.col("_pane"), w, s)
+    sums = (
+        timed.groupBy("merchant", "_pane", "currency")
+        .agg(*_parts())
+        .select("*", F.explode(starts).alias("_ws"))
         .groupBy("merchant", "_ws")
-        .agg(
-            F.sum("_n").alias("total_transactions"),
-            F.try_sum("_units").alias("_units"),
-            F.sum("_n_amount").alias("_n_amount"),
-            F.min("_min").alias("min_amount"),
-            F.max("_max").alias("max_amount"),
-            users.cast("long").alias("unique_users"),
-            F.expr("sort_array(collect_list(DISTINCT currency))").alias("currencies_used"),
-        )
+        .agg(*_merged(), F.sort_array(F.collect_set("currency")).alias("currencies_used"))
     )
+    seen = timed.filter(F.col("user_id").isNotNull()).select("merchant", "user_id", "_pane").distinct()
+    if exact_distinct:
+        before = F.lag("_pane").over(Window.partitionBy("merchant", "user_id").orderBy("_pane"))
+        entered = _starts_after(F.col("_pane"), F.col("_before"), w, s)
+        users = seen.withColumn("_before", before).select("merchant", F.explode(entered).alias("_ws")).groupBy("merchant", "_ws").agg(F.count(F.lit(1)).alias("_users"))
+    else:
+        users = seen.select("merchant", "user_id", F.explode(starts).alias("_ws")).groupBy("merchant", "_ws").agg(F.approx_count_distinct("user_id").alias("_users"))
+    u = users.withColumnsRenamed({"merchant": "_merchant", "_ws": "_start"})
+    g = sums.join(u, F.col("merchant").eqNullSafe(F.col("_merchant")) & (F.col("_ws") == F.col("_start")), "left")
     return g.select(
         "merchant",
         F.timestamp_seconds("_ws").alias("window_start"),
         F.timestamp_seconds(F.col("_ws") + F.lit(w)).alias("window_end"),
         "total_transactions",
-        *_money("_units", "_n_amount", "total_amount", "average_amount", scale),
+        *_money("_total", "_n_amount", "total_amount", "average_amount"),
         "min_amount",
         "max_amount",
-        "unique_users",
+        F.coalesce("_users", F.lit(0).cast("long")).alias("unique_users"),
         "currencies_used",
     )
 
 
-def _user_agg_exprs(scale: int) -> list[Column]:
-    return [
-        F.count(F.lit(1)).alias("transaction_count"),
-        F.try_sum("_units").alias("_units"),
-        F.count("_units").alias("_n_amount"),
-        F.stddev_samp("amount").alias("stddev_amount"),
-        F.max("amount").alias("max_amount_in_window"),
-    ]
-
-
-def _user_finish(scale: int) -> list[Column]:
-    return [
-        "transaction_count",
-        *_money("_units", "_n_amount", "total_spent", "avg_transaction_amount", scale),
-        "stddev_amount",
-        "max_amount_in_window",
-    ]
+def _starts_after(pane: Column, before: Column, window: int, slide: int) -> Column:
+    """The window starts of ``pane`` that are not window starts of the earlier pane ``before``
+    (all of them if that is null): those after the last start of ``before``."""
+    last = before - F.pmod(before, F.lit(slide))
+    base = pane - F.pmod(pane, F.lit(slide))
+    d = base - pane + F.lit(window)
+    low = base - (F.ceil(d / F.lit(slide)).cast("long") - 1) * F.lit(slide)
+    low = F.when(before.isNull(), low).otherwise(F.greatest(low, last + F.lit(slide)))
+    return F.when((d > 0) & (low <= base), F.sequence(low, base, F.lit(slide).cast("long")))
 
 
 def user_window_stats(
     tx: DataFrame,
     window: str = USER_WINDOW,
     ts: str = "transaction_timestamp",
-    scale: int = AMOUNT_SCALE,
 ) -> DataFrame:
     """Per (user_id, tumbling window): transaction_count, total_spent,
     avg_transaction_amount, stddev_amount (sample; null for one row),
@@ -213,38 +220,37 @@ def user_window_stats(
     Every aggregate is algebraic, so a hot user is reduced map-side before the
     shuffle on (user_id, window).
     """
-    base = tx.withColumn("_units", amount_units("amount", scale))
+    aggs = [
+        F.count(F.lit(1)).alias("transaction_count"),
+        F.sum("amount").alias("total_spent"),
+        F.avg("amount").alias("avg_transaction_amount"),
+        F.stddev_samp("amount").alias("stddev_amount"),
+        F.max("amount").alias("max_amount_in_window"),
+    ]
+    names = ["transaction_count", "total_spent", "avg_transaction_amount", "stddev_amount", "max_amount_in_window"]
     if tx.isStreaming:
-        g = base.groupBy(F.col("user_id"), F.window(ts, window).alias("window")).agg(*_user_agg_exprs(scale))
-        return g.select("user_id", "window", *_user_finish(scale))
+        g = tx.groupBy(F.col("user_id"), F.window(ts, window).alias("window")).agg(*aggs)
+        return g.select("user_id", "window", *names)
     w = interval_seconds(window)
-    g = (
-        base.filter(F.col(ts).isNotNull())
-        .withColumn("_wsec", tumbling_start_sec(ts, w))
-        .groupBy("user_id", "_wsec")
-        .agg(*_user_agg_exprs(scale))
-    )
+    g = tx.filter(F.col(ts).isNotNull()).withColumn("_wsec", tumbling_start_sec(ts, w)).groupBy("user_id", "_wsec").agg(*aggs)
     win = F.struct(
         F.timestamp_seconds("_wsec").alias("start"),
         F.timestamp_seconds(F.col("_wsec") + F.lit(w)).alias("end"),
     )
-    return g.select("user_id", win.alias("window"), *_user_finish(scale))
+    return g.select("user_id", win.alias("window"), *names)
 
 
 def user_window_counts(
     tx: DataFrame,
     window_seconds: int,
     ts: str = "transaction_timestamp",
-    scale: int = AMOUNT_SCALE,
     key: str = "_wsec",
 ) -> DataFrame:
     """Batch helper for the enrichment: (user_id, window start second) ->
     transaction_count, avg_transaction_amount. Rows without user or time form no group."""
-    g = (
+    return (
         tx.filter(F.col("user_id").isNotNull() & F.col(ts).isNotNull())
-        .select("user_id", "amount", tumbling_start_sec(ts, window_seconds).alias(key), amount_units("amount", scale).alias("_units"))
+        .select("user_id", "amount", tumbling_start_sec(ts, window_seconds).alias(key))
         .groupBy("user_id", key)
-        .agg(F.count(F.lit(1)).alias("transaction_count"), F.try_sum("_units").alias("_units"), F.count("_units").alias("_n_amount"))
+        .agg(F.count(F.lit(1)).alias("transaction_count"), F.avg("amount").alias("avg_transaction_amount"))
     )
-    t = units_to_amount(F.col("_units"), scale)
-    return g.select("user_id", key, "transaction_count", F.try_divide(t, F.col("_n_amount").cast("double")).alias("avg_transaction_amount"))

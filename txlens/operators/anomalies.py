@@ -96,6 +96,7 @@ def enrich_user_stats_rangejoin(
     window: str = USER_WINDOW,
     ts: str = "transaction_timestamp",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Batch form written as the literal range join:
     ``t.user_id = s.user_id AND t.ts >= s.window.start AND t.ts < s.window.end``.
@@ -103,25 +104,23 @@ def enrich_user_stats_rangejoin(
     The join also equates the window grid bin of ``t.ts`` with the window's start
     (the bin a window belongs to), so it runs as an equi-join on (user_id, bin) with
     the range kept as a residual condition -- never a pairing of a transaction with
-    all windows of its user.
+    all windows of its user. Hot (user, bin) keys are salted as in :func:`enrich_user_stats`.
     """
     w = interval_seconds(window)
     stats = (
         user_window_stats(tx, window, ts=ts)
-        .select("user_id", "window", *STAT_COLUMNS)
-        .withColumn("_bin", F.unix_seconds(F.col("window.start")))
-    )
-    t = tx.withColumn("_bin", tumbling_start_sec(ts, w)).alias("t")
-    cond = (
-        (F.col("t.user_id") == F.col("s.user_id"))
-        & (F.col("t._bin") == F.col("s._bin"))
-        & (F.col(f"t.{ts}") >= F.col("s.window.start"))
-        & (F.col(f"t.{ts}") < F.col("s.window.end"))
+        .filter(F.col("user_id").isNotNull())
+        .select("user_id", F.col("window").alias("_window"), *STAT_COLUMNS)
+        .withColumn("_bin", F.unix_seconds(F.col("_window.start")))
     )
     joined = join_small_side(
-        t, stats, cond, "left", max_rows=broadcast_max_rows, name="user-window-stats-range", small_alias="s"
+        tx.withColumn("_bin", tumbling_start_sec(ts, w)), stats, ["user_id", "_bin"], "left",
+        max_rows=broadcast_max_rows, name="user-window-stats-range",
+        count_col="transaction_count", hot_rows=hot_key_rows,
+        salt_cols=[c for c in ("transaction_id", "amount", ts) if c in tx.columns],
     )
-    return joined.select(*[F.col(f"t.{c}") for c in tx.columns], *[F.col(f"s.{c}") for c in STAT_COLUMNS])
+    inside = (F.col(ts) >= F.col("_window.start")) & (F.col(ts) < F.col("_window.end"))
+    return joined.select(*tx.columns, *[F.when(inside, F.col(c)).alias(c) for c in STAT_COLUMNS])
 
 
 def with_reasons(

@@ -10,10 +10,12 @@ from txlens.schema import ANOMALY_COLUMNS, MERCHANT_AGG_COLUMNS
 
 
 def encode_records(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """(key string, value JSON string). Null fields are left out of the JSON object;
+    """(key string, value JSON string). Null fields are left out of the JSON object, an absent column is an error;
     timestamps are ISO-8601 with zone."""
-    present = [c for c in fields if c in df.columns]
-    return df.select(F.col(key).cast("string").alias("key"), encode_json(*present).alias("value"))
+    absent = [c for c in fields if c not in df.columns]
+    if absent:
+        raise ValueError(f"the record needs the columns {absent}")
+    return df.select(F.col(key).cast("string").alias("key"), encode_json(*fields).alias("value"))
 
 
 def encode_aggregates(agg: DataFrame) -> DataFrame:

@@ -41,6 +41,18 @@ def _estimated_width(dt: DataType) -> int:
     return 8
 
 
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """Rows, and bytes of their values (strings and binaries as long as they are)."""
+    per_row = F.lit(16)
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            per_row = per_row + F.lit(8) + F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0))
+        else:
+            per_row = per_row + F.lit(_estimated_width(f.dataType))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(per_row), F.lit(0)).alias("bytes")).first()
+    return row["n"], row["bytes"]
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
@@ -71,8 +83,8 @@ def join_small_side(
     ``on`` is a list of key columns or a join condition; a condition must refer to
     ``small`` through the alias ``small_alias``, since the side is re-read from its
     written table. ``small`` is written once to the shared folder and counted. Within
-    ``max_rows`` and ``max_bytes`` (rows x estimated width) it is broadcast and
-    ``big`` is never shuffled.
+    ``max_rows`` and ``max_bytes`` (measured) it is broadcast and ``big`` is never
+    shuffled.
 
     Beyond that it is a shuffle join on the keys. When ``count_col`` gives, per key
     of ``small``, the number of ``big`` rows with that key (as a statistics table
@@ -85,9 +97,8 @@ def join_small_side(
     as a second line.
     """
     small = materialize(small, name)
-    n = small.count()
-    width = _estimated_width(small.schema) + 16
-    if n <= max_rows and n * width <= max_bytes:
+    n, size = measured_size(small)
+    if n <= max_rows and size <= max_bytes:
         s = small.alias(small_alias) if small_alias else small
         return big.join(F.broadcast(s), on, how)
     if count_col is None or not isinstance(on, (list, tuple)):
@@ -103,10 +114,10 @@ def join_small_side(
         ),
         f"{name}-hot",
     )
-    n_hot = hot.count()
+    n_hot, hot_size = measured_size(hot)
     if n_hot == 0:
         return big.join(small.hint("merge"), keys, how)
-    hot_side = F.broadcast(hot) if n_hot <= max_rows else hot
+    hot_side = F.broadcast(hot) if n_hot <= max_rows and hot_size <= max_bytes else hot
     cols = salt_cols or [c for c in big.columns if c not in keys][:4]
     salted_big = big.join(hot_side, keys, "left").withColumn(
         "_salt",

@@ -13,7 +13,8 @@ from txlens.schema import (
 )
 
 STRING_FIELDS = ["transaction_id", "user_id", "currency", "merchant", "transaction_type", "payment_method"]
-FIXED_FIELD_BYTES = {"amount": 8, "transaction_time": 8, "is_international": 1}
+# The capacity note's sizes: 8 bytes a number, 4 a flag.
+FIXED_FIELD_BYTES = {"amount": 8, "transaction_time": 8, "is_international": 4}
 
 
 def _rate(count: Column, elapsed: Column) -> Column:
@@ -60,7 +61,7 @@ def record_size_profile(
     include_json: bool = False,
 ) -> DataFrame:
     """Average UTF-8 bytes per string field, per record (strings + 8 bytes per number,
-    1 per flag), total raw bytes and stored bytes = raw x overhead x replicas / compression.
+    4 per flag), total raw bytes and stored bytes = raw x overhead x replicas / compression.
     With ``include_json`` also the average size of the record as a JSON message."""
     sizes = {f: F.octet_length(f) for f in STRING_FIELDS}
     row = sum((F.coalesce(c, F.lit(0)) for c in sizes.values()), F.lit(sum(FIXED_FIELD_BYTES.values())))

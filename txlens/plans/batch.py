@@ -7,7 +7,7 @@ directly; the operators themselves return timestamps and arrays.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlens.operators import (
@@ -28,13 +28,31 @@ from txlens.operators import (
 )
 from txlens.operators.anomalies import with_reasons
 from txlens.operators.clean import prepare_transactions
-from txlens.schema import TRANSACTION_FIELDS, TRANSACTION_SCHEMA
+from txlens.schema import ANOMALY_COLUMNS, MERCHANT_AGG_COLUMNS, TOPIC_PARTITIONS, TRANSACTION_FIELDS, TRANSACTION_SCHEMA
 from txlens.session import scratch_path
 from txlens.sources import fixtures
-from txlens.sources.envelope import publish_transactions, read_envelope, to_envelope
+from txlens.sources.envelope import publish_transactions, read_envelope
 from txlens.sources.generate import generate_transactions
 
 TS = "transaction_timestamp"
+# Fixed shift of the comparison views' rounding: ties of short decimals never meet it.
+ROUNDING_SHIFT = 0.2718281828
+
+
+def shown(c: str) -> Column:
+    """A double as both engines show it, whatever the order of a summation: whole multiples of
+    1e-4 (of 1e9 from there on); NaN as -1 and infinity as -2, which no amount or statistic is.
+    Only the comparison views round; the operators return plain doubles."""
+    x = F.col(c)
+    small = F.floor(x * F.lit(1e4) + F.lit(ROUNDING_SHIFT)).cast("double") / F.lit(1e4)
+    large = F.floor(x / F.lit(1e9) + F.lit(ROUNDING_SHIFT)).cast("double") * F.lit(1e9)
+    return (
+        F.when(F.isnan(x), F.lit(-1.0))
+        .when(x == F.lit(float("inf")), F.lit(-2.0))
+        .when(F.abs(x) < F.lit(1e9), small)
+        .otherwise(large)
+        .alias(c.split(".")[-1])
+    )
 
 
 def _sec(c: str = TS):
@@ -52,8 +70,11 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tx = fields(spark, sf_dir)
-    return to_envelope(tx, offset="transaction_id")
+    return fixtures.fixture_envelope(spark, sf_dir)
+
+
+def _shown_fields() -> list:
+    return [shown(f) if f == "amount" else F.col(f) for f in TRANSACTION_FIELDS]
 
 
 def _merchant_view(agg: DataFrame, *extra: str) -> DataFrame:
@@ -63,10 +84,10 @@ def _merchant_view(agg: DataFrame, *extra: str) -> DataFrame:
         F.unix_seconds("window_start").alias("window_start"),
         F.unix_seconds("window_end").alias("window_end"),
         "total_transactions",
-        "total_amount",
-        "average_amount",
-        "min_amount",
-        "max_amount",
+        shown("total_amount"),
+        shown("average_amount"),
+        shown("min_amount"),
+        shown("max_amount"),
         "unique_users",
         F.array_join("currencies_used", ",").alias("currencies_used"),
     )
@@ -78,10 +99,10 @@ def _user_view(stats: DataFrame) -> DataFrame:
         F.unix_seconds("window.start").alias("window_start"),
         F.unix_seconds("window.end").alias("window_end"),
         "transaction_count",
-        "total_spent",
-        "avg_transaction_amount",
-        F.round("stddev_amount", 6).alias("stddev_amount"),
-        "max_amount_in_window",
+        shown("total_spent"),
+        shown("avg_transaction_amount"),
+        shown("stddev_amount"),
+        shown("max_amount_in_window"),
     )
 
 
@@ -89,10 +110,10 @@ def _enriched_view(df: DataFrame) -> DataFrame:
     return df.select(
         "transaction_id",
         "user_id",
-        "amount",
+        shown("amount"),
         _sec().alias("event_sec"),
         "transaction_count",
-        "avg_transaction_amount",
+        shown("avg_transaction_amount"),
     )
 
 
@@ -100,12 +121,12 @@ def _anomaly_view(df: DataFrame) -> DataFrame:
     return df.select(
         "transaction_id",
         "user_id",
-        "amount",
+        shown("amount"),
         "merchant",
         _sec().alias("event_sec"),
         "is_international",
         "transaction_count",
-        "avg_transaction_amount",
+        shown("avg_transaction_amount"),
         F.array_join("anomaly_reasons", ",").alias("anomaly_reasons"),
     )
 
@@ -113,23 +134,36 @@ def _anomaly_view(df: DataFrame) -> DataFrame:
 # ---- scans and projections -------------------------------------------------
 
 def envelope_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish the transactions as keyed JSON records to a file log, scan it back."""
+    """Publish the transactions as keyed JSON records to a file log and scan it back: the record's
+    own columns, and every field of its message."""
     path = scratch_path(spark, "envelope")
-    publish_transactions(fields(spark, sf_dir), path, offset="transaction_id")
+    tx = fixtures.fixture_transactions(spark, sf_dir, keep_id=True)
+    publish_transactions(tx, path, offset="event_id")
     env = read_envelope(spark, path)
-    return env.select(
+    message = F.from_json(F.col("value").cast("string"), TRANSACTION_SCHEMA)
+    records = env.select(
         F.col("key").cast("string").alias("key"),
         "topic",
+        "partition",
         "offset",
         F.unix_seconds("timestamp").alias("timestamp_sec"),
         "timestampType",
-        F.get_json_object(F.col("value").cast("string"), "$.transaction_id").alias("transaction_id"),
+        message.alias("m"),
+    )
+    return records.select(
+        "key",
+        "topic",
+        F.coalesce(F.col("partition").between(0, TOPIC_PARTITIONS - 1), F.col("key").isNull()).alias("partition_valid"),
+        "offset",
+        "timestamp_sec",
+        "timestampType",
+        *[shown("m.amount") if f == "amount" else F.col(f"m.{f}") for f in TRANSACTION_FIELDS],
     )
 
 
 def q_parse_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parse_transactions(_envelope(spark, sf_dir), TRANSACTION_SCHEMA)
-    return parsed.select(*TRANSACTION_FIELDS, F.unix_seconds("kafka_timestamp").alias("kafka_timestamp_sec"))
+    return parsed.select(*_shown_fields(), F.unix_seconds("kafka_timestamp").alias("kafka_timestamp_sec"))
 
 
 def q_normalize_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +173,7 @@ def q_normalize_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_valid_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return valid_transactions(with_event_time(fields(spark, sf_dir))).select(*TRANSACTION_FIELDS, _sec().alias("event_sec"))
+    return valid_transactions(with_event_time(fields(spark, sf_dir))).select(*_shown_fields(), _sec().alias("event_sec"))
 
 
 def q_sliding_window_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +208,7 @@ def q_enrich_user_stats_rangejoin(spark: SparkSession, sf_dir: str) -> DataFrame
 def _rule_hits(spark: SparkSession, sf_dir: str, reason: str) -> DataFrame:
     r = with_reasons(enrich_user_stats(transactions(spark, sf_dir)))
     return r.filter(F.array_contains("anomaly_reasons", reason)).select(
-        "transaction_id", "user_id", "amount", "is_international", "transaction_count", "avg_transaction_amount"
+        "transaction_id", "user_id", shown("amount"), "is_international", "transaction_count", shown("avg_transaction_amount")
     )
 
 
@@ -196,37 +230,25 @@ def q_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- encoders (checked on the parsed-back fields) -----------------------------
 
-_AGG_JSON_SCHEMA = (
-    "merchant string, window_start timestamp, window_end timestamp, total_transactions bigint, "
-    "total_amount double, average_amount double, min_amount double, max_amount double, "
-    "unique_users bigint, currencies_used array<string>"
-)
-_ANOM_JSON_SCHEMA = (
-    "transaction_id string, user_id string, amount double, merchant string, "
-    "transaction_timestamp timestamp, is_international boolean, transaction_count bigint, "
-    "avg_transaction_amount double, anomaly_reasons array<string>, detected_at timestamp"
-)
-
-
 def q_encode_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    enc = encode_aggregates(merchant_window_aggregates(transactions(spark, sf_dir)))
-    back = enc.select("key", F.from_json("value", _AGG_JSON_SCHEMA).alias("v")).select("key", "v.*")
+    agg = merchant_window_aggregates(transactions(spark, sf_dir))
+    back = encode_aggregates(agg).select("key", F.from_json("value", agg.select(*MERCHANT_AGG_COLUMNS).schema).alias("v")).select("key", "v.*")
     return _merchant_view(back, "key")
 
 
 def q_encode_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    enc = encode_anomalies(detect_anomalies(enrich_user_stats(transactions(spark, sf_dir))))
-    back = enc.select("key", F.from_json("value", _ANOM_JSON_SCHEMA).alias("v")).select("key", "v.*")
+    found = detect_anomalies(enrich_user_stats(transactions(spark, sf_dir)))
+    back = encode_anomalies(found).select("key", F.from_json("value", found.select(*ANOMALY_COLUMNS).schema).alias("v")).select("key", "v.*")
     return back.select(
         "key",
         "transaction_id",
         "user_id",
-        "amount",
+        shown("amount"),
         "merchant",
         _sec().alias("event_sec"),
         "is_international",
         "transaction_count",
-        "avg_transaction_amount",
+        shown("avg_transaction_amount"),
         F.array_join("anomaly_reasons", ",").alias("anomaly_reasons"),
         F.col("detected_at").isNotNull().alias("has_detected_at"),
     )
@@ -235,15 +257,14 @@ def q_encode_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- load reports --------------------------------------------------------------
 
 def _load_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message with its worker (user number mod 12), event second and whether
-    the processor accepts it."""
-    tx = with_event_time(fields(spark, sf_dir))
-    ok = F.coalesce(F.col("transaction_id").isNotNull() & (F.col("amount") > 0), F.lit(False))
-    return tx.select(
-        F.pmod(F.substring("user_id", 6, 20).try_cast("long"), F.lit(12)).alias("worker"),
-        _sec().alias("sec"),
-        ok.alias("ok"),
-    )
+    """Every record of the log with its worker (offset modulo the number of partitions,
+    as writers that take offsets in turn have it), append second and whether the
+    processor accepts its message."""
+    log = fixtures.fixture_envelope(spark, sf_dir)
+    sent = log.select(F.pmod("offset", F.lit(TOPIC_PARTITIONS)).alias("worker"), "value", "timestamp")
+    parsed = sent.select("worker", "timestamp", F.from_json(F.col("value").cast("string"), TRANSACTION_SCHEMA).alias("m"))
+    ok = F.coalesce(F.col("m.transaction_id").isNotNull() & (F.col("m.amount") > 0), F.lit(False))
+    return parsed.select("worker", F.unix_seconds("timestamp").alias("sec"), ok.alias("ok"))
 
 
 def q_throughput_by_worker(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,8 +275,13 @@ def q_throughput_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return throughput_overall(_load_view(spark, sf_dir), "worker", "sec", "ok")
 
 
+def _finite(tx: DataFrame) -> DataFrame:
+    """Rows whose JSON text is alike in both engines: no number is written with an exponent."""
+    return tx.where("amount IS NULL OR (NOT isnan(amount) AND abs(amount) >= 0.001 AND abs(amount) < 1e7)")
+
+
 def q_record_size_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return record_size_profile(fields(spark, sf_dir))
+    return record_size_profile(_finite(fields(spark, sf_dir)), include_json=True)
 
 
 def q_generate_profile(spark: SparkSession, sf_dir: str) -> DataFrame:

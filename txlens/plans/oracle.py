@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from txlens.schema import CURRENCIES, PAYMENT_METHODS, SOURCE_TOPIC, TRANSACTION_TYPES
-from txlens.sources.fixtures import FIXTURE_AMOUNT_SCALE, FIXTURE_ORIGIN_MICROS, FIXTURE_TIME_COMPRESSION
+from txlens.schema import CURRENCIES, PAYMENT_METHODS, SOURCE_TOPIC, TOPIC_PARTITIONS, TRANSACTION_TYPES
+from txlens.plans.batch import ROUNDING_SHIFT
+from txlens.sources.fixtures import FIXTURE_AMOUNT_SCALE, FIXTURE_ORIGIN_MICROS, FIXTURE_TIME_COMPRESSION, MALFORMED, spoilt
 
 
 def _list(values: list[str]) -> str:
@@ -20,13 +21,14 @@ WITH e AS (
   FROM events
 ),
 f AS (
-  SELECT CAST(event_id AS VARCHAR) AS transaction_id,
-         'user_' || CAST(user_id AS VARCHAR) AS user_id,
-         round(value * {FIXTURE_AMOUNT_SCALE}, 2) AS amount,
-         list_extract({_list(CURRENCIES)}, k % 4 + 1) AS currency,
-         CASE WHEN event_id % 2 = 0 THEN sec ELSE sec * 1000 + 999 END AS transaction_time,
-         event_type AS merchant,
-         k % 2 = 0 AS is_international,
+  SELECT event_id,
+         {spoilt("transaction_id", "CAST(event_id AS VARCHAR)", "VARCHAR")} AS transaction_id,
+         {spoilt("user_id", "'user_' || CAST(user_id AS VARCHAR)", "VARCHAR")} AS user_id,
+         {spoilt("amount", f"round(value * {FIXTURE_AMOUNT_SCALE}, 2)", "DOUBLE")} AS amount,
+         {spoilt("currency", f"list_extract({_list(CURRENCIES)}, k % 4 + 1)", "VARCHAR")} AS currency,
+         {spoilt("transaction_time", "CASE WHEN event_id % 2 = 0 THEN sec ELSE sec * 1000 + 999 END", "BIGINT")} AS transaction_time,
+         {spoilt("merchant", "event_type", "VARCHAR")} AS merchant,
+         {spoilt("is_international", "k % 2 = 0", "BOOLEAN")} AS is_international,
          list_extract({_list(TRANSACTION_TYPES)}, (k // 4) % 4 + 1) AS transaction_type,
          list_extract({_list(PAYMENT_METHODS)}, (k // 16) % 4 + 1) AS payment_method
   FROM e
@@ -41,32 +43,38 @@ tx AS (
 )
 """
 
-FIELDS = (
-    "transaction_id, user_id, amount, currency, transaction_time, merchant, "
-    "is_international, transaction_type, payment_method"
-)
-
 
-def total(expr: str = "amount") -> str:
-    return f"(CAST(sum(CAST(round({expr} * 100) AS BIGINT)) AS DOUBLE) / 100.0)"
+def shown(x: str, name: str | None = None) -> str:
+    """The comparison views' rounding (see ``txlens.plans.batch.shown``)."""
+    return (
+        f"CASE WHEN isnan({x}) THEN -1.0::DOUBLE WHEN {x} = 'Infinity'::DOUBLE THEN -2.0::DOUBLE "
+        f"WHEN abs({x}) < 1e9::DOUBLE THEN floor({x} * 1e4::DOUBLE + {ROUNDING_SHIFT}::DOUBLE) / 1e4::DOUBLE "
+        f"ELSE floor({x} / 1e9::DOUBLE + {ROUNDING_SHIFT}::DOUBLE) * 1e9::DOUBLE END AS {name or x}"
+    )
 
 
-def average(expr: str = "amount") -> str:
-    return f"({total(expr)} / CAST(count({expr}) AS DOUBLE))"
-
+FIELDS = (
+    f"transaction_id, user_id, {shown('amount')}, currency, transaction_time, merchant, "
+    "is_international, transaction_type, payment_method"
+)
+# DuckDB's own stddev refuses amounts that are not finite; Spark's gives NaN.
+STDDEV = (
+    "CASE WHEN count(amount) > 1 THEN CASE WHEN bool_or(NOT isfinite(amount)) THEN 'NaN'::DOUBLE "
+    "ELSE stddev_samp(CASE WHEN isfinite(amount) THEN amount END) END END"
+)
 
 MERCHANT_AGG = (
     BASE
     + f""",
 w AS (
   SELECT tx.*, (event_sec // 60) * 60 - o.range * 60 AS ws
-  FROM tx CROSS JOIN range(5) AS o
+  FROM tx CROSS JOIN range(5) AS o WHERE event_sec IS NOT NULL
 ),
 agg AS (
   SELECT merchant, ws AS window_start, ws + 300 AS window_end,
          count(*) AS total_transactions,
-         {total()} AS total_amount,
-         {average()} AS average_amount,
+         sum(amount) AS total_amount,
+         avg(amount) AS average_amount,
          min(amount) AS min_amount, max(amount) AS max_amount,
          count(DISTINCT user_id) AS unique_users,
          coalesce(array_to_string(list_sort(list(DISTINCT currency) FILTER (WHERE currency IS NOT NULL)), ','), '')
@@ -82,11 +90,11 @@ USER_STATS = (
 us AS (
   SELECT user_id, (event_sec // 1800) * 1800 AS window_start, (event_sec // 1800) * 1800 + 1800 AS window_end,
          count(*) AS transaction_count,
-         {total()} AS total_spent,
-         {average()} AS avg_transaction_amount,
-         round(stddev_samp(amount), 6) AS stddev_amount,
+         sum(amount) AS total_spent,
+         avg(amount) AS avg_transaction_amount,
+         {STDDEV} AS stddev_amount,
          max(amount) AS max_amount_in_window
-  FROM tx GROUP BY user_id, event_sec // 1800
+  FROM tx WHERE event_sec IS NOT NULL GROUP BY user_id, event_sec // 1800
 )
 """
 )
@@ -95,8 +103,8 @@ ENRICHED = (
     BASE
     + f""",
 s AS (
-  SELECT user_id, event_sec // 1800 AS wb, count(*) AS transaction_count, {average()} AS avg_transaction_amount
-  FROM tx WHERE user_id IS NOT NULL GROUP BY user_id, event_sec // 1800
+  SELECT user_id, event_sec // 1800 AS wb, count(*) AS transaction_count, avg(amount) AS avg_transaction_amount
+  FROM tx WHERE user_id IS NOT NULL AND event_sec IS NOT NULL GROUP BY user_id, event_sec // 1800
 ),
 en AS (
   SELECT t.*, s.transaction_count, s.avg_transaction_amount
@@ -118,53 +126,74 @@ an AS (
 """
 )
 
-ENRICHED_COLS = "transaction_id, user_id, amount, event_sec, transaction_count, avg_transaction_amount"
-RULE_COLS = "transaction_id, user_id, amount, is_international, transaction_count, avg_transaction_amount"
+_AMOUNTS = f"{shown('amount')}, "
+_AVERAGE = shown("avg_transaction_amount")
+ENRICHED_COLS = f"transaction_id, user_id, {_AMOUNTS} event_sec, transaction_count, {_AVERAGE}"
+RULE_COLS = f"transaction_id, user_id, {_AMOUNTS} is_international, transaction_count, {_AVERAGE}"
 ANOMALY_COLS = (
-    "transaction_id, user_id, amount, merchant, event_sec, is_international, "
-    "transaction_count, avg_transaction_amount, anomaly_reasons"
+    f"transaction_id, user_id, {_AMOUNTS} merchant, event_sec, is_international, "
+    f"transaction_count, {_AVERAGE}, anomaly_reasons"
 )
 MERCHANT_COLS = (
-    "merchant, window_start, window_end, total_transactions, total_amount, average_amount, "
-    "min_amount, max_amount, unique_users, currencies_used"
+    f"merchant, window_start, window_end, total_transactions, {shown('total_amount')}, {shown('average_amount')}, "
+    f"{shown('min_amount')}, {shown('max_amount')}, unique_users, currencies_used"
+)
+USER_COLS = (
+    f"user_id, window_start, window_end, transaction_count, {shown('total_spent')}, {_AVERAGE}, "
+    f"{shown('stddev_amount')}, {shown('max_amount_in_window')}"
 )
 
 LOAD = (
     BASE
-    + """,
+    + f""",
 lv AS (
-  SELECT CAST(substr(user_id, 6) AS BIGINT) % 12 AS worker, event_sec AS sec,
+  SELECT event_id % {TOPIC_PARTITIONS} AS worker, event_sec AS sec,
          coalesce(transaction_id IS NOT NULL AND amount > 0, false) AS ok
   FROM fe
 )
 """
 )
+_PARSED = ", ".join(
+    f"CASE WHEN {MALFORMED} THEN NULL ELSE {c} END AS {c}"
+    for c in "transaction_id user_id amount currency transaction_time merchant is_international transaction_type payment_method".split()
+)
+
+
+_CLOSED_ANOMALIES = (
+    f"SELECT {ANOMALY_COLS} FROM an WHERE event_sec IS NULL "
+    "OR (event_sec // 1800) * 1800 + 1800 <= (SELECT max(event_sec) FROM tx) - 600"
+)
 
 
 def sql() -> dict[str, str]:
     return {
         "envelope_scan": BASE
-        + f"SELECT user_id AS key, '{SOURCE_TOPIC}' AS topic, CAST(transaction_id AS BIGINT) AS \"offset\", "
-        "event_sec AS timestamp_sec, 0 AS timestampType, transaction_id FROM fe",
-        "parse_transactions": BASE + f"SELECT {FIELDS}, event_sec AS kafka_timestamp_sec FROM fe",
+        + f"SELECT user_id AS key, '{SOURCE_TOPIC}' AS topic, true AS partition_valid, event_id::BIGINT AS \"offset\", "
+        f"event_sec AS timestamp_sec, 0 AS timestampType, {FIELDS} FROM fe",
+        "parse_transactions": BASE
+        + f", p AS (SELECT {_PARSED}, event_sec AS kafka_timestamp_sec FROM fe) SELECT {FIELDS}, kafka_timestamp_sec FROM p",
         "normalize_epoch": BASE + "SELECT transaction_id, transaction_time, event_sec FROM fe",
         "valid_transactions": BASE + f"SELECT {FIELDS}, event_sec FROM tx",
         "sliding_window_expand": BASE
         + "SELECT transaction_id, (event_sec // 60) * 60 - o.range * 60 AS window_start, "
-        "(event_sec // 60) * 60 - o.range * 60 + 300 AS window_end FROM tx CROSS JOIN range(5) AS o",
+        "(event_sec // 60) * 60 - o.range * 60 + 300 AS window_end FROM tx CROSS JOIN range(5) AS o WHERE event_sec IS NOT NULL",
         "merchant_window_aggregates": MERCHANT_AGG + f"SELECT {MERCHANT_COLS} FROM agg",
-        "user_window_stats": USER_STATS + "SELECT * FROM us",
+        "user_window_stats": USER_STATS + f"SELECT {USER_COLS} FROM us",
         "enrich_user_stats": ENRICHED + f"SELECT {ENRICHED_COLS} FROM en",
         "enrich_user_stats_rangejoin": ENRICHED + f"SELECT {ENRICHED_COLS} FROM en",
         "anomaly_high_amount": ENRICHED + f"SELECT {RULE_COLS} FROM r WHERE r_amount",
         "anomaly_high_frequency": ENRICHED + f"SELECT {RULE_COLS} FROM r WHERE r_frequency",
         "anomaly_high_international": ENRICHED + f"SELECT {RULE_COLS} FROM r WHERE r_international",
         "anomalies": ENRICHED + f"SELECT {ANOMALY_COLS} FROM an",
-        "anomalies_stream": ENRICHED
-        + f"SELECT {ANOMALY_COLS} FROM an WHERE (event_sec // 1800) * 1800 + 1800 <= (SELECT max(event_sec) FROM tx) - 600",
+        "anomalies_stream": ENRICHED + _CLOSED_ANOMALIES,
+        "anomalies_stream_salted": ENRICHED + _CLOSED_ANOMALIES,
+        "anomalies_stream_landed": ENRICHED + _CLOSED_ANOMALIES,
         "merchant_aggregates_stream": MERCHANT_AGG + f"SELECT {MERCHANT_COLS} FROM agg",
+        "merchant_aggregates_stream_bucketed": MERCHANT_AGG + f"SELECT {MERCHANT_COLS} FROM agg",
+        "merchant_windows_closed_stream": MERCHANT_AGG
+        + f"SELECT {MERCHANT_COLS} FROM agg WHERE window_end <= (SELECT max(event_sec) FROM tx) - 600",
         "user_window_stats_stream": USER_STATS
-        + "SELECT * FROM us WHERE window_end <= (SELECT max(event_sec) FROM tx) - 600",
+        + f"SELECT {USER_COLS} FROM us WHERE window_end <= (SELECT max(event_sec) FROM tx) - 600",
         "encode_aggregates": MERCHANT_AGG + f"SELECT merchant AS key, {MERCHANT_COLS} FROM agg",
         "encode_anomalies": ENRICHED
         + f"SELECT transaction_id AS key, {ANOMALY_COLS}, true AS has_detected_at FROM an",
@@ -190,15 +219,22 @@ SELECT *, CAST(300000 AS DOUBLE) AS target_throughput, throughput >= 300000 AS t
         + """, sz AS (
   SELECT *, coalesce(strlen(transaction_id), 0) + coalesce(strlen(user_id), 0) + coalesce(strlen(currency), 0)
             + coalesce(strlen(merchant), 0) + coalesce(strlen(transaction_type), 0)
-            + coalesce(strlen(payment_method), 0) + 17 AS row_bytes
-  FROM f
+            + coalesce(strlen(payment_method), 0) + 8 + 8 + 4 AS row_bytes,
+         -- braces, then name, quotes, colon, comma and value of each field that is present
+         1 + coalesce(strlen(transaction_id) + 20, 0) + coalesce(strlen(user_id) + 13, 0)
+           + coalesce(strlen(amount::VARCHAR) + 10, 0) + coalesce(strlen(currency) + 14, 0)
+           + coalesce(strlen(transaction_time::VARCHAR) + 20, 0) + coalesce(strlen(merchant) + 14, 0)
+           + coalesce(strlen(is_international::VARCHAR) + 20, 0) + coalesce(strlen(transaction_type) + 22, 0)
+           + coalesce(strlen(payment_method) + 20, 0) AS json_bytes
+  FROM f WHERE amount IS NULL OR (NOT isnan(amount) AND abs(amount) >= 0.001 AND abs(amount) < 1e7)
 ), g AS (
   SELECT count(*) AS records,
          avg(strlen(transaction_id)) AS avg_transaction_id_bytes, avg(strlen(user_id)) AS avg_user_id_bytes,
          avg(strlen(currency)) AS avg_currency_bytes, avg(strlen(merchant)) AS avg_merchant_bytes,
          avg(strlen(transaction_type)) AS avg_transaction_type_bytes,
          avg(strlen(payment_method)) AS avg_payment_method_bytes,
-         avg(row_bytes) AS avg_record_bytes, CAST(sum(row_bytes) AS BIGINT) AS raw_bytes
+         avg(row_bytes) AS avg_record_bytes, CAST(sum(row_bytes) AS BIGINT) AS raw_bytes,
+         avg(json_bytes) AS avg_json_bytes
   FROM sz
 )
 SELECT *, CAST(raw_bytes AS DOUBLE) * 1.5 * 3 / 5.0 AS stored_bytes FROM g""",

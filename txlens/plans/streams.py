@@ -14,70 +14,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from txlens.operators.aggregates import merchant_window_aggregates, user_window_stats
+from pyspark.sql.streaming import StreamingQuery
+
+from txlens.operators.aggregates import (
+    merchant_window_aggregates,
+    merchant_window_buckets,
+    merchant_window_closed,
+    merge_buckets,
+    user_window_stats,
+)
 from txlens.operators.anomalies import detect_anomalies, enrich_user_stats
 from txlens.operators.clean import clean_transactions
-from txlens.plans.batch import _anomaly_view, _merchant_view, _user_view, fields
+from txlens.plans.batch import _anomaly_view, _merchant_view, _user_view
 from txlens.session import scratch_path
-from txlens.sources.envelope import file_source_options, read_envelope, to_envelope, write_envelope_splits
+from txlens.sources.envelope import file_source_options, read_envelope, write_envelope_splits
+from txlens.sources.fixtures import fixture_envelope
+from txlens.streaming.queries import read_landed, start_landing
 from txlens.streaming.sinks import latest_per_key, start_stream
 
 N_SPLITS = 4
-FILES_PER_SPLIT = None  # default: the cluster's parallelism
-TIMEOUT_SEC = 900
-
-
-_PUBLISHED: dict[tuple, str] = {}
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists, on any Hadoop filesystem (True if it cannot be checked)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-    except Exception:
-        return True
-
-
-def _parallelism(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:
-        return 8
 
 
-def _app_id(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:
-        return spark.conf.get("spark.app.id", "app")
-
-
-def stream_source(spark: SparkSession, sf_dir: str, n_splits: int = N_SPLITS, files_per_split: int | None = FILES_PER_SPLIT) -> DataFrame:
+def stream_source(spark: SparkSession, sf_dir: str, n_splits: int = N_SPLITS, files_per_split: int | None = None) -> DataFrame:
     """Publish the fixture transactions as ``n_splits`` time-ordered file batches and
-    subscribe to them as a stream of envelopes.
-
-    The log is written once per application and input folder and then shared by
-    every stream query (its files never change after the write)."""
-    files_per_split = files_per_split or _parallelism(spark)
-    key = (_app_id(spark), sf_dir, n_splits, files_per_split)
-    path = _PUBLISHED.get(key)
-    if path is None or not _exists(spark, path):
-        path = publish_log(spark, sf_dir, n_splits, files_per_split)
-        _PUBLISHED[key] = path
+    subscribe to them as a stream of envelopes. Every call writes a log of its own, so a
+    query's time holds the time of its log."""
+    files_per_split = files_per_split or spark.sparkContext.defaultParallelism
+    path = publish_log(spark, sf_dir, n_splits, files_per_split)
     return read_envelope(spark, path, streaming=True, options=file_source_options(max_files_per_trigger=files_per_split))
 
 
-def publish_log(spark: SparkSession, sf_dir: str, n_splits: int = N_SPLITS, files_per_split: int | None = FILES_PER_SPLIT) -> str:
+def publish_log(spark: SparkSession, sf_dir: str, n_splits: int = N_SPLITS, files_per_split: int | None = None) -> str:
     """Write the fixture transactions as envelopes in ``n_splits`` time-ordered appends."""
-    files_per_split = files_per_split or _parallelism(spark)
-    env = to_envelope(fields(spark, sf_dir), offset="transaction_id")
+    files_per_split = files_per_split or spark.sparkContext.defaultParallelism
+    env = fixture_envelope(spark, sf_dir)
     sec = F.unix_seconds("timestamp")
     lo, hi = env.agg(F.min(sec), F.max(sec)).first()
     span = max(1, (hi or 0) - (lo or 0) + 1)
     split = F.least(F.floor((sec - F.lit(lo)) * F.lit(n_splits) / F.lit(span)), F.lit(n_splits - 1)).cast("int")
+    split = F.coalesce(split, F.pmod("offset", F.lit(n_splits)).cast("int"))  # records without a time arrive at any time
     path = scratch_path(spark, "log")
     write_envelope_splits(env.withColumn("_split", split), path, "_split", n_splits, files_per_split)
     return path
@@ -86,26 +61,24 @@ def publish_log(spark: SparkSession, sf_dir: str, n_splits: int = N_SPLITS, file
 def state_partitions(spark: SparkSession) -> int:
     """State partitions for these runs: the session's shuffle partitions, capped at
     the cluster's parallelism (each stateful task per micro-batch has a fixed cost)."""
-    sp = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        return max(1, min(sp, spark.sparkContext.defaultParallelism))
-    except Exception:  # no SparkContext in this client
-        return min(sp, 32)
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
+def _finish(q: StreamingQuery) -> None:
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
 
 
 def _run(df: DataFrame, name: str, mode: str) -> str:
     spark = df.sparkSession
     out = scratch_path(spark, f"{name}-out")
     ckpt = scratch_path(spark, f"{name}-ckpt")
-    q = start_stream(
-        df, name, mode, ckpt, "parquet", out, trigger={"availableNow": True}, state_partitions=state_partitions(spark)
+    _finish(
+        start_stream(
+            df, name, mode, ckpt, "parquet", out, trigger={"availableNow": True}, state_partitions=state_partitions(spark)
+        )
     )
-    q.awaitTermination(TIMEOUT_SEC)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {name} did not finish in {TIMEOUT_SEC}s")
-    if q.exception():
-        raise RuntimeError(str(q.exception()))
     return out
 
 
@@ -116,13 +89,49 @@ def q_merchant_aggregates_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merchant_view(last)
 
 
+def q_merchant_aggregates_stream_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same aggregates with state per bucket of users, merged from the latest parts."""
+    tx = clean_transactions(stream_source(spark, sf_dir))
+    out = _run(merchant_window_buckets(tx, 8), "merchant_buckets", "update")
+    last = latest_per_key(spark.read.parquet(out), ["merchant", "window_start", "window_end", "bucket"])
+    return _merchant_view(merge_buckets(last))
+
+
+def q_merchant_windows_closed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append mode: only windows that the watermark closed; those open at the log's end are not
+    emitted."""
+    tx = clean_transactions(stream_source(spark, sf_dir))
+    out = _run(merchant_window_closed(tx), "merchant_closed", "append")
+    return _merchant_view(spark.read.parquet(out))
+
+
 def q_user_window_stats_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append mode: only windows that the watermark closed; those open at the log's end are not
+    emitted."""
     tx = clean_transactions(stream_source(spark, sf_dir))
     out = _run(user_window_stats(tx), "user_window_stats", "append")
     return _user_view(spark.read.parquet(out))
 
 
 def q_anomalies_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append mode: transactions of windows that the watermark closed (and those without event
+    time); those of windows open at the log's end are not emitted."""
     tx = clean_transactions(stream_source(spark, sf_dir))
     out = _run(detect_anomalies(enrich_user_stats(tx)), "anomalies", "append")
     return _anomaly_view(spark.read.parquet(out))
+
+
+def q_anomalies_stream_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with each user's buffered transactions spread over eight state partitions."""
+    tx = clean_transactions(stream_source(spark, sf_dir))
+    out = _run(detect_anomalies(enrich_user_stats(tx, stream_salt_buckets=8)), "anomalies_salted", "append")
+    return _anomaly_view(spark.read.parquet(out))
+
+
+def q_anomalies_stream_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over the table that a landing query parses each message into once."""
+    landed = scratch_path(spark, "landed")
+    _finish(start_landing(stream_source(spark, sf_dir), landed, scratch_path(spark, "landing-ckpt"), trigger={"availableNow": True}))
+    tx = read_landed(spark, landed, max_files_per_trigger=spark.sparkContext.defaultParallelism)
+    out = _run(detect_anomalies(enrich_user_stats(tx)), "anomalies_landed", "append")
+    return _anomaly_view(spark.read.parquet(out))

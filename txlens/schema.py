@@ -14,31 +14,6 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-# Transaction message as it arrives in the log (JSON object with these nine fields).
-TRANSACTION_SCHEMA = StructType(
-    [
-        StructField("transaction_id", StringType(), False),
-        StructField("user_id", StringType(), False),
-        StructField("amount", DoubleType(), False),
-        StructField("currency", StringType(), True),
-        StructField("transaction_time", LongType(), False),
-        StructField("merchant", StringType(), True),
-        StructField("is_international", BooleanType(), True),
-        StructField("transaction_type", StringType(), True),
-        StructField("payment_method", StringType(), True),
-    ]
-)
-TRANSACTION_FIELDS = [f.name for f in TRANSACTION_SCHEMA.fields]
-
-# Parsed, typed transactions as landed in a columnar table (all fields nullable).
-LANDED_SCHEMA = StructType(
-    [StructField(f.name, f.dataType, True) for f in TRANSACTION_SCHEMA.fields]
-    + [
-        StructField("kafka_timestamp", TimestampType(), True),
-        StructField("transaction_timestamp", TimestampType(), True),
-    ]
-)
-
 # Columns of a message-log record (the shape of Spark's Kafka source).
 ENVELOPE_SCHEMA = StructType(
     [
@@ -55,6 +30,47 @@ ENVELOPE_SCHEMA = StructType(
 # ---------------------------------------------------------------------------
 # These must equal the reference's for the same results.
 # ---------------------------------------------------------------------------
+# Transaction message as it arrives in the log (JSON object with these nine fields).
+TRANSACTION_SCHEMA = StructType(
+    [
+        StructField("transaction_id", StringType(), False),
+        StructField("user_id", StringType(), False),
+        StructField("amount", DoubleType(), False),
+        StructField("currency", StringType(), True),
+        StructField("transaction_time", LongType(), False),
+        StructField("merchant", StringType(), True),
+        StructField("is_international", BooleanType(), True),
+        StructField("transaction_type", StringType(), True),
+        StructField("payment_method", StringType(), True),
+    ]
+)
+
+# Output column order of the merchant aggregates and the anomaly records.
+MERCHANT_AGG_COLUMNS = [
+    "merchant",
+    "window_start",
+    "window_end",
+    "total_transactions",
+    "total_amount",
+    "average_amount",
+    "min_amount",
+    "max_amount",
+    "unique_users",
+    "currencies_used",
+]
+ANOMALY_COLUMNS = [
+    "transaction_id",
+    "user_id",
+    "amount",
+    "merchant",
+    "transaction_timestamp",
+    "is_international",
+    "transaction_count",
+    "avg_transaction_amount",
+    "anomaly_reasons",
+    "detected_at",
+]
+
 SOURCE_TOPIC = "log_finance_transactions_v1"
 AGGREGATES_TOPIC = "finance_transaction_aggregates_v1"
 ANOMALIES_TOPIC = "finance_transaction_anomalies_v1"
@@ -96,34 +112,18 @@ STORAGE_REPLICAS = 3
 STORAGE_COMPRESSION = 5.0
 # ---------------------------------------------------------------------------
 
-# Name of the optional parse-once landing query (ours, not a fixed value).
-LANDING_QUERY_NAME = "LandTransactions"
+TRANSACTION_FIELDS = [f.name for f in TRANSACTION_SCHEMA.fields]
 
-# Decimal places kept for money: sums are exact integers of 10^-AMOUNT_SCALE units.
-AMOUNT_SCALE = 2
+# Parsed, typed transactions as landed in a columnar table (all fields nullable).
+LANDED_SCHEMA = StructType(
+    [StructField(f.name, f.dataType, True) for f in TRANSACTION_SCHEMA.fields]
+    + [
+        StructField("kafka_timestamp", TimestampType(), True),
+        StructField("transaction_timestamp", TimestampType(), True),
+    ]
+)
 
-# Output column order of the merchant aggregates and the anomaly records.
-MERCHANT_AGG_COLUMNS = [
-    "merchant",
-    "window_start",
-    "window_end",
-    "total_transactions",
-    "total_amount",
-    "average_amount",
-    "min_amount",
-    "max_amount",
-    "unique_users",
-    "currencies_used",
-]
-ANOMALY_COLUMNS = [
-    "transaction_id",
-    "user_id",
-    "amount",
-    "merchant",
-    "transaction_timestamp",
-    "is_international",
-    "transaction_count",
-    "avg_transaction_amount",
-    "anomaly_reasons",
-    "detected_at",
-]
+# Name of the optional parse-once landing query (ours, not a fixed value).
+LANDING_QUERY_NAME = "LandTransactions"
+# Name of the append form of the merchant aggregates (ours too).
+CLOSED_WINDOWS_QUERY_NAME = "ClosedMerchantWindows"

@@ -41,8 +41,8 @@ def build_session(
 
 
 def cluster_conf(
+    total_cores: int,
     input_bytes: int | None = None,
-    total_cores: int | None = None,
     partition_mb: int = 128,
     rocksdb_state: bool = True,
 ) -> dict[str, str]:
@@ -54,7 +54,7 @@ def cluster_conf(
     into ``partition_mb`` splits. Large streaming state goes to RocksDB.
     """
     mb = 1024 * 1024
-    parts = 3 * (total_cores or 8)
+    parts = 3 * total_cores
     if input_bytes:
         parts = max(parts, int(input_bytes // (partition_mb * mb)) + 1)
     conf = {
@@ -74,23 +74,33 @@ def cluster_conf(
     return conf
 
 
+def size_session(spark: SparkSession, input_bytes: int | None = None) -> None:
+    """Apply :func:`cluster_conf` for the cores that the running cluster offers."""
+    for k, v in cluster_conf(spark.sparkContext.defaultParallelism, input_bytes).items():
+        spark.conf.set(k, v)
+
+
+def is_local(master: str) -> bool:
+    """Whether driver and executors share one machine (and its folders)."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a folder of our own
-    is created and registered.
+    Read from the session. Only in a local session without it (tests) a folder of our own
+    is created and registered; on a cluster its absence is an error, since a
+    machine-local folder is not seen by other machines and is lost with them.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # no SparkContext in this client (e.g. Spark Connect)
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        return root or tempfile.mkdtemp(prefix="txlens-ckpt-")
+    sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         current = sc.getCheckpointDir()
         if current:
             # getCheckpointDir adds a per-application subfolder; use its parent.
             return current.rsplit("/", 1)[0]
+        if not is_local(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="txlens-ckpt-")
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():

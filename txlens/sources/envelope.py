@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from txlens.functions.json import encode_json
 from txlens.schema import (
     ENVELOPE_SCHEMA,
-    MAX_OFFSETS_PER_TRIGGER,
     SOURCE_TOPIC,
     TOPIC_PARTITIONS,
     TRANSACTION_FIELDS,
@@ -25,7 +24,7 @@ def kafka_source_options(
     topic: str = SOURCE_TOPIC,
     starting_offsets: str = "earliest",
     fail_on_data_loss: bool = False,
-    max_offsets_per_trigger: int | None = MAX_OFFSETS_PER_TRIGGER,
+    max_offsets_per_trigger: int | None = None,
     session_timeout_ms: int = 30000,
     request_timeout_ms: int = 40000,
     max_poll_interval_ms: int = 300000,
@@ -34,7 +33,9 @@ def kafka_source_options(
     extra: dict[str, str] | None = None,
 ) -> dict[str, str]:
     """Options of the Kafka source: subscribe from the earliest offset, tolerate data
-    loss, admit at most ``max_offsets_per_trigger`` records a micro-batch.
+    loss. ``max_offsets_per_trigger`` caps the records of a micro-batch; unset, a batch takes
+    what has arrived, so a backlog never grows behind a cap (the job's own value is
+    ``MAX_OFFSETS_PER_TRIGGER``).
 
     ``min_partitions``: Spark splits the offset range of a large topic partition
     over several tasks until there are at least this many, so a partition holding
@@ -90,12 +91,7 @@ def read_envelope(
     if fmt == "kafka":
         return reader.format("kafka").options(**(options or {})).load()
     reader = reader.format(fmt).schema(ENVELOPE_SCHEMA).options(**(options or {}))
-    df = reader.load(path)
-    if not streaming:
-        from txlens.sources.fixtures import ensure_parallelism
-
-        df = ensure_parallelism(df)  # a file Spark cannot split is not read row-wise by one task
-    return df
+    return reader.load(path)
 
 
 def to_envelope(
@@ -112,13 +108,15 @@ def to_envelope(
     necessarily dense); without it a per-task increasing id is used. ``timestamp``
     names the log-append time; default: the transaction's event time.
     """
-    fields = [c for c in TRANSACTION_FIELDS if c in tx.columns]
+    absent = [c for c in TRANSACTION_FIELDS if c not in tx.columns]
+    if absent:
+        raise ValueError(f"the message needs the columns {absent}")
     key = F.col("user_id").cast("binary")
     ts = F.col(timestamp) if timestamp else _event_time_of(tx)
     off = F.col(offset).cast("long") if offset else F.monotonically_increasing_id()
     return tx.select(
         key.alias("key"),
-        encode_json(*fields, keep_nulls=True).cast("binary").alias("value"),
+        encode_json(*TRANSACTION_FIELDS, keep_nulls=True).cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
         F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int").alias("partition"),
         off.alias("offset"),
@@ -179,12 +177,17 @@ def write_envelope_splits(
     files_per_split: int = 2,
     fmt: str = "parquet",
 ) -> int:
-    """Write envelopes as ``n_splits`` successive appends (split 0 first), each of
+    """Write envelopes as ``n_splits`` successive sets of files (split 0 first), each of
     exactly ``files_per_split`` files, so a file stream with
-    ``maxFilesPerTrigger=files_per_split`` sees one split a micro-batch in order
-    (the file source orders by modification time). Returns files_per_split.
+    ``maxFilesPerTrigger=files_per_split`` sees one split a micro-batch in order. The
+    source is computed once, into a staging folder partitioned by split; the appends only
+    copy from it. (A file source orders by modification time.) Returns files_per_split.
     """
+    spark = env.sparkSession
+    staged = f"{path.rstrip('/')}-staged"
+    env.write.partitionBy(split_col).format(fmt).save(staged)
+    schema = env.schema
     for i in range(n_splits):
-        part = env.filter(F.col(split_col) == i).drop(split_col)
+        part = spark.read.format(fmt).schema(schema).load(staged).filter(F.col(split_col) == i).drop(split_col)
         part.repartition(files_per_split).write.mode("append").format(fmt).save(path)
     return files_per_split

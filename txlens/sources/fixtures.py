@@ -2,44 +2,78 @@
 
 ``transactions_from_events`` maps the ``events`` table onto the nine transaction
 fields (time compressed 120x so a month becomes six hours, values scaled 20x), so
-that every anomaly rule both fires and misses. Pure column expressions: it scans
-``events`` once, pruned to the six columns used.
+that every anomaly rule both fires and misses. By the event id, some rows get what
+real logs hold and the table does not: absent ids, users, merchants, currencies, flags and
+times, amounts of zero, below zero, below a cent, very large or not finite (``SPOILT``).
+Pure column expressions: it scans ``events`` once, pruned to the six columns used.
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from txlens.functions.columns import ntz_epoch_micros
 from txlens.schema import CURRENCIES, PAYMENT_METHODS, TRANSACTION_TYPES
+from txlens.session import local_path
+from txlens.sources.envelope import to_envelope
 
 # Fixed values of the fixture mapping: origin 2024-01-01 UTC in microseconds,
 # time compression and amount scale.
 FIXTURE_ORIGIN_MICROS = 1704067200000000
 FIXTURE_TIME_COMPRESSION = 120
 FIXTURE_AMOUNT_SCALE = 20
+# What is spoilt, as (field, modulus, remainder of the event id, SQL value).
+SPOILT = [
+    ("transaction_id", 97, 1, "NULL"),
+    ("user_id", 97, 2, "NULL"),
+    ("merchant", 97, 3, "NULL"),
+    ("currency", 97, 4, "NULL"),
+    ("is_international", 97, 5, "NULL"),
+    ("transaction_time", 97, 6, "NULL"),
+    ("amount", 97, 7, "0.0"),
+    ("amount", 97, 8, "-5.25"),
+    ("amount", 97, 9, "0.004"),
+    ("amount", 97, 10, "NULL"),
+    ("amount", 997, 11, "2e17"),
+    ("amount", 1999, 12, "'NaN'"),
+    ("amount", 1999, 13, "'Infinity'"),
+]
+# Rows without an id whose message in the log is not JSON at all: every second of them.
+MALFORMED = "event_id % 97 = 1 AND event_id % 2 = 1"
+
+
+def spoilt(field: str, value: str, kind: str) -> str:
+    """SQL (Spark's and DuckDB's) of a field with its spoilt values."""
+    cases = " ".join(f"WHEN event_id % {m} = {r} THEN CAST({v} AS {kind})" for f, m, r, v in SPOILT if f == field)
+    return f"CASE {cases} ELSE {value} END"
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Read a supplied table; see :func:`ensure_parallelism`."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df) if spread else df
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    return ensure_parallelism(df, path) if spread else df
+
 
+#: Local tables up to this size are spread over the cores after the scan.
+SPREAD_BYTES = 256 * 1024 * 1024
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread an under-split scan (e.g. one file with a single row group, which Spark
-    cannot split) over the cluster's cores, so row-wise work does not run in one task.
 
-    Wide scans -- any input with at least ``defaultParallelism`` splits, i.e. every
-    large table -- are returned unchanged: no shuffle is added at scale.
+def ensure_parallelism(df: DataFrame, path: str, min_partitions: int | None = None) -> DataFrame:
+    """Spread a small local file (e.g. one row group, which Spark cannot split) over the
+    cores, so row-wise work does not run in one task. Anything on another file system, or
+    beyond ``SPREAD_BYTES``, is returned unchanged: no exchange is added to a large scan.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # no SparkContext in this client (e.g. Spark Connect): leave as is
+    local = local_path(path)
+    if local is None or not os.path.exists(local):
+        return df
+    files = [local] if os.path.isfile(local) else [os.path.join(d, n) for d, _, names in os.walk(local) for n in names if n[0] not in "._"]
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if sum(map(os.path.getsize, files)) > SPREAD_BYTES or len(files) >= target:
         return df
     return df.repartition(target)
 
@@ -54,11 +88,12 @@ def _sql_array(values: list[str]) -> str:
     return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-def transactions_from_events(events: DataFrame) -> DataFrame:
+def transactions_from_events(events: DataFrame, keep_id: bool = False) -> DataFrame:
     """events(event_id, ts, user_id, event_type, value, props) -> transaction fields.
 
     Half the rows carry ``transaction_time`` in milliseconds (+999 ms), the other
-    half in seconds, so both branches of the epoch rule are exercised.
+    half in seconds, so both branches of the epoch rule are exercised. ``keep_id`` adds
+    ``event_id`` (the log's offset, present in every row).
     """
     ts_type = events.schema["ts"].dataType
     if not isinstance(ts_type, TimestampNTZType):
@@ -79,6 +114,7 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
             F.get_json_object("props", "$.k").cast("int").alias("_k"),
         )
         .selectExpr(
+            "event_id",
             "cast(event_id as string) as transaction_id",
             "concat('user_', user_id) as user_id",
             f"round(value * {FIXTURE_AMOUNT_SCALE}, 2) as amount",
@@ -88,23 +124,28 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
             "_k % 2 = 0 as is_international",
             f"element_at({_sql_array(TRANSACTION_TYPES)}, cast((_k div 4) % 4 + 1 as int)) as transaction_type",
             f"element_at({_sql_array(PAYMENT_METHODS)}, cast((_k div 16) % 4 + 1 as int)) as payment_method",
-            "event_id",
         )
-        .select(
-            "transaction_id",
-            "user_id",
-            "amount",
-            "currency",
-            F.when(F.col("event_id") % 2 == 0, F.col("_sec"))
-            .otherwise(F.col("_sec") * 1000 + 999)
-            .alias("transaction_time"),
-            "merchant",
-            "is_international",
+        .selectExpr(
+            spoilt("transaction_id", "transaction_id", "string") + " as transaction_id",
+            spoilt("user_id", "user_id", "string") + " as user_id",
+            spoilt("amount", "amount", "double") + " as amount",
+            spoilt("currency", "currency", "string") + " as currency",
+            spoilt("transaction_time", "CASE WHEN event_id % 2 = 0 THEN _sec ELSE _sec * 1000 + 999 END", "bigint") + " as transaction_time",
+            spoilt("merchant", "merchant", "string") + " as merchant",
+            spoilt("is_international", "is_international", "boolean") + " as is_international",
             "transaction_type",
             "payment_method",
+            *(["event_id"] if keep_id else []),
         )
     )
 
 
-def fixture_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transactions_from_events(load_table(spark, sf_dir, "events"))
+def fixture_transactions(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFrame:
+    return transactions_from_events(load_table(spark, sf_dir, "events"), keep_id)
+
+
+def fixture_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture transactions as log records (offset = event id), some of them malformed."""
+    env = to_envelope(fixture_transactions(spark, sf_dir, keep_id=True).withColumn("offset", F.col("event_id")), offset="offset")
+    broken = F.expr(MALFORMED.replace("event_id", "offset"))
+    return env.withColumn("value", F.when(broken, F.lit("{not json").cast("binary")).otherwise(F.col("value")))

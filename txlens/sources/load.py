@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txlens.schema import PRODUCER_TARGET_MSGS_PER_SEC, SOURCE_TOPIC, TOPIC_PARTITIONS
+from txlens.session import build_session, size_session
 from txlens.sources.envelope import publish_transactions, read_envelope
 from txlens.sources.generate import generate_transactions
 
@@ -71,11 +72,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--topic", default=SOURCE_TOPIC)
     p.add_argument("--seed", type=int, default=42)
     a = p.parse_args(argv)
-    from txlens.session import build_session
-
-    from txlens.session import cluster_conf
-
-    spark = build_session(master=None, app_name="txlens-load", extra=cluster_conf(rocksdb_state=False))
+    spark = build_session(master=None, app_name="txlens-load")
+    size_session(spark)
     kopts = {"kafka.bootstrap.servers": a.bootstrap_servers} if a.format == "kafka" else None
     print(json.dumps(run_load(spark, a.rows, a.out, a.format, kopts, a.topic, seed=a.seed)))
     spark.stop()

@@ -7,7 +7,7 @@ from txlens.streaming.queries import (  # noqa: F401
     start_anomaly_detection,
     start_merchant_aggregates,
 )
-from txlens.streaming.monitor import progress_summary  # noqa: F401
+from txlens.streaming.monitor import ProgressTotals  # noqa: F401
 from txlens.streaming.sinks import (  # noqa: F401
     kafka_sink_options,
     latest_per_key,

@@ -1,8 +1,8 @@
 """The processor: one parsed transaction stream feeding the two continuous queries.
 
 ``python -m txlens.streaming.app --source-format kafka --bootstrap-servers HOST:PORT``
-runs like the original job (earliest offsets, 10,000 records a micro-batch, keyed JSON
-to the two output topics, one checkpoint folder per query). ``--source-format
+runs like the original job (earliest offsets, keyed JSON to the two output topics, one
+checkpoint folder per query); ``--max-offsets-per-trigger 10000`` adds its cap on a micro-batch. ``--source-format
 parquet --source-path DIR --sink-format parquet --sink-root DIR`` runs the same
 queries over a file log.
 """
@@ -16,16 +16,21 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txlens.operators.clean import clean_transactions
 from txlens.schema import AGGREGATES_TOPIC, ANOMALIES_TOPIC, SOURCE_TOPIC, STATE_SHUFFLE_PARTITIONS
-from txlens.session import ensure_checkpoint_dir
+from txlens.session import build_session, size_session
 from txlens.sources.envelope import file_source_options, kafka_source_options, read_envelope
 from txlens.streaming.queries import (
     await_any_then_stop,
     read_landed,
     start_anomaly_detection,
+    start_closed_merchant_windows,
     start_landing,
     start_merchant_aggregates,
+    start_merchant_aggregates_bucketed,
 )
 
+#: Buckets that hot users and merchants are spread over by default.
+DEFAULT_BUCKETS = 8
+
 
 def start_processor(
     spark: SparkSession,
@@ -39,21 +44,33 @@ def start_processor(
     trigger: dict | None = None,
     state_partitions: int | None = STATE_SHUFFLE_PARTITIONS,
     exact_distinct: bool = True,
-    bounded_state: bool = False,
+    landing: bool = True,
     landing_path: str | None = None,
-    salt_buckets: int = 1,
+    salt_buckets: int = DEFAULT_BUCKETS,
+    user_buckets: int = DEFAULT_BUCKETS,
+    closed_windows: bool = False,
 ) -> list[StreamingQuery]:
     """Start MerchantAggregates (update) and AnomalyDetection (append) on one source.
 
-    With ``landing_path`` a third query, LandTransactions, parses each message once
-    into a columnar table that the two queries read (otherwise each query parses the
-    log itself, the anomaly query once per plan branch). With an ``availableNow``
-    trigger the landing finishes before the two queries start.
+    ``checkpoint_root`` is required: it belongs to this source and these sinks, and a
+    restart goes on from it. By default a third query, LandTransactions, parses each
+    message once into a columnar table (``landing_path``, or a folder of the checkpoint
+    root) that the two queries read; with ``landing=False`` each parses the log itself, the
+    anomaly query once per plan branch. With an ``availableNow`` trigger the landing
+    finishes before the two queries start.
+
+    ``salt_buckets`` spreads a user's buffered transactions, ``user_buckets`` a merchant's
+    users over so many state rows, so that a hot key does not sit in one partition (1: no
+    spreading). ``closed_windows`` adds the query that emits each merchant window once.
     """
-    root = (checkpoint_root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/txlens-processor").rstrip("/")
+    if not checkpoint_root:
+        raise ValueError("the processor needs a checkpoint_root of its own, shared by all machines")
+    root = checkpoint_root.rstrip("/")
+    if landing and not landing_path:
+        landing_path = f"{root}/landed"
     env = read_envelope(spark, source_path, source_format, streaming=True, options=source_options)
     started: list[StreamingQuery] = []
-    if landing_path:
+    if landing:
         q0 = start_landing(env, landing_path, f"{root}/landing", trigger=trigger)
         started.append(q0)
         if trigger and trigger.get("availableNow"):
@@ -70,15 +87,29 @@ def start_processor(
         tx = clean_transactions(env)
     agg_path = f"{sink_root.rstrip('/')}/aggregates" if sink_root else None
     anom_path = f"{sink_root.rstrip('/')}/anomalies" if sink_root else None
-    q1 = start_merchant_aggregates(
-        tx, f"{root}/aggregates", sink_format, agg_path, sink_options, trigger=trigger,
-        state_partitions=state_partitions, exact_distinct=exact_distinct, bounded_state=bounded_state,
-    )
+    if user_buckets > 1 and exact_distinct:
+        q1 = start_merchant_aggregates_bucketed(
+            tx, f"{root}/aggregates", f"{root}/aggregate-parts", user_buckets, sink_format, agg_path, sink_options,
+            trigger=trigger, state_partitions=state_partitions,
+        )
+    else:
+        q1 = start_merchant_aggregates(
+            tx, f"{root}/aggregates", sink_format, agg_path, sink_options, trigger=trigger,
+            state_partitions=state_partitions, exact_distinct=exact_distinct,
+        )
+    started.append(q1)
+    if closed_windows:
+        closed_path = f"{sink_root.rstrip('/')}/closed" if sink_root else None
+        started.append(
+            start_closed_merchant_windows(
+                tx, f"{root}/closed", sink_format, closed_path, sink_options, trigger=trigger, state_partitions=state_partitions
+            )
+        )
     q2 = start_anomaly_detection(
         tx, f"{root}/anomalies", sink_format, anom_path, sink_options, trigger=trigger,
         state_partitions=state_partitions, salt_buckets=salt_buckets,
     )
-    return started + [q1, q2]
+    return started + [q2]
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -92,27 +123,30 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--min-partitions", type=int, help="split large topic partitions over at least this many tasks")
     p.add_argument("--sink-format", default="kafka")
     p.add_argument("--sink-root")
-    p.add_argument("--checkpoint-root")
-    p.add_argument("--landing-path", help="parse once into this columnar table; both queries read it")
-    p.add_argument("--salt-buckets", type=int, default=1,
+    p.add_argument("--checkpoint-root", required=True, help="folder shared by all machines; a restart goes on from it")
+    p.add_argument("--starting-offsets", default="earliest")
+    p.add_argument("--max-offsets-per-trigger", type=int, help="cap on the records of a micro-batch (unset: none)")
+    p.add_argument("--landing-path", help="columnar table that messages are parsed into once (default: in the checkpoint root)")
+    p.add_argument("--no-landing", action="store_true", help="both queries parse the log themselves")
+    p.add_argument("--salt-buckets", type=int, default=DEFAULT_BUCKETS,
                    help="spread each (user, window) of the anomaly join state over this many partitions")
+    p.add_argument("--user-buckets", type=int, default=DEFAULT_BUCKETS,
+                   help="spread the users of each merchant window over this many state rows")
     p.add_argument("--state-partitions", type=int, default=STATE_SHUFFLE_PARTITIONS)
     p.add_argument("--approx-distinct", action="store_true")
-    p.add_argument("--bounded-state", action="store_true",
-                   help="exact distinct users with state keyed by (merchant, window, user); append mode")
+    p.add_argument("--closed-windows", action="store_true",
+                   help="also emit each merchant window once, when it is closed")
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--timeout", type=float)
     a = p.parse_args(argv)
 
-    from txlens.session import build_session
-
-    from txlens.session import cluster_conf
-
-    conf = cluster_conf()
-    conf["spark.sql.shuffle.partitions"] = str(a.state_partitions)  # fixed per checkpoint
-    spark = build_session(master=None, app_name="txlens-processor", extra=conf)
+    spark = build_session(master=None, app_name="txlens-processor")
+    size_session(spark)
     if a.source_format == "kafka":
-        src_opts = kafka_source_options(a.bootstrap_servers, a.source_topic, min_partitions=a.min_partitions)
+        src_opts = kafka_source_options(
+            a.bootstrap_servers, a.source_topic, a.starting_offsets,
+            max_offsets_per_trigger=a.max_offsets_per_trigger, min_partitions=a.min_partitions,
+        )
         sink_opts = {"kafka.bootstrap.servers": a.bootstrap_servers}
     else:
         src_opts = file_source_options(a.max_files_per_trigger, max_bytes_per_trigger=a.max_bytes_per_trigger)
@@ -120,7 +154,7 @@ def main(argv: list[str] | None = None) -> None:
     queries = start_processor(
         spark, a.source_format, a.source_path, src_opts, a.sink_format, a.sink_root, sink_opts,
         a.checkpoint_root, {"availableNow": True} if a.available_now else None, a.state_partitions,
-        not a.approx_distinct, a.bounded_state, a.landing_path, a.salt_buckets,
+        not a.approx_distinct, not a.no_landing, a.landing_path, a.salt_buckets, a.user_buckets, a.closed_windows,
     )
     for q in queries:
         print(f"started {q.name} id={q.id}")

@@ -9,9 +9,10 @@ Both publish keyed JSON.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from txlens.operators.aggregates import merchant_window_aggregates
+from txlens.operators.aggregates import merchant_window_aggregates, merchant_window_buckets, merchant_window_closed, merge_buckets
 from txlens.operators.clean import parse_transactions, valid_transactions, with_event_time, with_watermark
 from txlens.operators.anomalies import detect_anomalies, enrich_user_stats
 from txlens.operators.encode import encode_aggregates, encode_anomalies
@@ -19,6 +20,7 @@ from txlens.schema import (
     AGGREGATES_QUERY_NAME,
     AGGREGATES_TOPIC,
     ANOMALIES_QUERY_NAME,
+    CLOSED_WINDOWS_QUERY_NAME,
     LANDED_SCHEMA,
     LANDING_QUERY_NAME,
     ANOMALIES_TOPIC,
@@ -28,7 +30,7 @@ from txlens.schema import (
     USER_WINDOW,
     WATERMARK_DELAY,
 )
-from txlens.streaming.sinks import start_stream
+from txlens.streaming.sinks import latest_per_key, session_conf, start_stream
 
 
 def start_landing(
@@ -69,11 +71,8 @@ def merchant_aggregates_output(
     window: str = MERCHANT_WINDOW,
     slide: str = MERCHANT_SLIDE,
     exact_distinct: bool = True,
-    bounded_state: bool = False,
 ) -> DataFrame:
-    return encode_aggregates(
-        merchant_window_aggregates(tx, window, slide, exact_distinct, bounded_state=bounded_state)
-    )
+    return encode_aggregates(merchant_window_aggregates(tx, window, slide, exact_distinct))
 
 
 def anomalies_output(tx: DataFrame, window: str = USER_WINDOW, salt_buckets: int = 1, **rule_params) -> DataFrame:
@@ -94,13 +93,83 @@ def start_merchant_aggregates(
     encoded: bool = True,
     **kw,
 ) -> StreamingQuery:
-    """Update mode: every micro-batch emits the (merchant, window) groups it changed.
-    With ``bounded_state=True`` (keyword): append mode, each window once when closed."""
+    """Update mode: every micro-batch emits the (merchant, window) groups it changed."""
     if fmt == "kafka":
         options = {"topic": AGGREGATES_TOPIC, **(options or {})}
-    mode = "append" if kw.get("bounded_state") else "update"
     out = merchant_aggregates_output(tx, **kw) if encoded else merchant_window_aggregates(tx, **kw)
-    return start_stream(out, name, mode, checkpoint, fmt, path, options, trigger, state_partitions)
+    return start_stream(out, name, "update", checkpoint, fmt, path, options, trigger, state_partitions)
+
+
+def start_merchant_aggregates_bucketed(
+    tx: DataFrame,
+    checkpoint: str,
+    parts_path: str,
+    buckets: int,
+    fmt: str = "kafka",
+    path: str | None = None,
+    options: dict[str, str] | None = None,
+    name: str = AGGREGATES_QUERY_NAME,
+    trigger: dict | None = None,
+    state_partitions: int | None = STATE_SHUFFLE_PARTITIONS,
+) -> StreamingQuery:
+    """The same query with a merchant's users spread over ``buckets`` state rows.
+
+    Update mode over (merchant, window, bucket): a micro-batch's changed parts are kept
+    in ``parts_path``, and the groups it touched are emitted merged from the latest part of
+    each of their buckets."""
+    if fmt == "kafka":
+        options = {"topic": AGGREGATES_TOPIC, **(options or {})}
+    write = merged_batch_writer(parts_path, fmt, path, options)
+    w = merchant_window_buckets(tx, buckets).writeStream.queryName(name).outputMode("update")
+    w = w.option("checkpointLocation", checkpoint).foreachBatch(write)
+    if trigger:
+        w = w.trigger(**trigger)
+    conf = {"spark.sql.shuffle.partitions": str(state_partitions)} if state_partitions else {}
+    with session_conf(tx.sparkSession, conf):
+        return w.start()
+
+
+def merged_batch_writer(parts_path: str, fmt: str, path: str | None, options: dict[str, str] | None):
+    """foreachBatch function of the bucketed query. A replayed batch replaces its own parts and
+    its own output files."""
+    root = parts_path.rstrip("/")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+        parts = spark.read.schema(batch.schema).option("basePath", root).parquet(f"{root}/batch_id=*")
+        parts = parts.where(F.col("batch_id") <= batch_id)
+        touched = parts.where(F.col("batch_id") == batch_id).select("merchant", "window_start").distinct()
+        first = touched.agg(F.min("window_start")).first()[0]
+        if first is None:
+            return
+        keys = touched.withColumnsRenamed({"merchant": "_m", "window_start": "_w"})
+        same = F.col("merchant").eqNullSafe(F.col("_m")) & (F.col("window_start") == F.col("_w"))
+        open_parts = parts.where(F.col("window_start") >= F.lit(first)).join(keys, same, "left_semi")
+        out = encode_aggregates(merge_buckets(latest_per_key(open_parts, ["merchant", "window_start", "window_end", "bucket"])))
+        if fmt == "kafka":
+            out.write.format("kafka").options(**(options or {})).save()
+        else:
+            out.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+    return write
+
+
+def start_closed_merchant_windows(
+    tx: DataFrame,
+    checkpoint: str,
+    fmt: str = "kafka",
+    path: str | None = None,
+    options: dict[str, str] | None = None,
+    name: str = CLOSED_WINDOWS_QUERY_NAME,
+    trigger: dict | None = None,
+    state_partitions: int | None = STATE_SHUFFLE_PARTITIONS,
+) -> StreamingQuery:
+    """A query of its own: append mode, each merchant window once, when the watermark closes it."""
+    if fmt == "kafka":
+        options = {"topic": AGGREGATES_TOPIC, **(options or {})}
+    out = encode_aggregates(merchant_window_closed(tx))
+    return start_stream(out, name, "append", checkpoint, fmt, path, options, trigger, state_partitions)
 
 
 def start_anomaly_detection(
