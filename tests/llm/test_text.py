@@ -223,7 +223,7 @@ def coder():
 @given(text=st.one_of(st.text(max_size=60), st.text(alphabet="aab é\n\t 1!'st<|endoftext|>日😀", max_size=60)))
 def test_ids_equal_the_library(coder, text):
     model, library = coder
-    ids = bpe.Encoder(model).encode([text])[0]
+    ids = bpe.Encoder(model).encode([text])[0].tolist()
     assert ids == library.encode(text, add_special_tokens=False).ids
     assert model.decode(ids) == library.decode(ids, skip_special_tokens=False) == text
 
@@ -235,7 +235,20 @@ def test_long_words_and_special_tokens(coder, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 1)
     encoder = bpe.Encoder(model)
     for _ in range(2):
-        assert encoder.encode(texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in encoder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@needs_tokenizer
+def test_decoding_of_parts_and_unknown_ids(coder, monkeypatch):
+    model, library = coder
+    ids = library.encode("日本語 text é", add_special_tokens=False).ids
+    for i in range(len(ids)):
+        assert model.decode(ids[i:]) == library.decode(ids[i:], skip_special_tokens=False)
+    monkeypatch.setattr(bpe, "DECODED_AT_ONCE", 2)
+    assert model.decode(ids) == "日本語 text é" and model.decode([]) == ""
+    for unknown in (50257, -1):
+        with pytest.raises(ValueError):
+            model.decode([unknown])
 
 
 @needs_tokenizer

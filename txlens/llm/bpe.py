@@ -13,7 +13,7 @@ A very long word is one more word of the flat array. Extra columns are not read.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,8 @@ from .common import small_batches
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words whose ids a task remembers; beyond it, it forgets them all and goes on.
 REMEMBERED = 200_000
+#: Ids decoded in one go (a few bytes of text each).
+DECODED_AT_ONCE = 200_000
 
 _NONE = np.int64(np.iinfo(np.int64).max)
 
@@ -59,16 +61,22 @@ class BytePairModel:
         self.first = np.array([vocab[s] for s in symbols], np.int64)
         to_byte = {s: b for b, s in enumerate(symbols)}
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.pieces: list[bytes | None] = [None] * (max([*vocab.values(), *self.special.values()]) + 1)
+        pieces: list[bytes | None] = [None] * (max([*vocab.values(), *self.special.values()]) + 1)
         for token, i in vocab.items():
-            self.pieces[i] = bytes(to_byte[c] for c in token)
+            pieces[i] = bytes(to_byte[c] for c in token)
         for token, i in self.special.items():
-            self.pieces[i] = token.encode()
+            pieces[i] = token.encode()
+        # the pieces' bytes end to end; -1 marks ids without a piece
+        self.pool = np.frombuffer(b"".join(p or b"" for p in pieces), np.uint8)
+        self.piece_length = np.array([-1 if p is None else len(p) for p in pieces], np.int64)
+        self.piece_start = np.cumsum(np.maximum(self.piece_length, 0)) - np.maximum(self.piece_length, 0)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         keys = np.array([vocab[a] << 32 | vocab[b] for a, b in pairs], np.int64)
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks = keys[order], order.astype(np.int64)
         self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)[order]
+        self.merge_rank = np.append(self.ranks, _NONE)
+        self.byte_merges = self._merge_of(np.repeat(self.first, 256), np.tile(self.first, 256))
 
     @classmethod
     def of(cls, tables: dict) -> BytePairModel:
@@ -77,17 +85,24 @@ class BytePairModel:
         model.__dict__.update(tables)
         return model
 
+    def _merge_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The number of the merge of each pair, or that of no merge, by binary search."""
+        key = (left << np.int64(32)) | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, at, len(self.keys))
+
     def merge_rounds(self, words: list[bytes]) -> list[np.ndarray]:
         """Ids of each word."""
         out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
-        lengths = np.array([len(w) for w in words], np.int64)
-        symbols = self.first[np.frombuffer(b"".join(words), np.uint8)]
-        word = np.repeat(np.arange(len(words)), lengths)
+        raw = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        word = np.repeat(np.arange(len(words)), np.array([len(w) for w in words], np.int64))
+        symbols = self.first[raw]
+        none = len(self.keys)
+        # per place, the merge with the next symbol of its word
+        merge = np.full(len(symbols), none)
+        merge[:-1] = np.where(word[:-1] == word[1:], self.byte_merges[raw[:-1] << 8 | raw[1:]], none)
         while len(symbols):
-            key = (symbols[:-1] << np.int64(32)) | symbols[1:]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            rank = np.full(len(symbols), _NONE)
-            rank[:-1] = np.where((self.keys[at] == key) & (word[:-1] == word[1:]), self.ranks[at], _NONE)
+            rank = self.merge_rank[merge]
             starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
             sizes = np.diff(np.append(starts, len(word)))
             least = np.minimum.reduceat(rank, starts)
@@ -100,14 +115,34 @@ class BytePairModel:
             begins = chosen & ~np.concatenate([[False], chosen[:-1]])
             run = np.maximum.accumulate(np.where(begins, where, 0))
             places = np.flatnonzero(chosen & ((where - run) % 2 == 0))
-            symbols[places] = self.merged[at[places]]
+            symbols[places] = self.merged[merge[places]]
             keep = np.repeat(~done, sizes)
             keep[places + 1] = False
-            symbols, word = symbols[keep], word[keep]
+            changed = np.zeros(len(symbols), bool)
+            changed[places] = True
+            symbols, word, merge, changed = symbols[keep], word[keep], merge[keep], changed[keep]
+            # only pairs with a new symbol have another merge than before
+            changed[:-1] |= changed[1:]
+            at = np.flatnonzero(changed)
+            at = at[at < len(symbols) - 1]
+            merge[at] = np.where(word[at] == word[at + 1], self._merge_of(symbols[at], symbols[at + 1]), none)
+            if len(merge):
+                merge[-1] = none
         return out
 
-    def decode(self, ids: Iterable[int]) -> str:
-        return b"".join(map(self.pieces.__getitem__, ids)).decode("utf-8", "replace")
+    def decode(self, ids: np.ndarray) -> str:
+        """The text of some ids. Bytes that are not UTF-8 become replacement characters."""
+        ids = np.asarray(ids, np.int64)
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.piece_length) or (self.piece_length[ids] < 0).any()):
+            raise ValueError("an id is not in the vocabulary")
+        out = []
+        for part in (ids[i : i + DECODED_AT_ONCE] for i in range(0, len(ids), DECODED_AT_ONCE)):
+            length = self.piece_length[part]
+            ends = np.cumsum(length)
+            # every byte's place in the pool: its piece's start plus its place in the piece
+            place = np.arange(ends[-1]) + np.repeat(self.piece_start[part] - ends + length, length)
+            out.append(self.pool[place].tobytes())
+        return b"".join(out).decode("utf-8", "replace")
 
 
 class Encoder:
@@ -118,7 +153,7 @@ class Encoder:
         self.words = regex.compile(PATTERN)
         special = sorted(model.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids as 32-bit numbers
 
     def _split(self, text: str) -> list[str]:
         if self.special is None or not any(s in text for s in self.model.special):
@@ -127,23 +162,24 @@ class Encoder:
         for k, part in enumerate(self.special.split(text)):
             if k % 2:
                 out.append(part)
-                self.known[part] = [self.model.special[part]]
+                self.known[part] = np.int32(self.model.special[part]).tobytes()
             elif part:
                 # a word may read like a special token only where the file splits it off first
                 out.extend(self.words.findall(part))
         return out
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
         split = [self._split(t) for t in texts]
         known = self.known
-        new = list({w for words in split for w in words if w not in known})
+        new = list(set().union(*split).difference(known))
         for i in range(0, len(new), 50_000):
             part = new[i : i + 50_000]
             for w, ids in zip(part, self.model.merge_rounds([w.encode() for w in part])):
-                known[w] = ids.tolist()
-        return [[i for w in words for i in known[w]] for words in split]
+                known[w] = ids.astype(np.int32).tobytes()
+        return [np.frombuffer(b"".join([known[w] for w in words]), np.int32) for words in split]
 
 
 def _keep(batch: pa.RecordBatch, *drop: str) -> tuple[list, list[str]]:
@@ -162,7 +198,9 @@ def encode_texts(docs: DataFrame, path: str, text_col: str = "text", id_col: str
         for b in batches:
             for part in (b.slice(i, 32) for i in range(0, b.num_rows, 32)):
                 ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+                cuts = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)])
+                lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate(ids)))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists], ["doc_id", "ids"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
@@ -179,7 +217,7 @@ def decode_ids(encoded: DataFrame, path: str, ids_col: str = "ids", out_col: str
         for b in batches:
             column = b.column(b.schema.get_field_index(ids_col))
             values, cuts = column.values.to_numpy(), column.offsets.to_numpy()
-            texts = [model.decode(values[i:j].tolist()) for i, j in zip(cuts, cuts[1:])]
+            texts = [model.decode(values[i:j]) for i, j in zip(cuts, cuts[1:])]
             columns, names = _keep(b, ids_col)
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], [*names, out_col])
 
