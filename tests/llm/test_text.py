@@ -63,6 +63,14 @@ def test_mix_meets_targets_and_repeats(spark):
     assert sorted(map(str, found)) == sorted(map(str, again))
 
 
+def test_weights_follow_the_order_of_many_sources(spark):
+    names = [f"s{i:03d}" for i in range(200)] + ["é", None]
+    sized = spark.createDataFrame([(n, 10) for n in names], "source string, size bigint").repartition(5)
+    rows = mixing.weighted_sources(sized, (3, 1, 2)).collect()
+    order = sorted(rows, key=lambda r: (r["source"] is None, r["source"] or ""))
+    assert [r["weight"] for r in order] == [(3, 1, 2)[i % 3] for i in range(len(names))]
+
+
 def test_mix_draws_unequally(spark):
     """Over many seeds documents come in proportion to their importance."""
     rows = [(i, "s", 10, 1 if i < 60 else 3) for i in range(120)]

@@ -190,10 +190,16 @@ def weighted_sources(sized: DataFrame, weights: tuple[int, ...] = (3, 1, 2), per
     """(source, source_size, weight, target): sources by code point, null last, take the weights in
     turn; together they share ``percent`` of all words."""
     per = materialize(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "mix-sources")
-    # The order of the sources, a short list of names, in one window over the names alone.
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
+    # The rank of a source: its place in a range of sources, after the sources of earlier ranges.
+    # Only the ranges' counts meet in one window.
+    ranges = materialize(per.repartitionByRange(F.col("source").asc_nulls_last()).withColumn("range", F.spark_partition_id()), "mix-ranges")
+    counts = ranges.groupBy("range").agg(F.count("*").alias("n"))
+    before = counts.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("range").orderBy(F.col("source").asc_nulls_last()))
+    per = ranges.join(F.broadcast(before), "range").select("source", "source_size", (F.col("before") + inside - 1).alias("place"))
+    place = F.col("place")
     turn = F.array(*[F.lit(w) for w in weights])
-    ranked = per.withColumn("weight", F.element_at(turn, (place % len(weights) + 1).cast("int")).cast("bigint"))
+    ranked = per.select("source", "source_size", F.element_at(turn, (place % len(weights) + 1).cast("int")).cast("bigint").alias("weight"))
     ranked = materialize(ranked, "mix-weights")
     total = ranked.agg(F.sum("source_size")).first()[0] or 0
     return materialize(shares(ranked, total * percent / 100, most_copies), "mix-targets")
