@@ -14,6 +14,8 @@ from ..session import scratch_path
 
 #: Largest side that is broadcast, in rows of a few fixed-width columns (about 16 MB).
 BROADCAST_ROWS = 500_000
+#: Narrow rows in a file of a table of known size.
+FILE_ROWS = 200_000
 #: Rows in an Arrow batch. Texts average a few kB, so a batch stays at a few MB.
 BATCH_ROWS = 256
 #: Bytes of text handled at once by the flat numpy passes (a longer single text is handled alone).
@@ -24,10 +26,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared scratch folder and read back: cuts lineage, survives executor loss."""
+def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write to the shared scratch folder and read back: cuts lineage, survives executor loss.
+
+    With a known bound on its ``rows`` (narrow ones) the table is written in as few files as that
+    needs, so that steps over small tables stay small in tasks and files.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if rows is not None:
+        df = df.coalesce(-(-rows // FILE_ROWS) or 1)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

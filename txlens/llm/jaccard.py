@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, materialize, mix, runtime_filter, small_batches, text_shingles, unused
+from ..operators.joins import measured_size
 from .graph import components
 
 #: Upper size of a band over its lower size, about.
@@ -49,7 +50,9 @@ COMMON_SHARE = 0.25
 #: Pairs across components, per class that shares a centre, up to which they are listed.
 LISTED_PAIRS = 12
 #: Classes in a block of a family.
-BLOCK = 512
+BLOCK = 1024
+#: Bytes of centres' sets up to which they are broadcast.
+CENTRE_BYTES = 32 << 20
 #: Rounds with one centre per bucket.
 CENTRE_ROUNDS = 2
 
@@ -278,6 +281,8 @@ def _verified(pairs: DataFrame, blobs: DataFrame, num: int, den: int) -> DataFra
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
     near = materialize(_near(pairs, blobs, num, den), "jaccard-near")
+    wanted = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    blobs = blobs.join(broadcast_if_small(wanted, 2 * near.count()), "node", "left_semi")  # most sets are in no such pair
     left = blobs.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     right = blobs.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
     return near.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
@@ -365,8 +370,11 @@ def _families(rows: DataFrame, blobs: DataFrame, num: int, den: int) -> DataFram
                     links.append((int(nodes[i]), int(nodes[j])))
         return pa.table([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], ["a", "b"])
 
-    left = blobs.select("node", F.col("tokens").alias("x"))
-    right = blobs.select(F.col("node").alias("centre"), F.col("tokens").alias("y"))
+    left = blobs.join(broadcast_if_small(rows.select("node").distinct(), rows.count()), "node", "left_semi").select("node", F.col("tokens").alias("x"))
+    right = blobs.select(F.col("node").alias("centre"), F.col("tokens").alias("y")).join(rows.select("centre").distinct(), "centre", "left_semi")
+    right = materialize(right, "jaccard-centres")
+    if measured_size(right)[1] <= CENTRE_BYTES:
+        right = F.broadcast(right)
     own = rows.join(left, "node").join(right, "centre").select("centre", "node", "comp", "x", "y")
     family = materialize(own.mapInArrow(differ, "centre bigint, node bigint, comp bigint, n bigint, apart binary"), "jaccard-family")
     sizes = family.groupBy("centre", "comp").agg(F.count("*").alias("k")).groupBy("centre").agg(F.sum("k").alias("all"), F.max(F.struct("k", "comp")).alias("largest"))
@@ -389,15 +397,15 @@ def _families(rows: DataFrame, blobs: DataFrame, num: int, den: int) -> DataFram
     return units.groupBy("centre", "block", "minor_block").applyInArrow(compare, "a bigint, b bigint")
 
 
-def _link_rest(rows: DataFrame, blobs: DataFrame, compared: DataFrame, num: int, den: int) -> DataFrame:
+def _link_rest(rows: DataFrame, size: int, blobs: DataFrame, compared: DataFrame, num: int, den: int) -> DataFrame:
     """The links across components that are left in the open buckets ``rows``."""
-    rows = materialize(rows, "jaccard-rest")
+    rows = materialize(rows, "jaccard-rest", size)
     centres = rows.where("probe").groupBy("key").agg(F.min("node").alias("centre"))
-    placed = materialize(rows.join(centres, "key").select("centre", "key", "node", "comp", "probe"), "jaccard-placed")
-    members = materialize(placed.select("centre", "node", "comp").distinct(), "jaccard-members")
+    placed = materialize(rows.join(centres, "key").select("centre", "key", "node", "comp", "probe"), "jaccard-placed", size)
+    members = materialize(placed.select("centre", "node", "comp").distinct(), "jaccard-members", size)
     left = _open_pairs(rows).join(centres, "key").groupBy("centre").agg(F.sum("pairs").alias("pairs"))
     large = members.groupBy("centre").agg(F.count("*").alias("n")).join(left, "centre").where(F.least("pairs", F.col("n") * (F.col("n") - 1) / 2) > LISTED_PAIRS * F.col("n")).select("centre")
-    large = broadcast_if_small(materialize(large, "jaccard-large"))
+    large = broadcast_if_small(materialize(large, "jaccard-large", size))
     pairs = _cross_pairs(placed.join(large, "centre", "left_anti").select("key", "node", "comp", "probe")).join(compared, ["a", "b"], "left_anti")
     listed = materialize(_verified(materialize(pairs, "jaccard-pairs"), blobs, num, den), "jaccard-links")
     inside = materialize(_families(members.join(large, "centre", "left_semi"), blobs, num, den), "jaccard-links")
@@ -428,34 +436,37 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     with runtime_filter(spark):  # few keys are shared: the others need not be shuffled to find that out
         probed = materialize(_probed(entries.join(shared.where("n > 1"), "key"), sizes, plans, num, den), "jaccard-probed")
     useful = probed.groupBy("key").agg(F.count("*").alias("n"), F.max("probe").alias("some")).where("n > 1 AND some").select("key")
-    buckets = materialize(probed.join(useful, "key", "left_semi"), "jaccard-buckets")
+    buckets = materialize(probed.join(useful, "key", "left_semi"), "jaccard-buckets", probed.count())
 
     wanted = buckets.select("node").distinct()
     ids = materialize(classes.join(wanted, "node", "left_semi").select(F.col("rep").alias("_id")), "jaccard-wanted")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     texts = texts.join(broadcast_if_small(ids), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    blobs = materialize(_blobs(texts, k, "text").join(broadcast_if_small(wanted, ids.count()), "node", "left_semi").dropDuplicates(["node"]), "jaccard-tokens")
+    blobs = materialize(_blobs(texts, k, "text").join(broadcast_if_small(wanted, ids.count()), "node", "left_semi"), "jaccard-tokens")
+    if blobs.count() > ids.count():  # an id with several texts
+        blobs = materialize(blobs.dropDuplicates(["node"]), "jaccard-tokens")
 
     rows = buckets.withColumn("comp", F.col("node"))
-    links = compared = labels = None
+    compared = labels = None
+    size = buckets.count()
     for round_ in range(CENTRE_ROUNDS + 1):
         if round_:
-            named = buckets.join(labels.withColumnRenamed("label", "comp"), "node", "left")
-            named = materialize(named.select("key", "node", "probe", F.coalesce("comp", "node").alias("comp")), "jaccard-named")
-            open_ = materialize(_open_pairs(named).where("pairs > 0").select("key"), "jaccard-open")
+            named = buckets.join(broadcast_if_small(labels.withColumnRenamed("label", "comp")), "node", "left")
+            named = materialize(named.select("key", "node", "probe", F.coalesce("comp", "node").alias("comp")), "jaccard-named", size)
+            open_ = materialize(_open_pairs(named).where("pairs > 0").select("key"), "jaccard-open", size)
             if open_.isEmpty():
                 break
-            rows = named.join(open_, "key", "left_semi")
+            rows = named.join(broadcast_if_small(open_), "key", "left_semi")
         if round_ == CENTRE_ROUNDS:
-            links = links.unionByName(_link_rest(rows, blobs, compared, num, den))
+            found = _link_rest(rows, size, blobs, compared, num, den)
         else:
             pairs = _centre_pairs(rows, F.xxhash64("node", F.lit(round_)) if round_ else F.col("node"))
             if round_:
                 pairs = pairs.join(compared, ["a", "b"], "left_anti")
-            pairs = materialize(pairs, "jaccard-pairs")
+            pairs = materialize(pairs, "jaccard-pairs", size)
             found = materialize(_verified(pairs, blobs, num, den), "jaccard-links")
-            links, compared = (found, pairs) if links is None else (links.unionByName(found), compared.unionByName(pairs))
-        labels = components(links)
+            compared = pairs if compared is None else compared.unionByName(pairs)
+        labels = components(found, labels=labels)
 
     named = classes.join(labels.withColumnRenamed("label", "comp"), "node", "left").select("node", "node2", "n", "rep", F.coalesce("comp", "node").alias("comp"))
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
