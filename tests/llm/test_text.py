@@ -188,6 +188,9 @@ LONG = "This is a sentence, with commas, that goes on for a while and says somet
         (page(f"<article><p>a&nbsp;\n\t b &#8364; &unknown; &am</p></article>"), "a b € &unknown; &am"),
         (page(f'<div hidden><p>{LONG}</p></div><p style="display:none">{LONG}</p><div><p>{LONG}, seen</p></div>'), f"{LONG}, seen"),
         ("<!-- <p>x</p> --><p>seen</p>", "seen"),
+        (page(f'<div class="header">Site <a href="/">home</a></div><div id="text"><p>{LONG}</p></div><div class="side">{LONG}</div>'), LONG),
+        (page(f'<article><div class="section-header"><h2>Part</h2></div><p>{LONG}</p></article>'), f"Part\n{LONG}"),
+        (page(f'<div class="wrap side-by-side"><h1>T</h1><p>{LONG}</p></div>'), f"T\n{LONG}"),
     ],
 )
 def test_main_text(html, text):

@@ -64,10 +64,11 @@ APART = frozenset(
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 #: Words of a class or id that tell such parts.
 TELLING = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr "
+    "ad ads adbox adslot adunit adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr "
     "notice notification popup modal overlay lightbox newsletter subscribe subscription signup login register paywall share sharing "
     "social sidebar related recommended recommendations trending popular nav navbar navigation menu breadcrumb breadcrumbs pagination "
-    "pager footer masthead toolbar widget skip searchbox search".split()
+    "pager footer masthead toolbar topbar widget skip searchbox search side aside rail crumb crumbs alert disclaimer copyright promoted "
+    "sponsors teaser teasers".split()
 )
 COMMENTS = frozenset("comment comments commentlist disqus respond reply replies discussion responses".split())
 #: A sibling of the container belongs to it from this share of its score.
@@ -202,6 +203,8 @@ def prune(root: Node) -> None:
                 c.gone = True
             elif c.tag == "header" and not _in_article(c):
                 c.gone = not any(n.tag in ("article", "main", "p") for n in _walk(c))
+            elif "header" in c.words and not _in_article(c) and c.tag not in ("html", "body", "main", "article"):
+                c.gone = not any(n.tag in ("article", "main", "p") or n.tag in HEADINGS for n in _walk(c))
             elif c.words & COMMENTS and c.tag not in ("html", "body", "main"):
                 c.gone = not _holds_article(c)
             elif c.words & TELLING and c.tag not in ("html", "body", "main", "article", "h1"):
