@@ -288,16 +288,24 @@ def _verified(pairs: DataFrame, blobs: DataFrame, num: int, den: int) -> DataFra
     return near.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
-def _centre_pairs(rows: DataFrame, order: Column) -> DataFrame:
-    """Pairs of every row's node with one probing centre of its bucket, where components differ."""
+def _centred(rows: DataFrame, order: Column) -> DataFrame:
+    """The rows with one probing centre of their bucket (node, comp) and the bucket's size."""
     centre = F.min(F.when(F.col("probe"), F.struct(order.alias("o"), F.col("node").alias("node"), F.col("comp").alias("comp"))))
-    centres = rows.groupBy("key").agg(centre.alias("centre"))
-    return (
-        rows.join(centres, "key")
-        .where("comp != centre.comp")
-        .select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"))
-        .distinct()
-    )
+    centres = rows.groupBy("key").agg(centre.alias("centre"), F.count("*").alias("n"))
+    centres = centres.select("key", F.col("centre.node").alias("centre"), F.col("centre.comp").alias("centre_comp"), "n")
+    return rows.join(centres, "key")
+
+
+def _centre_pairs(centred: DataFrame) -> DataFrame:
+    """Pairs of every row's node with the centre of its bucket, where components differ."""
+    apart = centred.where("comp != centre_comp")
+    return apart.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+
+
+def _without_centres(centred: DataFrame) -> DataFrame:
+    """What is left to compare: a centre was compared with its whole bucket, so its row goes, and
+    with it the bucket if one row remains."""
+    return centred.where("n > 2 AND node != centre").select("key", "node", "probe")
 
 
 def _cross_pairs(rows: DataFrame) -> DataFrame:
@@ -399,7 +407,6 @@ def _families(rows: DataFrame, blobs: DataFrame, num: int, den: int) -> DataFram
 
 def _link_rest(rows: DataFrame, size: int, blobs: DataFrame, compared: DataFrame, num: int, den: int) -> DataFrame:
     """The links across components that are left in the open buckets ``rows``."""
-    rows = materialize(rows, "jaccard-rest", size)
     centres = rows.where("probe").groupBy("key").agg(F.min("node").alias("centre"))
     placed = materialize(rows.join(centres, "key").select("centre", "key", "node", "comp", "probe"), "jaccard-placed", size)
     members = materialize(placed.select("centre", "node", "comp").distinct(), "jaccard-members", size)
@@ -446,26 +453,30 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     if blobs.count() > ids.count():  # an id with several texts
         blobs = materialize(blobs.dropDuplicates(["node"]), "jaccard-tokens")
 
-    rows = buckets.withColumn("comp", F.col("node"))
     compared = labels = None
-    size = buckets.count()
+    rest, size = buckets, buckets.count()
     for round_ in range(CENTRE_ROUNDS + 1):
-        if round_:
-            named = buckets.join(broadcast_if_small(labels.withColumnRenamed("label", "comp")), "node", "left")
+        if labels is None:
+            rows = rest.withColumn("comp", F.col("node"))
+        else:
+            named = rest.join(broadcast_if_small(labels.withColumnRenamed("label", "comp")), "node", "left")
             named = materialize(named.select("key", "node", "probe", F.coalesce("comp", "node").alias("comp")), "jaccard-named", size)
-            open_ = materialize(_open_pairs(named).where("pairs > 0").select("key"), "jaccard-open", size)
-            if open_.isEmpty():
+            rows = materialize(named.join(_open_pairs(named).where("pairs > 0").select("key"), "key", "left_semi"), "jaccard-open", size)
+            size = rows.count()
+            if not size:
                 break
-            rows = named.join(broadcast_if_small(open_), "key", "left_semi")
         if round_ == CENTRE_ROUNDS:
             found = _link_rest(rows, size, blobs, compared, num, den)
         else:
-            pairs = _centre_pairs(rows, F.xxhash64("node", F.lit(round_)) if round_ else F.col("node"))
+            centred = materialize(_centred(rows, F.xxhash64("node", F.lit(round_)) if round_ else F.col("node")), "jaccard-centred", size)
+            pairs = _centre_pairs(centred)
             if round_:
                 pairs = pairs.join(compared, ["a", "b"], "left_anti")
             pairs = materialize(pairs, "jaccard-pairs", size)
             found = materialize(_verified(pairs, blobs, num, den), "jaccard-links")
             compared = pairs if compared is None else compared.unionByName(pairs)
+            rest = materialize(_without_centres(centred), "jaccard-left", size)
+            size = rest.count()
         labels = components(found, labels=labels)
 
     named = classes.join(labels.withColumnRenamed("label", "comp"), "node", "left").select("node", "node2", "n", "rep", F.coalesce("comp", "node").alias("comp"))
