@@ -62,19 +62,21 @@ def broadcast_if_small(df: DataFrame, rows: int | None = None, bound: int = BROA
 
 
 @contextmanager
-def runtime_filter(spark: SparkSession) -> Iterator[None]:
-    """Lets Spark put a Bloom filter of one join side (of bounded size) before the shuffle of the
-    other, whatever their sizes, for the jobs run inside."""
+def runtime_filter(spark: SparkSession, keys: int) -> Iterator[None]:
+    """Lets Spark put a Bloom filter of one join side (``keys`` of them; the filter is 8 MB at most)
+    before the shuffle of the other, whatever their sizes, for the jobs run inside."""
     prefix = "spark.sql.optimizer.runtime.bloomFilter."
-    wanted = {f"{prefix}applicationSideScanSizeThreshold": "0", f"{prefix}creationSideThreshold": "4g"}
-    old = {k: spark.conf.get(k) for k in wanted}
+    bits = min(int(spark.conf.get(f"{prefix}maxNumBits")), max(1 << 20, 10 * keys))
+    items = min(int(spark.conf.get(f"{prefix}maxNumItems")), max(1, keys))
+    wanted = {"applicationSideScanSizeThreshold": "0", "creationSideThreshold": "4g", "expectedNumItems": str(items), "numBits": str(bits)}
+    old = {k: spark.conf.get(prefix + k) for k in wanted}
     for k, v in wanted.items():
-        spark.conf.set(k, v)
+        spark.conf.set(prefix + k, v)
     try:
         yield
     finally:
         for k, v in old.items():
-            spark.conf.set(k, v)
+            spark.conf.set(prefix + k, v)
 
 
 def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:

@@ -415,7 +415,8 @@ def _link_rest(rows: DataFrame, size: int, blobs: DataFrame, compared: DataFrame
     large = broadcast_if_small(materialize(large, "jaccard-large", size))
     pairs = _cross_pairs(placed.join(large, "centre", "left_anti").select("key", "node", "comp", "probe")).join(compared, ["a", "b"], "left_anti")
     listed = materialize(_verified(materialize(pairs, "jaccard-pairs"), blobs, num, den), "jaccard-links")
-    inside = materialize(_families(members.join(large, "centre", "left_semi"), blobs, num, den), "jaccard-links")
+    members = materialize(members.join(large, "centre", "left_semi"), "jaccard-families", size)
+    inside = materialize(_families(members, blobs, num, den), "jaccard-links")
     return listed.unionByName(inside)
 
 
@@ -440,7 +441,7 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     entries = materialize(_index(docs, k, text_col, plans, num, den), "jaccard-index")
     shared = materialize(entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "jaccard-shared")
     sizes = classes.groupBy("node").agg(F.max("n").alias("n"))
-    with runtime_filter(spark):  # few keys are shared: the others need not be shuffled to find that out
+    with runtime_filter(spark, shared.count()):  # few keys are shared: the others need not be shuffled to find that out
         probed = materialize(_probed(entries.join(shared.where("n > 1"), "key"), sizes, plans, num, den), "jaccard-probed")
     useful = probed.groupBy("key").agg(F.count("*").alias("n"), F.max("probe").alias("some")).where("n > 1 AND some").select("key")
     buckets = materialize(probed.join(useful, "key", "left_semi"), "jaccard-buckets", probed.count())
