@@ -250,6 +250,20 @@ def test_near_duplicates_keep_one_row_of_each_group_and_all_columns(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == [0, 2, 3, 4]
 
 
+def test_near_duplicates_settle_rows_and_not_ids(spark):
+    base = [f"w{i}" for i in range(60)]
+    near = [" ".join(base[:59] + [f"x{i}"]) for i in range(4)]
+    far = [" ".join(f"{c}{i}" for i in range(60)) for c in "pqrstu"]
+    moved = [f"v{i}" for i in range(60)]
+    rows = [(1, near[0]), (None, near[1]), (None, far[0]), (7, near[2]), (7, far[1]), (8, None), (None, ""), (None, None)]
+    rows += [(None, " ".join(moved)), (None, " ".join(moved[:59] + ["y"])), (9, far[2]), (9, far[2] + " z"), (9, far[3]), (5, far[4]), (5, far[4])]
+    df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id bigint, text string, _mark int")
+    left = sorted(r["_mark"] for r in jaccard.drop_near_duplicates(df).collect())
+    assert [n for n in left if n < 8] == [0, 2, 4, 5, 6, 7]
+    assert [sum(n in group for n in left) for group in ((8, 9), (10, 11), (12,), (13, 14))] == [1, 1, 1, 1]
+    assert len(left) == 10
+
+
 def test_jaccard_of_empty_table_and_null_ids(spark):
     assert jaccard.link_components(spark.createDataFrame([], SCHEMA)).count() == 0
     df = spark.createDataFrame([(None, "a b c d e f"), (4, "a b c d e f"), (None, None)], "doc_id bigint, text string")

@@ -107,6 +107,20 @@ def test_documents_are_repeated_with_all_columns(spark):
     assert sorted(r["text"] for r in out.collect()) == ["a", "a", "c", "d"]
 
 
+def test_rows_of_an_id_are_repeated_as_each_was_drawn(spark):
+    sizes = [10, 20, 40, 80]
+    rows = [(None if i % 2 else 3, f"{n} " + "w " * (n - 1), s) for i, n in enumerate(sizes * 6) for s in ("a", "b", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = mixing.mix_documents(docs)
+    want, per_id = Counter(), {}
+    for r in found.collect():
+        want[r["doc_id"], r["source"], r["size"]] += r["copies"]
+        per_id.setdefault(r["doc_id"], set()).add(r["copies"])
+    assert any(len(x) > 1 for x in per_id.values())
+    out = Counter((r["doc_id"], r["source"], len(r["text"].split())) for r in mixing.repeat_documents(docs, found).collect())
+    assert out == Counter({k: n for k, n in want.items() if n})
+
+
 # ---- personal data -------------------------------------------------------------------------
 
 

@@ -154,17 +154,23 @@ def probing(n: int, labels: np.ndarray, counts: np.ndarray, plans: dict[int, tup
     return keep
 
 
-def _sets(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n, node, node2): size of the set and its two sums."""
+def _text_mark(text_col: str) -> Column:
+    return F.unhex(F.md5(F.col(text_col)))
+
+
+def _sets(docs: DataFrame, k: int, id_col: str, text_col: str, marked: bool = False) -> DataFrame:
+    """(doc_id, n, node, node2): size of the set and its two sums; ``mark``, a digest of the text, if asked."""
+    extra = ["mark"] if marked else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = [(len(t), *fingerprint(t)) for t in text_shingles(b.column(1), k)]
             cols = [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else ([], [], []))]
-            yield pa.RecordBatch.from_arrays([b.column(0), *cols], ["doc_id", "n", "node", "node2"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols, *b.columns[2:]], ["doc_id", "n", "node", "node2", *extra])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n bigint, node bigint, node2 bigint")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *[_text_mark(text_col).alias(c) for c in extra])
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n bigint, node bigint, node2 bigint"
+    return rows.mapInArrow(run, schema + "".join(f", {c} binary" for c in extra))
 
 
 def _index(docs: DataFrame, k: int, text_col: str, plans: dict[int, tuple[int, int]], num: int, den: int) -> DataFrame:
@@ -420,12 +426,12 @@ def _link_rest(rows: DataFrame, size: int, blobs: DataFrame, compared: DataFrame
     return listed.unionByName(inside)
 
 
-def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id (the smallest id reachable by
-    links; its own id for an empty set)."""
+def _linked(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str, marked: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The rows' sets (see :func:`_sets`), and of every class of equal non-empty sets
+    (node, node2, n, rep, copies, comp): its smallest id, its rows and the component it is in."""
     spark = docs.sparkSession
     small_batches(spark)
-    members = materialize(_sets(docs, k, id_col, text_col), "jaccard-sets")
+    members = materialize(_sets(docs, k, id_col, text_col, marked), "jaccard-sets")
     tops = band_tops()
     classes = materialize(
         members.where("n > 0").groupBy("node", "node2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "jaccard-classes"
@@ -480,7 +486,14 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
             size = rest.count()
         labels = components(found, labels=labels)
 
-    named = classes.join(labels.withColumnRenamed("label", "comp"), "node", "left").select("node", "node2", "n", "rep", F.coalesce("comp", "node").alias("comp"))
+    named = classes.join(labels.withColumnRenamed("label", "comp"), "node", "left")
+    return members, named.select("node", "node2", "n", "rep", "copies", F.coalesce("comp", "node").alias("comp"))
+
+
+def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (the smallest id reachable by
+    links; its own id for an empty set)."""
+    members, named = _linked(docs, k, num, den, id_col, text_col)
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     named = materialize(named.join(least, "comp").select("node", "node2", "n", "component_id"), "jaccard-named")
     out = members.join(named, ["node", "node2", "n"], "left")
@@ -488,9 +501,29 @@ def link_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one whose id names it. Fully repeated rows
-    of that id all stay (exact duplicates are another operator's)."""
-    found = materialize(link_components(docs, k, num, den, id_col, text_col), "jaccard-decisions")
-    key = unused(docs, "_id")
-    dropped = materialize(found.where("NOT doc_id <=> component_id").select(F.col("doc_id").alias(key)).distinct(), "jaccard-dropped")
-    return docs.join(broadcast_if_small(dropped), F.col(id_col).eqNullSafe(F.col(key)), "left_anti")
+    """``docs`` with one row of each component: the one with the smallest id (null last), then with
+    the smallest digest of its text.
+
+    Rows are found again by id and digest, so rows that share an id, or have none, are settled each
+    by its own text. Of rows alike in both one stays.
+    """
+    members, named = _linked(docs, k, num, den, id_col, text_col, marked=True)
+    named = materialize(named, "jaccard-named")
+    several = materialize(named.groupBy("comp").agg(F.sum("copies").alias("rows")).where("rows > 1").select("comp"), "jaccard-several")
+    linked = materialize(named.join(broadcast_if_small(several), "comp", "left_semi").select("node", "node2", "n", "comp"), "jaccard-linked")
+    rows = members.join(broadcast_if_small(linked), ["node", "node2", "n"]).groupBy("comp", "doc_id", "mark").agg(F.count("*").alias("alike"))
+    rows = materialize(rows, "jaccard-decisions")
+    first = rows.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "mark")).alias("first"))
+    first = materialize(first.select("comp", F.col("first.doc_id").alias("first_id"), F.col("first.mark").alias("first_mark")), "jaccard-first")
+    stays = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("mark") == F.col("first_mark"))
+    settled = rows.join(broadcast_if_small(first), "comp").where(~stays | (F.col("alike") > 1))
+
+    key, mark, own = (unused(docs, n) for n in ("_id", "_mark", "_own"))
+    settled = materialize(settled.select(F.col("doc_id").alias(key), F.col("mark").alias(mark), stays.alias("stays")), "jaccard-dropped")
+    same = F.col(id_col).eqNullSafe(F.col(key)) & (_text_mark(text_col) == F.col(mark))
+    rest = docs.join(broadcast_if_small(settled.select(key, mark)), same, "left_anti")
+    alike = settled.where("stays").select(key, mark)
+    if alike.isEmpty():
+        return rest
+    one = docs.join(broadcast_if_small(alike), same, "left_semi").withColumn(own, _text_mark(text_col)).dropDuplicates([id_col, own]).drop(own)
+    return rest.unionByName(one)

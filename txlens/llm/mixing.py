@@ -173,9 +173,9 @@ def mix(
         gaps = _null_safe(budgets, used, ["source"]).select("source", (F.col("left") - F.col("used")).alias("gap"))
         open_docs = _null_safe(taken.where("drawn = 0 AND rank IS NOT NULL"), gaps, ["source"]).where("abs(gap - size) < abs(gap)")
         best = open_docs.groupBy("source").agg(
-            F.min(F.struct(F.abs(F.col("gap") - F.col("size")).alias("off"), "rank", "doc_id")).alias("best")
+            F.min(F.struct(F.abs(F.col("gap") - F.col("size")).alias("off"), "rank", "doc_id", "size")).alias("best")
         )
-        chosen = (F.col("rank") == F.col("best.rank")) & F.col("doc_id").eqNullSafe(F.col("best.doc_id"))
+        chosen = (F.col("rank") == F.col("best.rank")) & F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("size") == F.col("best.size"))
         taken = materialize(
             _null_safe(taken, best, ["source"], "left").select(
                 "doc_id", "source", "size", "rank", "whole",
@@ -218,9 +218,21 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), percent
 
 def repeat_documents(docs: DataFrame, copies: DataFrame) -> DataFrame:
     """The rows of ``docs`` as often as ``copies`` (doc_id, copies) says, all columns unchanged.
-    Rows that share an id share its largest number of copies."""
-    key, times, copy = (unused(docs, n) for n in ("_id", "_times", "_copy"))
-    many = copies.where("copies > 0").groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(times))
-    joined = docs.join(broadcast_if_small(materialize(many, "mix-times")), F.col("doc_id").eqNullSafe(F.col(key)))
+
+    Rows are found again by id. An id whose rows are taken differently often is settled by source and
+    size as well (``copies`` must have them then), which with the id are all that a draw goes by.
+    """
+    key, times, copy, source, size = (unused(docs, n) for n in ("_id", "_times", "_copy", "_source", "_size"))
+    per = copies.groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(times), F.min("copies").alias("least"))
+    per = materialize(per.where(F.col(times) > 0), "mix-times")
+    by_id = F.col("doc_id").eqNullSafe(F.col(key))
+    joined = docs.join(broadcast_if_small(per.where(F.col("least") == F.col(times)).drop("least")), by_id)
+    differing = per.where(F.col("least") < F.col(times)).select(F.col(key).alias("_of"))
+    if not differing.isEmpty():
+        several = copies.where("copies > 0").join(broadcast_if_small(differing), F.col("doc_id").eqNullSafe(F.col("_of")), "left_semi")
+        several = several.groupBy(F.col("doc_id").alias(key), F.col("source").alias(source), F.col("size").alias(size)).agg(F.max("copies").alias(times))
+        several = materialize(several, "mix-times")
+        same = by_id & F.col("source").eqNullSafe(F.col(source)) & (n_words(F.col("text")) == F.col(size))
+        joined = joined.unionByName(docs.join(broadcast_if_small(several), same).drop(source, size))
     out = joined.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(times))))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
