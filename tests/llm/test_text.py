@@ -92,6 +92,17 @@ def test_mix_refines_the_cells_of_a_hot_source(spark, monkeypatch):
     assert sorted(map(str, found)) == sorted(map(str, mixing.mix_documents(df).collect()))
 
 
+def test_mix_goes_on_past_documents_that_do_not_fit(spark):
+    rows = [(0, "long", 20_000)] + [(i, "long", 100) for i in range(1, 101)] + [(200 + i, None, n) for i, n in enumerate([9000, 5000, 2500] + [10] * 40)]
+    sized = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, source string, size bigint, importance bigint")
+    target = spark.createDataFrame([("long", 10_000.0), (None, 3000.0)], "source string, target double")
+    for seed in ("a", "b", "c"):
+        taken = Counter()
+        for r in mixing.mix(sized, target, 1, seed).collect():
+            taken[r["source"]] += r["size"] * r["copies"]
+        assert taken["long"] == 10_000 and abs(taken[None] - 3000) <= 100
+
+
 def test_mix_of_empty_and_wordless_tables(spark):
     schema = "doc_id bigint, text string, source string"
     assert mixing.mix_documents(spark.createDataFrame([], schema)).count() == 0

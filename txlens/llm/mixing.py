@@ -7,7 +7,9 @@ meet the target. Whole copies are certain. The fractional part p is the inclusio
 more copy: documents are ranked by random odds over inclusion odds, u/(1-u) * (1-p)/p with u a hash
 of the id, and taken in that order while their words fit into the rest of the budget (the fixed
 size). Two closing steps put in the document that fills the remaining gap best, or overshoots it by
-less than the gap.
+less than the gap. Where that misses the target by more than ``NEAR`` of it (a long document came up
+that did not fit), the draw goes on in rank order instead with the documents that fit into what is
+left, again and again until none does, and then closes; of the two the one nearer the target counts.
 
 A source may hold any share of all rows: order statistics per source come from histograms of 256
 cells of the rank, refined twice, so a window only sees cells or the documents of one cell of 65,536.
@@ -27,6 +29,8 @@ from .common import broadcast_if_small, materialize, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 CELLS = 256
+#: A source whose words miss its target by more than this share of it is drawn on.
+NEAR = 0.01
 
 
 def n_words(text: Column) -> Column:
@@ -134,6 +138,52 @@ def _first_that_fit(docs: DataFrame, budgets: DataFrame) -> DataFrame:
     return past.groupBy("source").agg(F.min(F.struct("rank", "size", "doc_id")).alias("bound"))
 
 
+def _without(docs: DataFrame, sources: DataFrame, how: str = "left_anti") -> DataFrame:
+    return _null_safe(docs, sources.select("source"), ["source"], how)
+
+
+def _gaps(taken: DataFrame, budgets: DataFrame) -> DataFrame:
+    """(source, gap): the words of the budget that the drawn documents leave."""
+    used = taken.groupBy("source").agg(F.sum(F.col("size") * F.col("drawn")).alias("used"))
+    return _null_safe(budgets, used, ["source"]).select("source", (F.col("left") - F.col("used")).alias("gap"))
+
+
+def _closed(taken: DataFrame, budgets: DataFrame) -> DataFrame:
+    """``taken`` with up to two more documents a source, each the one that leaves the smallest gap."""
+    for _ in range(2):
+        open_docs = _null_safe(taken.where("drawn = 0 AND rank IS NOT NULL"), _gaps(taken, budgets), ["source"]).where("abs(gap - size) < abs(gap)")
+        best = open_docs.groupBy("source").agg(
+            F.min(F.struct(F.abs(F.col("gap") - F.col("size")).alias("off"), "rank", "doc_id", "size")).alias("best")
+        )
+        chosen = (F.col("rank") == F.col("best.rank")) & F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("size") == F.col("best.size"))
+        taken = materialize(
+            _null_safe(taken, best, ["source"], "left").select(
+                "doc_id", "source", "size", "rank", "whole",
+                F.when(F.coalesce(chosen, F.lit(False)), 1).otherwise(F.col("drawn")).alias("drawn"),
+            ),
+            "mix-closed",
+        )
+    return taken
+
+
+def _drawn_on(taken: DataFrame, budgets: DataFrame) -> DataFrame:
+    """``taken`` drawn on in rank order, past documents larger than what is left, until none fits."""
+    while True:
+        gaps = materialize(_gaps(taken, budgets), "mix-gaps")
+        fitting = _null_safe(taken.where("drawn = 0 AND rank IS NOT NULL"), gaps, ["source"]).where("size <= gap")
+        fitting = materialize(fitting.select("doc_id", "source", "size", "rank"), "mix-fitting")
+        if fitting.isEmpty():
+            return taken
+        bounds = _first_that_fit(fitting, gaps.withColumnRenamed("gap", "left"))
+        bounded = _null_safe(_null_safe(taken, gaps, ["source"], "left"), bounds, ["source"], "left")
+        more = (F.col("size") <= F.col("gap")) & (F.col("bound").isNull() | (F.struct("rank", "size", "doc_id") < F.col("bound")))
+        now = F.when(F.col("rank").isNotNull() & F.coalesce(more, F.lit(False)), 1).otherwise(F.col("drawn"))
+        following = materialize(bounded.select("doc_id", "source", "size", "rank", "whole", now.alias("drawn")), "mix-drawn")
+        if following.agg(F.sum("drawn")).first()[0] == taken.agg(F.sum("drawn")).first()[0]:
+            return following  # only rows that tie are left, which do not fit together
+        taken = following
+
+
 def mix(
     sized: DataFrame,
     sources: DataFrame,
@@ -168,21 +218,16 @@ def mix(
         "doc_id", "source", "size", "rank", "whole", F.coalesce(inside, F.lit(False)).cast("int").alias("drawn")
     )
     taken = materialize(taken, "mix-drawn")
-    for _ in range(2):
-        used = taken.groupBy("source").agg(F.sum(F.col("size") * F.col("drawn")).alias("used"))
-        gaps = _null_safe(budgets, used, ["source"]).select("source", (F.col("left") - F.col("used")).alias("gap"))
-        open_docs = _null_safe(taken.where("drawn = 0 AND rank IS NOT NULL"), gaps, ["source"]).where("abs(gap - size) < abs(gap)")
-        best = open_docs.groupBy("source").agg(
-            F.min(F.struct(F.abs(F.col("gap") - F.col("size")).alias("off"), "rank", "doc_id", "size")).alias("best")
-        )
-        chosen = (F.col("rank") == F.col("best.rank")) & F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("size") == F.col("best.size"))
-        taken = materialize(
-            _null_safe(taken, best, ["source"], "left").select(
-                "doc_id", "source", "size", "rank", "whole",
-                F.when(F.coalesce(chosen, F.lit(False)), 1).otherwise(F.col("drawn")).alias("drawn"),
-            ),
-            "mix-closed",
-        )
+    budgets = materialize(_null_safe(budgets, sources.select("source", "target"), ["source"]), "mix-budgets")
+    closed = _closed(taken, budgets)
+    misses = _null_safe(_gaps(closed, budgets), budgets.select("source", "target"), ["source"]).withColumn("miss", F.abs("gap"))
+    missed = materialize(misses.where(F.col("miss") > NEAR * F.col("target")).select("source", "miss"), "mix-missed")
+    if not missed.isEmpty():
+        whole = _closed(_drawn_on(materialize(_without(taken, missed, "left_semi"), "mix-drawn"), budgets), budgets)
+        nearer = _null_safe(_gaps(whole, budgets), missed, ["source"]).where("abs(gap) < miss")
+        nearer = materialize(nearer.select("source"), "mix-nearer")
+        closed = _without(closed, nearer).unionByName(_without(whole, nearer, "left_semi"))
+    taken = closed
     return taken.select("doc_id", "source", "size", (F.col("whole") + F.col("drawn")).cast("bigint").alias("copies"))
 
 
