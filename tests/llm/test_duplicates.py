@@ -317,6 +317,22 @@ def test_passages_many_copies_grow_linearly(spark):
     assert len(rows) <= 4 * 80
 
 
+def test_passages_whose_parts_occur_in_many_documents(spark):
+    """Every document of a verbatim passage of 50 words finds one that holds it, also where each part
+    of the passage occurs in many other documents."""
+    r = random.Random(12)
+    texts = []
+    for n in (50, 53, 60):
+        passage = words(r, n)
+        texts += [" ".join(words(r, 9) + passage + words(r, 9)) for _ in range(2)]
+        texts += [" ".join(words(r, 4) + passage[i : i + 22] + words(r, 4)) for i in range(0, n - 21, 3) for _ in range(5)]
+    df = docs_of(spark, texts)
+    whole = {i for i, t in enumerate(texts) if len(t.split()) > 60}
+    rows = passages.repeated_passages(df).collect()
+    assert {x["doc_id"] for x in rows} == whole
+    assert all(x["end_word"] - x["start_word"] >= 50 for x in rows)
+
+
 def test_passages_edge_cases(spark):
     assert passages.repeated_passages(spark.createDataFrame([], SCHEMA)).count() == 0
     one = " ".join(words(random.Random(10), 80))
