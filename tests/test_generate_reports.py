@@ -1,5 +1,6 @@
 """Generator determinism and domains; load and size reports."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -63,6 +64,17 @@ def test_record_size(spark):
     assert r.avg_json_bytes > 100
 
 
+def test_record_size_query_profiles_every_row(spark):
+    from txlens.plans import batch
+
+    rows = batch.fields(spark, SF_SMALL)
+    assert rows.where("amount = 0 OR isnan(amount) OR abs(amount) >= 1e7").count() > 0
+    profile = batch.q_record_size_profile(spark, SF_SMALL).first()
+    assert profile["records"] == rows.count()
+    texts = [r["j"] for r in rows.selectExpr("to_json(struct(*)) AS j").collect()]
+    assert profile["avg_json_bytes"] * len(texts) == pytest.approx(sum(len(t.encode()) for t in texts))
+
+
 def test_properties_on_generated_data(spark):
     """T6 with several seeds: sliding counts sum to 5 x rows, tumbling to rows, and a row
     is an anomaly exactly when its reasons are non-empty."""
