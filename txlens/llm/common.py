@@ -155,14 +155,18 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, np.flatnonzero(ends) + 1, np.searchsorted(starts, cuts)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of every word (A-Z lower-cased if asked) and first word index of each text."""
-    starts, ends, firsts = word_bounds(data, offsets)
-    view = data[int(offsets[0]) : int(offsets[-1])]
+def span_hashes(view: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
+    """64-bit hash of the bytes of every span of ``view`` (A-Z lower-cased if asked)."""
     up, down = _powers(len(view) + 1)
     total = np.zeros(len(view) + 1, np.uint64)
     np.cumsum(_byte_codes(lower)[view] * up[: len(view)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64)), firsts
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word (A-Z lower-cased if asked) and first word index of each text."""
+    starts, ends, firsts = word_bounds(data, offsets)
+    return span_hashes(data[int(offsets[0]) : int(offsets[-1])], starts, ends, lower), firsts
 
 
 def shingle_hashes(words: np.ndarray, firsts: np.ndarray, k: int) -> Iterator[np.ndarray]:

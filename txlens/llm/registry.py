@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balltree, bpe, chain, cuckoo, html_text, jaccard, mixing, nbsvm, passages, pii
+from . import balltree, bpe, chain, conversations, cuckoo, filteraudit, html_text, jaccard, linededup, mixing, nbsvm, passages, pii
 from .common import table
 
 
@@ -78,6 +78,19 @@ def op10_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def op11_bloom_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(table(spark, sf_dir, "conversations"), damage=True)
+
+
 QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_personal_data": op2_personal_data,
@@ -89,9 +102,131 @@ QUERIES = {
     "op8_repeated_passages": op8_repeated_passages,
     "op9_byte_pair_encoding": op9_byte_pair_encoding,
     "op10_ball_tree_topk": op10_ball_tree_topk,
+    "op11_bloom_line_dedup": op11_bloom_line_dedup,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
+
+def _repair_sql() -> str:
+    """Dynamic programme over the rows: each state of the pattern holds its least cost (nine digits) and
+    audit as one string, so that the least string is the cheapest, then ASCII-least."""
+
+    def add(state: str, cost: str, letter: str) -> str:
+        return f"lpad((left({state}, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || substr({state}, 10) || '{letter}'"
+
+    def least(*options: str) -> str:
+        return f"least({', '.join(options)})"
+
+    ok, extra = "r.fault NOT IN (1, 2)", "CASE WHEN r.fault = 3 THEN 5 ELSE 0 END"
+
+    def kept(state: str, initial: str) -> str:
+        return f"CASE WHEN {ok} AND r.initial = '{initial}' THEN {add(state, extra, 'K')} END"
+
+    def reroled(state: str) -> str:
+        return f"CASE WHEN {ok} THEN {add(state, f'1 + {extra}', 'R')} END"
+
+    def closed(prefix: str) -> str:
+        return f"""{prefix}0 AS c0, {prefix}1 AS c1, {least(prefix + '2', add(prefix + '0', '5', 'I'), add(prefix + '1', '5', 'I'), add(prefix + '3', '5', 'I'))} AS c2, {prefix}3 AS d3,
+                {least('d3', add('c2', '5', 'I'))} AS c3"""
+
+    return rf"""
+        WITH RECURSIVE crc AS (
+            SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) g(i)),
+        keyed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+        hashed AS (
+            SELECT keyed.*, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda x: ascii(x)::BIGINT)),
+                   lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM keyed, crc),
+        rows0 AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS again FROM hashed),
+        placed AS (
+            SELECT conv_id, turn, role, text, left(role, 1) AS initial, regexp_replace(text, '[ 	-]+$', '') AS trimmed,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 64), sha256(text), again) AS n FROM rows0),
+        faulty AS (
+            SELECT *, CASE WHEN trimmed = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 2
+                           WHEN right(trimmed, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+                   lag(initial) OVER (PARTITION BY conv_id ORDER BY n) || initial AS pair FROM placed),
+        steps AS (
+            SELECT DISTINCT conv_id, 0::BIGINT AS n, '000000000' AS v0, NULL::VARCHAR AS v1, NULL::VARCHAR AS v2, NULL::VARCHAR AS v3 FROM faulty
+            UNION ALL
+            SELECT c.conv_id, r.n, {add('c0', '2', 'D')}, {least(add('c1', '2', 'D'), kept('c0', 's'))},
+                   {least(add('c2', '2', 'D'), kept('c0', 'u'), kept('c1', 'u'), kept('c3', 'u'), reroled('c0'), reroled('c1'), reroled('c3'))},
+                   {least(add('c3', '2', 'D'), kept('c2', 'a'), reroled('c2'))}
+            FROM (SELECT conv_id, n, {closed('v')} FROM steps) c JOIN faulty r ON r.conv_id IS NOT DISTINCT FROM c.conv_id AND r.n = c.n + 1),
+        counts AS (
+            SELECT conv_id, max(n) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+                   count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+                   count(*) FILTER (n > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM faulty GROUP BY conv_id),
+        ended AS (
+            SELECT counts.*, {least('c0', 'c3')} AS least_v
+            FROM counts JOIN (SELECT conv_id, n, {closed('v')} FROM steps) s ON s.conv_id IS NOT DISTINCT FROM counts.conv_id AND s.n = counts.n),
+        audited AS (SELECT * EXCLUDE (n, least_v), left(least_v, 9)::BIGINT AS cost, substr(least_v, 10) AS audit FROM ended),
+        letters AS (
+            SELECT conv_id, unnest(string_split(audit, '')) AS letter, unnest(range(1, length(audit) + 1)) AS k FROM audited WHERE audit <> ''),
+        numbered AS (
+            SELECT *, count(*) FILTER (letter <> 'I') OVER w AS n, count(*) FILTER (letter <> 'D') OVER w AS j
+            FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY k)),
+        edited AS (
+            SELECT l.conv_id, k, letter, j, r.role, r.text, bool_or(j = 1 AND letter = 'K' AND r.initial = 's') OVER (PARTITION BY l.conv_id) AS opened
+            FROM numbered l LEFT JOIN faulty r ON letter <> 'I' AND r.conv_id IS NOT DISTINCT FROM l.conv_id AND r.n = l.n WHERE letter <> 'D'),
+        texts AS (
+            SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (j % 2 = 1) <> opened THEN 'user' ELSE 'assistant' END || ':' ||
+                                       CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS repaired FROM edited GROUP BY conv_id)
+        SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+               coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN audited a ON a.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM o.conv_id
+    """
+
+
 ORACLE_SQL = {
+    "op11_bloom_line_dedup": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+        l AS (SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS k FROM d),
+        keyed AS (
+            SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM l),
+        repeated AS (
+            SELECT key, max(doc_id) AS keeper FROM (SELECT DISTINCT key, doc_id FROM keyed WHERE length(key) >= 40) GROUP BY key HAVING count(*) >= 5),
+        kept AS (SELECT k.*, repeated.key IS NULL OR doc_id IS NOT DISTINCT FROM keeper AS stays FROM keyed k LEFT JOIN repeated USING (key))
+        SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (stays), '')) AS kept_sha256
+        FROM kept GROUP BY r
+    """,
+    "op12_filter_audit": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        marks AS (SELECT doc_id, coalesce(max(quality = 1), false) AS good, coalesce(max(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+        f AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                   [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t),
+                    regexp_matches(t, '[#$%&*|]'), coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)] AS fails
+            FROM d LEFT JOIN marks ON marks.doc_id = d.doc_id),
+        c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY ALL),
+        l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest(range(1, 6)) AS i),
+        o AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS p
+            FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+        s AS (SELECT filter_order, p, unnest(range(1, 6)) AS step FROM o),
+        r AS (
+            SELECT c.part, filter_order, step, any_value(p[step]) AS own,
+                   sum(CASE WHEN list_bool_or(list_transform(p[1:step], lambda i: fails[i])) THEN 0 ELSE n END)::BIGINT AS kept,
+                   sum(CASE WHEN fails[p[step]] AND first THEN n ELSE 0 END)::BIGINT AS removed,
+                   sum(CASE WHEN fails[p[step]] AND NOT first THEN n ELSE 0 END)::BIGINT AS redundant,
+                   sum(CASE WHEN fails[p[step]] AND len(list_filter(fails, lambda x: x)) = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                   sum(CASE WHEN fails[p[step]] AND first THEN good ELSE 0 END)::BIGINT AS good_lost,
+                   sum(CASE WHEN fails[p[step]] AND first THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+            FROM (SELECT c.*, s.*, NOT coalesce(list_bool_or(list_transform(p[1:step - 1], lambda i: fails[i])), false) AS first FROM c, s) c
+            GROUP BY c.part, filter_order, step)
+        SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+        FROM r
+    """,
+    "op13_conversation_repair": _repair_sql(),
     "op10_ball_tree_topk": r"""
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
