@@ -66,7 +66,7 @@ def test_tree_bounds_hold():
 
 def views(sf):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "labels"):
+    for t in ("documents", "embeddings", "pages", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     return con
 
@@ -86,7 +86,7 @@ def test_a_query_for_each_operator_is_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14))
     assert names["pipeline"] is corpus_pipeline.run
 
 
