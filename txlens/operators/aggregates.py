@@ -137,14 +137,37 @@ def merchant_window_closed(
     window: str = MERCHANT_WINDOW,
     slide: str = MERCHANT_SLIDE,
     ts: str = "transaction_timestamp",
+    readable_state: bool = False,
 ) -> DataFrame:
     """The merchant aggregates of closed windows, for append mode: each window once, when the
     watermark passes it. Two chained stateful aggregates: state keyed by (merchant,
     window, user), spread over partitions, holding that user's currency set; then per
-    (merchant, window) sums, the user count and the distinct currency subsets."""
-    per_user = tx.groupBy(F.col("merchant"), F.window(ts, window, slide).alias("window"), F.col("user_id")).agg(
-        *_parts(), F.sort_array(F.collect_set("currency")).alias("_currencies")
+    (merchant, window) sums, the user count and the distinct currency subsets.
+
+    With ``readable_state`` the first state is keyed by (merchant, window, user, currency) and
+    holds numbers only, so that the state data source can read the open windows
+    (``streaming.state.open_merchant_windows``); sets are made from its rows when a window closes."""
+    keys = [F.col("merchant"), F.window(ts, window, slide).alias("window"), F.col("user_id")]
+    if readable_state:
+        return finish_merchant_parts(tx.groupBy(*keys, F.col("currency")).agg(*_parts()))
+    per_user = tx.groupBy(*keys).agg(*_parts(), F.sort_array(F.collect_set("currency")).alias("_currencies"))
+    return _closed_merchants(per_user)
+
+
+def finish_merchant_parts(parts: DataFrame) -> DataFrame:
+    """The merchant aggregates from parts per (merchant, window, user, currency), batch or stream."""
+    per_user = parts.groupBy("merchant", "window", "user_id").agg(
+        F.sum("_n").alias("_n"),
+        F.sum("_total").alias("_total"),
+        F.sum("_n_amount").alias("_n_amount"),
+        F.min("_min").alias("_min"),
+        F.max("_max").alias("_max"),
+        F.sort_array(F.collect_set("currency")).alias("_currencies"),
     )
+    return _closed_merchants(per_user)
+
+
+def _closed_merchants(per_user: DataFrame) -> DataFrame:
     g = per_user.groupBy("merchant", "window").agg(
         *_merged(), F.count("user_id").alias("unique_users"), F.collect_set("_currencies").alias("_sets")
     )

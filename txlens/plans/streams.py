@@ -31,6 +31,7 @@ from txlens.sources.envelope import file_source_options, read_envelope, write_en
 from txlens.sources.fixtures import fixture_envelope
 from txlens.streaming.queries import read_landed, start_landing
 from txlens.streaming.sinks import latest_per_key, start_stream
+from txlens.streaming.state import open_anomalies, open_merchant_windows, open_user_windows, with_open
 
 N_SPLITS = 4
 
@@ -71,6 +72,11 @@ def _finish(q: StreamingQuery) -> None:
 
 
 def _run(df: DataFrame, name: str, mode: str) -> str:
+    return _run_kept(df, name, mode)[0]
+
+
+def _run_kept(df: DataFrame, name: str, mode: str) -> tuple[str, str]:
+    """Output folder and checkpoint of the finished query."""
     spark = df.sparkSession
     out = scratch_path(spark, f"{name}-out")
     ckpt = scratch_path(spark, f"{name}-ckpt")
@@ -79,7 +85,7 @@ def _run(df: DataFrame, name: str, mode: str) -> str:
             df, name, mode, ckpt, "parquet", out, trigger={"availableNow": True}, state_partitions=state_partitions(spark)
         )
     )
-    return out
+    return out, ckpt
 
 
 def q_merchant_aggregates_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,3 +141,29 @@ def q_anomalies_stream_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = read_landed(spark, landed, max_files_per_trigger=spark.sparkContext.defaultParallelism)
     out = _run(detect_anomalies(enrich_user_stats(tx)), "anomalies_landed", "append")
     return _anomaly_view(spark.read.parquet(out))
+
+
+# ---- closed output and open state together: the batch result ---------------------------------
+
+
+def q_user_windows_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All user windows of an append query over the log: those it emitted, and those its state holds open."""
+    tx = clean_transactions(stream_source(spark, sf_dir))
+    out, ckpt = _run_kept(user_window_stats(tx), "user_windows_open", "append")
+    both = with_open(spark.read.parquet(out), open_user_windows(spark, ckpt), ["user_id", "window"], "window.start")
+    return _user_view(both)
+
+
+def q_merchant_windows_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tx = clean_transactions(stream_source(spark, sf_dir))
+    out, ckpt = _run_kept(merchant_window_closed(tx, readable_state=True), "merchant_open", "append")
+    both = with_open(spark.read.parquet(out), open_merchant_windows(spark, ckpt), ["merchant", "window_start"], "window_start")
+    return _merchant_view(both)
+
+
+def q_anomalies_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anomalies emitted, and those that the statistics so far give in the windows still open."""
+    tx = clean_transactions(stream_source(spark, sf_dir))
+    out, ckpt = _run_kept(detect_anomalies(enrich_user_stats(tx)), "anomalies_open", "append")
+    both = with_open(spark.read.parquet(out), open_anomalies(spark, ckpt), ["transaction_id", "transaction_timestamp"], "transaction_timestamp")
+    return _anomaly_view(both)
