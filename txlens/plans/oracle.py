@@ -193,6 +193,7 @@ def sql() -> dict[str, str]:
         "anomalies_from_state": ENRICHED + f"SELECT {ANOMALY_COLS} FROM an",
         "merchant_aggregates_stream": MERCHANT_AGG + f"SELECT {MERCHANT_COLS} FROM agg",
         "merchant_aggregates_stream_bucketed": MERCHANT_AGG + f"SELECT {MERCHANT_COLS} FROM agg",
+        "merchant_aggregates_stream_compacted": MERCHANT_AGG + f"SELECT {MERCHANT_COLS} FROM agg",
         "merchant_windows_closed_stream": MERCHANT_AGG
         + f"SELECT {MERCHANT_COLS} FROM agg WHERE window_end <= (SELECT max(event_sec) FROM tx) - 600",
         "user_window_stats_stream": USER_STATS

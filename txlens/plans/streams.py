@@ -29,7 +29,7 @@ from txlens.plans.batch import _anomaly_view, _merchant_view, _user_view
 from txlens.session import scratch_path
 from txlens.sources.envelope import file_source_options, read_envelope, write_envelope_splits
 from txlens.sources.fixtures import fixture_envelope
-from txlens.streaming.queries import read_landed, start_landing
+from txlens.streaming.queries import read_landed, start_landing, start_merchant_aggregates_bucketed
 from txlens.streaming.sinks import latest_per_key, start_stream
 from txlens.streaming.state import open_anomalies, open_merchant_windows, open_user_windows, with_open
 
@@ -103,6 +103,22 @@ def q_merchant_aggregates_stream_bucketed(spark: SparkSession, sf_dir: str) -> D
     return _merchant_view(merge_buckets(last))
 
 
+def q_merchant_aggregates_stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bucketed query as it runs: parts in the compacted table, merged groups published as JSON by every
+    micro-batch; the last record of each (merchant, window)."""
+    tx = clean_transactions(stream_source(spark, sf_dir, n_splits=12))
+    out, parts, ckpt = (scratch_path(spark, f"merchant-compacted-{n}") for n in ("out", "parts", "ckpt"))
+    _finish(
+        start_merchant_aggregates_bucketed(
+            tx, ckpt, parts, 8, "parquet", out, name="merchant_compacted", trigger={"availableNow": True}, state_partitions=state_partitions(spark), fanout=4
+        )
+    )
+    schema = merchant_window_aggregates(tx).schema
+    rows = spark.read.option("basePath", out).parquet(f"{out}/batch_id=*")
+    rows = rows.select(F.from_json("value", schema).alias("v"), "batch_id").select("v.*", "batch_id")
+    return _merchant_view(latest_per_key(rows, ["merchant", "window_start"]))
+
+
 def q_merchant_windows_closed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append mode: only windows that the watermark closed; those open at the log's end are not
     emitted."""

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from txlens.functions.columns import interval_seconds
 from txlens.operators.aggregates import merchant_window_aggregates, merchant_window_buckets, merchant_window_closed, merge_buckets
 from txlens.operators.clean import parse_transactions, valid_transactions, with_event_time, with_watermark
 from txlens.operators.anomalies import detect_anomalies, enrich_user_stats
@@ -30,7 +31,8 @@ from txlens.schema import (
     USER_WINDOW,
     WATERMARK_DELAY,
 )
-from txlens.streaming.sinks import latest_per_key, session_conf, start_stream
+from txlens.streaming.parts import FANOUT, PartsTable
+from txlens.streaming.sinks import session_conf, start_stream
 
 
 def start_landing(
@@ -111,15 +113,16 @@ def start_merchant_aggregates_bucketed(
     name: str = AGGREGATES_QUERY_NAME,
     trigger: dict | None = None,
     state_partitions: int | None = STATE_SHUFFLE_PARTITIONS,
+    fanout: int = FANOUT,
 ) -> StreamingQuery:
     """The same query with a merchant's users spread over ``buckets`` state rows.
 
     Update mode over (merchant, window, bucket): a micro-batch's changed parts are kept
-    in ``parts_path``, and the groups it touched are emitted merged from the latest part of
-    each of their buckets."""
+    in a compacted table in ``parts_path``, and the groups it touched are emitted merged from
+    the latest part of each of their buckets."""
     if fmt == "kafka":
         options = {"topic": AGGREGATES_TOPIC, **(options or {})}
-    write = merged_batch_writer(parts_path, fmt, path, options)
+    write = merged_batch_writer(parts_path, fmt, path, options, fanout=fanout)
     w = merchant_window_buckets(tx, buckets).writeStream.queryName(name).outputMode("update")
     w = w.option("checkpointLocation", checkpoint).foreachBatch(write)
     if trigger:
@@ -129,28 +132,38 @@ def start_merchant_aggregates_bucketed(
         return w.start()
 
 
-def merged_batch_writer(parts_path: str, fmt: str, path: str | None, options: dict[str, str] | None):
-    """foreachBatch function of the bucketed query. A replayed batch replaces its own parts and
-    its own output files."""
-    root = parts_path.rstrip("/")
+BUCKET_KEYS = ["merchant", "window_start", "window_end", "bucket"]
+#: Batches between removals of segments that nothing names any more.
+VACUUM_EVERY = 50
+
+
+def merged_batch_writer(
+    parts_path: str, fmt: str, path: str | None, options: dict[str, str] | None, delay: str = WATERMARK_DELAY, fanout: int = FANOUT
+):
+    """foreachBatch function of the bucketed query: the batch's parts go to a :class:`PartsTable`,
+    and the groups it touched come out merged from the latest part of each of their buckets. A batch
+    that is played again finds its parts committed and replaces its own output files."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
-        parts = spark.read.schema(batch.schema).option("basePath", root).parquet(f"{root}/batch_id=*")
-        parts = parts.where(F.col("batch_id") <= batch_id)
-        touched = parts.where(F.col("batch_id") == batch_id).select("merchant", "window_start").distinct()
-        first = touched.agg(F.min("window_start")).first()[0]
-        if first is None:
+        table = PartsTable(spark, parts_path, BUCKET_KEYS, interval_seconds(delay), fanout)
+        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        segment = table.write_segment(rows, 0, batch_id, batch_id)
+        table.commit(segment, batch_id)
+        if segment is None:
             return
+        # the segment itself stays readable until a later vacuum, also where a merge took it in
+        touched = spark.read.schema(rows.schema).parquet(segment.path).select("merchant", "window_start").distinct()
         keys = touched.withColumnsRenamed({"merchant": "_m", "window_start": "_w"})
         same = F.col("merchant").eqNullSafe(F.col("_m")) & (F.col("window_start") == F.col("_w"))
-        open_parts = parts.where(F.col("window_start") >= F.lit(first)).join(keys, same, "left_semi")
-        out = encode_aggregates(merge_buckets(latest_per_key(open_parts, ["merchant", "window_start", "window_end", "bucket"])))
+        parts = table.read(rows.schema, since=segment.low).join(keys, same, "left_semi")
+        out = encode_aggregates(merge_buckets(parts))
         if fmt == "kafka":
             out.write.format("kafka").options(**(options or {})).save()
         else:
             out.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={batch_id}")
+        if batch_id and batch_id % VACUUM_EVERY == 0:
+            table.vacuum()
 
     return write
 
