@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txlens.functions.columns import interval_seconds, tumbling_start_sec, window_starts_for_pane
+from txlens.functions.exact import exact_totals, limb_sums, merge_limb_sums
 from txlens.operators import (
     detect_anomalies,
     encode_aggregates,
@@ -28,7 +30,16 @@ from txlens.operators import (
 )
 from txlens.operators.anomalies import with_reasons
 from txlens.operators.clean import prepare_transactions
-from txlens.schema import ANOMALY_COLUMNS, MERCHANT_AGG_COLUMNS, TOPIC_PARTITIONS, TRANSACTION_FIELDS, TRANSACTION_SCHEMA
+from txlens.schema import (
+    ANOMALY_COLUMNS,
+    MERCHANT_AGG_COLUMNS,
+    MERCHANT_SLIDE,
+    MERCHANT_WINDOW,
+    TOPIC_PARTITIONS,
+    TRANSACTION_FIELDS,
+    TRANSACTION_SCHEMA,
+    USER_WINDOW,
+)
 from txlens.session import scratch_path
 from txlens.sources import fixtures
 from txlens.sources.envelope import publish_transactions, read_envelope
@@ -195,6 +206,28 @@ def q_user_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _user_view(user_window_stats(transactions(spark, sf_dir)))
 
 
+def q_user_window_exact_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Total and mean per user and window that do not depend on the order of rows, bit for bit."""
+    tx = transactions(spark, sf_dir).filter(F.col(TS).isNotNull()).select("user_id", tumbling_start_sec(TS, interval_seconds(USER_WINDOW)).alias("window_start"), "amount")
+    return _exact_view(exact_totals(limb_sums(tx, ["user_id", "window_start"], "amount"), ["user_id", "window_start"]), "user_id")
+
+
+def q_merchant_window_exact_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same per merchant and sliding window, from the limb sums of one-minute panes."""
+    window, slide = interval_seconds(MERCHANT_WINDOW), interval_seconds(MERCHANT_SLIDE)
+    tx = transactions(spark, sf_dir).filter(F.col(TS).isNotNull()).select("merchant", tumbling_start_sec(TS, slide).alias("pane"), "amount")
+    panes = limb_sums(tx, ["merchant", "pane"], "amount")
+    windows = panes.select("*", F.explode(window_starts_for_pane(F.col("pane"), window, slide)).alias("window_start"))
+    return _exact_view(exact_totals(merge_limb_sums(windows, ["merchant", "window_start"]), ["merchant", "window_start"]), "merchant")
+
+
+def _exact_view(totals: DataFrame, key: str) -> DataFrame:
+    """Totals and means bit for bit, not rounded; NaN as -1 and infinity as -2, which no amount is."""
+    x = F.when(F.isnan("total"), F.lit(-1.0)).when(F.col("total") == float("inf"), F.lit(-2.0)).otherwise(F.col("total"))
+    mean = F.when(x < 0, x).otherwise(F.try_divide(x, F.col("n_values").cast("double")))
+    return totals.select(key, "window_start", x.alias("total"), "n_values", mean.alias("mean"))
+
+
 # ---- enrichment and rules ----------------------------------------------------
 
 def q_enrich_user_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -143,6 +143,27 @@ USER_COLS = (
     f"{shown('stddev_amount')}, {shown('max_amount_in_window')}"
 )
 
+
+def _exact_totals(key: str, start: str, rows: str) -> str:
+    """Totals as integers of 2^-60 (every amount of the fixture is one), rounded half to even to 53 bits;
+    DuckDB's own cast of such an integer to a double is not rounded right."""
+    return (
+        BASE
+        + f""", i AS (
+  SELECT {key}, {start} AS window_start, count(amount) AS n_values, bool_or(isnan(amount)) AS is_nan, bool_or(NOT isfinite(amount)) AS is_wide,
+         sum(CASE WHEN isfinite(amount) THEN (amount * 1152921504606846976.0::DOUBLE)::HUGEINT ELSE 0 END) AS s
+  FROM {rows} GROUP BY ALL
+), b AS (SELECT *, greatest(length(ltrim(bin(s), '0')) - 53, 0) AS cut FROM i),
+q AS (SELECT *, s // (1::HUGEINT << cut) AS whole, s % (1::HUGEINT << cut) AS rest, (1::HUGEINT << cut) AS unit FROM b),
+t AS (
+  SELECT *, CASE WHEN is_nan THEN -1.0::DOUBLE WHEN is_wide THEN -2.0::DOUBLE ELSE
+         (whole + CASE WHEN 2 * rest > unit OR (2 * rest = unit AND whole % 2 = 1) THEN 1 ELSE 0 END)::BIGINT::DOUBLE * pow(2::DOUBLE, cut - 60) END AS total
+  FROM q
+)
+SELECT {key}, window_start, total, n_values, CASE WHEN total < 0 THEN total ELSE total / n_values::DOUBLE END AS mean FROM t"""
+    )
+
+
 LOAD = (
     BASE
     + f""",
@@ -178,6 +199,10 @@ def sql() -> dict[str, str]:
         + "SELECT transaction_id, (event_sec // 60) * 60 - o.range * 60 AS window_start, "
         "(event_sec // 60) * 60 - o.range * 60 + 300 AS window_end FROM tx CROSS JOIN range(5) AS o WHERE event_sec IS NOT NULL",
         "merchant_window_aggregates": MERCHANT_AGG + f"SELECT {MERCHANT_COLS} FROM agg",
+        "user_window_exact_totals": _exact_totals("user_id", "(event_sec // 1800) * 1800", "(SELECT * FROM tx WHERE event_sec IS NOT NULL)"),
+        "merchant_window_exact_totals": _exact_totals(
+            "merchant", "(event_sec // 60) * 60 - o * 60", "(SELECT tx.*, unnest(range(5)) AS o FROM tx WHERE event_sec IS NOT NULL)"
+        ),
         "user_window_stats": USER_STATS + f"SELECT {USER_COLS} FROM us",
         "enrich_user_stats": ENRICHED + f"SELECT {ENRICHED_COLS} FROM en",
         "enrich_user_stats_rangejoin": ENRICHED + f"SELECT {ENRICHED_COLS} FROM en",
