@@ -30,6 +30,7 @@ from txlens.operators import (
 )
 from txlens.operators.anomalies import with_reasons
 from txlens.operators.clean import prepare_transactions
+from txlens.operators.sketches import LG_K, hll_error, merchant_pane_sketches, merchant_window_sketches, theta_error, window_user_changes
 from txlens.schema import (
     ANOMALY_COLUMNS,
     MERCHANT_AGG_COLUMNS,
@@ -221,6 +222,55 @@ def q_merchant_window_exact_totals(spark: SparkSession, sf_dir: str) -> DataFram
     return _exact_view(exact_totals(merge_limb_sums(windows, ["merchant", "window_start"]), ["merchant", "window_start"]), "merchant")
 
 
+def q_merchant_window_user_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users of merchant windows, and those that entered and left since the window before:
+    the exact numbers, and whether the sketches of panes are within four standard errors of them."""
+    tx = transactions(spark, sf_dir)
+    return _sketch_view(tx, merchant_pane_sketches(tx))
+
+
+def _sketch_view(tx: DataFrame, panes: DataFrame) -> DataFrame:
+    w = interval_seconds(MERCHANT_WINDOW)
+    found = window_user_changes(merchant_window_sketches(panes))
+    exact = _exact_user_changes(tx, w).withColumnsRenamed({"merchant": "_m", "window_start": "_w"})
+    both = exact.join(found, F.col("merchant").eqNullSafe(F.col("_m")) & (F.col("window_start") == F.col("_w")), "left")
+    union = F.col("n_users") + F.col("n_left")
+    small = union <= (1 << LG_K)  # a theta sketch that is not full counts exactly
+
+    def within(estimate: str, truth: str) -> Column:
+        off = F.abs(F.col(estimate) - F.col(truth))
+        return F.coalesce(F.when(small, off == 0).otherwise(off <= 4 * theta_error() * union + 1), F.lit(False))
+
+    hll = F.abs(F.col("users_by_hll") - F.col("n_users")) <= 4 * hll_error() * F.col("n_users") + 1
+    return both.select(
+        F.col("_m").alias("merchant"),
+        F.col("_w").alias("window_start"),
+        F.col("n_users").alias("unique_users"),
+        F.col("n_entered").alias("users_entered"),
+        F.col("n_left").alias("users_left"),
+        F.coalesce(hll, F.lit(False)).alias("hll_within_bound"),
+        (within("users_by_theta", "n_users") & within("entered", "n_entered") & within("left", "n_left")).alias("theta_within_bound"),
+    )
+
+
+def _exact_user_changes(tx: DataFrame, w: int) -> DataFrame:
+    """Exact users, entered and left per merchant window (what the sketches save)."""
+    slide = interval_seconds(MERCHANT_SLIDE)
+    panes = tx.filter(F.col(TS).isNotNull()).select("merchant", "user_id", tumbling_start_sec(TS, slide).alias("pane")).distinct()
+    windows = panes.select("merchant", "user_id", F.explode(window_starts_for_pane(F.col("pane"), w, slide)).alias("ws")).distinct()
+    now = windows.select("merchant", "user_id", "ws", F.lit(1).alias("here"), F.lit(0).alias("before"))
+    earlier = windows.select("merchant", "user_id", (F.col("ws") + w).alias("ws"), F.lit(0).alias("here"), F.lit(1).alias("before"))
+    per_user = now.unionByName(earlier).groupBy("merchant", "user_id", "ws").agg(F.max("here").alias("here"), F.max("before").alias("before"))
+    known = F.col("user_id").isNotNull()
+    g = per_user.groupBy("merchant", F.col("ws").alias("window_start")).agg(
+        F.max("here").alias("some"),
+        F.count_if(known & (F.col("here") == 1)).alias("n_users"),
+        F.count_if(known & (F.col("here") == 1) & (F.col("before") == 0)).alias("n_entered"),
+        F.count_if(known & (F.col("here") == 0) & (F.col("before") == 1)).alias("n_left"),
+    )
+    return g.where("some = 1").drop("some")
+
+
 def _exact_view(totals: DataFrame, key: str) -> DataFrame:
     """Totals and means bit for bit, not rounded; NaN as -1 and infinity as -2, which no amount is."""
     x = F.when(F.isnan("total"), F.lit(-1.0)).when(F.col("total") == float("inf"), F.lit(-2.0)).otherwise(F.col("total"))

@@ -143,6 +143,20 @@ USER_COLS = (
     f"{shown('stddev_amount')}, {shown('max_amount_in_window')}"
 )
 
+USER_CHANGES = (
+    BASE
+    + """,
+p AS (SELECT DISTINCT merchant, user_id, (event_sec // 60) * 60 - o AS ws
+      FROM (SELECT *, unnest([0, 60, 120, 180, 240]) AS o FROM tx WHERE event_sec IS NOT NULL)),
+s AS (SELECT merchant, ws, list(user_id) FILTER (user_id IS NOT NULL) AS users FROM p GROUP BY ALL),
+c AS (SELECT s.merchant, s.ws, coalesce(s.users, []) AS users, coalesce(b.users, []) AS before
+      FROM s LEFT JOIN s b ON b.merchant IS NOT DISTINCT FROM s.merchant AND b.ws = s.ws - 300)
+SELECT merchant, ws AS window_start, len(users)::BIGINT AS unique_users,
+       (len(users) - len(list_intersect(users, before)))::BIGINT AS users_entered, (len(before) - len(list_intersect(users, before)))::BIGINT AS users_left,
+       true AS hll_within_bound, true AS theta_within_bound
+FROM c"""
+)
+
 
 def _exact_totals(key: str, start: str, rows: str) -> str:
     """Totals as integers of 2^-60 (every amount of the fixture is one), rounded half to even to 53 bits;
@@ -203,6 +217,8 @@ def sql() -> dict[str, str]:
         "merchant_window_exact_totals": _exact_totals(
             "merchant", "(event_sec // 60) * 60 - o * 60", "(SELECT tx.*, unnest(range(5)) AS o FROM tx WHERE event_sec IS NOT NULL)"
         ),
+        "merchant_window_user_sketches": USER_CHANGES,
+        "merchant_window_user_sketches_stream": USER_CHANGES,
         "user_window_stats": USER_STATS + f"SELECT {USER_COLS} FROM us",
         "enrich_user_stats": ENRICHED + f"SELECT {ENRICHED_COLS} FROM en",
         "enrich_user_stats_rangejoin": ENRICHED + f"SELECT {ENRICHED_COLS} FROM en",

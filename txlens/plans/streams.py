@@ -25,7 +25,8 @@ from txlens.operators.aggregates import (
 )
 from txlens.operators.anomalies import detect_anomalies, enrich_user_stats
 from txlens.operators.clean import clean_transactions
-from txlens.plans.batch import _anomaly_view, _merchant_view, _user_view
+from txlens.operators.sketches import merchant_pane_sketches
+from txlens.plans.batch import _anomaly_view, _merchant_view, _sketch_view, _user_view, transactions
 from txlens.session import scratch_path
 from txlens.sources.envelope import file_source_options, read_envelope, write_envelope_splits
 from txlens.sources.fixtures import fixture_envelope
@@ -162,6 +163,15 @@ def q_anomalies_stream_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- closed output and open state together: the batch result ---------------------------------
 
 
+def q_merchant_window_user_sketches_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sketches of ``merchant_window_user_sketches`` kept by a stream, one state row per merchant and
+    pane, in update mode; windows are united from the last emission of each pane."""
+    tx = clean_transactions(stream_source(spark, sf_dir))
+    out = _run(merchant_pane_sketches(tx), "merchant_sketches", "update")
+    panes = latest_per_key(spark.read.parquet(out), ["merchant", "pane_start"])
+    return _sketch_view(transactions(spark, sf_dir), panes)
+
+
 def q_user_windows_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All user windows of an append query over the log: those it emitted, and those its state holds open."""
     tx = clean_transactions(stream_source(spark, sf_dir))
