@@ -8,6 +8,8 @@ same as equality of the window start: the join is an equi-join on
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,7 @@ def enrich_user_stats(
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     stream_salt_buckets: int = 1,
+    stream_hot_users: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left join of every transaction to (transaction_count, avg_transaction_amount)
     of its user's window. Output: the columns of ``tx`` + those two.
@@ -49,10 +52,12 @@ def enrich_user_stats(
     without event time routed around the join. ``stream_salt_buckets`` > 1 spreads
     each (user, window)'s buffered transactions over that many state partitions: the
     transaction gets a deterministic salt, the statistics row one copy per salt (a
-    user holding a third of the stream does not sit in one state partition).
+    user holding a third of the stream does not sit in one state partition). With
+    ``stream_hot_users`` only these users are spread and copied, all others keep salt 0;
+    the list may grow between restarts of a checkpoint but not shrink.
     """
     if tx.isStreaming:
-        return _enrich_stream(tx, window, ts, stream_salt_buckets)
+        return _enrich_stream(tx, window, ts, stream_salt_buckets, stream_hot_users)
     w = interval_seconds(window)
     keyed = tx.withColumn("_wsec", tumbling_start_sec(ts, w))
     stats = user_window_counts(tx, w, ts=ts, key="_wsec")
@@ -64,7 +69,7 @@ def enrich_user_stats(
     return joined.select(*tx.columns, *STAT_COLUMNS)
 
 
-def _enrich_stream(tx: DataFrame, window: str, ts: str, salt_buckets: int = 1) -> DataFrame:
+def _enrich_stream(tx: DataFrame, window: str, ts: str, salt_buckets: int = 1, hot_users: Sequence[str] | None = None) -> DataFrame:
     stats = user_window_stats(tx, window, ts=ts).select("user_id", "window", *STAT_COLUMNS)
     timed = (
         tx.filter(F.col(ts).isNotNull())
@@ -75,8 +80,11 @@ def _enrich_stream(tx: DataFrame, window: str, ts: str, salt_buckets: int = 1) -
     keys = ["user_id", "window"]
     if salt_buckets > 1:
         salt_of = [c for c in ("transaction_id", "amount") if c in timed.columns] + ["_event_us"]
-        timed = timed.withColumn("_salt", F.pmod(F.xxhash64(*salt_of), F.lit(salt_buckets)).cast("int"))
-        stats = stats.select("*", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("_salt"))
+        spread = F.lit(True) if hot_users is None else F.coalesce(F.col("user_id").isin(list(hot_users)), F.lit(False))
+        salt = F.when(spread, F.pmod(F.xxhash64(*salt_of), F.lit(salt_buckets))).otherwise(0)
+        last = F.when(spread, salt_buckets - 1).otherwise(0)
+        timed = timed.withColumn("_salt", salt.cast("int"))
+        stats = stats.select("*", F.explode(F.sequence(F.lit(0), last)).alias("_salt"))
         keys = keys + ["_salt"]
     joined = (
         timed.join(stats, keys, "left")

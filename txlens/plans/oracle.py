@@ -228,6 +228,7 @@ def sql() -> dict[str, str]:
         "anomalies": ENRICHED + f"SELECT {ANOMALY_COLS} FROM an",
         "anomalies_stream": ENRICHED + _CLOSED_ANOMALIES,
         "anomalies_stream_salted": ENRICHED + _CLOSED_ANOMALIES,
+        "anomalies_stream_hot_salted": ENRICHED + _CLOSED_ANOMALIES,
         "anomalies_stream_landed": ENRICHED + _CLOSED_ANOMALIES,
         "user_windows_from_state": USER_STATS + f"SELECT {USER_COLS} FROM us",
         "merchant_windows_from_state": MERCHANT_AGG + f"SELECT {MERCHANT_COLS} FROM agg",

@@ -30,6 +30,7 @@ from txlens.plans.batch import _anomaly_view, _merchant_view, _sketch_view, _use
 from txlens.session import scratch_path
 from txlens.sources.envelope import file_source_options, read_envelope, write_envelope_splits
 from txlens.sources.fixtures import fixture_envelope
+from txlens.streaming.hot import HotUsers, start_hot_users
 from txlens.streaming.queries import read_landed, start_landing, start_merchant_aggregates_bucketed
 from txlens.streaming.sinks import latest_per_key, start_stream
 from txlens.streaming.state import open_anomalies, open_merchant_windows, open_user_windows, with_open
@@ -151,6 +152,18 @@ def q_anomalies_stream_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _anomaly_view(spark.read.parquet(out))
 
 
+def q_anomalies_stream_hot_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with only the frequent users spread, as a summary kept over the log's batches names them."""
+    path = publish_log(spark, sf_dir)
+    options = file_source_options(max_files_per_trigger=spark.sparkContext.defaultParallelism)
+    tx = clean_transactions(read_envelope(spark, path, streaming=True, options=options))
+    folder = scratch_path(spark, "hot-users")
+    _finish(start_hot_users(tx, scratch_path(spark, "hot-users-ckpt"), folder, trigger={"availableNow": True}))
+    hot = HotUsers(spark, folder).grown()
+    out = _run(detect_anomalies(enrich_user_stats(tx, stream_salt_buckets=8, stream_hot_users=hot)), "anomalies_hot", "append")
+    return _anomaly_view(spark.read.parquet(out))
+
+
 def q_anomalies_stream_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same over the table that a landing query parses each message into once."""
     landed = scratch_path(spark, "landed")

@@ -18,6 +18,7 @@ from txlens.operators.clean import clean_transactions
 from txlens.schema import AGGREGATES_TOPIC, ANOMALIES_TOPIC, SOURCE_TOPIC, STATE_SHUFFLE_PARTITIONS
 from txlens.session import build_session, size_session
 from txlens.sources.envelope import file_source_options, kafka_source_options, read_envelope
+from txlens.streaming.hot import HOT_SHARE, HotUsers, start_hot_users
 from txlens.streaming.queries import (
     await_any_then_stop,
     read_landed,
@@ -49,6 +50,8 @@ def start_processor(
     salt_buckets: int = DEFAULT_BUCKETS,
     user_buckets: int = DEFAULT_BUCKETS,
     closed_windows: bool = False,
+    hot_share: float | None = HOT_SHARE,
+    track_hot_users: bool = False,
 ) -> list[StreamingQuery]:
     """Start MerchantAggregates (update) and AnomalyDetection (append) on one source.
 
@@ -61,7 +64,9 @@ def start_processor(
 
     ``salt_buckets`` spreads a user's buffered transactions, ``user_buckets`` a merchant's
     users over so many state rows, so that a hot key does not sit in one partition (1: no
-    spreading). ``closed_windows`` adds the query that emits each merchant window once.
+    spreading). Only users with a ``hot_share`` of the rows are spread (None: all), as the summary of
+    earlier runs names them; ``track_hot_users`` adds the query that keeps this summary (in the
+    checkpoint root) for the next start. ``closed_windows`` adds the query that emits each merchant window once.
     """
     if not checkpoint_root:
         raise ValueError("the processor needs a checkpoint_root of its own, shared by all machines")
@@ -105,9 +110,12 @@ def start_processor(
                 tx, f"{root}/closed", sink_format, closed_path, sink_options, trigger=trigger, state_partitions=state_partitions
             )
         )
+    hot = None if hot_share is None else HotUsers(spark, f"{root}/hot-users").grown(hot_share)
+    if track_hot_users:
+        started.append(start_hot_users(tx, f"{root}/hot-users-checkpoint", f"{root}/hot-users", trigger=trigger))
     q2 = start_anomaly_detection(
         tx, f"{root}/anomalies", sink_format, anom_path, sink_options, trigger=trigger,
-        state_partitions=state_partitions, salt_buckets=salt_buckets,
+        state_partitions=state_partitions, salt_buckets=salt_buckets, hot_users=hot,
     )
     return started + [q2]
 
@@ -130,6 +138,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--no-landing", action="store_true", help="both queries parse the log themselves")
     p.add_argument("--salt-buckets", type=int, default=DEFAULT_BUCKETS,
                    help="spread each (user, window) of the anomaly join state over this many partitions")
+    p.add_argument("--hot-share", type=float, default=HOT_SHARE, help="share of all rows from which a user is spread; 0: all users")
+    p.add_argument("--track-hot-users", action="store_true", help="keep the summary of frequent users for the next start")
     p.add_argument("--user-buckets", type=int, default=DEFAULT_BUCKETS,
                    help="spread the users of each merchant window over this many state rows")
     p.add_argument("--state-partitions", type=int, default=STATE_SHUFFLE_PARTITIONS)
@@ -155,6 +165,7 @@ def main(argv: list[str] | None = None) -> None:
         spark, a.source_format, a.source_path, src_opts, a.sink_format, a.sink_root, sink_opts,
         a.checkpoint_root, {"availableNow": True} if a.available_now else None, a.state_partitions,
         not a.approx_distinct, not a.no_landing, a.landing_path, a.salt_buckets, a.user_buckets, a.closed_windows,
+        a.hot_share or None, a.track_hot_users,
     )
     for q in queries:
         print(f"started {q.name} id={q.id}")

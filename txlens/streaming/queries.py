@@ -77,10 +77,11 @@ def merchant_aggregates_output(
     return encode_aggregates(merchant_window_aggregates(tx, window, slide, exact_distinct))
 
 
-def anomalies_output(tx: DataFrame, window: str = USER_WINDOW, salt_buckets: int = 1, **rule_params) -> DataFrame:
-    return encode_anomalies(
-        detect_anomalies(enrich_user_stats(tx, window, stream_salt_buckets=salt_buckets), **rule_params)
-    )
+def anomalies_output(
+    tx: DataFrame, window: str = USER_WINDOW, salt_buckets: int = 1, hot_users: list[str] | None = None, **rule_params
+) -> DataFrame:
+    enriched = enrich_user_stats(tx, window, stream_salt_buckets=salt_buckets, stream_hot_users=hot_users)
+    return encode_anomalies(detect_anomalies(enriched, **rule_params))
 
 
 def start_merchant_aggregates(
@@ -201,11 +202,11 @@ def start_anomaly_detection(
     if fmt == "kafka":
         options = {"topic": ANOMALIES_TOPIC, **(options or {})}
     window = kw.pop("window", USER_WINDOW)
-    salt = kw.pop("salt_buckets", 1)
+    salt, hot = kw.pop("salt_buckets", 1), kw.pop("hot_users", None)
     out = (
-        anomalies_output(tx, window, salt, **kw)
+        anomalies_output(tx, window, salt, hot, **kw)
         if encoded
-        else detect_anomalies(enrich_user_stats(tx, window, stream_salt_buckets=salt), **kw)
+        else detect_anomalies(enrich_user_stats(tx, window, stream_salt_buckets=salt, stream_hot_users=hot), **kw)
     )
     return start_stream(out, name, "append", checkpoint, fmt, path, options, trigger, state_partitions)
 
