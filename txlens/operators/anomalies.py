@@ -80,7 +80,8 @@ def _enrich_stream(tx: DataFrame, window: str, ts: str, salt_buckets: int = 1, h
     keys = ["user_id", "window"]
     if salt_buckets > 1:
         salt_of = [c for c in ("transaction_id", "amount") if c in timed.columns] + ["_event_us"]
-        spread = F.lit(True) if hot_users is None else F.coalesce(F.col("user_id").isin(list(hot_users)), F.lit(False))
+        # an empty list would be folded away, and the state's key with it; spreading one user more changes no result
+        spread = F.lit(True) if hot_users is None else F.coalesce(F.col("user_id").isin(list(hot_users) or [""]), F.lit(False))
         salt = F.when(spread, F.pmod(F.xxhash64(*salt_of), F.lit(salt_buckets))).otherwise(0)
         last = F.when(spread, salt_buckets - 1).otherwise(0)
         timed = timed.withColumn("_salt", salt.cast("int"))
