@@ -108,6 +108,89 @@ QUERIES = {
 }
 
 
+def _mix_sql() -> str:
+    """The draw of ``mixing.mix`` with each id once: documents in rank order up to the first that does not
+    fit, closed by two; where that misses the target by over 1 %, drawn on past what does not fit,
+    one document after the other, and closed, if that comes nearer."""
+
+    def closed(rows: str, name: str) -> str:
+        """Tables ``name``: ``rows`` (with k, 1 if drawn) and up to two more documents a source."""
+        out, last = [], rows
+        for n in (1, 2):
+            fills = "k = 0 AND rank IS NOT NULL AND abs(gap - size) < abs(gap)"
+            out.append(f"{name}_gap{n} AS (SELECT *, budget_left - sum(size * k) OVER (PARTITION BY source) AS gap FROM {last})")
+            out.append(
+                f"{name}_fill{n} AS (SELECT *, CASE WHEN {fills} THEN row_number() OVER (PARTITION BY source, {fills} ORDER BY abs(gap - size), rank, doc_id) END AS best FROM {name}_gap{n})"
+            )
+            last = name if n == 2 else f"{name}_{n}"
+            out.append(f"{last} AS (SELECT * EXCLUDE (gap, best) REPLACE (CASE WHEN best = 1 THEN 1 ELSE k END AS k) FROM {name}_fill{n})")
+        return ",\n        ".join(out)
+
+    return rf"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+        e AS (SELECT *, length(bin(size))::BIGINT AS imp FROM d),
+        s AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                   [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::BIGINT AS w
+            FROM e GROUP BY source),
+        ordered AS (
+            SELECT *, (SELECT sum(source_size) FROM s) * 150 / 100.0::DOUBLE AS budget,
+                   coalesce(sum(2 * source_size) OVER before, 0) AS given, sum(w) OVER behind AS left_w
+            FROM s WINDOW before AS (ORDER BY 2 * source_size / w::DOUBLE, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                          behind AS (ORDER BY 2 * source_size / w::DOUBLE, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+        lam AS (
+            SELECT coalesce(min_by((budget - given) / left_w::DOUBLE, (2 * source_size / w::DOUBLE, source)) FILTER ((budget - given) / left_w::DOUBLE <= 2 * source_size / w::DOUBLE), 0) AS lam
+            FROM ordered),
+        t AS (SELECT source, source_size, least((2 * source_size)::DOUBLE, lam * w) AS target FROM s, lam),
+        words AS (SELECT source, imp, sum(size)::BIGINT AS words FROM e WHERE size > 0 GROUP BY ALL),
+        steps AS (
+            SELECT words.source, imp, target,
+                   coalesce(sum(words) OVER (PARTITION BY words.source ORDER BY imp DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS given,
+                   (sum(words * imp) OVER (PARTITION BY words.source ORDER BY imp DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS rest
+            FROM words JOIN t ON words.source IS NOT DISTINCT FROM t.source),
+        c AS (
+            SELECT source, max_by((target - given * 2) / rest::DOUBLE, imp) FILTER ((target - given * 2) / rest::DOUBLE * imp < 2) AS c
+            FROM steps GROUP BY source),
+        x AS (
+            SELECT e.doc_id, e.source, size, source_size, target,
+                   CASE WHEN size > 0 THEN least(2.0::DOUBLE, coalesce(c * imp, 2.0::DOUBLE)) ELSE 0.0::DOUBLE END AS ex,
+                   (CAST('0x' || substr(md5('mix' || coalesce(e.doc_id::VARCHAR, 'null')), 1, 13) AS BIGINT)::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE AS u
+            FROM e JOIN t ON e.source IS NOT DISTINCT FROM t.source LEFT JOIN c ON e.source IS NOT DISTINCT FROM c.source),
+        r AS (
+            SELECT *, floor(ex)::BIGINT AS whole, ex - floor(ex) AS p,
+                   CASE WHEN ex > floor(ex) THEN u / (1 - u) * ((1 - (ex - floor(ex))) / (ex - floor(ex))) END AS odds
+            FROM x),
+        q AS (SELECT *, odds / (1 + odds) AS rank, target - sum(size * whole) OVER (PARTITION BY source) AS budget_left FROM r),
+        run AS (
+            SELECT *, CASE WHEN rank IS NULL THEN NULL ELSE sum(CASE WHEN rank IS NULL THEN 0 ELSE size END)
+                   OVER (PARTITION BY source ORDER BY rank NULLS LAST, size, doc_id) END AS running
+            FROM q),
+        drawn AS (SELECT *, CASE WHEN running <= budget_left THEN 1 ELSE 0 END AS k FROM run),
+        {closed("drawn", "near")},
+        misses AS (SELECT source, any_value(target) AS target, abs(any_value(budget_left) - sum(size * k)) AS miss FROM near GROUP BY source),
+        missed AS (SELECT * FROM misses WHERE miss > 0.01 * target),
+        further AS (SELECT *, budget_left - sum(size * k) OVER (PARTITION BY source) AS gap FROM drawn WHERE coalesce(source, chr(0)) IN (SELECT coalesce(source, chr(0)) FROM missed)),
+        fitting AS (SELECT doc_id, source, size, row_number() OVER (PARTITION BY source ORDER BY rank, size, doc_id) AS n FROM further WHERE k = 0 AND rank IS NOT NULL AND size <= gap),
+        walk AS (
+            SELECT DISTINCT source, 0::BIGINT AS n, gap, NULL::BIGINT AS doc_id, false AS took FROM further
+            UNION ALL
+            SELECT f.source, f.n, CASE WHEN f.size <= w.gap THEN w.gap - f.size ELSE w.gap END, f.doc_id, f.size <= w.gap
+            FROM walk w JOIN fitting f ON f.source IS NOT DISTINCT FROM w.source AND f.n = w.n + 1),
+        drawn_on AS (
+            SELECT f.* EXCLUDE (gap) REPLACE (CASE WHEN w.took THEN 1 ELSE k END AS k)
+            FROM further f LEFT JOIN (SELECT * FROM walk WHERE took) w ON w.doc_id = f.doc_id),
+        {closed("drawn_on", "far")},
+        better AS (
+            SELECT m.source FROM missed m JOIN (SELECT source, abs(any_value(budget_left) - sum(size * k)) AS miss FROM far GROUP BY source) f
+            ON f.source IS NOT DISTINCT FROM m.source AND f.miss < m.miss),
+        chosen AS (
+            SELECT * FROM near WHERE coalesce(source, chr(0)) NOT IN (SELECT coalesce(source, chr(0)) FROM better)
+            UNION ALL SELECT * FROM far WHERE coalesce(source, chr(0)) IN (SELECT coalesce(source, chr(0)) FROM better))
+        SELECT doc_id, size, source_size, target, (size * (whole + k))::BIGINT AS taken FROM chosen
+    """
+
+
 def _repair_sql() -> str:
     """Dynamic programme over the rows: each state of the pattern holds its least cost (nine digits) and
     audit as one string, so that the least string is the cheapest, then ASCII-least."""
@@ -144,7 +227,8 @@ def _repair_sql() -> str:
                    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
                    unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS again FROM hashed),
         placed AS (
-            SELECT conv_id, turn, role, text, left(role, 1) AS initial, regexp_replace(text, '[ 	-]+$', '') AS trimmed,
+            SELECT conv_id, turn, role, text, left(role, 1) AS initial, regexp_replace(text, '[ 	-
+]+$', '') AS trimmed,
                    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 64), sha256(text), again) AS n FROM rows0),
         faulty AS (
             SELECT *, CASE WHEN trimmed = '' THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 2
@@ -237,60 +321,7 @@ ORACLE_SQL = {
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
     """,
-    "op1_pareto_mix": r"""
-        WITH d AS (
-            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
-        e AS (SELECT *, length(bin(size))::BIGINT AS imp FROM d),
-        s AS (
-            SELECT source, sum(size)::BIGINT AS source_size,
-                   [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::BIGINT AS w
-            FROM e GROUP BY source),
-        ordered AS (
-            SELECT *, (SELECT sum(source_size) FROM s) * 150 / 100.0::DOUBLE AS budget,
-                   coalesce(sum(2 * source_size) OVER before, 0) AS given, sum(w) OVER behind AS left_w
-            FROM s WINDOW before AS (ORDER BY 2 * source_size / w::DOUBLE, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
-                          behind AS (ORDER BY 2 * source_size / w::DOUBLE, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
-        lam AS (
-            SELECT coalesce(min_by((budget - given) / left_w::DOUBLE, (2 * source_size / w::DOUBLE, source)) FILTER ((budget - given) / left_w::DOUBLE <= 2 * source_size / w::DOUBLE), 0) AS lam
-            FROM ordered),
-        t AS (SELECT source, source_size, least((2 * source_size)::DOUBLE, lam * w) AS target FROM s, lam),
-        words AS (SELECT source, imp, sum(size)::BIGINT AS words FROM e WHERE size > 0 GROUP BY ALL),
-        steps AS (
-            SELECT words.source, imp, target,
-                   coalesce(sum(words) OVER (PARTITION BY words.source ORDER BY imp DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS given,
-                   (sum(words * imp) OVER (PARTITION BY words.source ORDER BY imp DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS rest
-            FROM words JOIN t ON words.source IS NOT DISTINCT FROM t.source),
-        c AS (
-            SELECT source, max_by((target - given * 2) / rest::DOUBLE, imp) FILTER ((target - given * 2) / rest::DOUBLE * imp < 2) AS c
-            FROM steps GROUP BY source),
-        x AS (
-            SELECT e.doc_id, e.source, size, source_size, target,
-                   CASE WHEN size > 0 THEN least(2.0::DOUBLE, coalesce(c * imp, 2.0::DOUBLE)) ELSE 0.0::DOUBLE END AS ex,
-                   (CAST('0x' || substr(md5('mix' || coalesce(e.doc_id::VARCHAR, 'null')), 1, 13) AS BIGINT)::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE AS u
-            FROM e JOIN t ON e.source IS NOT DISTINCT FROM t.source LEFT JOIN c ON e.source IS NOT DISTINCT FROM c.source),
-        r AS (
-            SELECT *, floor(ex)::BIGINT AS whole, ex - floor(ex) AS p,
-                   CASE WHEN ex > floor(ex) THEN u / (1 - u) * ((1 - (ex - floor(ex))) / (ex - floor(ex))) END AS odds
-            FROM x),
-        q AS (SELECT *, odds / (1 + odds) AS rank, target - sum(size * whole) OVER (PARTITION BY source) AS budget_left FROM r),
-        run AS (
-            SELECT *, CASE WHEN rank IS NULL THEN NULL ELSE sum(CASE WHEN rank IS NULL THEN 0 ELSE size END)
-                   OVER (PARTITION BY source ORDER BY rank NULLS LAST, size, doc_id) END AS running
-            FROM q),
-        drawn AS (SELECT *, CASE WHEN running <= budget_left THEN 1 ELSE 0 END AS k0 FROM run),
-        gap1 AS (SELECT *, budget_left - sum(size * k0) OVER (PARTITION BY source) AS gap FROM drawn),
-        fill1 AS (
-            SELECT *, CASE WHEN k0 = 0 AND rank IS NOT NULL AND abs(gap - size) < abs(gap)
-                   THEN row_number() OVER (PARTITION BY source, k0 = 0 AND rank IS NOT NULL AND abs(gap - size) < abs(gap) ORDER BY abs(gap - size), rank, doc_id) END AS n1
-            FROM gap1),
-        done1 AS (SELECT * EXCLUDE (gap), CASE WHEN n1 = 1 THEN 1 ELSE k0 END AS k1 FROM fill1),
-        gap2 AS (SELECT *, budget_left - sum(size * k1) OVER (PARTITION BY source) AS gap FROM done1),
-        fill2 AS (
-            SELECT *, CASE WHEN k1 = 0 AND rank IS NOT NULL AND abs(gap - size) < abs(gap)
-                   THEN row_number() OVER (PARTITION BY source, k1 = 0 AND rank IS NOT NULL AND abs(gap - size) < abs(gap) ORDER BY abs(gap - size), rank, doc_id) END AS n2
-            FROM gap2)
-        SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN n2 = 1 THEN 1 ELSE k1 END))::BIGINT AS taken FROM fill2
-    """,
+    "op1_pareto_mix": _mix_sql(),
     "op4_cuckoo_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
