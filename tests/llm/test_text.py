@@ -222,6 +222,76 @@ def test_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+LINKS = '<ul><li><a href="/1">one</a><li><a href="/2">two</a><li><a href="/3">three</a></ul>'
+
+
+@pytest.mark.parametrize(
+    "html,text",
+    [
+        (page(f"<div class=wrap><section><h2>A</h2><p>{LONG * 3}</p></section><section><h2>B</h2><p>Short section.</p></section></div>"), f"A\n{LONG * 3}\nB\nShort section."),
+        (page(f"<div><h1>T</h1><p>By A</p><div><p>{LONG}</p><p>{LONG}</p></div></div>"), f"T\nBy A\n{LONG}\n{LONG}"),
+        (page(f"<div id=c><h1>T</h1><p>By X</p><div><p>{LONG}</p><p>{LONG}</p></div><h2>S</h2><div><p>shorter</p></div><p>Short end.</p></div>"), f"T\nBy X\n{LONG}\n{LONG}\nS\nshorter\nShort end."),
+        (page(f"<article><p>{LONG}</p><h2>References</h2>{LINKS}</article>"), f"{LONG}\nReferences\none\ntwo\nthree"),
+        (page(f'<article><p>{LONG}</p><div class="share-price"><p>It rose.</p></div><div class="share-bar">{LINKS}</div></article>'), f"{LONG}\nIt rose."),
+        (page(f"<div class=nav>{LINKS}</div>{LINKS}<h1>T</h1><p>a</p><div><p>{LONG}</p></div><p>z</p><div>{LINKS}</div>"), f"T\na\n{LONG}\nz"),
+        (page(f"<div><div>{LINKS}{LINKS}</div><div><div><p>{LONG}</p></div><p>end</p></div></div>"), f"{LONG}\nend"),
+    ],
+)
+def test_no_part_of_an_article_is_lost(html, text):
+    assert html_text.main_text(html) == text
+
+
+def made_page(r):
+    """A page and its article, block by block: parts of any length inside plain or marked elements, with
+    parts around and between them that are none of it."""
+
+    def words(n):
+        return " ".join(r.choice(["alpha", "beta,", "gamma", "delta.", "epsilon", "zeta,"]) for _ in range(n))
+
+    out, want = [], []
+
+    def block(tag, text):
+        out.append(f"<{tag}>{text}</{tag}>" if tag != "li" else f"<ul><li>{text}</li></ul>")
+        want.append(" ".join(text.split()))
+
+    def clutter():
+        kind = r.choice(["nav", "aside", "form", "ad", "share", "script", "footer", "cookie"])
+        text = words(r.choice([3, 60]))
+        out.append({
+            "nav": f"<nav>{LINKS}</nav>", "aside": f"<aside><p>{text}</p></aside>", "form": f"<form><label>{text}</label><input></form>",
+            "ad": f'<div class="ad-slot"><p>{text}</p></div>', "share": f'<div class="social-share">{LINKS}</div>', "script": f"<script>var p='<p>{text}';</script>",
+            "footer": f"<footer><p>{text}</p></footer>", "cookie": f'<div id="cookieNotice"><p>{text}</p></div>',
+        }[kind])
+
+    depth = r.randrange(3)
+    marked = r.choice(["article", "main", "div"])
+    clutter()
+    out.append("<div>" * depth + f"<{marked}>")
+    block("h1", words(3))
+    for _ in range(r.randrange(1, 4)):
+        inner = r.choice(["section", "div", ""])
+        out.append(f"<{inner}>" if inner else "")
+        if r.random() < 0.6:
+            block(r.choice(["h2", "h3"]), words(2))
+        for _ in range(r.randrange(1, 5)):
+            block(r.choice(["p", "p", "p", "blockquote", "li"]), words(r.choice([1, 4, 40, 120])))
+        if r.random() < 0.3:
+            clutter()
+        out.append(f"</{inner}>" if inner else "")
+    block("p", words(60))
+    out.append(f"</{marked}>" + "</div>" * depth)
+    for _ in range(r.randrange(3)):
+        clutter()
+    return page("".join(out)), "\n".join(want)
+
+
+def test_made_pages_give_their_article():
+    r = random.Random(11)
+    pages = [made_page(r) for _ in range(400)]
+    wrong = [(h, html_text.main_text(h), w) for h, w in pages if html_text.main_text(h) != w]
+    assert not wrong, (len(wrong), wrong[0])
+
+
 def test_pages_of_any_depth_and_length():
     assert html_text.main_text("<div>" * 20_000 + "x") == "x"
     assert html_text.main_text("<p>x</p>" * 20_000).count("x") == 20_000

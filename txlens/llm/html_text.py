@@ -7,9 +7,10 @@ sidebars, notices, adverts, forms and comments are taken out by element, role an
 
 What is left is scored: a paragraph earns points for its length and commas, less the share of its
 text in links; it passes them to its parent in full, to its grandparent by half, and less to those
-above. The best scored element, or the article it is part of, is the container. Siblings with a good
-share of its score, and headings right before it, belong to it. All blocks of these are returned, in
-page order, one per line; white space within a block becomes one space.
+above. The best scored element leads to the container: the article it is part of, or else the outermost
+element that a climb from it reaches without taking in text that is mostly links, with what stands beside
+it in the body. All blocks that remain in there are returned, in page order, one per line, whatever
+their length; white space within a block becomes one space.
 
 Edge cases: a null or empty page, or one without any text outside what is taken out, gives an empty
 text. A page cut off inside a tag loses that tag only. Depth and length are not limited (no
@@ -46,6 +47,8 @@ BLOCK = frozenset(
     "th thead tr ul".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Blocks that hold running text.
+PROSE = HEADINGS | frozenset("p blockquote pre table ul ol dl figure".split())
 #: What a start tag ends, if open, and the elements the search for it does not leave.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -70,9 +73,20 @@ TELLING = frozenset(
     "pager footer masthead toolbar topbar widget skip searchbox search side aside rail crumb crumbs alert disclaimer copyright promoted "
     "sponsors teaser teasers".split()
 )
+#: Of these, words that class names use in other senses too: they tell only beside words of layout.
+AMBIGUOUS = frozenset(
+    "alert banner consent copyright disclaimer login menu modal navigation notice notification overlay popular promoted promotion recommended "
+    "register related search share sharing side sidebar signup skip social sponsor sponsored subscribe subscription teaser teasers trending "
+    "comment comments discussion reply replies respond response responses".split()
+)
+LAYOUT = frozenset(
+    "bar block body bottom box btn button buttons col column container content entries entry feed fixed float footer form full global group header "
+    "icon icons image images inner item items js large left line link links list lists mobile module nav outer page panel post posts row "
+    "section site small sticky tab tabs text title tool tools top unit view widgets wrap wrapper area article articles author".split()
+)
 COMMENTS = frozenset("comment comments commentlist disqus respond reply replies discussion responses".split())
-#: A sibling of the container belongs to it from this share of its score.
-SIBLING_SHARE = 0.2
+#: Text of which more than this share is in links is navigation.
+LINKED = 0.5
 
 
 class Node:
@@ -88,13 +102,21 @@ class Node:
 _NO_WORDS: frozenset = frozenset()
 
 
+def _told(words: frozenset) -> frozenset:
+    """The words of one class name or id, without ambiguous ones that stand beside words of a subject
+    (a ``share-price`` is no share bar, a ``share-bar`` is)."""
+    own = words & AMBIGUOUS
+    return words - own if own and words - own - LAYOUT - TELLING - COMMENTS else words
+
+
 def _attributes(rest: str) -> tuple[frozenset, str, bool]:
     words, role, hidden = _NO_WORDS, "", False
     for m in ATTRIBUTE.finditer(rest):
         name = (m[1] or m[3]).lower()
         value = (m[2] or "").strip("\"'")
         if name in ("class", "id"):
-            words |= frozenset(w.lower() for w in WORDS.findall(value))
+            for name_ in value.split():
+                words |= _told(frozenset(w.lower() for w in WORDS.findall(name_)))
         elif name == "role":
             role = value.lower()
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
@@ -196,9 +218,11 @@ def _in_article(node: Node) -> bool:
 def prune(root: Node) -> None:
     """Take out what never is main text."""
     for node in _walk(root):
+        prose = False  # a paragraph came before: a list of links is one of references, not a menu
         for c in node.children:
             if not isinstance(c, Node):
                 continue
+            prose = prose or c.tag in ("p", "blockquote", "pre")
             if c.tag in APART or c.hidden or c.role in ROLES:
                 c.gone = True
             elif c.tag == "header" and not _in_article(c):
@@ -209,7 +233,7 @@ def prune(root: Node) -> None:
                 c.gone = not _holds_article(c)
             elif c.words & TELLING and c.tag not in ("html", "body", "main", "article", "h1"):
                 c.gone = not _holds_article(c)
-            elif c.tag in ("ul", "ol") and _only_links(c):
+            elif c.tag in ("ul", "ol") and not prose and not _in_article(c) and _only_links(c):
                 c.gone = True
 
 
@@ -276,30 +300,63 @@ def score(root: Node) -> Node | None:
     return best
 
 
-def containers(root: Node) -> list[Node]:
+def _measured(root: Node) -> dict[int, tuple[int, int]]:
+    """For each remaining element its characters but white space, and those of them in links."""
+    found: dict[int, list[int]] = {}
+    todo: list = [(root, False, False)]
+    while todo:
+        n, link, done = todo.pop()
+        if done:
+            if n.parent is not None and id(n.parent) in found:
+                own, up = found[id(n)], found[id(n.parent)]
+                up[0] += own[0]
+                up[1] += own[1]
+            continue
+        found[id(n)] = here = [0, 0]
+        todo.append((n, link, True))
+        link = link or n.tag == "a"
+        for c in n.children:
+            if isinstance(c, str):
+                size = len("".join(c.split()))
+                here[0] += size
+                here[1] += size if link else 0
+            elif not c.gone:
+                todo.append((c, link, False))
+    return {k: (v[0], v[1]) for k, v in found.items()}
+
+
+def container(root: Node) -> Node:
+    """The element whose remaining blocks, all of them, are the main text: the article that holds the
+    best-scored element, or else the outermost element above it that the climb reaches. The climb goes on while
+    what an ancestor adds is not mostly links. Under ``body``, parts beside it stay if they hold a
+    block of prose and are not mostly links; the others are taken out."""
     best = score(root)
     if best is None:
-        return [root]
+        return root
     at: Node | None = best
+    found = None
     while at is not None:  # an article is kept whole
         if at.tag in ("article", "main") and not at.words & COMMENTS:
-            best = at
+            found = at
             if at.tag == "article":
                 break
         at = at.parent
-    if best.parent is None or best.tag in ("body", "html"):
-        return [best]
-    siblings = [c for c in best.parent.children if isinstance(c, Node) and not c.gone]
-    place = siblings.index(best)
-    least = SIBLING_SHARE * best.score
-    keep = []
-    for i, c in enumerate(siblings):
-        alike = c.score >= least and c.tag in BLOCK
-        paragraph = c.tag == "p" and len(_text(c)) >= 80 and len(_text(c, True)) < 0.25 * len(_text(c))
-        heading = c.tag in HEADINGS and all(s.tag in HEADINGS for s in siblings[i:place])
-        if c is best or alike or paragraph or (heading and i < place):
-            keep.append(c)
-    return keep
+    if found is not None:
+        return found
+    sizes = _measured(root)
+    at = best
+    while at.parent is not None and at.parent.tag not in ("body", "html", "#root"):
+        (own, linked), (more, more_linked) = sizes[id(at)], sizes[id(at.parent)]
+        if more_linked - linked > LINKED * (more - own):
+            return at
+        at = at.parent
+    if at.parent is None:
+        return at
+    for c in at.parent.children:
+        if isinstance(c, Node) and c is not at and not c.gone and c.tag in BLOCK:
+            prose = any(n.tag in PROSE for n in _walk(c))
+            c.gone = not prose or sizes[id(c)][1] > LINKED * sizes[id(c)][0]
+    return at.parent
 
 
 def blocks(top: Node) -> list[str]:
@@ -334,7 +391,7 @@ def blocks(top: Node) -> list[str]:
 def main_text(page: str) -> str:
     root = parse(page)
     prune(root)
-    return "\n".join(b for c in containers(root) for b in blocks(c))
+    return "\n".join(blocks(container(root)))
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
