@@ -117,3 +117,49 @@ def test_chain_feeds_earlier_probabilities_out_of_fold():
     extra = [(np.append(ids, 50).astype(np.int32), np.append(v, p)) for (ids, v), p in zip(rows, outside)]
     second, _ = chain._fit_link(extra, y, 51, folds)
     assert len(second.weights) == 51 and second.weights[50] == second.weights.max() > 0
+
+
+def test_the_sample_is_bounded_and_has_one_row_an_id(spark):
+    docs = spark.createDataFrame([(1, f"text {i % 3}") for i in range(3000)] + [(i, f"other {i}") for i in range(2, 60)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, None if i % 3 else 1) for i in range(60)] * 2 + [(99, None, None)], LABELS)
+    rows = ngrams.training_rows(docs, labels, ["quality", "toxic"], 10).collect()
+    assert len(rows) <= 10 and len({r["doc_id"] for r in rows}) == len(rows)
+    rows = ngrams.training_rows(docs, labels, ["quality", "toxic"], 1000).collect()
+    assert len({r["doc_id"] for r in rows}) == len(rows) > 10 and any(r["toxic"] is None for r in rows)
+    assert all(r["quality"] == r["doc_id"] % 2 for r in rows) and {r["text"] for r in rows if r["doc_id"] == 1} <= {"text 0", "text 1", "text 2"}
+
+
+def test_the_score_comes_through_the_chain(spark):
+    """Without the earlier links' probabilities the scores are others: the last link leans on them."""
+    r = np.random.default_rng(5)
+    words, rows, marks = [f"word{k}" for k in range(80)], [], []
+    for i in range(900):
+        text = list(r.choice(words, 12))
+        toxic, good = r.random() < 0.3, r.random() < 0.6
+        if toxic and r.random() < 0.9:  # abuse of many words, other ones in junk
+            text += list(r.choice([f"{'vile' if good else 'trash'}{k}" for k in range(8)], 2))
+        rows.append((i, " ".join(text)))
+        marks.append((i, int(good), int(toxic)))
+    docs, labels = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(marks, LABELS)
+    model = chain.fit(docs, chain.categories(labels), chain.CATEGORIES)
+    assert model.categories[-1] == "toxic"
+    last, n = model.links[-1], len(model.features)
+    assert last.weights[n:].max() > 0.1
+    cut = chain.ChainModel(model.features, model.categories, [*model.links[:-1], chain.Link(np.append(last.weights[:n], [0.0, 0.0]), last.bias, last.a, last.b)])
+    one = {r["doc_id"]: r["toxic"] for r in chain.score(docs, model).collect()}
+    two = {r["doc_id"]: r["toxic"] for r in chain.score(docs, cut).collect()}
+    assert len([i for i in one if abs(one[i] - two[i]) > 0.01]) > 0.1 * len(one)
+    outside = [(i, t) for i, _, t in marks if one[i] is not None]
+    assert np.mean([(one[i] >= 0.5) == t for i, t in outside]) > 0.9
+
+
+def test_rows_of_unknown_category_train_the_others():
+    r = np.random.default_rng(4)
+    rows = [(np.sort(r.choice(30, 5, replace=False)).astype(np.int32), np.ones(5)) for _ in range(300)]
+    y = np.array([1.0 if 3 in ids else -1.0 for ids, _ in rows])
+    hidden = np.where(np.arange(300) % 4 == 0, 0.0, y)
+    folds = np.arange(300) % chain.FOLDS
+    link, outside = chain._fit_link(rows, hidden, 30, folds)
+    assert len(outside) == 300 and ((outside > 0.5) == (y > 0)).mean() > 0.95
+    link, outside = chain._fit_link(rows, np.zeros(300), 30, folds)
+    assert len(outside) == 300 and (0 <= outside).all() and (outside <= 1).all()

@@ -9,7 +9,8 @@ Only indicators whose counts deviate clearly from independence of some category
 a long text is judged by its telling words, not by its length. Both the labelled sample and the
 number of features are bounded by documented parameters; every document is scored whole.
 
-Edge cases: null or empty texts have no indicators. A category without rows of both classes in the
+Edge cases: null or empty texts have no indicators. A row whose label of one category is null trains the
+others. An id that repeats is one row of the sample. A category without rows of both classes in the
 sample gets the smoothed share of positive rows as its probability everywhere. An empty table
 gives an empty result; columns of other names are not read.
 """
@@ -49,7 +50,15 @@ class Link:
 
 
 def _fit_link(rows: list, y: np.ndarray, width: int, folds: np.ndarray) -> tuple[Link, np.ndarray]:
-    """The category's model and its out-of-fold probabilities."""
+    """The category's model and its out-of-fold probabilities. Rows of unknown label (y = 0) train no
+    model; their probabilities come from the model of all others."""
+    known = np.flatnonzero(y != 0)
+    if len(known) < len(y):
+        link, inside = _fit_link([rows[i] for i in known], y[known], width, folds[known])
+        w = np.append(link.weights, link.bias)
+        outside = sigmoid(link.a * margins(rows, w) + link.b) if len(rows) else np.zeros(0)
+        outside[known] = inside
+        return link, outside
     share = (float((y > 0).sum()) + 1) / (len(y) + 2)
     constant = Link(np.zeros(width), 0.0, 1.0, float(np.log(share / (1 - share))))
     if min((y > 0).sum(), (y < 0).sum()) < 2 * FOLDS:
@@ -91,7 +100,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], most_rows: in
         vectors.append((ids, np.ones(len(ids))))
     links = []
     for j, category in enumerate(categories):
-        y = np.array([1.0 if r[category] else -1.0 for r in sample])
+        y = np.array([0.0 if r[category] is None else 1.0 if r[category] else -1.0 for r in sample])
         link, outside = _fit_link(vectors, y, len(features) + j, folds)
         links.append(link)
         extra = np.array([len(features) + j], np.int32)
@@ -129,19 +138,22 @@ def score(docs: DataFrame, model: ChainModel, id_col: str = "doc_id", text_col:
     return rows.mapInArrow(run, schema)
 
 
-#: The chain of the registered query: toxic at all, toxic running text, toxic junk.
-CATEGORIES = ["toxic", "toxic_prose", "toxic_junk"]
+#: The chain of the registered query: toxic running text, toxic junk, and at its end toxic at all, whose
+#: link reads the probabilities of the two before it.
+CATEGORIES = ["toxic_prose", "toxic_junk", "toxic"]
 
 
 def categories(labels: DataFrame) -> DataFrame:
-    """The chain's categories from the labels: toxic, and whether a toxic text is otherwise good."""
+    """The chain's categories from the labels: toxic, and whether a toxic text is otherwise good. Without
+    a quality label only a text that is not toxic has the first two."""
     toxic, good = F.col("toxic"), F.col("quality")
-    return labels.select("doc_id", toxic, (toxic * good).alias("toxic_prose"), (toxic * (1 - good)).alias("toxic_junk"))
+    clean = F.when(toxic == 0, 0)
+    return labels.select("doc_id", F.coalesce(clean, toxic * good).alias("toxic_prose"), F.coalesce(clean, toxic * (1 - good)).alias("toxic_junk"), toxic)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score (probability of toxic), predicted, and the other categories'
-    probabilities of every document."""
+    """doc_id, held_out, score (the last link's probability, of toxic), predicted, and the earlier
+    categories' probabilities of every document."""
     scored = score(docs, fit(docs, categories(labels), CATEGORIES))
     return scored.select(
         "doc_id",

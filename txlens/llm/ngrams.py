@@ -52,19 +52,23 @@ def held_out(id_col: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, columns: list[str], most: int, seed: int = 7) -> DataFrame:
-    """(doc_id, text, *columns) of at most ``most`` labelled rows outside the held-out fold: those
-    with the smallest hash of the id. Rows with a null label are not used; of repeated labels the
-    largest counts."""
+    """(doc_id, text, *columns) of at most ``most`` labelled ids outside the held-out fold: those
+    with the smallest hash of the id, one row each. Rows without any label are not used, a null beside
+    other labels stays null; of repeated labels the largest counts, of the texts of a repeated id the one
+    with the smallest digest."""
     chosen = (
         labels.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
-        .dropna(subset=columns)
+        .dropna(how="all", subset=columns)
         .groupBy("doc_id")
         .agg(*[F.max(c).cast("int").alias(c) for c in columns])
         .orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id")
         .limit(most)
     )
     texts = docs.select(F.col("doc_id"), F.col("text"))
-    return texts.join(F.broadcast(chosen), "doc_id")  # at most ``most`` rows
+    known = texts.join(F.broadcast(chosen), "doc_id")  # at most ``most`` ids
+    first = F.min(F.struct(F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"), "text")).alias("first")
+    one = known.groupBy("doc_id").agg(first, *[F.max(c).alias(c) for c in columns])
+    return one.select("doc_id", F.col("first.text").alias("text"), *columns)
 
 
 def class_counts(rows: DataFrame, columns: list[str], starts: tuple[int, ...] = ()) -> DataFrame:
