@@ -49,8 +49,9 @@ BAND_RATIO = 1.5
 COMMON_SHARE = 0.25
 #: Pairs across components, per class that shares a centre, up to which they are listed.
 LISTED_PAIRS = 12
-#: Classes in a block of a family.
+#: Classes in a block of a family, and bytes of their differences from the centre, about.
 BLOCK = 1024
+BLOCK_BYTES = 4 << 20
 #: Bytes of centres' sets up to which they are broadcast.
 CENTRE_BYTES = 32 << 20
 #: Rounds with one centre per bucket.
@@ -354,7 +355,11 @@ def _families(rows: DataFrame, blobs: DataFrame, num: int, den: int) -> DataFram
         group = group.combine_chunks()
         minor = group["minor"].to_numpy(zero_copy_only=False).astype(bool)
         nodes, comps, sizes = (group[c].to_numpy() for c in ("node", "comp", "n"))
-        apart = [np.frombuffer(x, np.uint64) for x in group["apart"].to_pylist()]
+        column = group["apart"].chunk(0) if group["apart"].num_chunks else pa.array([], pa.binary())
+        cuts, raw = (column.offset, column.buffers()) if len(column) else (0, [])
+        cuts = np.frombuffer(raw[1], np.int32, len(column) + 1, 4 * cuts) // 8 if len(column) else np.zeros(1, np.int64)
+        flat = np.frombuffer(raw[2], np.uint64, int(cuts[-1])) if len(column) and cuts[-1] else np.zeros(0, np.uint64)
+        apart = [flat[i:j] for i, j in zip(cuts[:-1], cuts[1:])]  # views: no row is copied
         m, other = np.flatnonzero(minor), np.flatnonzero(~minor)
         lengths = np.array([len(x) for x in apart])
         # inverted lists of the minor rows' difference tokens
@@ -391,13 +396,14 @@ def _families(rows: DataFrame, blobs: DataFrame, num: int, den: int) -> DataFram
         right = F.broadcast(right)
     own = rows.join(left, "node").join(right, "centre").select("centre", "node", "comp", "x", "y")
     family = materialize(own.mapInArrow(differ, "centre bigint, node bigint, comp bigint, n bigint, apart binary"), "jaccard-family")
-    sizes = family.groupBy("centre", "comp").agg(F.count("*").alias("k")).groupBy("centre").agg(F.sum("k").alias("all"), F.max(F.struct("k", "comp")).alias("largest"))
+    sizes = family.groupBy("centre", "comp").agg(F.count("*").alias("k"), F.sum(F.length("apart")).alias("bytes"))
+    sizes = sizes.groupBy("centre").agg(F.sum("k").alias("all"), F.sum("bytes").alias("bytes"), F.max(F.struct("k", "comp", "bytes")).alias("largest"))
     plan = materialize(
         sizes.select(
             "centre",
             F.col("largest.comp").alias("largest"),
-            F.ceil(F.col("all") / BLOCK).alias("blocks"),
-            F.ceil((F.col("all") - F.col("largest.k")) / BLOCK).alias("minor_blocks"),
+            F.ceil(F.greatest(F.col("all") / BLOCK, F.col("bytes") / BLOCK_BYTES)).alias("blocks"),
+            F.ceil(F.greatest((F.col("all") - F.col("largest.k")) / BLOCK, (F.col("bytes") - F.col("largest.bytes")) / BLOCK_BYTES)).alias("minor_blocks"),
         ),
         "jaccard-family-blocks",
     )
