@@ -30,6 +30,9 @@ from txlens.operators import (
 )
 from txlens.operators.anomalies import with_reasons
 from txlens.operators.clean import prepare_transactions
+from txlens.operators.deadletters import dead_letters
+from txlens.operators.lateness import KLL_ERROR, delay_for_share, late_rows_by_batch, with_lateness
+from txlens.operators.offsets import missing_offsets
 from txlens.operators.sketches import LG_K, hll_error, merchant_pane_sketches, merchant_window_sketches, theta_error, window_user_changes
 from txlens.schema import (
     ANOMALY_COLUMNS,
@@ -43,10 +46,16 @@ from txlens.schema import (
 )
 from txlens.session import scratch_path
 from txlens.sources import fixtures
+from txlens.sources.fixtures import FIXTURE_ORIGIN_MICROS
 from txlens.sources.envelope import publish_transactions, read_envelope
 from txlens.sources.generate import generate_transactions
 
 TS = "transaction_timestamp"
+# Fixed values of the log with late rows: micro-batches, seconds of event time in one.
+LATE_SPLITS, LATE_SPLIT_SECONDS = 8, 2700
+SHARES = (0.5, 0.9, 0.99, 0.999)
+# Records that are gone from the lossy log (SQL over offset and partition).
+LOST = "(offset % 37 BETWEEN 5 AND 7 OR (partition = 4 AND offset BETWEEN 100 AND 380) OR (partition = 7 AND offset % 64 = 0) OR (offset * 12 + partition) % 1009 = 3)"
 # Fixed shift of the comparison views' rounding: ties of short decimals never meet it.
 ROUNDING_SHIFT = 0.2718281828
 
@@ -337,6 +346,70 @@ def q_encode_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---- late rows, lost offsets, dead letters --------------------------------------
+
+def late_arrivals(rows: DataFrame, id_col: str, ts: str, splits: int = LATE_SPLITS) -> DataFrame:
+    """Rows with the micro-batch they arrive in: by event time, but some come batches late."""
+    sec = F.unix_seconds(ts)
+    start = FIXTURE_ORIGIN_MICROS // 1_000_000
+    on_time = F.floor((sec - start) / LATE_SPLIT_SECONDS)
+    behind = F.when(F.col(id_col) % 23 == 5, 3).when(F.col(id_col) % 29 == 7, 1).otherwise(0)
+    batch = F.least(F.greatest(on_time + behind, F.lit(0)), F.lit(splits - 1)).cast("int")
+    return rows.withColumn("batch", F.coalesce(batch, F.pmod(F.col(id_col), F.lit(splits)).cast("int")))
+
+
+def _late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tx = prepare_transactions(fixtures.fixture_transactions(spark, sf_dir, keep_id=True))
+    return with_lateness(late_arrivals(tx, "event_id", TS), "batch")
+
+
+def q_late_rows_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return late_rows_by_batch(_late_rows(spark, sf_dir), "batch")
+
+
+def q_lateness_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delays chosen by a quantile sketch, and whether their exact rank is within the sketch's bound."""
+    rows = _late_rows(spark, sf_dir).where("lateness IS NOT NULL")
+    delays = delay_for_share(rows, SHARES)
+    each = rows.select("lateness", F.explode(F.array(*[F.lit(q) for q in SHARES])).alias("share"))
+    ranks = each.join(F.broadcast(delays), "share").groupBy("share").agg(  # four rows
+        F.count_if(F.col("lateness") <= F.col("delay_seconds")).alias("below"),
+        F.count_if(F.col("lateness") < F.col("delay_seconds")).alias("under"),
+        F.count(F.lit(1)).alias("rows"),
+    )
+    within = (F.col("below") >= (F.col("share") - KLL_ERROR) * F.col("rows")) & (F.col("under") <= (F.col("share") + KLL_ERROR) * F.col("rows"))
+    return ranks.select("share", "rows", within.alias("within_bound"))
+
+
+def _lossy_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with dense offsets per partition, of which some records and whole stretches are gone."""
+    log = fixtures.fixture_envelope(spark, sf_dir)
+    dense = log.withColumn("partition", F.pmod("offset", F.lit(TOPIC_PARTITIONS)).cast("int")).withColumn("offset", F.floor(F.col("offset") / TOPIC_PARTITIONS))
+    return dense.where(~F.expr(LOST))
+
+
+def q_missing_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return missing_offsets(_lossy_log(spark, sf_dir), block=64).select("partition", "first_missing", "last_missing", "n_missing")
+
+
+def q_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rejected message of a log with more kinds of bad messages."""
+    return dead_letters(broken_log(spark, sf_dir)).select("offset", "reason", F.array_join("wrong", ",").alias("wrong"))
+
+
+def broken_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = fixtures.fixture_envelope(spark, sf_dir)
+    text = F.col("value").cast("string")
+    k = F.col("offset") % 211
+    value = (
+        F.when(k == 20, "[1, 2]").when(k == 21, F.regexp_replace(text, '"amount":[^,}]*', '"amount":"12.5"'))
+        .when(k == 22, F.substring(text, 1, 40)).when(k == 23, "").when(k == 24, F.lit(None))
+        .when(k == 25, F.regexp_replace(text, '"is_international":[^,}]*', '"is_international":"yes"')).when(k == 26, "null")
+        .otherwise(text)
+    )
+    return log.withColumn("value", value.cast("binary"))
+
+
 # ---- load reports --------------------------------------------------------------
 
 def _load_view(spark: SparkSession, sf_dir: str) -> DataFrame:

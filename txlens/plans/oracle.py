@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from txlens.schema import CURRENCIES, PAYMENT_METHODS, SOURCE_TOPIC, TOPIC_PARTITIONS, TRANSACTION_TYPES
-from txlens.plans.batch import ROUNDING_SHIFT
+from txlens.plans.batch import LATE_SPLIT_SECONDS, LATE_SPLITS, LOST, ROUNDING_SHIFT
 from txlens.sources.fixtures import FIXTURE_AMOUNT_SCALE, FIXTURE_ORIGIN_MICROS, FIXTURE_TIME_COMPRESSION, MALFORMED, spoilt
 
 
@@ -178,6 +178,42 @@ SELECT {key}, window_start, total, n_values, CASE WHEN total < 0 THEN total ELSE
     )
 
 
+# Arrival of each valid row, the watermarks of each micro-batch, and what became of the row.
+LATE = (
+    BASE
+    + f""",
+a AS (
+  SELECT *, coalesce(least(greatest((event_sec - {FIXTURE_ORIGIN_MICROS // 1_000_000}) // {LATE_SPLIT_SECONDS} + CASE WHEN event_id % 23 = 5 THEN 3 WHEN event_id % 29 = 7 THEN 1 ELSE 0 END, 0), {LATE_SPLITS - 1}),
+                     event_id % {LATE_SPLITS})::INTEGER AS batch
+  FROM tx
+),
+m AS (
+  SELECT batch, max(max(event_sec)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest,
+         max(max(event_sec)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - 600 AS drops
+  FROM a GROUP BY batch
+),
+l AS (
+  SELECT a.*, greatest(coalesce(newest - event_sec, 0), 0)::BIGINT AS lateness,
+         CASE WHEN event_sec IS NULL THEN NULL WHEN (event_sec // 1800) * 1800 + 1800 <= drops THEN 'dropped'
+              WHEN event_sec < newest - 600 THEN 'late' ELSE 'on_time' END AS status
+  FROM a JOIN m USING (batch)
+)
+"""
+)
+
+
+def _broken() -> str:
+    k = "event_id % 211"
+    return f"""
+SELECT event_id AS "offset", reason, CASE WHEN reason IN ('empty', 'not_json', 'not_an_object') THEN '' WHEN {k} = 21 THEN 'amount:STRING' WHEN {k} = 25 THEN 'is_international:STRING' ELSE '' END AS wrong
+FROM (
+  SELECT *, CASE WHEN {k} IN (23, 24) THEN 'empty' WHEN {k} = 20 OR {k} = 26 THEN 'not_an_object' WHEN {k} = 22 THEN 'not_json'
+                 WHEN {MALFORMED} THEN 'not_json' WHEN transaction_id IS NULL THEN 'no_transaction_id' WHEN {k} = 21 THEN 'wrong_type'
+                 WHEN amount IS NULL THEN 'no_amount' WHEN NOT amount > 0 THEN 'amount_not_positive' END AS reason
+  FROM f)
+WHERE reason IS NOT NULL"""
+
+
 LOAD = (
     BASE
     + f""",
@@ -219,6 +255,19 @@ def sql() -> dict[str, str]:
         ),
         "merchant_window_user_sketches": USER_CHANGES,
         "merchant_window_user_sketches_stream": USER_CHANGES,
+        "late_rows_by_batch": LATE
+        + "SELECT batch, count(*) FILTER (status = 'on_time') AS on_time, count(*) FILTER (status = 'late') AS late, count(*) FILTER (status = 'dropped') AS dropped, "
+        "count(*) FILTER (status IS NULL) AS untimed, max(CASE WHEN event_sec IS NOT NULL THEN lateness END) AS max_lateness FROM l GROUP BY batch",
+        "lateness_profile": LATE
+        + "SELECT unnest([0.5::DOUBLE, 0.9::DOUBLE, 0.99::DOUBLE, 0.999::DOUBLE]) AS share, count(*) AS rows, true AS within_bound FROM l WHERE event_sec IS NOT NULL",
+        "user_windows_late_stream": LATE
+        + "SELECT * FROM (SELECT user_id, (event_sec // 1800) * 1800 AS window_start, count(*) AS transaction_count FROM l WHERE status <> 'dropped' "
+        "GROUP BY user_id, event_sec // 1800) WHERE window_start + 1800 <= (SELECT max(event_sec) FROM tx) - 600",
+        "missing_offsets": BASE
+        + f""", o AS (SELECT (event_id % {TOPIC_PARTITIONS})::INTEGER AS partition, event_id // {TOPIC_PARTITIONS} AS "offset" FROM f),
+g AS (SELECT *, lag("offset") OVER (PARTITION BY partition ORDER BY "offset") AS b FROM o WHERE NOT {LOST.replace("offset", '"offset"')})
+SELECT partition, (b + 1)::BIGINT AS first_missing, ("offset" - 1)::BIGINT AS last_missing, ("offset" - b - 1)::BIGINT AS n_missing FROM g WHERE "offset" > b + 1""",
+        "dead_letters": BASE + _broken(),
         "user_window_stats": USER_STATS + f"SELECT {USER_COLS} FROM us",
         "enrich_user_stats": ENRICHED + f"SELECT {ENRICHED_COLS} FROM en",
         "enrich_user_stats_rangejoin": ENRICHED + f"SELECT {ENRICHED_COLS} FROM en",

@@ -26,7 +26,7 @@ from txlens.operators.aggregates import (
 from txlens.operators.anomalies import detect_anomalies, enrich_user_stats
 from txlens.operators.clean import clean_transactions
 from txlens.operators.sketches import merchant_pane_sketches
-from txlens.plans.batch import _anomaly_view, _merchant_view, _sketch_view, _user_view, transactions
+from txlens.plans.batch import LATE_SPLITS, _anomaly_view, _merchant_view, _sketch_view, _user_view, late_arrivals, transactions
 from txlens.session import scratch_path
 from txlens.sources.envelope import file_source_options, read_envelope, write_envelope_splits
 from txlens.sources.fixtures import fixture_envelope
@@ -185,6 +185,17 @@ def q_merchant_window_user_sketches_stream(spark: SparkSession, sf_dir: str) ->
     return _sketch_view(transactions(spark, sf_dir), panes)
 
 
+def q_user_windows_late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User windows of a log whose records partly come late: what the stream counts before a window closes."""
+    env = late_arrivals(fixture_envelope(spark, sf_dir), "offset", "timestamp")
+    path = scratch_path(spark, "late-log")
+    files = spark.sparkContext.defaultParallelism
+    write_envelope_splits(env, path, "batch", LATE_SPLITS, files)
+    tx = clean_transactions(read_envelope(spark, path, streaming=True, options=file_source_options(max_files_per_trigger=files)))
+    out = _run(user_window_stats(tx), "user_windows_late", "append")
+    return spark.read.parquet(out).select("user_id", F.unix_seconds("window.start").alias("window_start"), "transaction_count")
+
+
 def q_user_windows_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All user windows of an append query over the log: those it emitted, and those its state holds open."""
     tx = clean_transactions(stream_source(spark, sf_dir))
