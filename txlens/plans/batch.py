@@ -384,7 +384,7 @@ def q_lateness_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _lossy_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log with dense offsets per partition, of which some records and whole stretches are gone."""
     log = fixtures.fixture_envelope(spark, sf_dir)
-    dense = log.withColumn("partition", F.pmod("offset", F.lit(TOPIC_PARTITIONS)).cast("int")).withColumn("offset", F.floor(F.col("offset") / TOPIC_PARTITIONS))
+    dense = log.withColumn("offset", F.expr(f"offset div {TOPIC_PARTITIONS}"))
     return dense.where(~F.expr(LOST))
 
 
@@ -413,11 +413,10 @@ def broken_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- load reports --------------------------------------------------------------
 
 def _load_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every record of the log with its worker (offset modulo the number of partitions,
-    as writers that take offsets in turn have it), append second and whether the
-    processor accepts its message."""
+    """Every record of the log with its partition (each is filled by one writer), append second and
+    whether the processor accepts its message."""
     log = fixtures.fixture_envelope(spark, sf_dir)
-    sent = log.select(F.pmod("offset", F.lit(TOPIC_PARTITIONS)).alias("worker"), "value", "timestamp")
+    sent = log.select(F.col("partition").cast("bigint").alias("worker"), "value", "timestamp")
     parsed = sent.select("worker", "timestamp", F.from_json(F.col("value").cast("string"), TRANSACTION_SCHEMA).alias("m"))
     ok = F.coalesce(F.col("m.transaction_id").isNotNull() & (F.col("m.amount") > 0), F.lit(False))
     return parsed.select("worker", F.unix_seconds("timestamp").alias("sec"), ok.alias("ok"))

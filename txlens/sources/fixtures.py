@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from txlens.functions.columns import ntz_epoch_micros
-from txlens.schema import CURRENCIES, PAYMENT_METHODS, TRANSACTION_TYPES
+from txlens.schema import CURRENCIES, PAYMENT_METHODS, TOPIC_PARTITIONS, TRANSACTION_TYPES
 from txlens.session import local_path
 from txlens.sources.envelope import to_envelope
 
@@ -145,7 +145,8 @@ def fixture_transactions(spark: SparkSession, sf_dir: str, keep_id: bool = False
 
 
 def fixture_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fixture transactions as log records (offset = event id), some of them malformed."""
+    """The fixture transactions as log records (offset = event id, partitions in turn), some of them malformed."""
     env = to_envelope(fixture_transactions(spark, sf_dir, keep_id=True).withColumn("offset", F.col("event_id")), offset="offset")
+    env = env.withColumn("partition", F.pmod("offset", F.lit(TOPIC_PARTITIONS)).cast("int"))
     broken = F.expr(MALFORMED.replace("event_id", "offset"))
     return env.withColumn("value", F.when(broken, F.lit("{not json").cast("binary")).otherwise(F.col("value")))
