@@ -4,6 +4,13 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written a
 shared scratch folder and read again as the next stage's ``docs``, so a lost executor never repeats
 an earlier stage. Every stage works on all rows that its predecessor kept; all but the last return
 the columns of ``documents``.
+
+Edge cases: a null text counts as empty; it stays if the quality model keeps empty texts, all empty texts are
+one group of exact duplicates, the one that stays links with nothing, has no words and so is never taken by
+the mix. Null and repeated ids are settled row by row: by digest in ``exact_dedup`` and ``near_dedup``, by source and
+size in ``mix``. Of fully repeated rows one stays. Ties go to the smaller id, null ids last. Sources may be
+null. Columns beside those of ``documents``, whatever their names, pass through all stages but the last. An
+empty table, or one of which a stage keeps nothing, gives an empty result.
 """
 
 from __future__ import annotations
