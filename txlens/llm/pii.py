@@ -4,7 +4,7 @@ DataFrame expressions only. A text split by a pattern alternates with the patter
 lengths of the pieces give the position of every match in code points. Per kind matches do not
 overlap, leftmost first. The four base kinds (email, ip, card, phone) are settled by their pattern
 and check alone. Further kinds are proposed by their own pattern, must pass their check (mod 97 for
-an IBAN, the issuing rules for a social security number) and then reach a score: a start value for
+an IBAN, the issuing rules for a social security number, mixed and varied characters for a secret) and then reach a score: a start value for
 the kind, raised by a word of its context list within ``CONTEXT`` characters, lowered by a word that
 speaks against it. Base spans get a score as well, but always stay.
 
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 CONTEXT = 48
 #: Score from which a further kind is reported.
 THRESHOLD = 0.6
+#: Different characters in a secret, at least.
+LEAST_DISTINCT = 9
 BLOCK = 256
 
 
@@ -85,6 +87,11 @@ def _is_ssn(match: Column) -> Column:
     return ~area.isin("000", "666") & (area < "900") & (group != "00") & (serial != "0000")
 
 
+def _is_secret(match: Column) -> Column:
+    """Letters and digits mixed, and as many different characters as random text of 16 and more would have."""
+    return match.rlike("[0-9]") & match.rlike("[A-Za-z]") & (F.size(F.array_distinct(F.split(match, ""))) >= LEAST_DISTINCT)
+
+
 @dataclass(frozen=True)
 class Kind:
     name: str
@@ -104,7 +111,17 @@ KINDS = (
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", _is_phone, "+", 0.7, r"phone|tel\b|call|mobile|fax|contact", "order|isbn"),
     Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", _is_iban, "", 0.8, "iban|bank|account|konto|transfer", "serial|key", False),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", _is_ssn, "-", 0.4, r"ssn|social|security|tax|insurance", "part|serial|order", False),
-)
+    # keys of known shape, told without context, and other random-looking runs beside a word for a secret
+    Kind(
+        "key",
+        r"(?<![A-Za-z0-9_-])(?:A[KS]IA[0-9A-Z]{16}|gh[opsur]_[A-Za-z0-9]{36}|glpat-[A-Za-z0-9_-]{20}|xox[abprs]-[A-Za-z0-9-]{10,72}+|[rs]k_(?:live|test)_[A-Za-z0-9]{16,99}+|AIza[A-Za-z0-9_-]{35})(?![A-Za-z0-9_-])",
+        _is_secret, "", 0.7, "key|token|secret|credential|access", "example|sample|dummy", False,
+    ),
+    Kind(
+        "secret", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}+={0,2}+(?![A-Za-z0-9+/_=-])",
+        _is_secret, "", 0.3, r"token|secret|passw|pwd|api[ _-]?key|bearer|credential|authorization|private[ _-]key", r"commit|checksum|sha-?(?:1|256)|md5|uuid|revision|example", False,
+    ),
+)
 
 
 def _starts(lengths: Column) -> Column:

@@ -22,6 +22,7 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[pii.count_of(spans, kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")],
         F.sha2(pii.listed(spans, True), 256).alias("base_sha256"),
         pii.listed(spans, False).alias("spans"),
+        F.size(spans).cast("bigint").alias("n_spans"),
     )
 
 
