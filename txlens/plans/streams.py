@@ -108,7 +108,7 @@ def q_merchant_aggregates_stream_bucketed(spark: SparkSession, sf_dir: str) -> D
 def q_merchant_aggregates_stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bucketed query as it runs: parts in the compacted table, merged groups published as JSON by every
     micro-batch; the last record of each (merchant, window)."""
-    tx = clean_transactions(stream_source(spark, sf_dir, n_splits=12))
+    tx = clean_transactions(stream_source(spark, sf_dir, n_splits=8))
     out, parts, ckpt = (scratch_path(spark, f"merchant-compacted-{n}") for n in ("out", "parts", "ckpt"))
     _finish(
         start_merchant_aggregates_bucketed(
