@@ -20,6 +20,9 @@ from txlens.functions.columns import (
 )
 from txlens.schema import MERCHANT_AGG_COLUMNS, MERCHANT_SLIDE, MERCHANT_WINDOW, USER_WINDOW
 
+#: Slides in a time range of the form by frames (about four hours of one-minute slides).
+RANGE_SLIDES = 256
+
 
 def _money(total: str, n_amount: str, out_total: str, out_avg: str) -> list[Column]:
     """The total and the average from a sum and the number of non-null amounts in it."""
@@ -198,12 +201,18 @@ def _merchant_batch(tx: DataFrame, window: str, slide: str, exact_distinct: bool
         .groupBy("merchant", "_ws")
         .agg(*_merged(), F.sort_array(F.collect_set("currency")).alias("currencies_used"))
     )
+    return _with_users(sums, timed, w, s, exact_distinct)
+
+
+def _with_users(sums: DataFrame, timed: DataFrame, w: int, s: int, exact_distinct: bool) -> DataFrame:
+    """The merchant aggregates from the numeric ones per (merchant, _ws) and the rows by pane, which give the users."""
     seen = timed.filter(F.col("user_id").isNotNull()).select("merchant", "user_id", "_pane").distinct()
     if exact_distinct:
         before = F.lag("_pane").over(Window.partitionBy("merchant", "user_id").orderBy("_pane"))
         entered = _starts_after(F.col("_pane"), F.col("_before"), w, s)
         users = seen.withColumn("_before", before).select("merchant", F.explode(entered).alias("_ws")).groupBy("merchant", "_ws").agg(F.count(F.lit(1)).alias("_users"))
     else:
+        starts = window_starts_for_pane(F.col("_pane"), w, s)
         users = seen.select("merchant", "user_id", F.explode(starts).alias("_ws")).groupBy("merchant", "_ws").agg(F.approx_count_distinct("user_id").alias("_users"))
     u = users.withColumnsRenamed({"merchant": "_merchant", "_ws": "_start"})
     g = sums.join(u, F.col("merchant").eqNullSafe(F.col("_merchant")) & (F.col("_ws") == F.col("_start")), "left")
@@ -220,6 +229,69 @@ def _merchant_batch(tx: DataFrame, window: str, slide: str, exact_distinct: bool
     )
 
 
+def merchant_window_aggregates_by_frames(
+    tx: DataFrame,
+    window: str = MERCHANT_WINDOW,
+    slide: str = MERCHANT_SLIDE,
+    exact_distinct: bool = True,
+    ts: str = "transaction_timestamp",
+    range_slides: int = RANGE_SLIDES,
+) -> DataFrame:
+    """The batch merchant aggregates with the numeric part by ordered RANGE frames: same columns and rows as
+    :func:`merchant_window_aggregates`.
+
+    Rows are reduced to one per (merchant, pane). Time is cut into ranges of ``range_slides`` slides (at least a
+    window), so a merchant is as many tasks as it has ranges; a range also holds the panes of its windows that lie in
+    the next one, at most one window of them. A window belongs to the range of its start, and its values are the frame
+    from its start to its last pane. Starts that have no pane of their own are put between the panes as empty rows, one
+    for each window that will come out; the panes themselves are not copied to their windows.
+    """
+    w, s = interval_seconds(window), interval_seconds(slide)
+    pane = math.gcd(w, s)
+    width = max(range_slides, math.ceil(w / s)) * s
+    timed = tx.filter(F.col(ts).isNotNull()).select(
+        "merchant", "user_id", "currency", "amount", pane_start(epoch_seconds(ts), pane).alias("_pane")
+    )
+    # _at is the pane as an aggregate, so that the filter of the copies stays above the aggregation and both
+    # branches of the union read the same shuffled rows
+    panes = timed.groupBy("merchant", "_pane").agg(*_parts(), F.collect_set("currency").alias("_currencies"), F.max("_pane").alias("_at"))
+    values = ["_n", "_total", "_n_amount", "_min", "_max", "_currencies"]
+    first = F.col("_at") - F.pmod(F.col("_at"), F.lit(width))
+    own = panes.select("merchant", first.alias("_range"), "_at", *values)
+    ahead = panes.where(F.col("_at") - first < w - pane).select("merchant", (first - width).alias("_range"), "_at", *values)
+    by_range = Window.partitionBy("merchant", "_range")
+    placed = own.unionByName(ahead).withColumn("_before", F.lag("_at").over(by_range.orderBy("_at")))
+    places = F.array_union(F.array("_at"), _starts_until(F.col("_at"), F.col("_before"), F.col("_range"), w, s, width))
+    here = F.col("_ws") == F.col("_at")
+    rows = placed.select("*", F.explode(places).alias("_ws")).select(
+        "merchant", "_range", "_ws", *[F.when(here, F.col(c)).alias(c) for c in values]
+    )
+    frame = by_range.orderBy("_ws").rangeBetween(0, w - pane)
+    sums = rows.select(
+        "merchant",
+        "_range",
+        "_ws",
+        F.sum("_n").over(frame).alias("total_transactions"),
+        F.sum("_total").over(frame).alias("_total"),
+        F.sum("_n_amount").over(frame).alias("_n_amount"),
+        F.min("_min").over(frame).alias("min_amount"),
+        F.max("_max").over(frame).alias("max_amount"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("_currencies").over(frame)))).alias("currencies_used"),
+    )
+    is_start = (F.pmod("_ws", F.lit(s)) == 0) & (F.col("_ws") < F.col("_range") + width) & F.col("total_transactions").isNotNull()
+    return _with_users(sums.where(is_start).drop("_range"), timed, w, s, exact_distinct)
+
+
+def _starts_until(pane: Column, before: Column, range_start: Column, window: int, slide: int, width: int) -> Column:
+    """The window starts inside a range after the pane ``before`` (any, if that is null) whose windows hold ``pane``;
+    an empty array if there is none."""
+    low = F.greatest(pane - F.lit(window) + 1, before + 1, range_start)
+    low = low + F.pmod(-low, F.lit(slide))
+    last = F.least(pane - F.pmod(pane, F.lit(slide)), range_start + F.lit(width - slide))
+    none = F.array().cast("array<bigint>")
+    return F.when(low <= last, F.sequence(low, last, F.lit(slide).cast("long"))).otherwise(none)
+
+
 def _starts_after(pane: Column, before: Column, window: int, slide: int) -> Column:
     """The window starts of ``pane`` that are not window starts of the earlier pane ``before``
     (all of them if that is null): those after the last start of ``before``."""

@@ -28,12 +28,14 @@ from txlens.operators import (
     valid_transactions,
     with_event_time,
 )
+from txlens.operators.aggregates import merchant_window_aggregates_by_frames
 from txlens.operators.anomalies import with_reasons
 from txlens.operators.clean import prepare_transactions
 from txlens.operators.deadletters import dead_letters
 from txlens.operators.lateness import KLL_ERROR, delay_for_share, late_rows_by_batch, with_lateness
 from txlens.operators.offsets import missing_offsets
 from txlens.operators.sketches import LG_K, hll_error, merchant_pane_sketches, merchant_window_sketches, theta_error, window_user_changes
+from txlens.operators.storage import storage_by_field
 from txlens.schema import (
     ANOMALY_COLUMNS,
     MERCHANT_AGG_COLUMNS,
@@ -212,6 +214,10 @@ def q_merchant_window_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merchant_view(merchant_window_aggregates(transactions(spark, sf_dir)))
 
 
+def q_merchant_window_aggregates_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merchant_view(merchant_window_aggregates_by_frames(transactions(spark, sf_dir)))
+
+
 def q_user_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _user_view(user_window_stats(transactions(spark, sf_dir)))
 
@@ -434,6 +440,15 @@ def q_record_size_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_size_profile(fields(spark, sf_dir), include_json=True)
 
 
+def q_storage_by_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions written as a table, and per field its raw bytes, what the files' footers say of values and nulls,
+    and whether its stored bytes were measured. (The bytes depend on the writer: ``storage_by_field`` has them.)"""
+    path = scratch_path(spark, "stored")
+    fields(spark, sf_dir).write.parquet(path)
+    found = storage_by_field(spark, path)
+    return found.select("field", "records", "raw_bytes", "n_values", "n_nulls", (F.col("measured_compression") > 0).alias("measured"))
+
+
 def q_generate_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One generated transaction per event id; profile per merchant and currency."""
     events = fixtures.load_table(spark, sf_dir, "events")

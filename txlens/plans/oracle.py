@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from txlens.schema import CURRENCIES, PAYMENT_METHODS, SOURCE_TOPIC, TOPIC_PARTITIONS, TRANSACTION_TYPES
+from txlens.operators.reports import FIXED_FIELD_BYTES, STRING_FIELDS
 from txlens.plans.batch import LATE_SPLIT_SECONDS, LATE_SPLITS, LOST, ROUNDING_SHIFT
 from txlens.sources.fixtures import FIXTURE_AMOUNT_SCALE, FIXTURE_ORIGIN_MICROS, FIXTURE_TIME_COMPRESSION, MALFORMED, spoilt
 
@@ -236,6 +237,17 @@ _CLOSED_ANOMALIES = (
 )
 
 
+def _stored() -> str:
+    """Raw bytes and nulls of each field of the rows."""
+    sizes = {c: f"coalesce(sum(strlen({c})), 0)" for c in STRING_FIELDS} | {c: f"{n} * count(*)" for c, n in FIXED_FIELD_BYTES.items()}
+    parts = [
+        f"SELECT '{c}' AS field, count(*) AS records, ({size})::BIGINT AS raw_bytes, count(*)::BIGINT AS n_values, "
+        f"(count(*) - count({c}))::BIGINT AS n_nulls, true AS measured FROM f"
+        for c, size in sizes.items()
+    ]
+    return BASE + " UNION ALL ".join(parts)
+
+
 def sql() -> dict[str, str]:
     return {
         "envelope_scan": BASE
@@ -249,6 +261,7 @@ def sql() -> dict[str, str]:
         + "SELECT transaction_id, (event_sec // 60) * 60 - o.range * 60 AS window_start, "
         "(event_sec // 60) * 60 - o.range * 60 + 300 AS window_end FROM tx CROSS JOIN range(5) AS o WHERE event_sec IS NOT NULL",
         "merchant_window_aggregates": MERCHANT_AGG + f"SELECT {MERCHANT_COLS} FROM agg",
+        "merchant_window_aggregates_frames": MERCHANT_AGG + f"SELECT {MERCHANT_COLS} FROM agg",
         "user_window_exact_totals": _exact_totals("user_id", "(event_sec // 1800) * 1800", "(SELECT * FROM tx WHERE event_sec IS NOT NULL)"),
         "merchant_window_exact_totals": _exact_totals(
             "merchant", "(event_sec // 60) * 60 - o * 60", "(SELECT tx.*, unnest(range(5)) AS o FROM tx WHERE event_sec IS NOT NULL)"
@@ -310,6 +323,7 @@ SELECT *, CASE WHEN elapsed > 0 THEN CAST(message_count AS DOUBLE) / elapsed ELS
   SELECT *, CASE WHEN elapsed > 0 THEN CAST(total_messages AS DOUBLE) / elapsed ELSE 0.0 END AS throughput FROM t
 )
 SELECT *, CAST(300000 AS DOUBLE) AS target_throughput, throughput >= 300000 AS target_reached FROM t2""",
+        "storage_by_field": _stored(),
         "record_size_profile": BASE
         + """, sz AS (
   SELECT *, coalesce(strlen(transaction_id), 0) + coalesce(strlen(user_id), 0) + coalesce(strlen(currency), 0)
