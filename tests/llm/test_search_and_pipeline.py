@@ -53,6 +53,47 @@ def test_top_k_edge_cases(spark):
     assert balltree.top_k(df.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
+def test_repeated_query_ids_and_a_hot_id_over_shards(spark, monkeypatch):
+    """Every row of an id is a query and a candidate, as in the SQL; an id of a third of all rows is many shards and blocks."""
+    monkeypatch.setattr(balltree, "SHARD_VECTORS", 60)
+    monkeypatch.setattr(balltree, "BLOCK_QUERIES", 11)
+    monkeypatch.setattr(balltree, "LEAF", 8)
+    r = np.random.default_rng(5)
+    centres = r.normal(size=(6, 4)) * 8
+    rows = [(int(i % 130), [float(c) for c in centres[i % 6] + r.normal(size=4)]) for i in range(400)]
+    rows += [(20, [1.0, 0.5, -1.0, 2.0])] * 150 + [(20, [float(c) for c in r.normal(size=4)]) for _ in range(50)]
+    rows += [(40, [1.0, 2.0]), (41, [3.0, 1.0]), (60, []), (61, [])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows[:-2])
+    want = con.sql(registry.ORACLE_SQL["op10_ball_tree_topk"]).fetchall()
+    found = balltree.top_k(df.where("size(embedding) > 0"), F.col("id") % 20 == 0).collect()
+    assert sorted((x["query_id"], x["rank"], x["vec_id"], x["score"]) for x in found) == sorted(want)
+    assert balltree.top_k(df.where("size(embedding) = 0"), F.col("id") % 20 == 0).collect()[0]["score"] == 0
+    alone = balltree.top_k(df.where("vec_id = 20"), F.col("id") % 20 == 0)
+    assert alone.count() == 0
+
+
+def test_far_shards_are_not_asked(spark, monkeypatch):
+    """With vectors in clusters, a query is sent to few of the shards, and the answer is whole."""
+    monkeypatch.setattr(balltree, "SHARD_VECTORS", 50)
+    monkeypatch.setattr(balltree, "LEAF", 8)
+    seen = {}
+    keep = balltree.materialize
+    monkeypatch.setattr(balltree, "materialize", lambda df, name, *a: seen.setdefault(name, keep(df, name, *a)))
+    r = np.random.default_rng(7)
+    centres = r.normal(size=(12, 8)) * 20
+    x = centres[np.arange(600) % 12] + r.normal(size=(600, 8)) * 0.2
+    ids = np.arange(600)
+    df = spark.createDataFrame([(int(i), [float(c) for c in v]) for i, v in zip(ids, x)], "vec_id bigint, embedding array<double>")
+    found = balltree.top_k(df, F.col("id") % 10 == 0, k=5).collect()
+    assert {(q["query_id"], q["rank"], q["vec_id"], q["score"]) for q in found} == brute_top(ids, np.floor(64 * x), ids % 10 == 0, 5)
+    shards = seen["ball-trees"].count()
+    asked = seen["ball-asked"].select(F.sum(F.size("q"))).first()[0] or 0
+    assert shards > 6 and asked < 0.5 * 60 * (shards - 1)
+
+
 def test_tree_bounds_hold():
     r = np.random.default_rng(2)
     v = np.floor(r.normal(size=(500, 5)) * 30)
