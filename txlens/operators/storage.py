@@ -67,7 +67,8 @@ def column_chunks(spark: SparkSession, path: str) -> DataFrame:
     Nested fields go by their dotted path. The files' footers are read by tasks of ``FILES_PER_TASK`` files.
     """
     files = table_files(spark, path)
-    tasks = max(1, -(-files.count() // FILES_PER_TASK), min(spark.sparkContext.defaultParallelism, files.count()))
+    n = files.count()
+    tasks = max(1, -(-n // FILES_PER_TASK), min(spark.sparkContext.defaultParallelism, n))
     schema = pa.schema([(f.name, {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}[f.dataType.simpleString()]) for f in spark.createDataFrame([], CHUNKS).schema])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
