@@ -341,6 +341,58 @@ def test_passages_edge_cases(spark):
     assert {x["doc_id"] for x in rows} == {1, 2, 3, 4}
 
 
+def edited(r, passage, share):
+    out = list(passage)
+    for i in r.sample(range(len(out)), round(len(out) * share)):
+        out[i] = words(r, 1)[0].upper() + "z"
+    return out
+
+
+@pytest.mark.parametrize("holders", [0, 5, 40])
+def test_passages_with_edits_are_found_also_where_others_hold_their_parts(spark, holders):
+    """At identities from 0.8 to 0.95; with 40 holders a part's seeds are in more texts than are all paired."""
+    r = random.Random(14)
+    texts, pairs = [], set()
+    for n in (50, 60, 100):
+        for share in (0.2, 0.15, 0.1, 0.05):
+            for _ in range(3 if holders < 40 else 1):
+                one = words(r, n)
+                two = edited(r, one, share)
+                pairs.add((len(texts), len(texts) + 1))
+                texts += [" ".join(words(r, 20) + one + words(r, 20)), " ".join(words(r, 33) + two + words(r, 9))]
+                parts = [p[i : i + 22] for p in (one, two) for i in range(0, n - 21, 8)]
+                texts += [" ".join(words(r, 30) + p + words(r, 4)) for p in parts for _ in range(holders)]
+    rows = passages.repeated_passages(docs_of(spark, texts)).collect()
+    found = {(x["doc_id"], x["other_id"]) for x in rows}
+    assert found <= pairs | {(b, a) for a, b in pairs}
+    assert len(found & pairs) >= 0.9 * len(pairs)
+    for x in rows:
+        a, b = (lower(texts[i]).split() for i in (x["doc_id"], x["other_id"]))
+        a, b = a[x["start_word"] : x["end_word"]], b[x["other_start"] : x["other_end"]]
+        assert min(len(a), len(b)) >= 50 and x["matched_words"] <= passages.common_words(np.array(a), np.array(b)) and x["identity"] >= 0.8
+
+
+def test_passages_of_equal_texts_and_of_a_second_place(spark):
+    r = random.Random(15)
+    shared = words(r, 55)
+    whole = " ".join(words(r, 40) + shared)
+    texts = [whole, whole, whole, " ".join(shared + words(r, 30) + shared), " ".join(words(r, 60))]
+    rows = passages.repeated_passages(docs_of(spark, texts)).collect()
+    spans = {(x["doc_id"], x["other_id"], x["start_word"], x["end_word"]) for x in rows}
+    assert spans == {(0, 3, 40, 95), (3, 0, 0, 55), (3, 0, 85, 140), *[s for i in (1, 2) for s in ((0, i, 0, 95), (i, 0, 0, 95))]}
+
+
+def test_every_run_of_words_holds_a_seed():
+    r = random.Random(16)
+    texts = [" ".join(r.choice("abcdefgh" if i % 2 else "ab") for _ in range(r.randint(50, 300))) for i in range(200)]
+    data, offsets = common.text_buffers(pa.array(texts))
+    found, firsts = common.word_hashes(data, offsets)
+    for (seeds, places), n in zip(passages.syncmers(found, firsts), np.diff(firsts)):
+        runs = np.diff(places) > passages.WINDOW
+        assert len(places) and places[0] < passages.WINDOW and places[-1] >= n - passages.SEED - passages.WINDOW + 1
+        assert not (runs & (seeds[1:] != seeds[:-1])).any()
+
+
 def brute_chain(found):
     best = [0.0] * len(found)
     order = sorted(range(len(found)), key=lambda i: (found[i][0], found[i][1]))
