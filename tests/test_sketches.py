@@ -68,3 +68,20 @@ def test_rows_are_sketched_before_they_are_copied(many):
     plan = sketches.merchant_window_sketches(sketches.merchant_pane_sketches(many))._jdf.queryExecution().optimizedPlan().toString()
     generate, aggregate = plan.index("Generate"), plan.index("Aggregate [merchant", plan.index("Generate"))
     assert "hll_sketch_agg" in plan[aggregate:] and "hll_sketch_agg" not in plan[:generate]
+
+
+def test_exact_changes_equal_sets_and_shuffle_no_row_per_user_and_window(spark):
+    rows = [(m, u, epoch(0, 0) + 60 * p) for i, (m, u) in enumerate((m, u) for m in (None, "m") for u in (None, "a", "b", "c")) for p in ((i * 7) % 5, 3 * i, 3 * i + 4, 30)]
+    tx = spark.createDataFrame(rows, "merchant string, user_id string, t long").selectExpr("merchant", "user_id", "timestamp_seconds(t) AS transaction_timestamp")
+    users = {}
+    for m, u, t in rows:
+        for start in range(t - 240, t + 1, 60):
+            users.setdefault((m, start), set()).add(u)
+    want = {}
+    for (m, start), held in users.items():
+        now, then = held - {None}, users.get((m, start - 300), set()) - {None}
+        want[m, start] = (len(now), len(now - then), len(then - now))
+    found = batch._exact_user_changes(tx, 300)
+    assert {(r["merchant"], r["window_start"]): (r["n_users"], r["n_entered"], r["n_left"]) for r in found.collect()} == want
+    shuffled = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    assert shuffled and not [x for x in shuffled if "user_id" in x and ("ws#" in x or "window_start#" in x)]

@@ -7,7 +7,7 @@ directly; the operators themselves return timestamps and arrays.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txlens.functions.columns import interval_seconds, tumbling_start_sec, window_starts_for_pane
@@ -28,7 +28,7 @@ from txlens.operators import (
     valid_transactions,
     with_event_time,
 )
-from txlens.operators.aggregates import merchant_window_aggregates_by_frames
+from txlens.operators.aggregates import _starts_after, merchant_window_aggregates_by_frames
 from txlens.operators.anomalies import with_reasons
 from txlens.operators.clean import prepare_transactions
 from txlens.operators.deadletters import dead_letters
@@ -269,21 +269,36 @@ def _sketch_view(tx: DataFrame, panes: DataFrame) -> DataFrame:
 
 
 def _exact_user_changes(tx: DataFrame, w: int) -> DataFrame:
-    """Exact users, entered and left per merchant window (what the sketches save)."""
+    """Exact users, entered and left per merchant window (what the sketches save).
+
+    A row per merchant, user and pane is the only large table. A user counts in the windows of a pane that are not
+    windows of the pane before, and is in a window and in the one right before it where the window starts after a pane
+    and not after the user's next one, both within a window of it; both counts are combined before the shuffle."""
     slide = interval_seconds(MERCHANT_SLIDE)
     panes = tx.filter(F.col(TS).isNotNull()).select("merchant", "user_id", tumbling_start_sec(TS, slide).alias("pane")).distinct()
-    windows = panes.select("merchant", "user_id", F.explode(window_starts_for_pane(F.col("pane"), w, slide)).alias("ws")).distinct()
-    now = windows.select("merchant", "user_id", "ws", F.lit(1).alias("here"), F.lit(0).alias("before"))
-    earlier = windows.select("merchant", "user_id", (F.col("ws") + w).alias("ws"), F.lit(0).alias("here"), F.lit(1).alias("before"))
-    per_user = now.unionByName(earlier).groupBy("merchant", "user_id", "ws").agg(F.max("here").alias("here"), F.max("before").alias("before"))
-    known = F.col("user_id").isNotNull()
-    g = per_user.groupBy("merchant", F.col("ws").alias("window_start")).agg(
-        F.max("here").alias("some"),
-        F.count_if(known & (F.col("here") == 1)).alias("n_users"),
-        F.count_if(known & (F.col("here") == 1) & (F.col("before") == 0)).alias("n_entered"),
-        F.count_if(known & (F.col("here") == 0) & (F.col("before") == 1)).alias("n_left"),
+    pane, before = F.col("pane"), F.col("before")
+    panes = panes.withColumn("before", F.lag("pane").over(Window.partitionBy("merchant", "user_id").orderBy("pane")))
+    low, high = F.greatest(before + slide, pane - w + slide), F.least(pane, before + w)
+    stay = F.when(before.isNotNull() & (low <= high), F.sequence(low, high, F.lit(slide).cast("long")))
+    none = F.array().cast("array<bigint>")
+    here = F.transform(F.coalesce(_starts_after(pane, before, w, slide), none), lambda ws: F.struct(ws.alias("ws"), F.lit(0).alias("kind")))
+    both = F.transform(F.coalesce(stay, none), lambda ws: F.struct(ws.alias("ws"), F.lit(1).alias("kind")))
+    rows = panes.select("merchant", F.col("user_id").isNotNull().alias("known"), F.explode(F.concat(here, both)).alias("m")).select("merchant", "known", "m.*")
+    counts = rows.groupBy("merchant", "ws").agg(
+        F.max(F.col("kind") == 0).alias("some"),
+        F.count_if(F.col("known") & (F.col("kind") == 0)).alias("here"),
+        F.count_if(F.col("known") & (F.col("kind") == 1)).alias("both"),
+    )
+    zero = F.lit(0).cast("bigint")
+    now = counts.select("merchant", "ws", "some", "here", "both", zero.alias("earlier"))
+    then = counts.select("merchant", (F.col("ws") + w).alias("ws"), F.lit(False).alias("some"), zero.alias("here"), zero.alias("both"), F.col("here").alias("earlier"))
+    g = now.unionByName(then).groupBy("merchant", F.col("ws").alias("window_start")).agg(
+        F.max("some").alias("some"),
+        F.sum("here").alias("n_users"),
+        (F.sum("here") - F.sum("both")).alias("n_entered"),
+        (F.sum("earlier") - F.sum("both")).alias("n_left"),
     )
-    return g.where("some = 1").drop("some")
+    return g.where("some").drop("some")
 
 
 def _exact_view(totals: DataFrame, key: str) -> DataFrame:
