@@ -11,6 +11,7 @@ from txlens.operators.clean import clean_transactions
 from txlens.session import scratch_path
 from txlens.sources.envelope import read_envelope
 from txlens.streaming import state
+from txlens.streaming.sinks import start_stream
 
 
 @pytest.fixture(scope="module")
@@ -64,9 +65,27 @@ def test_merchant_windows(spark, log):
     want = merchant_window_aggregates(batch(spark, log))
     both = state.with_open(closed, state.open_merchant_windows(spark, ckpt), ["merchant", "window_start"], "window_start")
     assert closed.count() < both.count()
+    assert "StateTable" not in both._jdf.queryExecution().toString()  # the state was read once, before
     assert sorted_rows(both, *want.columns) == sorted_rows(want, *want.columns)
 
 
+def test_users_of_closed_merchant_windows_are_aggregated_once(spark):
+    """Only the first state has a row per user; those after it, one per merchant, window and currency at most."""
+    src = scratch_path(spark, "u-src")
+    _write_batch(src, 0, [_tx(i, f"u{i % 200}", T0 + i % 120, currency=["USD", "EUR", None][i % 3]) for i in range(600)])
+    for i in (1, 2):
+        _write_batch(src, i, [_tx(1000 + i, "u", T0 + 9000 * i)])
+    out, ckpt = scratch_path(spark, "u-out"), scratch_path(spark, "u-ckpt")
+    q = start_stream(merchant_window_closed(_stream(spark, src), readable_state=True), "state_users_once", "append", ckpt, "parquet", out, trigger={"availableNow": True})
+    q.awaitTermination()
+    states = [p["stateOperators"] for p in q.recentProgress if p["stateOperators"]]
+    rows = [max(s[i]["numRowsUpdated"] for s in states) for i in range(len(states[0]))]
+    windows = spark.read.parquet(out).count()
+    assert rows[-1] >= 1000 and windows and max(rows[:-1]) <= 3 * windows
+    first = spark.read.parquet(out).where(F.col("window_start") == F.timestamp_seconds(F.lit(T0))).first()
+    assert (first["total_transactions"], first["unique_users"], first["currencies_used"]) == (600, 200, ["EUR", "USD"])
+
+
 @pytest.mark.parametrize("salt", [1, 4])
 def test_anomalies(spark, log, salt):
     out, ckpt = scratch_path(spark, "a-out"), scratch_path(spark, "a-ckpt")

@@ -149,31 +149,55 @@ def merchant_window_closed(
 
     With ``readable_state`` the first state is keyed by (merchant, window, user, currency) and
     holds numbers only, so that the state data source can read the open windows
-    (``streaming.state.open_merchant_windows``); sets are made from its rows when a window closes."""
+    (``streaming.state.open_merchant_windows``). A row goes in once for its user, with the amount, and
+    once for its currency; so a window has a row for each user and one for each currency, and when
+    it closes they are counted without going through the users again."""
     keys = [F.col("merchant"), F.window(ts, window, slide).alias("window"), F.col("user_id")]
     if readable_state:
-        return finish_merchant_parts(tx.groupBy(*keys, F.col("currency")).agg(*_parts()))
+        _, *amounts = _parts()
+        rows = _user_and_currency_rows(tx, ts)
+        return finish_merchant_parts(rows.groupBy(*keys, F.col("currency")).agg(F.count("_row").alias("_n"), *amounts))
     per_user = tx.groupBy(*keys).agg(*_parts(), F.sort_array(F.collect_set("currency")).alias("_currencies"))
     return _closed_merchants(per_user)
 
 
+def _user_and_currency_rows(tx: DataFrame, ts: str) -> DataFrame:
+    """Each row twice: with its user, amount and a mark (``_row``), and with its currency only."""
+    kind = {c: tx.schema[c].dataType for c in ("user_id", "amount", "currency")} | {"_row": "int"}
+
+    def one(**own: Column) -> Column:
+        return F.struct(*[own.get(c, F.lit(None)).cast(t).alias(c) for c, t in kind.items()])
+
+    both = F.array(one(user_id=F.col("user_id"), amount=F.col("amount"), _row=F.lit(1)), one(currency=F.col("currency")))
+    return tx.select("merchant", ts, F.explode(both).alias("_side")).select("merchant", ts, "_side.*")
+
+
 def finish_merchant_parts(parts: DataFrame) -> DataFrame:
-    """The merchant aggregates from parts per (merchant, window, user, currency), batch or stream."""
-    per_user = parts.groupBy("merchant", "window", "user_id").agg(
+    """The merchant aggregates, batch or stream, from parts per (merchant, window, user) without a currency and
+    per (merchant, window, currency) without a user or numbers. Numbers only are aggregated first, so that all
+    users of a merchant and window are one row before a shuffle; sets are made of what is left."""
+    per_currency = parts.groupBy("merchant", "window", "currency").agg(
         F.sum("_n").alias("_n"),
         F.sum("_total").alias("_total"),
         F.sum("_n_amount").alias("_n_amount"),
         F.min("_min").alias("_min"),
         F.max("_max").alias("_max"),
-        F.sort_array(F.collect_set("currency")).alias("_currencies"),
+        F.count("user_id").alias("_users"),
     )
-    return _closed_merchants(per_user)
+    g = per_currency.groupBy("merchant", "window").agg(
+        *_merged(), F.sum("_users").alias("unique_users"), F.sort_array(F.collect_set("currency")).alias("currencies_used")
+    )
+    return _merchant_columns(g, F.col("currencies_used"))
 
 
 def _closed_merchants(per_user: DataFrame) -> DataFrame:
     g = per_user.groupBy("merchant", "window").agg(
         *_merged(), F.count("user_id").alias("unique_users"), F.collect_set("_currencies").alias("_sets")
     )
+    return _merchant_columns(g, F.sort_array(F.array_distinct(F.flatten("_sets"))))
+
+
+def _merchant_columns(g: DataFrame, currencies: Column) -> DataFrame:
     return g.select(
         "merchant",
         F.col("window.start").alias("window_start"),
@@ -183,7 +207,7 @@ def _closed_merchants(per_user: DataFrame) -> DataFrame:
         "min_amount",
         "max_amount",
         "unique_users",
-        F.sort_array(F.array_distinct(F.flatten("_sets"))).alias("currencies_used"),
+        currencies.alias("currencies_used"),
     )
 
 

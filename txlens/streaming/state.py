@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from txlens.operators.aggregates import finish_merchant_parts
 from txlens.operators.anomalies import STAT_COLUMNS, detect_anomalies
 from txlens.operators.joins import join_small_side
+from txlens.session import scratch_path
 
 AGGREGATE, JOIN = "stateStoreSave", "symmetricHashJoin"
 
@@ -101,7 +102,11 @@ def open_anomalies(spark: SparkSession, checkpoint: str, batch_id: int | None =
 def with_open(closed: DataFrame, open_: DataFrame, keys: list[str], start: str) -> DataFrame:
     """Closed and open rows together. A sink may be one batch ahead of the committed state (its files are
     committed first): what it emitted counts, so open rows of such keys go. Only closed rows from the
-    first open ``start`` on are compared."""
+    first open ``start`` on are compared. The open rows are written to the scratch folder, so that the state
+    is read once."""
+    path = scratch_path(open_.sparkSession, "open")
+    open_.write.parquet(path)
+    open_ = open_.sparkSession.read.schema(open_.schema).parquet(path)
     first = open_.agg(F.min(start)).first()[0]
     if first is None:
         return closed.select(*open_.columns)
