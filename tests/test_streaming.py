@@ -14,7 +14,7 @@ from txlens.operators import detect_anomalies, enrich_user_stats, merchant_windo
 from txlens.operators.clean import clean_transactions
 from txlens.plans import batch, streams
 from txlens.session import local_path, scratch_path
-from txlens.sources.envelope import file_source_options, read_envelope
+from txlens.sources.envelope import file_source_options, read_envelope, write_envelope_splits
 from txlens.streaming import await_any_then_stop, latest_per_key, start_anomaly_detection, start_merchant_aggregates
 from txlens.streaming.monitor import ProgressTotals
 from txlens.streaming.sinks import start_stream
@@ -241,3 +241,17 @@ def test_admission_by_bytes(spark):
     out, ckpt = scratch_path(spark, "bytes-out"), scratch_path(spark, "bytes-ckpt")
     q = _run_available(env.select("offset"), "append", out, ckpt, "bytes_cap")
     assert [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]] == [5, 5, 5, 5]
+
+
+def test_splits_are_staged_without_a_sort(spark):
+    """A sort by split holds all of a task's rows; the splits' files are open side by side instead."""
+    tx = spark.range(0, 300, 1, 2).selectExpr("cast(id AS string) AS key", "cast(id AS string) AS value", "cast(id % 3 AS int) AS _split")
+    runs = spark._jsparkSession.sharedState().statusStore()
+    before = runs.executionsList().size()
+    path = scratch_path(spark, "splits")
+    write_envelope_splits(tx, path, "_split", 3, 1)
+    plans = [runs.executionsList().apply(i).physicalPlanDescription() for i in range(before, runs.executionsList().size())]
+    staged = [p for p in plans if "-staged" in p and "InsertIntoHadoopFsRelationCommand" in p and "Range" in p]
+    assert staged and not [p for p in staged if "Sort" in p]
+    assert len(os.listdir(local_path(f"{path}-staged"))) >= 3 and spark.read.parquet(path).count() == 300
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"

@@ -17,6 +17,10 @@ from txlens.schema import (
     TOPIC_PARTITIONS,
     TRANSACTION_FIELDS,
 )
+from txlens.session import session_conf
+
+#: Row groups of staged files: a task holds one in memory for each split.
+STAGED_BYTES = 16 << 20
 
 
 def kafka_source_options(
@@ -182,10 +186,14 @@ def write_envelope_splits(
     ``maxFilesPerTrigger=files_per_split`` sees one split a micro-batch in order. The
     source is computed once, into a staging folder partitioned by split; the appends only
     copy from it. (A file source orders by modification time.) Returns files_per_split.
+
+    A task holds a file open for every split, so that its rows need no sort by split, whose
+    memory grows with the task's rows; row groups of the staged files are small instead.
     """
     spark = env.sparkSession
     staged = f"{path.rstrip('/')}-staged"
-    env.write.partitionBy(split_col).format(fmt).save(staged)
+    with session_conf(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(n_splits + 1)}):  # one more for null
+        env.write.partitionBy(split_col).format(fmt).option("parquet.block.size", STAGED_BYTES).save(staged)
     schema = env.schema
     for i in range(n_splits):
         part = spark.read.format(fmt).schema(schema).load(staged).filter(F.col(split_col) == i).drop(split_col)

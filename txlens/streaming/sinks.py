@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import contextlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from txlens.session import session_conf
+
 
 def kafka_sink_options(bootstrap_servers: str, topic: str, extra: dict[str, str] | None = None) -> dict[str, str]:
     opts = {"kafka.bootstrap.servers": bootstrap_servers, "topic": topic}
@@ -15,23 +15,6 @@ def kafka_sink_options(bootstrap_servers: str, topic: str, extra: dict[str, str]
     return opts
 
 
-@contextlib.contextmanager
-def session_conf(spark: SparkSession, conf: dict[str, str | None]):
-    """Temporarily set session options (a stream copies them when it starts)."""
-    old = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            if v is not None:
-                spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
 def versioned_batch_writer(path: str, fmt: str = "parquet"):
     """foreachBatch function writing micro-batch N to ``path/batch_id=N`` (overwrite),
     so a replayed batch after a failure replaces its own output: exactly once.
