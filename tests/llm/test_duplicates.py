@@ -426,3 +426,16 @@ def test_fenwick_chaining_equals_quadratic_chaining():
 def test_common_words_is_the_longest_common_subsequence():
     assert passages.common_words(np.array([1, 2, 3, 4]), np.array([2, 9, 4, 4])) == 2
     assert passages.common_words(np.array([], int), np.array([1])) == 0
+
+
+def test_anchors_of_many_pairs_at_once_are_those_of_each_pair():
+    rng = np.random.default_rng(8)
+    pair = np.sort(rng.integers(0, 40, 600))
+    x, y, n = rng.integers(0, 30, 600), rng.integers(0, 30, 600), 46 * rng.integers(0, 2, 600)
+    of, found = passages.anchors(pair, x, y, n)
+    again = [passages.repeated(pair, v, 40) for v in (x, y)]
+    for p in range(40):
+        here = pair == p
+        alone = passages.anchors(pair[here], x[here], y[here], n[here])[1]
+        assert found[of == p].tolist() == alone.tolist()
+        assert [bool(r[p]) for r in again] == [len(set(v[here].tolist())) < here.sum() for v in (x, y)]
