@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import time
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +56,41 @@ def test_shingles_of_sliced_and_chunked_columns(monkeypatch):
     assert [x.tolist() for x in common.text_shingles(pa.array(texts), 2)] == whole
 
 
+def test_hashing_takes_memory_by_the_chunk(monkeypatch):
+    monkeypatch.setattr(common, "_POWERS", [])
+    r = random.Random(3)
+    texts = [" ".join(f"w{r.randrange(5000)}" for _ in range(2_000)) for _ in range(250)]
+    column = pa.array(texts)
+    tracemalloc.start()
+    try:
+        for _ in common.text_shingles(column, 5):
+            pass
+        assert tracemalloc.get_traced_memory()[1] < 40 << 20
+        one = pa.array([" ".join(texts)])
+        assert [len(x) for x in common.text_shingles(one, 5)] == [len(shingles(one[0].as_py(), 5))]
+    finally:
+        tracemalloc.stop()
+    assert sum(x.nbytes for x in common._POWERS) <= 8 << 20  # a worker does not keep what one long text took
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return set(re.findall(r"shuffle_\d+_.*", found))
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = files(), spark.conf.get(key)
+    df = spark.range(10_000).repartition("id").groupBy((common.F.col("id") % 7).alias("k")).count()
+    kept = common.materialize(df, "test-shuffled")
+    for _ in range(50):  # Spark removes them in the background
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before
+    assert spark.conf.get(key) == setting
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, df.collect()))
+
+
 # ---- cuckoo index ---------------------------------------------------------------------------
 
 

@@ -351,10 +351,9 @@ def _families(rows: DataFrame, blobs: DataFrame, num: int, den: int) -> DataFram
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(sizes, pa.int64()), pa.array(apart, pa.binary())], ["centre", "node", "comp", "n", "apart"])
 
     def compare(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
         minor = group["minor"].to_numpy(zero_copy_only=False).astype(bool)
         nodes, comps, sizes = (group[c].to_numpy() for c in ("node", "comp", "n"))
-        apart = [np.frombuffer(x, np.uint64) for x in group["apart"].to_pylist()]
+        apart = [np.frombuffer(x.as_buffer(), np.uint64) for x in group["apart"]]  # not copied: they are most of the group
         m, other = np.flatnonzero(minor), np.flatnonzero(~minor)
         lengths = np.array([len(x) for x in apart])
         # inverted lists of the minor rows' difference tokens
