@@ -460,6 +460,26 @@ def test_fenwick_chaining_equals_quadratic_chaining():
         assert abs(total - brute_chain(found.tolist())) < 1e-9
 
 
+def test_hits_hold_the_largest_places(spark):
+    top = (1 << 31) - 1
+    rows = spark.createDataFrame([(2, top, (1, top - 1)), (1, 5, (2, 0)), (3, 0, (3, 1))], "key bigint, place int, p struct<key: bigint, place: int>")
+    for whole in (False, True):
+        found = [(r.a, r.b, r.hit >> 32, (r.hit & 0xFFFFFFFF) >> 1, bool(r.hit & 1)) for r in passages._hits(rows, "p", whole).collect()]
+        assert sorted(found) == [(2, 1, 0, 5, whole), (2, 1, top, top - 1, whole)]
+
+
+def test_passages_do_not_depend_on_the_number_of_parts(spark, monkeypatch):
+    r = random.Random(8)
+    shared = [" ".join(f"s{r.randrange(900)}" for _ in range(70)) for _ in range(3)]
+    texts = [" ".join(f"w{r.randrange(9000)}" for _ in range(40)) + " " + shared[i % 3] for i in range(12)]
+    docs = docs_of(spark, texts)
+    found = []
+    for parts in (1, 3):
+        monkeypatch.setattr(passages, "PARTS", parts)
+        found.append(sorted(map(tuple, passages.repeated_passages(docs).collect())))
+    assert found[0] == found[1] and len({x[0] for x in found[0]}) == 12
+
+
 def test_common_words_is_the_longest_common_subsequence():
     assert passages.common_words(np.array([1, 2, 3, 4]), np.array([2, 9, 4, 4])) == 2
     assert passages.common_words(np.array([], int), np.array([1])) == 0
