@@ -409,6 +409,82 @@ def test_passages_with_edits_are_found_also_where_others_hold_their_parts(spark,
         assert min(len(a), len(b)) >= 50 and x["matched_words"] <= passages.common_words(np.array(a), np.array(b)) and x["identity"] >= 0.8
 
 
+@pytest.mark.parametrize("block", [2048, 16])
+def test_passages_of_many_edited_copies_are_all_paired(spark, monkeypatch, block):
+    """Also where every seed is in more texts than are paired without a comparison; a line that many texts share links none."""
+    monkeypatch.setattr(passages, "BLOCK", block)
+    r = random.Random(21)
+    base, line = words(r, 64), words(r, 14)
+    copies = []
+    for i in range(70):
+        copy = edited(r, base, 0.03)
+        copy[r.randint(25, 38)] = words(r, 1)[0]  # no two have 50 words in common one after the other
+        copies.append(copy[: 30 + i % 3] + words(r, i % 3 // 2) + copy[30 + i % 3 :])
+    texts = [" ".join(words(r, r.randint(0, 90)) + c + words(r, r.randint(0, 90))) for c in copies]
+    texts += [" ".join(words(r, 60) + line + words(r, 60)) for _ in range(45)]
+    rows = passages.repeated_passages(docs_of(spark, texts)).collect()
+    found = {(x["doc_id"], x["other_id"]) for x in rows}
+    assert found <= {(i, j) for i in range(70) for j in range(70) if i != j} and len(found) >= 0.99 * 70 * 69
+    for x in rows:
+        a, b = (lower(texts[i]).split() for i in (x["doc_id"], x["other_id"]))
+        a, b = a[x["start_word"] : x["end_word"]], b[x["other_start"] : x["other_end"]]
+        assert min(len(a), len(b)) >= 50 and x["matched_words"] <= passages.common_words(np.array(a), np.array(b)) and x["identity"] >= 0.8
+
+
+def test_passages_equal_those_of_all_pairs_of_places(spark, monkeypatch):
+    """With all places of a seed paired, whatever their number, no pair more is found but of texts that share 50 words (and
+    are linked through the first that holds them), and no word more is in a passage."""
+    r = random.Random(22)
+    families = [words(r, n) for n in (55, 70, 130)]
+    texts = []
+    for i in range(75):
+        copy = edited(r, families[i % 3], r.choice((0, 0.02, 0.1)))
+        texts.append(" ".join(words(r, r.randint(0, 40)) + copy + words(r, r.randint(0, 40)) + ["again", "and"] * (i % 4 * 20)))
+    docs = docs_of(spark, texts)
+    found = []
+    for holders in (8, 10_000):
+        monkeypatch.setattr(passages, "HOLDERS", holders)
+        found.append([tuple(x) for x in passages.repeated_passages(docs).collect()])
+    ours, every = found
+    windows = [{tuple(t[i : i + 50]) for i in range(len(t) - 49)} for t in (lower(t).split() for t in texts)]
+    edits = {(x[0], x[3]) for x in every if not windows[x[0]] & windows[x[3]]}
+    covered = [{(x[0], w) for x in rows for w in range(x[1], x[2])} for rows in found]
+    assert len(edits) > 200 and edits <= {(x[0], x[3]) for x in ours} <= {(x[0], x[3]) for x in every}
+    assert covered[0] == covered[1]
+
+
+def longest(x, y):
+    return passages.common_words(np.array(x, np.int64), np.array(y, np.int64)) if len(x) and len(y) else 0
+
+
+def test_places_that_are_alike_equal_brute_force():
+    rng = np.random.default_rng(23)
+    base = rng.integers(1, 1 << 32, 300).astype(np.uint64) << np.uint64(32)
+    rows, keys = [], []
+    for i in range(60):
+        text = base.copy()
+        edits = rng.random(300) < (0.05, 0.2, 0.35, 0.9)[i % 4]
+        edits[148:152] = False  # the seed
+        text[edits] = rng.integers(1, 1 << 32, edits.sum()).astype(np.uint64) << np.uint64(32)
+        low = int(rng.integers(60, 148))
+        rows.append(passages.surroundings(text[low : 300 - int(rng.integers(0, 100))], np.array([148 - low])))
+        assert not rows[-1][:, 2 * passages.NEAR :].any()
+        keys.append(i // 2)
+    around, keys, near, rest = np.concatenate(rows), np.array(keys), passages.NEAR, passages.LEAST_WORDS - passages.SEED
+    found = {(int(x), int(y)): (int(u), int(v)) for a in passages.alike(keys, around, keys, around, False) for x, y, u, v in zip(*a)}
+    halves = list(passages.alike(keys[:25], around[:25], keys[25:], around[25:], True))
+    assert {(int(x), int(y) + 25) for a in halves for x, y in zip(a[0], a[1])} == {(x, y) for x, y in found if x < 25 <= y}
+    sides = [[[int(w) for w in row[s] if w] for s in (slice(0, near), slice(near, 2 * near))] for row in around]
+    for x in range(60):
+        for y in range(x + 1, 60):
+            (a, b), (u, v) = sides[x], sides[y]
+            runs = [next((k for k, (p, q) in enumerate(zip(s, t)) if p != q), min(len(s), len(t))) for s, t in ((a, u), (b, v))]
+            best = max(longest(u[:n], a[: n + passages.SHIFT]) + longest(v[: rest - n], b[: rest - n + passages.SHIFT]) for n in range(rest + 1))
+            want = keys[x] != keys[y] and best + passages.SEED >= passages.LEAST_NEAR and sum(runs) + passages.SEED < passages.LEAST_WORDS
+            assert not want or found.get((x, y)) == tuple(runs)
+            assert want or (x, y) not in found or best + passages.SEED >= passages.LEAST_NEAR - 3  # words of equal codes
+
+
 def test_passages_of_equal_texts_and_of_a_second_place(spark):
     r = random.Random(15)
     shared = words(r, 55)
